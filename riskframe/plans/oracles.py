@@ -116,7 +116,11 @@ def preprocess_sql(decimals: int = 6) -> str:
     remap = ", ".join(
         f"count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN (1, 2)) = 0 AS r_{c}" for c in binary
     )
-    fills_b = ", ".join(f"{mode_sql('e', c)} AS m_{c}" for c in binary)
+    mode_ctes = ", ".join(
+        f"pm_{c} AS (SELECT CAST({c} AS DOUBLE) AS m_{c} FROM e WHERE {c} IS NOT NULL GROUP BY 1 "
+        f"ORDER BY count(*) DESC, 1 ASC LIMIT 1)" for c in binary
+    )
+    mode_from = ", ".join(f"pm_{c}" for c in binary)
     med = ", ".join(f"quantile_cont({c}, 0.5) AS f_{c}" for c in numeric)
     quart = ", ".join(
         f"quantile_cont(coalesce({c}, f_{c}), 0.25) AS q1_{c}, quantile_cont(coalesce({c}, f_{c}), 0.75) AS q3_{c}"
@@ -145,14 +149,15 @@ def preprocess_sql(decimals: int = 6) -> str:
             )
     out.append(f"{SURVEY_TARGET}")
     return f"""
-    WITH e AS (SELECT * FROM {enc}),
+    WITH e AS MATERIALIZED (SELECT * FROM {enc}),
     pr AS (SELECT {remap} FROM e),
-    pm AS (SELECT {fills_b} FROM e),
+    {mode_ctes},
     pf AS (SELECT {med} FROM e),
     pq AS (SELECT {quart} FROM e, pf),
     pc AS (SELECT {caps} FROM pq),
-    ps AS (SELECT {mom} FROM e, pf, pc)
-    SELECT row_id, {', '.join(out)} FROM e, pr, pm, pf, pc, ps"""
+    ps AS (SELECT {mom} FROM e, pf, pc),
+    par AS MATERIALIZED (SELECT * FROM pr, {mode_from}, pf, pc, ps)
+    SELECT row_id, {', '.join(out)} FROM e, par"""
 
 
 # ---------------------------------------------------------------------------
@@ -260,3 +265,106 @@ ORACLES["encode_category"] = (
 ORACLES["preprocess"] = preprocess_sql()
 ORACLES["preprocess_reload"] = ORACLES["preprocess"]
 ORACLES["processed_roundtrip"] = ORACLES["preprocess"]
+
+_rules_events = [
+    ("user_id IS NULL", "missing:user_id"),
+    ("event_type IS NOT NULL AND event_type NOT IN ('view', 'click', 'purchase', 'signup')", "invalid:event_type"),
+    ("value IS NOT NULL AND (value < 0 OR value > 300)", "invalid:value"),
+]
+
+
+def _errors_sql(rules):
+    arr = ", ".join(f"CASE WHEN {cond} THEN '{code}' END" for cond, code in rules)
+    return f"list_filter([{arr}], lambda x: x IS NOT NULL)"
+
+
+ORACLES["domain_violations"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST(sum(n) AS BIGINT) AS n_bad, CAST(count(*) AS BIGINT) AS n_bad_distinct, "
+    f"string_agg(CASE WHEN rn <= 10 THEN CAST(v AS VARCHAR) END, ',' ORDER BY v) AS bad_values FROM "
+    f"(SELECT v, n, row_number() OVER (ORDER BY v) AS rn FROM (SELECT CAST({c} AS DOUBLE) AS v, count(*) AS n "
+    f"FROM lineitem WHERE {c} IS NOT NULL AND CAST({c} AS DOUBLE) NOT IN (0.0, 1.0) GROUP BY 1)) HAVING count(*) > 0"
+    for c in ("l_linenumber", "l_quantity", "l_discount")
+)
+ORACLES["row_validate"] = (
+    f"SELECT event_id, CAST(len(e) AS INTEGER) AS n_errors, array_to_string(e, ';') AS errors "
+    f"FROM (SELECT event_id, {_errors_sql(_rules_events)} AS e FROM events)"
+)
+ORACLES["quarantine_split"] = (
+    f"SELECT event_id, event_type, value, e[1] AS first_error, array_to_string(e, ';') AS errors "
+    f"FROM (SELECT *, {_errors_sql(_rules_events)} AS e FROM events) WHERE len(e) > 0"
+)
+ORACLES["field_constraints"] = (
+    "SELECT c_custkey, array_to_string(" + _errors_sql([
+        ("c_mktsegment IS NOT NULL AND upper(c_mktsegment) NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY', 'HOUSEHOLD')", "invalid:segment"),
+        ("c_nationkey IS NOT NULL AND (c_nationkey < 0 OR c_nationkey > 24)", "invalid:nation"),
+        ("c_acctbal IS NOT NULL AND c_acctbal < 0", "negative:acctbal"),
+    ]) + ", ';') AS errors FROM customer"
+)
+
+_PROC = f"p AS MATERIALIZED ({preprocess_sql(decimals=17)})"
+
+
+def _null_sum_sql(cols):
+    return "(" + " + ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0)" for c in cols) + ")"
+
+
+_F_SUMS = {
+    "clinical_severity_score": ("chest_pain", "fatigue", "xray_abnormal"),
+    "SYMPTOM_COUNT": SURVEY_BINARY,
+    "lifestyle_health_score": ("exercise_hours_per_week", "diet_quality", "healthcare_access"),
+    "respiratory_condition_score": ("copd", "asthma", "previous_tb", "chronic_cough", "shortness_of_breath"),
+}
+ORACLES["feat_product"] = (
+    f"WITH {_PROC} SELECT row_id, round(CAST(smoker AS DOUBLE) * pack_years, 6) + 0.0 AS smoking_impact FROM p"
+)
+ORACLES["feat_row_sums"] = f"WITH {_PROC} SELECT row_id, " + ", ".join(
+    f"round({_null_sum_sql(v)}, 6) + 0.0 AS {k}" for k, v in _F_SUMS.items()
+) + " FROM p"
+
+
+def _corr_sql(a, b, src):
+    return (f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(covar_pop({a}, {b}) / "
+            f"nullif(stddev_pop({a}) * stddev_pop({b}), 0), 6) + 0.0 AS corr FROM {src}")
+
+
+ORACLES["corr_matrix"] = " UNION ALL ".join(
+    _corr_sql(LI_NUM[i], LI_NUM[j], "lineitem") for i in range(len(LI_NUM)) for j in range(i + 1, len(LI_NUM))
+)
+_DOCS = ("n_chars", "text_length", "n_words", "n_lines")
+_DOC_SRC = ("(SELECT n_chars, CAST(length(text) AS BIGINT) AS text_length, "
+            "CAST(len(string_split(text, ' ')) AS BIGINT) AS n_words, "
+            "CAST(len(string_split(text, chr(10))) AS BIGINT) AS n_lines FROM documents)")
+
+
+def _drop_sql(cols, src):
+    pairs = " UNION ALL ".join(
+        f"SELECT {j} AS pos, '{cols[j]}' AS cname, covar_pop({cols[i]}, {cols[j]}) / "
+        f"nullif(stddev_pop({cols[i]}) * stddev_pop({cols[j]}), 0) AS corr FROM s"
+        for i in range(len(cols)) for j in range(i + 1, len(cols))
+    )
+    return f"WITH s AS MATERIALIZED (SELECT * FROM {src}), pr AS ({pairs}) SELECT DISTINCT cname AS \"column\" FROM pr WHERE abs(corr) > 0.95"
+
+
+ORACLES["drop_correlated"] = _drop_sql(_DOCS, _DOC_SRC)
+
+_FEAT_COLS = [c for c in SURVEY_COLUMNS if c != SURVEY_TARGET] + ["smoking_impact", *_F_SUMS]
+
+
+def _build_features_sql():
+    derived = ", ".join(
+        [f"CAST(smoker AS DOUBLE) * pack_years AS smoking_impact"]
+        + [f"{_null_sum_sql(v)} AS {k}" for k, v in _F_SUMS.items()]
+    )
+    cols = _FEAT_COLS
+    pairs = " UNION ALL ".join(
+        f"SELECT '{cols[j]}' AS cname, covar_pop(CAST({cols[i]} AS DOUBLE), CAST({cols[j]} AS DOUBLE)) / "
+        f"nullif(stddev_pop(CAST({cols[i]} AS DOUBLE)) * stddev_pop(CAST({cols[j]} AS DOUBLE)), 0) AS corr FROM f"
+        for i in range(len(cols)) for j in range(i + 1, len(cols))
+    )
+    unp = " UNION ALL ".join(f"SELECT row_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM f" for c in cols)
+    return (f"WITH {_PROC}, f AS MATERIALIZED (SELECT *, {derived} FROM p), pr AS ({pairs}), "
+            f"dr AS (SELECT DISTINCT cname FROM pr WHERE abs(corr) > 0.95), u AS ({unp}) "
+            f"SELECT row_id, feature, round(value, 6) + 0.0 AS value FROM u WHERE feature NOT IN (SELECT cname FROM dr)")
+
+
+ORACLES["build_features"] = _build_features_sql()

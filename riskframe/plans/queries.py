@@ -199,3 +199,118 @@ def q_processed_roundtrip(spark, sf):
     path = scratch_path(spark, "processed")
     out.write.mode("overwrite").parquet(path)
     return rounded(spark.read.parquet(path))
+
+
+# ---------------------------------------------------------------------------
+# Validation
+# ---------------------------------------------------------------------------
+
+from ..operators import features as feat  # noqa: E402
+from ..operators import validate as val  # noqa: E402
+from ..spec import Rule  # noqa: E402
+
+# Row rules of the event and customer checks.
+EVENT_TYPES = ("view", "click", "purchase", "signup")
+EVENT_RULES = (
+    Rule("user_id", "required", code="missing:user_id"),
+    Rule("event_type", "in", allowed=EVENT_TYPES, code="invalid:event_type"),
+    Rule("value", "range", lo=0, hi=300, code="invalid:value"),
+)
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD")
+CUSTOMER_RULES = (
+    Rule("c_mktsegment", "in", allowed=SEGMENTS, upper=True, code="invalid:segment"),
+    Rule("c_nationkey", "range", lo=0, hi=24, code="invalid:nation"),
+    Rule("c_acctbal", "range", lo=0, hi=None, code="negative:acctbal"),
+)
+DOMAIN_COLS = ("l_linenumber", "l_quantity", "l_discount")
+
+
+@query("domain_violations")
+def q_domain_violations(spark, sf):
+    """V3: values outside {0, 1} per column, NULL ignored."""
+    return val.domain_violations(table(spark, sf, "lineitem"), DOMAIN_COLS)
+
+
+@query("row_validate")
+def q_row_validate(spark, sf):
+    """V4: every rule code each event breaks, in rule order."""
+    ev = val.with_errors(table(spark, sf, "events"), EVENT_RULES)
+    return ev.select("event_id", F.size("errors").alias("n_errors"),
+                     F.array_join("errors", ";").alias("errors"))
+
+
+@query("quarantine_split")
+def q_quarantine_split(spark, sf):
+    """V4: rows that break a rule, with the first error (the single-record message)."""
+    _, bad = val.quarantine_split(table(spark, sf, "events"), EVENT_RULES)
+    return bad.select("event_id", "event_type", "value", F.col("errors")[0].alias("first_error"),
+                      F.array_join("errors", ";").alias("errors"))
+
+
+@query("field_constraints")
+def q_field_constraints(spark, sf):
+    """V5: declared field constraints (upper-cased text in a set, bounds)."""
+    c = val.with_errors(table(spark, sf, "customer"), CUSTOMER_RULES)
+    return c.select("c_custkey", F.array_join("errors", ";").alias("errors"))
+
+
+# ---------------------------------------------------------------------------
+# Features
+# ---------------------------------------------------------------------------
+
+def processed_survey(spark, sf):
+    raw = inputs.raw_survey(spark, sf)
+    out, _ = pp.preprocess(raw, SURVEY_SPEC)
+    return out
+
+
+@query("feat_product")
+def q_feat_product(spark, sf):
+    """smoking_impact = smoker * pack_years on the processed survey."""
+    df = feat.add_derived_features(processed_survey(spark, sf))
+    return rounded(df.select("row_id", "smoking_impact"))
+
+
+@query("feat_row_sums")
+def q_feat_row_sums(spark, sf):
+    """NULL-tolerant row sums on the processed survey."""
+    df = feat.add_derived_features(processed_survey(spark, sf))
+    return rounded(df.select("row_id", *[n for n, _ in feat.ROW_SUMS]))
+
+
+@query("corr_matrix")
+def q_corr_matrix(spark, sf):
+    """Pearson correlation of every pair of lineitem numerics (long form)."""
+    return rounded(feat.corr_matrix(table(spark, sf, "lineitem"), LINEITEM_NUMERIC))
+
+
+def document_measures(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select(
+        "doc_id", "n_chars",
+        F.length("text").cast("bigint").alias("text_length"),
+        F.size(F.split("text", " ")).cast("bigint").alias("n_words"),
+        F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"),
+    )
+
+
+DOC_MEASURES = ("n_chars", "text_length", "n_words", "n_lines")
+
+
+@query("drop_correlated")
+def q_drop_correlated(spark, sf):
+    """names of columns dropped for |corr| > 0.95 with an earlier column."""
+    dropped = feat.correlated_to_drop(document_measures(spark, sf), DOC_MEASURES)
+    return spark.createDataFrame([(c,) for c in dropped], "column string")
+
+
+@query("build_features")
+def q_build_features(spark, sf):
+    """derived features + correlation drop on the processed survey,
+    returned long as (row_id, feature, value)."""
+    df = processed_survey(spark, sf)
+    out, _ = feat.build_features(df.drop(SURVEY_TARGET), exclude=("row_id",))
+    cols = [c for c in out.columns if c != "row_id"]
+    long = out.select("row_id", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        ["row_id"], cols, "feature", "value")
+    return rounded(long)
