@@ -69,3 +69,9 @@ def scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORDERS_SPEC = TableSpec(id_col="o_orderkey", target="o_orderstatus", numeric=("o_totalprice",),
                         target_mapping={"F": 1, "O": 0})
+
+
+def scored_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row_id, label, score)``: survey rows scored by their generating model."""
+    df = generate_survey(table(spark, sf_dir, "orders"), "o_orderkey", keep_probability=True)
+    return df.select("row_id", F.col(SURVEY_TARGET).alias("label"), F.col("risk_probability").alias("score"))

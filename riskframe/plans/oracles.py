@@ -368,3 +368,135 @@ def _build_features_sql():
 
 
 ORACLES["build_features"] = _build_features_sql()
+
+# --- splits, folds, weights, samples -------------------------------------------------
+
+ORACLES["stratified_split"] = """
+WITH c AS (SELECT o_orderstatus AS lab, count(*) AS n FROM orders GROUP BY 1),
+t AS (SELECT sum(n) AS total, CAST(ceil(CAST(0.2 AS DOUBLE) * CAST(sum(n) AS DOUBLE)) AS BIGINT) AS n_test FROM c),
+a AS (SELECT lab, CAST(n_test * n AS DOUBLE) / CAST(total AS DOUBLE) AS cont FROM c, t),
+b AS (SELECT lab, floor(cont) AS fl, cont - floor(cont) AS rem FROM a),
+nd AS (SELECT (SELECT n_test FROM t) - sum(fl) AS need FROM b),
+al AS (SELECT lab, fl + CASE WHEN row_number() OVER (ORDER BY rem DESC, lab) <= need THEN 1 ELSE 0 END AS lim FROM b, nd)
+SELECT o_orderkey, o_orderstatus,
+  CASE WHEN row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('42:split:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) <= lim
+       THEN 'test' ELSE 'train' END AS split
+FROM orders JOIN al ON lab = o_orderstatus"""
+ORACLES["stratified_folds"] = """
+SELECT o_orderkey, o_orderstatus, CAST((row_number() OVER (PARTITION BY o_orderstatus
+  ORDER BY md5('42:fold:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) - 1) % 5 AS INTEGER) AS fold FROM orders"""
+ORACLES["class_weights"] = """
+WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)
+SELECT o_orderstatus, CAST(n AS BIGINT) AS n,
+  round(CAST(sum(n) OVER () AS DOUBLE) / (count(*) OVER () * n), 6) + 0.0 AS weight FROM c"""
+ORACLES["background_sample"] = (
+    "SELECT o_orderkey FROM orders ORDER BY md5('42:background:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100"
+)
+
+# --- evaluation ------------------------------------------------------------------------
+
+_SCORED_LI = ("(SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS INTEGER) AS label, "
+              "l_quantity / CAST(100.0 AS DOUBLE) + l_discount * CAST(5.0 AS DOUBLE) AS score FROM lineitem)")
+_SCORED_SURVEY = f"(SELECT row_id, {SURVEY_TARGET} AS label, risk_probability AS score FROM {survey_sql()})"
+
+
+def _r(x: str) -> str:
+    return f"round({x}, 6) + 0.0"
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"coalesce(CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0), 0.0)"
+
+
+_CONF = ("count(*) FILTER (WHERE label <> 1 AND score < 0.5) AS tn, count(*) FILTER (WHERE label <> 1 AND score >= 0.5) AS fp, "
+         "count(*) FILTER (WHERE label = 1 AND score < 0.5) AS fn, count(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp")
+ORACLES["confusion"] = f"SELECT {_CONF} FROM {_SCORED_LI}"
+ORACLES["binary_metrics"] = (
+    f"SELECT tn, fp, fn, tp, {_r(_ratio('tp + tn', 'tp + tn + fp + fn'))} AS accuracy, {_r(_ratio('tp', 'tp + fn'))} AS recall, "
+    f"{_r(_ratio('tp', 'tp + fp'))} AS precision, {_r(_ratio('2 * tp', '2 * tp + fp + fn'))} AS f1 "
+    f"FROM (SELECT {_CONF} FROM {_SCORED_LI})"
+)
+_GROUPS = f"(SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM {_SCORED_LI} GROUP BY score)"
+ORACLES["roc_auc"] = (
+    f"SELECT {_r('sum(pos * (cum_neg - neg + neg * 0.5)) / (sum(pos) * sum(neg))')} AS roc_auc FROM "
+    f"(SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM {_GROUPS})"
+)
+_DESC = (f"(SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos, "
+         f"sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg, "
+         f"sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM {_GROUPS})")
+ORACLES["average_precision"] = (
+    f"SELECT {_r('sum(pos * cum_pos / (cum_pos + cum_neg)) / sum(pos)')} AS average_precision FROM {_DESC}"
+)
+ORACLES["roc_curve"] = (
+    f"SELECT {_r('score')} AS threshold, {_r('CAST(cum_neg AS DOUBLE) / N')} AS fpr, {_r('CAST(cum_pos AS DOUBLE) / P')} AS tpr FROM {_DESC} "
+    f"UNION ALL SELECT NULL, 0.0, 0.0"
+)
+ORACLES["pr_curve"] = (
+    f"SELECT {_r('score')} AS threshold, {_r('CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg)')} AS precision, "
+    f"{_r('CAST(cum_pos AS DOUBLE) / P')} AS recall FROM {_DESC} WHERE cum_pos - pos < P "
+    f"UNION ALL SELECT NULL, 1.0, 0.0"
+)
+
+
+def _sweep_sql(src: str, lo: int, hi: int) -> str:
+    return (
+        f"(SELECT CAST(i AS DOUBLE) / 100.0 AS threshold, "
+        f"count(*) FILTER (WHERE label = 1 AND score >= CAST(i AS DOUBLE) / 100.0) AS tp, "
+        f"count(*) FILTER (WHERE label <> 1 AND score >= CAST(i AS DOUBLE) / 100.0) AS fp, "
+        f"count(*) FILTER (WHERE label = 1 AND NOT (score >= CAST(i AS DOUBLE) / 100.0)) AS fn "
+        f"FROM range({lo}, {hi + 1}) r(i), {src} GROUP BY i)"
+    )
+
+
+def _sweep_metrics(src: str, lo: int, hi: int) -> str:
+    return (f"(SELECT threshold, {_ratio('tp', 'tp + fn')} AS recall, {_ratio('tp', 'tp + fp')} AS precision, "
+            f"{_ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM {_sweep_sql(src, lo, hi)})")
+
+
+ORACLES["threshold_sweep"] = (
+    f"SELECT {_r('threshold')} AS threshold, {_r('recall')} AS recall, {_r('precision')} AS precision, {_r('f1')} AS f1 "
+    f"FROM {_sweep_metrics(_SCORED_LI, 10, 90)}"
+)
+ORACLES["optimal_threshold"] = (
+    f"WITH sw AS MATERIALIZED {_sweep_metrics(_SCORED_SURVEY, 10, 89)}, "
+    f"best AS (SELECT threshold FROM sw WHERE recall >= 0.8 AND f1 > 0 ORDER BY f1 DESC, threshold ASC LIMIT 1), "
+    f"pick AS (SELECT coalesce((SELECT threshold FROM best), 0.5) AS t) "
+    f"SELECT {_r('threshold')} AS threshold, {_r('recall')} AS recall, {_r('precision')} AS precision, {_r('f1')} AS f1 "
+    f"FROM sw, pick WHERE threshold = t"
+)
+ORACLES["classification_report"] = f"""
+WITH s AS (SELECT CAST(label AS VARCHAR) AS y, CAST(CAST(score >= 0.5 AS INTEGER) AS VARCHAR) AS p FROM {_SCORED_LI}),
+cm AS (SELECT y, p, count(*) AS n FROM s GROUP BY 1, 2),
+sup AS (SELECT y AS cls, sum(n) AS support FROM cm GROUP BY 1),
+pre AS (SELECT p AS cls, sum(n) AS predicted FROM cm GROUP BY 1),
+cor AS (SELECT y AS cls, n AS tp FROM cm WHERE y = p),
+per AS (SELECT coalesce(sup.cls, pre.cls) AS label, coalesce(support, 0) AS support, coalesce(predicted, 0) AS predicted,
+        coalesce(tp, 0) AS tp FROM sup FULL JOIN pre ON sup.cls = pre.cls LEFT JOIN cor ON cor.cls = coalesce(sup.cls, pre.cls)),
+m AS (SELECT label, {_ratio('tp', 'predicted')} AS precision, {_ratio('tp', 'support')} AS recall,
+        {_ratio('2 * tp', 'support + predicted')} AS f1, support, tp FROM per)
+SELECT label, {_r('precision')} AS precision, {_r('recall')} AS recall, {_r('f1')} AS f1, CAST(support AS BIGINT) AS support FROM m
+UNION ALL SELECT 'accuracy', NULL, NULL, {_r(_ratio('sum(tp)', 'sum(support)'))}, CAST(sum(support) AS BIGINT) FROM m
+UNION ALL SELECT 'macro avg', {_r('avg(precision)')}, {_r('avg(recall)')}, {_r('avg(f1)')}, CAST(sum(support) AS BIGINT) FROM m
+UNION ALL SELECT 'weighted avg', {_r(_ratio('sum(precision * support)', 'sum(support)'))}, {_r(_ratio('sum(recall * support)', 'sum(support)'))},
+  {_r(_ratio('sum(f1 * support)', 'sum(support)'))}, CAST(sum(support) AS BIGINT) FROM m"""
+
+_FOLDS = (f"(SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY md5('42:fold:' || CAST(row_id AS VARCHAR)), row_id) - 1) % 5 AS INTEGER) AS fold "
+          f"FROM {_SCORED_SURVEY})")
+_CV = f"""
+WITH f AS MATERIALIZED {_FOLDS},
+c AS (SELECT fold, count(*) FILTER (WHERE label <> 1 AND score < 0.5) AS tn, count(*) FILTER (WHERE label <> 1 AND score >= 0.5) AS fp,
+      count(*) FILTER (WHERE label = 1 AND score < 0.5) AS fn, count(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp FROM f GROUP BY fold),
+g AS (SELECT fold, score, sum(label) AS pos, sum(1 - label) AS neg FROM f GROUP BY fold, score),
+cg AS (SELECT *, sum(neg) OVER (PARTITION BY fold ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg FROM g),
+auc AS (SELECT fold, sum(pos * (cum_neg - neg + neg * 0.5)) / (sum(pos) * sum(neg)) AS roc_auc FROM cg GROUP BY fold),
+per AS (SELECT c.fold, {_ratio('tp', 'tp + fn')} AS recall, {_ratio('tp', 'tp + fp')} AS precision,
+        {_ratio('2 * tp', '2 * tp + fp + fn')} AS f1, ({_ratio('tp', 'tp + fn')} + {_ratio('tn', 'tn + fp')}) / 2 AS balanced_accuracy,
+        roc_auc FROM c JOIN auc ON c.fold = auc.fold)"""
+ORACLES["cv_metrics"] = _CV + (
+    f" SELECT fold, {_r('recall')} AS recall, {_r('precision')} AS precision, {_r('f1')} AS f1, "
+    f"{_r('balanced_accuracy')} AS balanced_accuracy, {_r('roc_auc')} AS roc_auc FROM per"
+)
+ORACLES["cv_summary"] = _CV + " " + " UNION ALL ".join(
+    f"SELECT '{m}' AS metric, {_r(f'avg({m})')} AS mean, {_r(f'stddev_pop({m})')} AS std FROM per"
+    for m in ("recall", "precision", "f1", "balanced_accuracy", "roc_auc")
+)

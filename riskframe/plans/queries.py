@@ -314,3 +314,115 @@ def q_build_features(spark, sf):
     long = out.select("row_id", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         ["row_id"], cols, "feature", "value")
     return rounded(long)
+
+
+# ---------------------------------------------------------------------------
+# Splits, folds, weights, samples
+# ---------------------------------------------------------------------------
+
+from ..operators import metrics as mt  # noqa: E402
+from ..operators import sampling as smp  # noqa: E402
+from ..spec import GLOBAL_BACKGROUND_ROWS  # noqa: E402
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    """Exact stratified 80/20 split of orders by status, hash-ranked."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return smp.stratified_split(o, "o_orderstatus", "o_orderkey")
+
+
+@query("stratified_folds")
+def q_stratified_folds(spark, sf):
+    """R2: stratified 5 folds of orders by status."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return smp.stratified_folds(o, "o_orderstatus", "o_orderkey")
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    """Balanced class weights n / (k * n_c)."""
+    return smp.class_weights(table(spark, sf, "orders"), "o_orderstatus")
+
+
+@query("background_sample")
+def q_background_sample(spark, sf):
+    """The 100-row background sample (hash order, top-k)."""
+    o = table(spark, sf, "orders").select("o_orderkey")
+    return smp.background_sample(o, "o_orderkey", GLOBAL_BACKGROUND_ROWS)
+
+
+# ---------------------------------------------------------------------------
+# Evaluation on scored lineitem (ties across classes) and the scored survey
+# ---------------------------------------------------------------------------
+
+@query("confusion")
+def q_confusion(spark, sf):
+    """Tn / fp / fn / tp at 0.5."""
+    return mt.confusion(inputs.scored_lineitem(spark, sf))
+
+
+@query("binary_metrics")
+def q_binary_metrics(spark, sf):
+    """Accuracy / recall / precision / f1 at 0.5."""
+    return rounded(mt.binary_metrics(inputs.scored_lineitem(spark, sf)))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf):
+    """ROC-AUC with half credit for ties."""
+    return rounded(mt.roc_auc(inputs.scored_lineitem(spark, sf)))
+
+
+@query("average_precision")
+def q_average_precision(spark, sf):
+    """Step-wise average precision."""
+    return rounded(mt.average_precision(inputs.scored_lineitem(spark, sf)))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf):
+    """ROC points per distinct score plus the origin."""
+    return rounded(mt.roc_curve(inputs.scored_lineitem(spark, sf)))
+
+
+@query("pr_curve")
+def q_pr_curve(spark, sf):
+    """Precision-recall points plus the (recall 0, precision 1) end."""
+    return rounded(mt.pr_curve(inputs.scored_lineitem(spark, sf)))
+
+
+@query("threshold_sweep")
+def q_threshold_sweep(spark, sf):
+    """Recall / precision / f1 at 81 thresholds 0.10..0.90."""
+    return rounded(mt.threshold_sweep(inputs.scored_lineitem(spark, sf)))
+
+
+@query("optimal_threshold")
+def q_optimal_threshold(spark, sf):
+    """Best-f1 threshold among those with recall >= 0.8 (0.10..0.89)."""
+    return rounded(mt.optimal_threshold(inputs.scored_survey(spark, sf)))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf):
+    """E5: per-class report with accuracy, macro and weighted averages."""
+    s = inputs.scored_lineitem(spark, sf).withColumn("prediction", mt.predict_at("score", 0.5))
+    return rounded(mt.classification_report(s))
+
+
+def _survey_folds(spark, sf):
+    s = inputs.scored_survey(spark, sf)
+    return smp.stratified_folds(s, "label", "row_id")
+
+
+@query("cv_metrics")
+def q_cv_metrics(spark, sf):
+    """Per-fold recall / precision / f1 / balanced accuracy / ROC-AUC."""
+    return rounded(mt.cv_metrics(_survey_folds(spark, sf)))
+
+
+@query("cv_summary")
+def q_cv_summary(spark, sf):
+    """Mean and population std of the fold metrics."""
+    return rounded(mt.cv_summary(mt.cv_metrics(_survey_folds(spark, sf))))

@@ -60,7 +60,8 @@ def _flag(seed: int, name: str, key: Column, p) -> Column:
     return (uniform(seed, name, key) < p_c).cast("int")
 
 
-def generate_survey(keys: DataFrame, key_col: str, seed: int = RANDOM_SEED, id_name: str = "row_id") -> DataFrame:
+def generate_survey(keys: DataFrame, key_col: str, seed: int = RANDOM_SEED, id_name: str = "row_id",
+                    keep_probability: bool = False) -> DataFrame:
     """One survey row per key, realistic dependencies.
 
     smoking_years / cigarettes_per_day are drawn only for smokers,
@@ -96,8 +97,10 @@ def generate_survey(keys: DataFrame, key_col: str, seed: int = RANDOM_SEED, id_n
         + F.lit(w["xray_abnormal"]) * F.col("xray_abnormal")
         + F.lit(w["copd"]) * F.col("copd")
     )
-    df = df.withColumn(SURVEY_TARGET, _flag(seed, SURVEY_TARGET, key, logistic(score, RISK_CENTER, RISK_SLOPE)))
-    return df.select(id_name, *SURVEY_COLUMNS)
+    df = df.withColumn("risk_probability", logistic(score, RISK_CENTER, RISK_SLOPE))
+    df = df.withColumn(SURVEY_TARGET, _flag(seed, SURVEY_TARGET, key, F.col("risk_probability")))
+    extra = ["risk_probability"] if keep_probability else []
+    return df.select(id_name, *SURVEY_COLUMNS, *extra)
 
 
 def generate_survey_uniform(keys: DataFrame, key_col: str, seed: int = RANDOM_SEED, id_name: str = "row_id") -> DataFrame:
