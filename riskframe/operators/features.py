@@ -70,11 +70,10 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], pairwise_complete: bool = Tr
                 aggs.append(F.stddev_pop(F.when(b.isNotNull(), a)).alias(f"sa{k}"))
                 aggs.append(F.stddev_pop(F.when(a.isNotNull(), b)).alias(f"sb{k}"))
             pairs.append((cols[i], cols[j]))
-    if not pairwise_complete:
-        for i, c in enumerate(cols):
-            aggs.append(F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}"))
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    if not pairwise_complete:
+        return _corr_dense(df, cols)
     wide = df.agg(*aggs)
     parts = []
     idx = {c: i for i, c in enumerate(cols)}
@@ -84,6 +83,26 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], pairwise_complete: bool = Tr
     return wide.selectExpr(f"stack({len(pairs)}, {', '.join(parts)}) AS (col_a, col_b, corr)")
 
 
+def _corr_dense(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """NULL-free input: Pearson matrix from one Gramian aggregation (Spark ML).
+
+    The k x k matrix (columns, not rows) comes back to the driver; a constant
+    column gives NaN, reported as NULL.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="error").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+    rows = []
+    for i in range(len(cols)):
+        for j in range(i + 1, len(cols)):
+            v = float(m[i][j])
+            rows.append((cols[i], cols[j], None if math.isnan(v) else v))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+
+
 def correlated_to_drop(df: DataFrame, cols: Sequence[str], threshold: float = CORRELATION_THRESHOLD,
                        pairwise_complete: bool = True) -> list[str]:
     """F6 fit: drop column j when any earlier column has |corr| > threshold.
@@ -106,10 +125,13 @@ def correlated_to_drop(df: DataFrame, cols: Sequence[str], threshold: float = CO
 
 
 def build_features(df: DataFrame, exclude: Sequence[str] = (), dropped: Sequence[str] | None = None,
-                   threshold: float = CORRELATION_THRESHOLD) -> tuple[DataFrame, list[str]]:
-    """derived features, then the correlation drop (fitted when ``dropped`` is None)."""
+                   threshold: float = CORRELATION_THRESHOLD, null_free: bool = False) -> tuple[DataFrame, list[str]]:
+    """derived features, then the correlation drop (fitted when ``dropped`` is None).
+
+    ``null_free`` (true after imputation) takes the one-pass Gramian path.
+    """
     out = add_derived_features(df)
     if dropped is None:
         num = numeric_columns(out, exclude)
-        dropped = correlated_to_drop(out, num, threshold, pairwise_complete=True)
+        dropped = correlated_to_drop(out, num, threshold, pairwise_complete=not null_free)
     return out.drop(*dropped), list(dropped)

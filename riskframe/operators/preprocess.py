@@ -123,7 +123,7 @@ def remap_expr(col: str) -> Column:
 class Preprocessor:
     """Learns the values ``transform`` applies."""
 
-    def __init__(self, spec: TableSpec, iqr_factor: float = IQR_FACTOR, accuracy: int = 100_000):
+    def __init__(self, spec: TableSpec, iqr_factor: float = IQR_FACTOR, accuracy: int = 10_000):
         self.spec = spec
         self.iqr_factor = iqr_factor
         self.accuracy = accuracy
@@ -258,7 +258,7 @@ def preprocess(raw: DataFrame, spec: TableSpec, params: PreprocessParams | None
 # Single-purpose operators (the reference's helpers, generic)
 # ---------------------------------------------------------------------------
 
-def iqr_caps(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR, accuracy: int = 100_000) -> dict:
+def iqr_caps(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR, accuracy: int = 10_000) -> dict:
     """``{col: (q1, q3, lo, hi)}`` of the IQR rule."""
     qs = exact_quantiles(df, {c: F.col(c) for c in cols}, [0.25, 0.75], accuracy)
     out = {}
@@ -322,7 +322,7 @@ def remap_binary(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[st
     return df.withColumns({c: (F.col(c) - F.lit(1)).cast("int") for c in cols if flags[c]}), flags
 
 
-def impute(df: DataFrame, numeric: Sequence[str], modal: Sequence[str], accuracy: int = 100_000) -> tuple[DataFrame, dict]:
+def impute(df: DataFrame, numeric: Sequence[str], modal: Sequence[str], accuracy: int = 10_000) -> tuple[DataFrame, dict]:
     """Numeric NULL <- median, flag/category NULL <- mode (lowest on a tie)."""
     fills: dict[str, float | None] = {}
     if numeric:

@@ -82,17 +82,23 @@ def exact_quantiles(
     df: DataFrame,
     exprs: dict[str, Column],
     probs: Sequence[float],
-    accuracy: int = 100_000,
+    accuracy: int = 10_000,
+    max_candidates: int = 200_000,
 ) -> dict[str, list[float | None]]:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``).
-
-    Pass 1 finds, for every (column, probability), a value bracket around the
-    wanted rank with ``percentile_approx`` (rank error <= n / accuracy) plus
-    the count. Pass 2 counts the rows below each bracket and ranks only the
-    rows inside it (about 4 n / accuracy per target) with a window limited
-    per group. If a bracket fails to hold the rank (never expected) that
-    target falls back to the whole column. The result is a small dict
-    (columns x probabilities numbers).
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) at any scale.
+
+    1. one pass: count and a ``percentile_approx`` bracket around each wanted
+       rank (rank error <= n / accuracy, so about 4 n / accuracy rows inside);
+    2. one pass: rows below and inside every bracket. A bracket holding more
+       than ``max_candidates`` rows is narrowed by a sketch of the rows inside
+       it only (one more pass, the bracket shrinks by ``accuracy`` each time);
+       a bracket whose ends are equal is the answer itself (runs of ties);
+       a bracket that misses its rank (not expected) restarts from the whole
+       column;
+    3. one pass: the rows inside the final brackets are ranked with a window
+       per target limited to the rank needed.
+
+    The result is a small dict (columns x probabilities numbers).
     """
     names = list(exprs)
     if not names:
@@ -109,7 +115,7 @@ def exact_quantiles(
         aggs.append(F.percentile_approx(e, F.array(*[F.lit(b) for b in bracket_ps]), accuracy).alias(f"a{i}"))
     row = df.agg(*aggs).collect()[0]
 
-    # targets: (col index, prob index, rank lo, rank hi, frac, L, U)
+    # targets: [col index, prob index, rank lo, rank hi, frac, L, U]
     targets = []
     result: dict[str, list[float | None]] = {n: [None] * len(probs) for n in names}
     for i, n in enumerate(names):
@@ -125,7 +131,7 @@ def exact_quantiles(
     if not targets:
         return result
 
-    values = _rank_values(df, exprs, names, targets)
+    values = _rank_values(df, exprs, names, targets, accuracy, max_candidates)
     for t in targets:
         i, j, lo, hi, frac = t[0], t[1], t[2], t[3], t[4]
         vlo, vhi = values[(i, j, lo)], values[(i, j, hi)]
@@ -133,15 +139,11 @@ def exact_quantiles(
     return result
 
 
-def _rank_values(df, exprs, names, targets):
-    """Values at the wanted 0-based ranks; brackets are widened on failure."""
+def _rank_values(df, exprs, names, targets, accuracy, max_candidates):
+    """Values at the wanted 0-based ranks."""
     out: dict[tuple[int, int, int], float] = {}
     pending = targets
-    for attempt in range(2):
-        if attempt == 1:
-            for t in pending:
-                t[5], t[6] = None, None  # whole column
-        # counts below and inside every bracket, one pass
+    for _ in range(12):
         aggs = []
         for k, t in enumerate(pending):
             e = exprs[names[t[0]]].cast("double")
@@ -149,18 +151,43 @@ def _rank_values(df, exprs, names, targets):
             aggs.append(below.alias(f"b{k}"))
             aggs.append(F.count_if(_inside(e, t[5], t[6])).alias(f"c{k}"))
         crow = df.agg(*aggs).collect()[0]
-        ok, failed = [], []
+        pick, narrow, restart = [], [], []
         for k, t in enumerate(pending):
             b, c = crow[f"b{k}"], crow[f"c{k}"]
-            (ok if b <= t[2] and b + c > t[3] else failed).append((k, t, b))
-        if ok:
-            out.update(_pick_in_brackets(df, exprs, names, ok))
-        pending = [t for _, t, _ in failed]
+            if not (b <= t[2] and b + c > t[3]):
+                restart.append(t)
+            elif t[5] is not None and t[5] == t[6]:
+                out[(t[0], t[1], t[2])] = t[5]
+                out[(t[0], t[1], t[3])] = t[5]
+            elif c > max_candidates:
+                narrow.append((t, b, c))
+            else:
+                pick.append((k, t, b))
+        if pick:
+            out.update(_pick_in_brackets(df, exprs, names, pick))
+        for t in restart:
+            t[5], t[6] = None, None
+        if narrow:
+            _narrow(df, exprs, names, narrow, accuracy)
+        pending = restart + [t for t, _, _ in narrow]
         if not pending:
-            break
-    if pending:
-        raise RuntimeError("exact quantile: bracket search failed")
-    return out
+            return out
+    raise RuntimeError("exact quantile: bracket search did not converge")
+
+
+def _narrow(df, exprs, names, narrow, accuracy):
+    """Replace each bracket by an approximate bracket of the rows inside it."""
+    delta = 2.0 / accuracy + 1e-12
+    aggs = []
+    for k, (t, b, c) in enumerate(narrow):
+        e = exprs[names[t[0]]].cast("double")
+        p_lo = max(0.0, (t[2] - b) / c - delta)
+        p_hi = min(1.0, (t[3] - b + 1) / c + delta)
+        inside = F.when(_inside(e, t[5], t[6]), e)
+        aggs.append(F.percentile_approx(inside, F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias(f"q{k}"))
+    row = df.agg(*aggs).collect()[0]
+    for k, (t, _, _) in enumerate(narrow):
+        t[5], t[6] = row[f"q{k}"][0], row[f"q{k}"][1]
 
 
 def _inside(e: Column, lo, hi) -> Column:
@@ -200,7 +227,7 @@ def _pick_in_brackets(df, exprs, names, ok):
     return out
 
 
-def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 100_000) -> DataFrame:
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
     """``(column, p, value)`` long table of exact quantiles."""
     q = exact_quantiles(df, {c: F.col(c) for c in cols}, probs, accuracy)
     rows = [(c, float(p), q[c][j]) for c in cols for j, p in enumerate(probs)]

@@ -144,9 +144,8 @@ def preprocess_sql(decimals: int = 6) -> str:
             out.append(f"CAST(coalesce({v}, CAST({fill} AS INTEGER)) AS INTEGER) AS {c}")
         else:
             x = clip_sql(f"coalesce({c}, f_{c})", f"lo_{c}", f"hi_{c}")
-            out.append(
-                f"round(({x} - mu_{c}) / (CASE WHEN sd_{c} = 0 THEN 1.0 ELSE sd_{c} END), {decimals}) + 0.0 AS {c}"
-            )
+            v = f"({x} - mu_{c}) / (CASE WHEN sd_{c} = 0 THEN 1.0 ELSE sd_{c} END)"
+            out.append(f"round({v}, {decimals}) + 0.0 AS {c}" if decimals is not None else f"{v} AS {c}")
     out.append(f"{SURVEY_TARGET}")
     return f"""
     WITH e AS MATERIALIZED (SELECT * FROM {enc}),
@@ -301,7 +300,7 @@ ORACLES["field_constraints"] = (
     ]) + ", ';') AS errors FROM customer"
 )
 
-_PROC = f"p AS MATERIALIZED ({preprocess_sql(decimals=17)})"
+_PROC = f"p AS MATERIALIZED ({preprocess_sql(decimals=None)})"
 
 
 def _null_sum_sql(cols):
@@ -500,3 +499,59 @@ ORACLES["cv_summary"] = _CV + " " + " UNION ALL ".join(
     f"SELECT '{m}' AS metric, {_r(f'avg({m})')} AS mean, {_r(f'stddev_pop({m})')} AS std FROM per"
     for m in ("recall", "precision", "f1", "balanced_accuracy", "roc_auc")
 )
+
+# --- sources, sinks, projections -------------------------------------------------------
+
+ORACLES["scan_csv"] = "SELECT * FROM customer"
+ORACLES["json_records_scan"] = "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
+ORACLES["append_records"] = (
+    "SELECT c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS segment FROM customer "
+    "UNION ALL SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier"
+)
+ORACLES["next_version"] = (
+    r"SELECT CAST(coalesce(max(TRY_CAST(regexp_extract(c_name, '^Customer#(\d+)$', 1) AS BIGINT)), 0) + 1 AS BIGINT) "
+    "AS next_version FROM customer"
+)
+ORACLES["project_reorder"] = "SELECT c_mktsegment, c_acctbal, c_name, c_custkey, c_nationkey FROM customer"
+ORACLES["fill_missing_columns"] = "SELECT *, 0 AS c_phone, 0 AS c_comment FROM customer"
+ORACLES["first_row"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1"
+
+# --- scoring and linear Shapley ---------------------------------------------------------
+
+_W = {"pack_years": 1.2, "family_history_cancer": 0.9, "occupational_exposure": 0.7,
+      "air_pollution_index": 0.3, "xray_abnormal": 0.6, "copd": 0.5}
+_B0 = -1.0
+_MARGIN = f"({_f(_B0)}" + "".join(f" + {_f(w)} * CAST({c} AS DOUBLE)" for c, w in _W.items()) + ")"
+_PROB = f"(1.0 / (1.0 + exp(-({_MARGIN} - 0.0) * 1.0)))"
+
+
+def _score_cols(p: str) -> str:
+    return (f"CAST({p} >= 0.5 AS INTEGER) AS prediction, round(round_even({p}, 4), 6) + 0.0 AS probability, "
+            f"CASE WHEN {p} < 0.3 THEN 'Low' WHEN {p} < 0.7 THEN 'Medium' ELSE 'High' END AS risk_level, "
+            f"CASE WHEN {p} >= 0.5 THEN 'Lung Cancer Detected' ELSE 'No Lung Cancer' END AS label")
+
+
+ORACLES["logistic_score"] = f"SELECT row_id, {_r('risk_probability')} AS risk_probability FROM {survey_sql()}"
+ORACLES["risk_level"] = f"SELECT row_id, {_score_cols('score')} FROM {_SCORED_SURVEY}"
+ORACLES["score_batch"] = f"WITH {_PROC} SELECT row_id, {_score_cols(_PROB)} FROM p"
+ORACLES["stream_score"] = ORACLES["score_batch"]
+_PHI = f"WITH {_PROC}, u AS (" + " UNION ALL ".join(
+    f"SELECT row_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, "
+    f"{_f(w)} * (CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) AS phi FROM p" for c, w in _W.items()
+) + ")"
+ORACLES["shap_linear"] = f"{_PHI} SELECT row_id, feature, {_r('value')} AS value, {_r('phi')} AS phi FROM u"
+ORACLES["shap_distribution"] = ORACLES["shap_linear"]
+ORACLES["shap_global_topk"] = (
+    f"{_PHI} SELECT feature, {_r('avg(abs(phi))')} AS importance FROM u GROUP BY feature "
+    f"ORDER BY avg(abs(phi)) DESC, feature LIMIT 15"
+)
+_BASE = f"({_f(_B0)}" + "".join(f" + {_f(w)} * (SELECT avg(CAST({c} AS DOUBLE)) FROM p)" for c, w in _W.items()) + ")"
+ORACLES["shap_waterfall"] = (
+    f"{_PHI} SELECT row_id, feature, {_r('value')} AS value, {_r('phi')} AS phi, "
+    f"{_r(f'{_BASE} + sum(phi) OVER (ORDER BY abs(phi) DESC, feature ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS running_total, "
+    f"CAST(row_number() OVER (ORDER BY abs(phi) DESC, feature) AS INTEGER) AS \"order\" "
+    f"FROM u WHERE row_id = (SELECT min(row_id) FROM p)"
+)
+ORACLES["stream_append"] = (
+    f"SELECT * FROM events WHERE len({_errors_sql(_rules_events)}) = 0"
+)

@@ -309,7 +309,7 @@ def q_build_features(spark, sf):
     """derived features + correlation drop on the processed survey,
     returned long as (row_id, feature, value)."""
     df = processed_survey(spark, sf)
-    out, _ = feat.build_features(df.drop(SURVEY_TARGET), exclude=("row_id",))
+    out, _ = feat.build_features(df.drop(SURVEY_TARGET), exclude=("row_id",), null_free=True)
     cols = [c for c in out.columns if c != "row_id"]
     long = out.select("row_id", *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         ["row_id"], cols, "feature", "value")
@@ -426,3 +426,239 @@ def q_cv_metrics(spark, sf):
 def q_cv_summary(spark, sf):
     """Mean and population std of the fold metrics."""
     return rounded(mt.cv_summary(mt.cv_metrics(_survey_folds(spark, sf))))
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks
+# ---------------------------------------------------------------------------
+
+from ..operators import explain as xp  # noqa: E402
+from ..operators import models as md  # noqa: E402
+from ..sources import files  # noqa: E402
+from ..sources import registry as reg  # noqa: E402
+from . import jobs  # noqa: E402
+
+
+@query("scan_csv")
+def q_scan_csv(spark, sf):
+    """S1 + K1: customer written as CSV with a header, read back by header name."""
+    c = table(spark, sf, "customer")
+    path = files.save_csv(c, scratch_path(spark, "csv"))
+    return files.load_csv(spark, path, c.schema)
+
+
+@query("json_records_scan")
+def q_json_records_scan(spark, sf):
+    """JSON text parsed with a declared schema."""
+    ev = table(spark, sf, "events").select("event_id", "props")
+    return files.parse_json_column(ev, "props", "k BIGINT").select("event_id", "k")
+
+
+@query("append_records")
+def q_append_records(spark, sf):
+    """K3 + U1 + S4: suppliers appended to customers; the missing segment is NULL."""
+    base = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"),
+        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+    new = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"),
+        F.col("s_acctbal").alias("acctbal"))
+    path = scratch_path(spark, "append")
+    base.write.mode("overwrite").parquet(path)
+    files.append_records(path, new)
+    return files.read_appended(spark, path).select("key", "name", "nationkey", "acctbal", "segment")
+
+
+@query("next_version")
+def q_next_version(spark, sf):
+    """A12 + K6: next version = max parsed number + 1 (unparsable names skipped)."""
+    return reg.next_version(table(spark, sf, "customer"), "c_name", "Customer#")
+
+
+@query("project_reorder")
+def q_project_reorder(spark, sf):
+    """A fixed column order."""
+    return table(spark, sf, "customer").select("c_mktsegment", "c_acctbal", "c_name", "c_custkey", "c_nationkey")
+
+
+@query("fill_missing_columns")
+def q_fill_missing_columns(spark, sf):
+    """Absent required columns added with 0."""
+    c = table(spark, sf, "customer")
+    return synth.fill_missing_columns(c, [*c.columns, "c_phone", "c_comment"])
+
+
+@query("first_row")
+def q_first_row(spark, sf):
+    """L1: the first row by key."""
+    return table(spark, sf, "orders").orderBy("o_orderkey").limit(1)
+
+
+# ---------------------------------------------------------------------------
+# Scoring with a fixed linear bundle, and its exact Shapley values
+# ---------------------------------------------------------------------------
+
+# A serving bundle's linear model over processed survey features.
+FIXED_LINEAR = md.LinearModel(intercept=-1.0, weights={
+    "pack_years": 1.2, "family_history_cancer": 0.9, "occupational_exposure": 0.7,
+    "air_pollution_index": 0.3, "xray_abnormal": 0.6, "copd": 0.5,
+})
+
+
+def fixed_bundle(raw):
+    params = pp.Preprocessor(SURVEY_SPEC).fit(raw)
+    return jobs.Bundle(SURVEY_SPEC, params, [], list(FIXED_LINEAR.weights), FIXED_LINEAR)
+
+
+@query("logistic_score")
+def q_logistic_score(spark, sf):
+    """The generator's logistic risk probability per survey row."""
+    s = synth.generate_survey(table(spark, sf, "orders"), "o_orderkey", keep_probability=True)
+    return rounded(s.select("row_id", "risk_probability"))
+
+
+@query("risk_level")
+def q_risk_level(spark, sf):
+    """Risk band, 4-place probability and label text from a probability."""
+    s = inputs.scored_survey(spark, sf)
+    cols = md.score_columns(F.col("score"))
+    return rounded(s.select("row_id", *[v.alias(k) for k, v in cols.items()]))
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    """M7: validate -> encode -> remap -> impute -> cap -> scale -> features -> model -> risk."""
+    raw = inputs.raw_survey(spark, sf)
+    scored, _ = jobs.score(raw, fixed_bundle(raw))
+    return rounded(scored)
+
+
+def _processed_for_shap(spark, sf):
+    raw = inputs.raw_survey(spark, sf)
+    return jobs.prepare(raw, fixed_bundle(raw))
+
+
+@query("shap_linear")
+def q_shap_linear(spark, sf):
+    """X1(a): exact linear Shapley values on the log-odds, long form."""
+    return rounded(xp.shap_linear(_processed_for_shap(spark, sf), FIXED_LINEAR, "row_id"))
+
+
+@query("shap_global_topk")
+def q_shap_global_topk(spark, sf):
+    """X2 + L3: mean |phi| per feature, top 15."""
+    return rounded(xp.global_importance(xp.shap_linear(_processed_for_shap(spark, sf), FIXED_LINEAR, "row_id")))
+
+
+@query("shap_distribution")
+def q_shap_distribution(spark, sf):
+    """(row, feature, value, phi) of the top features."""
+    return rounded(xp.distribution(xp.shap_linear(_processed_for_shap(spark, sf), FIXED_LINEAR, "row_id")))
+
+
+@query("shap_waterfall")
+def q_shap_waterfall(spark, sf):
+    """The first row's contributions by |phi| with the running total from the base value."""
+    df = _processed_for_shap(spark, sf)
+    phi = xp.shap_linear(df, FIXED_LINEAR, "row_id")
+    first = df.agg(F.min("row_id")).first()[0]
+    means = df.agg(*[F.avg(c).alias(c) for c in FIXED_LINEAR.weights]).first()
+    base = FIXED_LINEAR.intercept + sum(w * means[c] for c, w in FIXED_LINEAR.weights.items())
+    return rounded(xp.waterfall(phi, "row_id", first, base))
+
+
+# ---------------------------------------------------------------------------
+# Learned models (property checks; no SQL oracle)
+# ---------------------------------------------------------------------------
+
+def _model_data(spark, sf):
+    """Training and test parts of the processed survey, with folds and balanced weights."""
+    raw = inputs.raw_survey(spark, sf)
+    enc = pp.encode(raw, SURVEY_SPEC)
+    split = smp.stratified_split(enc.select("row_id", SURVEY_TARGET), SURVEY_TARGET, "row_id")
+    split = split.persist()  # read by every fit pass and by both parts
+    train_raw = raw.join(split.where(F.col("split") == "train").select("row_id"), "row_id", "left_semi").persist()
+    test_raw = raw.join(split.where(F.col("split") == "test").select("row_id"), "row_id", "left_semi")
+    bundle, built = jobs.fit_bundle(train_raw, SURVEY_SPEC)
+    train = built.withColumn("label", F.col(SURVEY_TARGET).cast("double"))
+    train = smp.with_class_weights(smp.stratified_folds(train, "label", "row_id"), "label").persist()
+    test = jobs.prepare(test_raw, bundle).withColumn("label", F.col(SURVEY_TARGET).cast("double"))
+    return bundle, train, test
+
+
+def _fit_score(spark, sf, family):
+    bundle, train, test = _model_data(spark, sf)
+    setting = smp.draw_settings(md.GRIDS[family], 1)[0] if family != "logistic_regression" else {"C": 1.0}
+    model = md.fit(train, bundle.features, family, setting)
+    out = md.predict(model, test, keep=("row_id", "label"))
+    return rounded(out)
+
+
+@query("lr_fit_score")
+def q_lr_fit_score(spark, sf):
+    """M1 + M6: balanced L2 logistic regression fitted on the training split, test rows scored."""
+    return _fit_score(spark, sf, "logistic_regression")
+
+
+@query("rf_fit_score")
+def q_rf_fit_score(spark, sf):
+    """M2: balanced random forest (first drawn setting), test rows scored."""
+    return _fit_score(spark, sf, "random_forest")
+
+
+@query("gbt_fit_score")
+def q_gbt_fit_score(spark, sf):
+    """M3: gradient-boosted trees (first drawn setting), test rows scored."""
+    return _fit_score(spark, sf, "gradient_boosting")
+
+
+@query("tune_recall")
+def q_tune_recall(spark, sf):
+    """M4 + M5: random search of the logistic grid over stratified folds by recall; best first."""
+    bundle, train, _ = _model_data(spark, sf)
+    _, results = md.tune(train, bundle.features, "logistic_regression", 20)
+    best = md.select_best(results).withColumn("best", F.lit(True))
+    return rounded(results.join(best.select("setting", "best"), "setting", "left").fillna(False, ["best"]))
+
+
+@query("shap_sampled")
+def q_shap_sampled(spark, sf):
+    """X1(b): permutation-sampling Shapley values of a fitted logistic model on the test rows."""
+    bundle, train, test = _model_data(spark, sf)
+    model = md.fit(train, bundle.features, "logistic_regression", {"C": 1.0})
+    return rounded(xp.shap_sampled(test, model, bundle.features, "row_id", background=train, permutations=4))
+
+
+@query("report_json")
+def q_report_json(spark, sf):
+    """K9 + C3: every evaluation table of a scored table as one JSON document each."""
+    return jobs.report_json(jobs.evaluate(inputs.scored_survey(spark, sf)))
+
+
+# ---------------------------------------------------------------------------
+# Streaming
+# ---------------------------------------------------------------------------
+
+from ..operators import validate as _val  # noqa: E402,F811
+from ..streaming import jobs as sj  # noqa: E402
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """ST1: raw survey records arriving as files, scored by a file stream (availableNow)."""
+    raw = inputs.raw_survey(spark, sf)
+    src = scratch_path(spark, "stream-src")
+    raw.write.mode("overwrite").parquet(src)
+    batch_raw = spark.read.parquet(src)
+    out, _ = sj.stream_score(spark, src, batch_raw.schema, fixed_bundle(batch_raw))
+    return rounded(spark.read.parquet(out))
+
+
+@query("stream_append")
+def q_stream_append(spark, sf):
+    """ST2: event records appended by a stream; rule breakers quarantined."""
+    ev = table(spark, sf, "events")
+    src = scratch_path(spark, "events-src")  # records land as files in a folder
+    ev.write.mode("overwrite").parquet(src)
+    out, _ = sj.stream_append(spark, src, ev.schema, EVENT_RULES)
+    return spark.read.parquet(out)

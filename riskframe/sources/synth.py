@@ -45,6 +45,15 @@ UNIFORM_REAL_RANGES = {"pack_years": (0, 60), "air_pollution_index": (10, 100),
 UNIFORM_TARGET_P = 0.3
 
 
+def _spread(keys: DataFrame, id_name: str) -> DataFrame:
+    """Generation is CPU-bound (one md5 per cell): when the key source has
+    fewer partitions than the cluster has cores, hash-spread the keys (only
+    the key column moves). Output never depends on the partitioning."""
+    n = keys.rdd.getNumPartitions()
+    par = keys.sparkSession.sparkContext.defaultParallelism
+    return keys.repartition(par, id_name) if n < par else keys
+
+
 def _randint(seed: int, name: str, key: Column, lo, hi) -> Column:
     lo_c = lo if isinstance(lo, Column) else F.lit(lo)
     hi_c = hi if isinstance(hi, Column) else F.lit(hi)
@@ -69,7 +78,7 @@ def generate_survey(keys: DataFrame, key_col: str, seed: int = RANDOM_SEED, id_n
     pack-years and the target is Bernoulli(logistic(weighted score)).
     """
     k = F.col(key_col)
-    base = keys.select(k.alias(id_name))
+    base = _spread(keys.select(k.alias(id_name)), id_name)
     key = F.col(id_name)
     s1 = {c: _randint(seed, c, key, lo, hi) for c, (lo, hi) in INT_RANGES.items()}
     s1["smoker"] = _flag(seed, "smoker", key, FLAG_P["smoker"])
@@ -105,7 +114,7 @@ def generate_survey(keys: DataFrame, key_col: str, seed: int = RANDOM_SEED, id_n
 
 def generate_survey_uniform(keys: DataFrame, key_col: str, seed: int = RANDOM_SEED, id_name: str = "row_id") -> DataFrame:
     """Same columns, independent uniform draws (the mock-source profile)."""
-    base = keys.select(F.col(key_col).alias(id_name))
+    base = _spread(keys.select(F.col(key_col).alias(id_name)), id_name)
     key = F.col(id_name)
     cols = {}
     for c, (lo, hi) in UNIFORM_INT_RANGES.items():

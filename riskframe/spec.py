@@ -152,11 +152,12 @@ def scoring_rules(spec: TableSpec = SURVEY_SPEC) -> tuple[Rule, ...]:
     """Row rules applied before scoring a survey record.
 
     Fixed values: gender in {M, F, 0, 1}; 0 <= age <= 120; binary in {0, 1, 2}.
+    Presence of every feature column is a schema check; NULL cells are
+    imputed with the learned fill values, so they break no rule here.
     """
-    rules: list[Rule] = [Rule(c, "required", code=f"missing:{c}") for c in spec.features]
+    rules: list[Rule] = []
     if spec.gender:
-        rules.append(Rule(spec.gender, "in", allowed=("M", "F", "0", "1"), upper=False,
-                          code=f"invalid:{spec.gender}"))
+        rules.append(Rule(spec.gender, "in", allowed=("M", "F", "0", "1"), code=f"invalid:{spec.gender}"))
     if "age" in spec.numeric:
         rules.append(Rule("age", "range", lo=0, hi=120, code="invalid:age"))
     for c in spec.binary:
