@@ -555,3 +555,16 @@ ORACLES["shap_waterfall"] = (
 ORACLES["stream_append"] = (
     f"SELECT * FROM events WHERE len({_errors_sql(_rules_events)}) = 0"
 )
+
+# --- oversampling ------------------------------------------------------------------------
+
+ORACLES["smote_knn"] = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.vec_id, a.label, b.vec_id AS nn_id, list_distance(a.v, b.v) AS distance
+      FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY distance, nn_id) AS nn_rank FROM p)
+SELECT vec_id, label, nn_id, CAST(nn_rank AS INTEGER) AS nn_rank, round(distance, 6) + 0.0 AS distance FROM r WHERE nn_rank <= 5"""
+ORACLES["smote_balance"] = """
+WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)
+SELECT label, CAST(n AS BIGINT) AS n_original, CAST(max(n) OVER () - n AS BIGINT) AS n_synthetic,
+       CAST(max(n) OVER () AS BIGINT) AS n_total FROM c"""

@@ -662,3 +662,36 @@ def q_stream_append(spark, sf):
     ev.write.mode("overwrite").parquet(src)
     out, _ = sj.stream_append(spark, src, ev.schema, EVENT_RULES)
     return spark.read.parquet(out)
+
+
+# ---------------------------------------------------------------------------
+# Oversampling
+# ---------------------------------------------------------------------------
+
+from ..operators import smote as sm  # noqa: E402
+
+
+@query("smote_knn")
+def q_smote_knn(spark, sf):
+    """Exact 5 nearest neighbours of every embedding inside its class."""
+    e = table(spark, sf, "embeddings")
+    return rounded(sm.knn_within_class(e, "vec_id", "label", "embedding", k=5))
+
+
+@query("smote_balance")
+def q_smote_balance(spark, sf):
+    """Class counts after oversampling every class up to the largest."""
+    e = table(spark, sf, "embeddings")
+    out = sm.oversample(e, "vec_id", "label", "embedding", k=5)
+    return out.groupBy("label").agg(
+        F.count_if(~F.col("synthetic")).alias("n_original"), F.count_if(F.col("synthetic")).alias("n_synthetic"),
+        F.count(F.lit(1)).alias("n_total"))
+
+
+@query("smote_rows")
+def q_smote_rows(spark, sf):
+    """The synthetic embeddings with their base row, neighbour and gap."""
+    e = table(spark, sf, "embeddings")
+    out = sm.oversample(e, "vec_id", "label", "embedding", k=5).where(F.col("synthetic"))
+    return rounded(out.select("vec_id", "label", "base_id", "nn_id", "gap",
+                              F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding")))
