@@ -695,3 +695,18 @@ def q_smote_rows(spark, sf):
     out = sm.oversample(e, "vec_id", "label", "embedding", k=5).where(F.col("synthetic"))
     return rounded(out.select("vec_id", "label", "base_id", "nn_id", "gap",
                               F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding")))
+
+
+@query("registry_history")
+def q_registry_history(spark, sf):
+    """K6-K8 + K10 + L2: a logistic model trained on the survey saved twice under
+    versions 1 and 2, metadata appended, versions listed in numeric order."""
+    bundle, train, test = _model_data(spark, sf)
+    model = md.fit(train, bundle.features, "logistic_regression", {"C": 1.0})
+    scored = md.predict(model, test, keep=("row_id", "label")).withColumnRenamed("probability", "score")
+    auc = mt.roc_auc(scored).first()[0]
+    root = scratch_path(spark, "models")
+    n = train.count()
+    for _ in range(2):
+        reg.save_model(spark, root, model, "logistic_regression", n, {"roc_auc": auc, "best_model": "lr"})
+    return reg.list_versions(spark, root).select("version", "model_type", "n_rows", "metrics")

@@ -22,6 +22,8 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "risk
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # local mode: the driver JVM is the executor; only effective before the JVM starts
+        .config("spark.driver.memory", os.environ.get("RISKFRAME_DRIVER_MEMORY", "8g"))
     )
     if master:
         b = b.master(master)
