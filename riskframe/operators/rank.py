@@ -23,10 +23,20 @@ from ..functions.hashing import hash_bucket, hash_key
 BROADCAST_ROWS = 2_000_000
 
 
+def null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], broadcast: bool = True,
+                   how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL class is a class)."""
+    renamed = small.select(*[F.col(c).alias(f"__j_{c}") if c in keys else F.col(c) for c in small.columns])
+    right = F.broadcast(renamed) if broadcast else renamed
+    cond = None
+    for k in keys:
+        c = big[k].eqNullSafe(right[f"__j_{k}"])
+        cond = c if cond is None else cond & c
+    return big.join(right, cond, how).drop(*[f"__j_{k}" for k in keys])
+
+
 def _join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], small_rows: int) -> DataFrame:
-    if small_rows <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), list(keys))
-    return big.join(small, list(keys))
+    return null_safe_join(big, small, keys, broadcast=small_rows <= BROADCAST_ROWS)
 
 
 def hex_chars_for(n_rows: int, rows_per_bucket: int = 200_000) -> int:
@@ -96,7 +106,7 @@ def running_totals(
     wo = Window.partitionBy(*parts).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, b, *[F.coalesce(F.sum(f"__t{i}").over(wo), F.lit(0)).alias(f"__o{i}")
                                          for i in range(len(sum_cols))])
-    joined = bucketed.join(F.broadcast(offsets), [*parts, b]) if not parts else bucketed.join(offsets, [*parts, b])
+    joined = null_safe_join(bucketed, offsets, [*parts, b], broadcast=not parts)
     wi = Window.partitionBy(*parts, b).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     out = joined.withColumns({
         f"{prefix}{c}": F.sum(c).over(wi) + F.col(f"__o{i}") for i, c in enumerate(sum_cols)

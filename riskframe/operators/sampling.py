@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key
 from ..spec import CV_FOLDS, RANDOM_SEED, TEST_SIZE
-from .rank import hash_rank
+from .rank import hash_rank, null_safe_join
 
 
 def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
@@ -51,7 +51,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = TES
                        n_groups=len(counts))
     limits = df.sparkSession.createDataFrame(
         [(k, int(v)) for k, v in alloc.items()], f"{label} {df.schema[label].dataType.simpleString()}, __lim long")
-    out = ranked.join(F.broadcast(limits), label, "left")  # one row per class
+    out = null_safe_join(ranked, limits, [label], how="left")  # one row per class
     return out.withColumn(split_col, F.when(F.col("__r") <= F.col("__lim"), F.lit("test")).otherwise(F.lit("train"))) \
               .drop("__r", "__lim")
 
@@ -75,7 +75,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """Attach the balanced weight to each row (broadcast: one row per class)."""
     w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), label, "left")
+    return null_safe_join(df, w, [label], how="left")
 
 
 def background_sample(df: DataFrame, key: str, k: int, seed: int = RANDOM_SEED, stream: str = "background") -> DataFrame:

@@ -105,3 +105,10 @@ def test_class_weights_balanced(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "y int")
     w = {r.y: r.weight for r in smp.class_weights(df, "y").collect()}
     assert w == {0: 8 / (2 * 6), 1: 8 / (2 * 2)}
+
+
+def test_split_keeps_null_label_rows(spark):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(200)], "k long, y int")
+    out = smp.stratified_split(df, "y", "k")
+    assert out.count() == 200
+    assert out.where(F.col("y").isNull() & (F.col("split") == "test")).count() == 4
