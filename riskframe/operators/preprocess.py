@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import clip, encode_text
 from ..spec import IQR_FACTOR, TableSpec
-from .profile import exact_quantiles, mode_values
+from .profile import approx_quantiles, exact_quantiles, mode_values
 
 PARAM_SCHEMA = (
     "column string, role string, remap boolean, fill double, cap_lo double, cap_hi double, "
@@ -123,10 +123,20 @@ def remap_expr(col: str) -> Column:
 class Preprocessor:
     """Learns the values ``transform`` applies."""
 
-    def __init__(self, spec: TableSpec, iqr_factor: float = IQR_FACTOR, accuracy: int = 10_000):
+    def __init__(self, spec: TableSpec, iqr_factor: float = IQR_FACTOR, accuracy: int = 10_000, exact: bool = True):
+        """``exact=False`` takes medians and quartiles from one ``percentile_approx``
+        pass each (rank error <= n / accuracy) instead of the exact search."""
         self.spec = spec
         self.iqr_factor = iqr_factor
         self.accuracy = accuracy
+        self.exact = exact
+
+    def _quantiles(self, df, exprs, probs, extra_aggs=(), extra_out=None):
+        if self.exact:
+            return exact_quantiles(df, exprs, probs, self.accuracy, extra_aggs=extra_aggs, extra_out=extra_out)
+        if extra_aggs:
+            extra_out.update(df.agg(*extra_aggs).collect()[0].asDict())
+        return approx_quantiles(df, exprs, probs, self.accuracy)
 
     def fit(self, raw: DataFrame) -> PreprocessParams:
         spec = self.spec
@@ -136,34 +146,32 @@ class Preprocessor:
         categorical = [c for c in spec.categorical if c in df.columns and c not in binary and c not in numeric]
         params = PreprocessParams()
 
-        # Pass 1: which flags are coded 1/2 (no non-NULL value outside {1, 2}).
-        remap: dict[str, bool] = {}
-        if binary:
-            row = df.agg(*[
-                F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(1, 2)).alias(f"x{i}")
-                for i, c in enumerate(binary)
-            ]).collect()[0]
-            remap = {c: row[f"x{i}"] == 0 for i, c in enumerate(binary)}
-
-        # Pass 2: modes of flags / categories (mode commutes with the x-1 map).
+        # Which flags are coded 1/2 (no non-NULL value outside {1, 2}): counted in
+        # the first quantile pass. Modes commute with the x - 1 map, so they are
+        # taken on the encoded values and shifted afterwards.
+        remap_aggs = [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(1, 2)).alias(f"__x{i}")
+                      for i, c in enumerate(binary)]
+        extra: dict = {}
         fills: dict[str, float | None] = {}
+        if numeric:
+            med = self._quantiles(df, {c: F.col(c) for c in numeric}, [0.5], remap_aggs, extra)
+            for c in numeric:
+                fills[c] = med[c][0]
+        elif remap_aggs:
+            extra = df.agg(*remap_aggs).collect()[0].asDict()
+        remap = {c: extra[f"__x{i}"] == 0 for i, c in enumerate(binary)}
+
         mode_cols = binary + categorical
         if mode_cols:
             for r in mode_values(df, mode_cols).collect():  # one row per column
                 v = r["value"]
                 fills[r["column"]] = (v - 1.0 if remap.get(r["column"]) else v)
 
-        # Passes 3-4: medians of numerics (exact).
-        if numeric:
-            med = exact_quantiles(df, {c: F.col(c) for c in numeric}, [0.5], self.accuracy)
-            for c in numeric:
-                fills[c] = med[c][0]
-
-        # Passes 5-6: quartiles after imputation -> caps.
+        # Quartiles after imputation -> caps.
         imputed = {c: _fill(F.col(c), fills.get(c)) for c in numeric}
         caps: dict[str, tuple[float | None, float | None]] = {}
         if numeric:
-            qs = exact_quantiles(df, imputed, [0.25, 0.75], self.accuracy)
+            qs = self._quantiles(df, imputed, [0.25, 0.75])
             for c in numeric:
                 q1, q3 = qs[c]
                 if q1 is None or q3 is None:
@@ -172,7 +180,7 @@ class Preprocessor:
                     iqr = q3 - q1
                     caps[c] = (q1 - self.iqr_factor * iqr, q3 + self.iqr_factor * iqr)
 
-        # Pass 7: mean / population std after capping.
+        # Mean / population std after capping.
         stats: dict[str, tuple[float | None, float | None]] = {}
         if numeric:
             capped = {c: clip(imputed[c], *caps[c]) for c in numeric}

@@ -84,9 +84,13 @@ def exact_quantiles(
     probs: Sequence[float],
     accuracy: int = 10_000,
     max_candidates: int = 200_000,
+    extra_aggs: Sequence[Column] = (),
+    extra_out: dict | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) at any scale.
 
+    ``extra_aggs`` ride along in the first pass (their values go to ``extra_out``).
+
     1. one pass: count and a ``percentile_approx`` bracket around each wanted
        rank (rank error <= n / accuracy, so about 4 n / accuracy rows inside);
     2. one pass: rows below and inside every bracket. A bracket holding more
@@ -113,7 +117,9 @@ def exact_quantiles(
         e = exprs[n].cast("double")
         aggs.append(F.count(e).alias(f"n{i}"))
         aggs.append(F.percentile_approx(e, F.array(*[F.lit(b) for b in bracket_ps]), accuracy).alias(f"a{i}"))
-    row = df.agg(*aggs).collect()[0]
+    row = df.agg(*aggs, *extra_aggs).collect()[0]
+    if extra_out is not None:
+        extra_out.update(row.asDict())
 
     # targets: [col index, prob index, rank lo, rank hi, frac, L, U]
     targets = []
@@ -227,6 +233,18 @@ def _pick_in_brackets(df, exprs, names, ok):
     return out
 
 
+def approx_quantiles(df: DataFrame, exprs: dict[str, Column], probs: Sequence[float],
+                     accuracy: int = 10_000) -> dict[str, list[float | None]]:
+    """One pass, rank error <= n / accuracy (the large-data option)."""
+    names = list(exprs)
+    if not names:
+        return {}
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    row = df.agg(*[F.percentile_approx(exprs[n].cast("double"), arr, accuracy).alias(f"q{i}")
+                   for i, n in enumerate(names)]).collect()[0]
+    return {n: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs)) for i, n in enumerate(names)}
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
     """``(column, p, value)`` long table of exact quantiles."""
     q = exact_quantiles(df, {c: F.col(c) for c in cols}, probs, accuracy)

@@ -89,3 +89,16 @@ def test_single_row_scoring_keeps_learned_encoding(spark, survey):
     params = pp.Preprocessor(SURVEY_SPEC).fit(survey)
     one = survey.where(F.col("smoker") == 1).limit(1)
     assert pp.transform(one, SURVEY_SPEC, params).first()["smoker"] == 1
+
+
+def test_approximate_fit_close_to_exact(spark, survey):
+    from riskframe.spec import SURVEY_SPEC
+
+    exact = pp.Preprocessor(SURVEY_SPEC).fit(survey)
+    approx = pp.Preprocessor(SURVEY_SPEC, exact=False).fit(survey)
+    for c, p in exact.columns.items():
+        q = approx.columns[c]
+        assert p.remap == q.remap
+        if p.role == "numeric":
+            span = (p.cap_hi - p.cap_lo) or 1.0
+            assert abs(p.fill - q.fill) <= 0.05 * span
