@@ -41,9 +41,9 @@ def _join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], small_row
 
 def hex_chars_for(n_rows: int, rows_per_bucket: int = 200_000) -> int:
     """Hex prefix length so that a bucket holds about ``rows_per_bucket`` rows."""
-    if n_rows <= rows_per_bucket:
+    if n_rows <= rows_per_bucket * 16:
         return 1
-    return max(1, min(7, math.ceil(math.log(n_rows / rows_per_bucket, 16)) + 1))
+    return max(1, min(7, math.ceil(math.log(n_rows / rows_per_bucket, 16))))
 
 
 def hash_rank(
@@ -55,6 +55,7 @@ def hash_rank(
     rank_col: str = "rank",
     n_rows: int | None = None,
     n_groups: int = 64,
+    rows_per_bucket: int = 200_000,
 ) -> DataFrame:
     """1-based rank inside ``partition_cols`` ordered by ``md5(seed:stream:key)``, then key.
 
@@ -64,7 +65,7 @@ def hash_rank(
     b = "__b"
     if n_rows is None:
         n_rows = df.count()
-    chars = hex_chars_for(n_rows)
+    chars = hex_chars_for(n_rows, rows_per_bucket)
     keyed = df.withColumn(h, hash_key(seed, stream, key_col)).withColumn(b, hash_bucket(F.col(h), chars))
     counts = keyed.groupBy(*partition_cols, b).agg(F.count(F.lit(1)).alias("__n"))
     wo = Window.partitionBy(*partition_cols).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
@@ -81,8 +82,9 @@ def running_totals(
     sum_cols: Sequence[str],
     descending: bool = False,
     partition_cols: Sequence[str] = (),
-    buckets: int = 256,
+    buckets: int | None = None,
     prefix: str = "cum_",
+    rows_per_bucket: int = 500_000,
 ) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order inside
     ``partition_cols`` (ties must be pre-aggregated: one row per distinct
@@ -90,8 +92,12 @@ def running_totals(
 
     Buckets are value ranges from approximate quantiles of the order column
     (a list of ``buckets`` numbers on the driver), so each bucket holds about
-    1 / buckets of the rows whatever the distribution.
+    1 / buckets of the rows whatever the distribution. By default the bucket
+    count grows with the rows (about ``rows_per_bucket`` each, at least 256).
     """
+    if buckets is None:
+        n = df.count()
+        buckets = int(min(2_000_000, max(256, math.ceil(n / rows_per_bucket))))
     key = "__k"
     b = "__b"
     parts = list(partition_cols)

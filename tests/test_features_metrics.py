@@ -112,3 +112,16 @@ def test_split_keeps_null_label_rows(spark):
     out = smp.stratified_split(df, "y", "k")
     assert out.count() == 200
     assert out.where(F.col("y").isNull() & (F.col("split") == "test")).count() == 4
+
+
+def test_hash_rank_many_buckets_equals_window(spark):
+    from pyspark.sql import Window
+
+    from riskframe.functions.hashing import hash_key
+    from riskframe.operators.rank import hash_rank
+
+    df = spark.range(0, 5000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("y"))
+    ours = hash_rank(df, ["y"], "k", 42, "t", rank_col="r", rows_per_bucket=2)  # 3 hex chars
+    w = Window.partitionBy("y").orderBy(hash_key(42, "t", "k"), "k")
+    ref = df.withColumn("r", F.row_number().over(w).cast("bigint"))
+    assert sorted(ours.collect()) == sorted(ref.collect())
