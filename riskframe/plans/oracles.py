@@ -568,3 +568,15 @@ ORACLES["smote_balance"] = """
 WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)
 SELECT label, CAST(n AS BIGINT) AS n_original, CAST(max(n) OVER () - n AS BIGINT) AS n_synthetic,
        CAST(max(n) OVER () AS BIGINT) AS n_total FROM c"""
+
+ORACLES["evaluate_job"] = f"""
+WITH c AS (SELECT {_CONF} FROM {_SCORED_LI}),
+auc AS ({ORACLES['roc_auc']}),
+ap AS ({ORACLES['average_precision']}),
+sw AS MATERIALIZED {_sweep_metrics(_SCORED_LI, 10, 89)},
+best AS (SELECT threshold FROM sw WHERE recall >= 0.8 AND f1 > 0 ORDER BY f1 DESC, threshold ASC LIMIT 1)
+SELECT {_r(_ratio('tp + tn', 'tp + tn + fp + fn'))} AS accuracy, {_r(_ratio('tp', 'tp + fn'))} AS recall,
+       {_r(_ratio('tp', 'tp + fp'))} AS precision, {_r(_ratio('2 * tp', '2 * tp + fp + fn'))} AS f1,
+       (SELECT roc_auc FROM auc) AS roc_auc, (SELECT average_precision FROM ap) AS average_precision,
+       {_r("coalesce((SELECT threshold FROM best), 0.5)")} AS optimal_threshold
+FROM c"""

@@ -710,3 +710,16 @@ def q_registry_history(spark, sf):
     for _ in range(2):
         reg.save_model(spark, root, model, "logistic_regression", n, {"roc_auc": auc, "best_model": "lr"})
     return reg.list_versions(spark, root).select("version", "model_type", "n_rows", "metrics")
+
+
+@query("evaluate_job")
+def q_evaluate_job(spark, sf):
+    """The evaluation job's headline row (metrics at 0.5, AUC, AP, chosen threshold)."""
+    tables = jobs.evaluate(inputs.scored_lineitem(spark, sf))
+    extra = {
+        "roc_auc": tables["roc_auc"].first()[0],
+        "average_precision": tables["average_precision"].first()[0],
+        "optimal_threshold": tables["optimal_threshold"].first()["threshold"],
+    }
+    m = tables["metrics"].select("accuracy", "recall", "precision", "f1")
+    return rounded(m.withColumns({k: F.lit(v).cast("double") for k, v in extra.items()}))
