@@ -15,7 +15,8 @@ every other row of the class:
 
 Synthetic rows: class c needs ``n_major - n_c`` rows; row ``s`` of the class
 takes base row ``s mod n_c`` (hash order), neighbour ``hash mod k`` and gap
-``u ~ U(0,1)``: ``x + u (nn - x)``. All draws are hashes of (seed, class, s).
+``u ~ U(0,1)``: ``x + u (nn - x)``. All draws are hashes of (seed, class, s),
+and the rows come from an evenly partitioned index range.
 """
 
 from __future__ import annotations
@@ -91,44 +92,68 @@ def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int =
         .select(id_col, label, "nn_id", F.col("nn_rank").cast("int").alias("nn_rank"), "distance")
 
 
+# Minority rows joined by broadcast below this count, else by shuffle (AQE splits hot keys).
+BROADCAST_MINORITY_ROWS = 1_000_000
+SYNTHETIC_ROWS_PER_PARTITION = 1_000_000
+
+
 def oversample(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, seed: int = RANDOM_SEED) -> DataFrame:
     """Synthetic rows ``(id, label, vec, synthetic=True)`` that bring every class
-    below the largest one up to its count, unioned with the original rows."""
+    below the largest one up to its count, unioned with the original rows.
+
+    Synthetic row s (0 <= s < total need) is produced by an evenly partitioned
+    ``range``, not by exploding its base row, so a tiny class that needs many
+    rows does not load one task. Each minority row is packed with its k
+    neighbour vectors (bounded by k) and joined once on (class, rank).
+    """
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # per class
     n_major = max(counts.values())
     need = {c: n_major - n for c, n in counts.items() if n < n_major}
     base = df.select(id_col, label, F.col(vec).cast("array<double>").alias(vec))
+    orig = base.select(F.col(id_col).cast("string").alias(id_col), label, vec,
+                       F.lit(None).cast("string").alias("base_id"), F.lit(None).cast("string").alias("nn_id"),
+                       F.lit(None).cast("double").alias("gap"), F.lit(False).alias("synthetic"))
     if not need:
-        return base.withColumn("synthetic", F.lit(False))
+        return orig
+    spark = df.sparkSession
+    ltype = df.schema[label].dataType.simpleString()
     minority = base.where(F.col(label).isin(*need.keys()))
     nn = knn_within_class(minority, id_col, label, vec, k, seed=seed)
-    n_nn = nn.groupBy(id_col).agg(F.count(F.lit(1)).alias("n_nn"))
-    plan = minority.sparkSession.createDataFrame(
-        [(c, int(need[c]), int(counts[c])) for c in need], f"{label} {df.schema[label].dataType.simpleString()}, need long, n_c long")
+    nbr_vecs = nn.join(base.select(F.col(id_col).alias("nn_id"), F.col(vec).alias("__nv")), "nn_id") \
+        .groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("nn_rank", "nn_id", "__nv"))).alias("__nbrs"))  # <= k
     ranked = hash_rank(minority, [label], id_col, seed, "smote-base", rank_col="__r", n_groups=len(need))
-    ranked = ranked.join(F.broadcast(plan), label)  # one row per class
-    # row with rank r (1-based) seeds s = r-1, r-1+n_c, ... below need
-    per_row = F.floor((F.col("need") - F.col("__r")) / F.col("n_c")).cast("long") + 1
-    seeds = ranked.withColumn("__cnt", F.greatest(per_row, F.lit(0))).where(F.col("__cnt") > 0)
-    seeds = seeds.withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__cnt") - 1)))
-    seeds = seeds.withColumn("__s", F.col("__r") - 1 + F.col("__i") * F.col("n_c"))
+    packed = ranked.join(nbr_vecs, id_col)
+
+    # synthetic index space: class c owns [off_c, off_c + need_c)
+    classes = sorted(need, key=lambda c: (c is None, c))
+    offs, acc = [], 0
+    for c in classes:
+        offs.append((c, acc, int(need[c]), int(counts[c])))
+        acc += int(need[c])
+    total = acc
+    idx = spark.range(0, total, numPartitions=max(1, -(-total // SYNTHETIC_ROWS_PER_PARTITION)))
+    cls = None
+    for c, off, _, _ in reversed(offs):  # one branch per minority class
+        cls = F.when(F.col("id") >= F.lit(off), F.lit(c)) if cls is None else cls.when(F.col("id") >= F.lit(off), F.lit(c))
+    plan = spark.createDataFrame(offs, f"{label} {ltype}, __off long, __need long, __n_c long")
+    idx = idx.withColumn(label, cls.otherwise(F.lit(None)).cast(ltype))
+    idx = idx.join(F.broadcast(plan), label)  # one row per class
+    idx = idx.select(label, (F.col("id") - F.col("__off")).alias("__s"), "__n_c")
+    idx = idx.withColumn("__r", (F.col("__s") % F.col("__n_c")) + 1)
+    n_min = sum(counts[c] for c in need)
+    right = F.broadcast(packed) if n_min <= BROADCAST_MINORITY_ROWS else packed
+    joined = idx.join(right, [label, "__r"])
     skey = F.concat_ws(":", F.col(label).cast("string"), F.col("__s").cast("string"))
-    seeds = seeds.join(n_nn, id_col).withColumn(
-        "nn_rank", (F.conv(F.substring(hash_key(seed, "smote-nn", skey), 1, 8), 16, 10).cast("bigint") % F.col("n_nn") + 1).cast("int"))
-    seeds = seeds.withColumn("__g", uniform(seed, "smote-gap", skey))
-    pairs = seeds.join(nn.select(id_col, "nn_rank", "nn_id"), [id_col, "nn_rank"])
-    nv = base.select(F.col(id_col).alias("nn_id"), F.col(vec).alias("__nv"))
-    synth = pairs.join(nv, "nn_id").select(
-        F.concat_ws("-", F.lit("s"), F.col(label).cast("string"), F.col("__s").cast("string")).alias("__sid"),
+    pick = (F.conv(F.substring(hash_key(seed, "smote-nn", skey), 1, 8), 16, 10).cast("bigint") % F.size("__nbrs") + 1)
+    joined = joined.withColumn("__nb", F.element_at("__nbrs", pick.cast("int"))) \
+        .withColumn("__g", uniform(seed, "smote-gap", skey))
+    synth = joined.select(
+        F.concat_ws("-", F.lit("s"), F.col(label).cast("string"), F.col("__s").cast("string")).alias(id_col),
         label,
-        F.zip_with(F.col(vec), F.col("__nv"), lambda x, y: x + F.col("__g") * (y - x)).alias(vec),
-        F.col(id_col).alias("base_id"), F.col("nn_id"), F.col("__g").alias("gap"),
+        F.zip_with(F.col(vec), F.col("__nb.__nv"), lambda x, y: x + F.col("__g") * (y - x)).alias(vec),
+        F.col(id_col).cast("string").alias("base_id"), F.col("__nb.nn_id").cast("string").alias("nn_id"),
+        F.col("__g").alias("gap"), F.lit(True).alias("synthetic"),
     )
-    orig = base.select(F.col(id_col).cast("string").alias(id_col), label, vec, F.lit(None).cast("string").alias("base_id"),
-                       F.lit(None).cast("string").alias("nn_id"), F.lit(None).cast("double").alias("gap"),
-                       F.lit(False).alias("synthetic"))
-    synth = synth.select(F.col("__sid").alias(id_col), label, vec, F.col("base_id").cast("string"),
-                         F.col("nn_id").cast("string"), "gap", F.lit(True).alias("synthetic"))
     return orig.unionByName(synth)
 
 
