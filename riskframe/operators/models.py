@@ -6,7 +6,6 @@ the parameter settings and a table of fold results.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 from typing import Any, Mapping, Sequence
 
@@ -15,7 +14,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +24,9 @@ from .sampling import draw_settings
 
 # Spark trees accept depth <= 30; "no limit" maps to the largest.
 MAX_TREE_DEPTH = 30
+# Per-task memory for split statistics of one group of tree nodes (Spark's default
+# is 256 MB; with 8 task slots on a 1 GB driver that is more than the heap).
+TREE_STATS_MB = 16
 
 GRIDS = {"logistic_regression": LOGISTIC_GRID, "random_forest": FOREST_GRID, "gradient_boosting": BOOSTED_GRID}
 
@@ -48,13 +50,15 @@ def estimator(family: str, setting: Mapping[str, Any], n_weight: float | None =
         est = RandomForestClassifier(featuresCol=features, labelCol=label, seed=RANDOM_SEED,
                                      numTrees=int(setting.get("n_estimators", 100)),
                                      maxDepth=MAX_TREE_DEPTH if depth is None else int(depth),
-                                     minInstancesPerNode=int(setting.get("min_samples_leaf", 1)))
+                                     minInstancesPerNode=int(setting.get("min_samples_leaf", 1)),
+                                     maxMemoryInMB=TREE_STATS_MB)
     elif family == "gradient_boosting":
         est = GBTClassifier(featuresCol=features, labelCol=label, seed=RANDOM_SEED,
                             maxIter=int(setting.get("n_estimators", 100)), maxDepth=int(setting.get("max_depth", 3)),
                             stepSize=float(setting.get("learning_rate", 0.1)),
                             subsamplingRate=float(setting.get("subsample", 1.0)),
-                            featureSubsetStrategy=str(setting.get("colsample_bytree", "all")))
+                            featureSubsetStrategy=str(setting.get("colsample_bytree", "all")),
+                            maxMemoryInMB=TREE_STATS_MB)
     else:
         raise ValueError(f"unknown model family {family}")
     if weight:

@@ -111,11 +111,6 @@ def encode(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def remap_expr(col: str) -> Column:
-    """1/2 -> 0/1 (also 1 -> 0 when a column only holds 1)."""
-    return F.col(col) - F.lit(1)
-
-
 # ---------------------------------------------------------------------------
 # Fit
 # ---------------------------------------------------------------------------

@@ -11,11 +11,6 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-
-def _long_from_wide(spark, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema=schema)
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

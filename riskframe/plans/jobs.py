@@ -7,13 +7,11 @@ it and never re-learns anything from the rows it scores.
 
 from __future__ import annotations
 
-import json
 import time
 from dataclasses import dataclass, field
 from typing import Any, Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import explain as xp
@@ -24,7 +22,7 @@ from ..operators import preprocess as pp
 from ..operators import sampling as smp
 from ..operators import validate as val
 from ..sources import registry as reg
-from ..spec import (DEFAULT_THRESHOLD, MODEL_ORDER, RANDOM_SEED, SEARCH_DRAWS, TableSpec, scoring_rules)
+from ..spec import DEFAULT_THRESHOLD, MODEL_ORDER, SEARCH_DRAWS, TableSpec, scoring_rules
 
 
 @dataclass
