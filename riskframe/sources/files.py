@@ -14,24 +14,26 @@ class SourceError(ValueError):
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header. A missing path or an empty file raises.
 
-    With a schema, columns are matched by header name (``enforceSchema`` off,
-    so a reordered header is read by name or rejected, never by position) and
-    a malformed cell fails the read (``FAILFAST``) instead of becoming NULL.
+    With a schema, columns are taken by header name (a reordered header reads
+    right; a missing name raises) and cast to the declared types; with ANSI
+    on, a malformed cell fails the read instead of becoming NULL.
     """
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    else:
+    if schema is None:
         reader = reader.option("inferSchema", True)
     try:
         df = reader.csv(path)
     except Exception as e:  # noqa: BLE001 - path does not exist
         raise SourceError(f"Data file not found: {path}") from e
-    if not df.columns or (schema is None and len(df.columns) == 0):
+    if not df.columns:
         raise SourceError(f"Empty data file: {path}")
-    if schema is not None and df.limit(1).count() == 0:
-        raise SourceError(f"Empty data file: {path}")
-    return df
+    if schema is None:
+        return df
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    missing = [f.name for f in st.fields if f.name not in df.columns]
+    if missing:
+        raise SourceError(f"Missing required columns: {missing}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
 
 
 def save_csv(df: DataFrame, path: str) -> str:

@@ -29,15 +29,18 @@ def test_csv_round_trip_keeps_rows_and_order(spark, survey, tmp_path):
     assert tuple(back.columns) == SURVEY_COLUMNS
 
 
-def test_csv_header_in_other_order_is_not_read_by_position(spark, tmp_path):
+def test_csv_header_in_other_order_is_read_by_name(spark, tmp_path):
     p = tmp_path / "h.csv"
     p.write_text("b,a\n1,2\n")
-    try:
-        df = load_csv(spark, str(p), "a int, b int")
-        row = df.select("a", "b").first()
-        assert (row["a"], row["b"]) == (2, 1)
-    except Exception:
-        pass  # rejected is also acceptable: never silently swapped
+    row = load_csv(spark, str(p), "a int, b int").first()
+    assert (row["a"], row["b"]) == (2, 1)
+
+
+def test_csv_bad_cell_fails(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("a,b\n1,x\n")
+    with pytest.raises(Exception):
+        load_csv(spark, str(p), "a int, b int").collect()
 
 
 def test_missing_columns_error(spark):
