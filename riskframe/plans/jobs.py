@@ -7,6 +7,7 @@ it and never re-learns anything from the rows it scores.
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass, field
 from typing import Any, Sequence
@@ -111,11 +112,32 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     data.unpersist()
     raw_train.unpersist()
     if registry_root:
-        reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"],
-                       bundle.meta["n_rows"], {"cv_recall": best["recall"]})
+        version = reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"],
+                                 bundle.meta["n_rows"], {"cv_recall": best["recall"]})
+        save_bundle_state(raw.sparkSession, registry_root, version, bundle)
+        bundle.meta["version"] = version
     return bundle, table
 
 
+def save_bundle_state(spark, root: str, version: int, bundle: Bundle) -> None:
+    """Parameter table and bundle metadata next to the model of one version."""
+    bundle.params.save(spark, f"{root}/params/v={version}")
+    state = {"dropped": bundle.dropped, "features": bundle.features, "threshold": bundle.threshold}
+    spark.createDataFrame([(json.dumps(state),)], "json string").coalesce(1) \
+        .write.mode("overwrite").text(f"{root}/bundle/v={version}")
+
+
+def load_bundle(spark, root: str, spec: TableSpec, version: int | None = None) -> Bundle:
+    """Bundle of a registered version (the latest when not given)."""
+    from pyspark.ml import PipelineModel
+
+    version = version or reg.latest_version(spark, root)
+    state = json.loads(spark.read.text(f"{root}/bundle/v={version}").first()[0])
+    params = pp.PreprocessParams.load(spark, f"{root}/params/v={version}")
+    model = PipelineModel.load(f"{root}/v={version}")
+    return Bundle(spec, params, state["dropped"], state["features"], model, state["threshold"], {"version": version})
+
+
 def evaluate(scored: DataFrame, label: str = "label", score_col: str = "score",
              threshold: float = DEFAULT_THRESHOLD) -> dict[str, DataFrame]:
     """Every evaluation table for one scored table."""

@@ -16,6 +16,9 @@ def test_train_select_register_and_score(spark, survey, tmp_path):
     assert reg.latest_version(spark, root) == 1
     scored, quarantined = jobs.score(survey, bundle)
     assert scored.count() == 300 and quarantined.count() == 0
+    loaded = jobs.load_bundle(spark, root, SURVEY_SPEC)
+    again, _ = jobs.score(survey, loaded)
+    assert sorted(again.collect()) == sorted(scored.collect())
     assert scored.where((F.col("probability") < 0) | (F.col("probability") > 1)).count() == 0
 
 
