@@ -18,9 +18,17 @@ from ..spec import CV_FOLDS, RANDOM_SEED, TEST_SIZE
 from .rank import hash_rank, null_safe_join
 
 
+# Per-class tables are collected and broadcast; a label with more classes than
+# this is not a class label (checked, not assumed).
+MAX_CLASSES = 100_000
+
+
 def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
-    """Rows per class (one row per class reaches the driver)."""
-    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Rows per class (one row per class reaches the driver; at most MAX_CLASSES)."""
+    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return {r[label]: r["n"] for r in rows}
 
 
 def allocate_test_counts(counts: Mapping[Any, int], test_size: float = TEST_SIZE) -> dict[Any, int]:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_key, uniform
 from ..spec import RANDOM_SEED
 from .rank import hash_rank
+from .sampling import class_counts
 
 
 def _direction(dim: int, seed: int) -> list[float]:
@@ -106,7 +107,7 @@ def oversample(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, see
     rows does not load one task. Each minority row is packed with its k
     neighbour vectors (bounded by k) and joined once on (class, rank).
     """
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # per class
+    counts = class_counts(df, label)  # one row per class, checked
     n_major = max(counts.values())
     need = {c: n_major - n for c, n in counts.items() if n < n_major}
     base = df.select(id_col, label, F.col(vec).cast("array<double>").alias(vec))
