@@ -22,6 +22,7 @@ from ..operators import models as md
 from ..operators import preprocess as pp
 from ..operators import sampling as smp
 from ..operators import validate as val
+from ..session import cut_lineage
 from ..sources import registry as reg
 from ..spec import DEFAULT_THRESHOLD, MODEL_ORDER, SEARCH_DRAWS, TableSpec, scoring_rules
 
@@ -88,7 +89,9 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     data = smp.stratified_folds(data, "label", spec.id_col)
     if use_weights:
         data = smp.with_class_weights(data, "label")
-    data = data.persist()
+    # every fold of every setting re-reads this table: write it once to the shared
+    # checkpoint folder so a lost executor does not replay the preprocessing chain
+    data = cut_lineage(data)
     results = []
     best_models = {}
     for fam in families:
@@ -109,7 +112,6 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     bundle.model = best_models[best["family"]]
     bundle.meta.update({"family": best["family"], "setting": best["setting"], "cv_recall": best["recall"],
                         "n_rows": data.count()})
-    data.unpersist()
     raw_train.unpersist()
     if registry_root:
         version = reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"],
