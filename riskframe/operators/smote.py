@@ -5,13 +5,15 @@ every other row of the class:
 
 1. every vector is projected on one fixed unit direction ``r``; for any two
    points ``|proj_a - proj_b| <= ||a - b||``;
-2. the projection is cut into cells holding about ``cell_rows`` points; a
-   point's own and adjacent cells give ``k`` candidates, hence an upper
-   bound ``rho`` on its k-th neighbour distance;
-3. only cells within ``proj +- rho`` can hold a true neighbour: those cells
-   are joined (an equi-join on (class, cell)), filtered by the projection
-   gap and ranked by exact distance; the top ``k`` are kept per point with
-   a window limit.
+2. the projection is cut into cells, and each cell's points are packed into
+   arrays of about ``cell_rows`` (dense cells are split by id hash). A
+   point's own pack and one pack of each adjacent cell give up to ``k``
+   candidates, hence an upper bound ``rho`` on its k-th neighbour distance;
+3. only cells within ``proj +- rho`` can hold a true neighbour. Those cells,
+   packed as arrays of about ``cell_rows`` points, are joined on (class,
+   cell); each (point, pack) row computes its distances with higher-order
+   functions and keeps its own k best, and a window limit keeps the top k
+   per point. No row per point pair is ever produced.
 
 Synthetic rows: class c needs ``n_major - n_c`` rows; row ``s`` of the class
 takes base row ``s mod n_c`` (hash order), neighbour ``hash mod k`` and gap
@@ -52,9 +54,10 @@ def _dist(a: Column, b: Column) -> Column:
 
 
 def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, cell_rows: int = 64,
-                     seed: int = RANDOM_SEED) -> DataFrame:
+                     seed: int = RANDOM_SEED, candidates: bool = False):
     """Exact ``(id, label, nn_id, nn_rank, distance)``: the k nearest other rows
-    of the same class (Euclidean; ties by neighbour id)."""
+    of the same class (Euclidean; ties by neighbour id). With ``candidates``
+    the stage-2 pair table is returned too (to measure the pruning)."""
     dim = df.select(F.size(vec)).first()[0]
     r = _direction(dim, seed)
     rv = F.array(*[F.lit(x) for x in r])
@@ -65,32 +68,53 @@ def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int =
     ext = ext.withColumn("w", F.greatest((F.col("pmax") - F.col("pmin")) / F.greatest(F.ceil(F.col("n") / cell_rows), F.lit(1)),
                                          F.lit(1e-12)))
     pts = pts.join(F.broadcast(ext.select(label, "pmin", "w", "pmax")), label)  # one row per class
-    pts = pts.withColumn("cell", F.floor((F.col("p") - F.col("pmin")) / F.col("w")).cast("long")).persist()
-    other = pts.select(F.col(id_col).alias("nn_id"), F.col(label), F.col("v").alias("nv"), F.col("p").alias("np"),
-                       F.col("cell"))
-
-    # stage 1: own and adjacent cells -> k-th distance bound (infinite when too few)
-    probe = pts.select(id_col, label, "v", F.explode(F.sequence(F.col("cell") - 1, F.col("cell") + 1)).alias("cell"))
-    c1 = probe.join(other, [label, "cell"]).where(F.col(id_col) != F.col("nn_id")) \
-        .select(id_col, _dist(F.col("v"), F.col("nv")).alias("d"))
+    pts = pts.withColumn("cell", F.floor((F.col("p") - F.col("pmin")) / F.col("w")).cast("long"))
+    # packs: the points of a cell as arrays of about cell_rows (a dense cell is
+    # split by id hash into several packs)
+    sizes = pts.groupBy(label, "cell").agg(F.count(F.lit(1)).alias("__cn"))  # one row per cell
+    pts = pts.join(sizes, [label, "cell"]).withColumn(
+        "__sub", F.pmod(F.xxhash64(F.col(id_col)), F.ceil(F.col("__cn") / F.lit(cell_rows)))).persist()
+    packs = pts.groupBy(label, "cell", "__sub").agg(F.collect_list(
+        F.struct(F.col(id_col).alias("j"), F.col("p").alias("pj"), F.col("v").alias("vj"))).alias("__m"))
+    me = F.col(id_col)
+
+    def best_in_pack(within: Column | None) -> Column:
+        scored = F.transform("__m", lambda m: F.struct(_dist(F.col("v"), m["vj"]).alias("distance"),
+                                                      m["j"].alias("nn_id"), m["pj"].alias("pj")))
+        keep = F.filter(scored, lambda x: (x["nn_id"] != me) & (within(x) if within is not None else F.lit(True)))
+        return F.slice(F.array_sort(keep), 1, k)  # sorted by (distance, nn_id)
+
+    # stage 1: own pack and the first pack of each adjacent cell -> any k
+    # candidates bound the k-th neighbour distance (infinite when fewer)
+    probe = pts.select(id_col, label, "v", F.explode(F.array(
+        F.struct(F.col("cell").alias("cell"), F.col("__sub").alias("__sub")),
+        F.struct((F.col("cell") - 1).alias("cell"), F.lit(0).cast("long").alias("__sub")),
+        F.struct((F.col("cell") + 1).alias("cell"), F.lit(0).cast("long").alias("__sub")),
+    )).alias("__c")).select(id_col, label, "v", "__c.cell", "__c.__sub")
+    c1 = probe.join(packs, [label, "cell", "__sub"]).select(id_col, F.explode(best_in_pack(None)).alias("x")) \
+        .select(id_col, F.col("x.distance").alias("d"))
     w1 = Window.partitionBy(id_col).orderBy("d")
     bound = c1.withColumn("rn", F.row_number().over(w1)).where(F.col("rn") <= k) \
         .groupBy(id_col).agg(F.max("d").alias("rho"), F.count(F.lit(1)).alias("m"))
     pts2 = pts.join(bound, id_col, "left").withColumn(
         "rho", F.when(F.col("m") >= k, F.col("rho")).otherwise(F.lit(float("inf"))))
 
-    # stage 2: every cell within the projection band, exact distances, top k
+    # stage 2: every pack of every cell within the projection band; a point
+    # meets a pack in one row and keeps only that pack's k best, so rows are
+    # points x packs-in-band x k, never point pairs
     lo = F.when(F.col("rho") == float("inf"), F.lit(0)).otherwise(
         F.greatest(F.lit(0), F.floor((F.col("p") - F.col("rho") - F.col("pmin")) / F.col("w")).cast("long")))
     hi = F.when(F.col("rho") == float("inf"), F.floor((F.col("pmax") - F.col("pmin")) / F.col("w")).cast("long")).otherwise(
         F.floor((F.col("p") + F.col("rho") - F.col("pmin")) / F.col("w")).cast("long"))
     band = pts2.select(id_col, label, "v", "p", "rho", F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias("cell"))
-    c2 = band.join(other, [label, "cell"]).where(
-        (F.col(id_col) != F.col("nn_id")) & (F.abs(F.col("np") - F.col("p")) <= F.col("rho")))
-    c2 = c2.select(id_col, label, "nn_id", _dist(F.col("v"), F.col("nv")).alias("distance"))
+    met = band.join(packs, [label, "cell"])
+    p_i, rho = F.col("p"), F.col("rho")
+    c2 = met.select(id_col, label, F.explode(best_in_pack(lambda x: F.abs(x["pj"] - p_i) <= rho)).alias("x")).select(
+        id_col, label, F.col("x.nn_id").alias("nn_id"), F.col("x.distance").alias("distance"))
     w2 = Window.partitionBy(id_col).orderBy("distance", "nn_id")
-    return c2.withColumn("nn_rank", F.row_number().over(w2)).where(F.col("nn_rank") <= k) \
+    out = c2.withColumn("nn_rank", F.row_number().over(w2)).where(F.col("nn_rank") <= k) \
         .select(id_col, label, "nn_id", F.col("nn_rank").cast("int").alias("nn_rank"), "distance")
+    return (out, c2) if candidates else out
 
 
 # Minority rows joined by broadcast below this count, else by shuffle (AQE splits hot keys).
