@@ -102,3 +102,16 @@ def test_approximate_fit_close_to_exact(spark, survey):
         if p.role == "numeric":
             span = (p.cap_hi - p.cap_lo) or 1.0
             assert abs(p.fill - q.fill) <= 0.05 * span
+
+
+def test_nan_becomes_null_and_clip_keeps_null(spark):
+    spec = TableSpec(id_col=None, target=None, numeric=("x",))
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (3.0,), (2.0,)], "x double")
+    enc = pp.encode(df, spec)
+    assert enc.where(F.col("x").isNull()).count() == 2
+    params = pp.Preprocessor(spec).fit(df)
+    assert params.columns["x"].fill == 2.0
+    # quartiles after imputation: [1, 2, 2, 3, 2] -> Q1 = Q3 = 2, caps [2, 2]
+    assert (params.columns["x"].cap_lo, params.columns["x"].cap_hi) == (2.0, 2.0)
+    out = pp.transform(df, spec, params, impute=False, scale=False)
+    assert [r[0] for r in out.collect()] == [2.0, None, None, 2.0, 2.0]
