@@ -35,7 +35,7 @@ def estimator(family: str, setting: Mapping[str, Any], n_weight: float | None =
               features: str = "features", label: str = "label", weight: str | None = "weight"):
     """Spark ML estimator for one setting of a family's grid.
 
-    Logistic regression: sklearn's ``C`` multiplies the summed weighted loss;
+    Logistic regression: the grid's inverse strength ``C`` multiplies the summed weighted loss;
     Spark averages it, so ``regParam = 1 / (C * sum(weights))`` (sum = n with
     balanced weights). Forest: ``min_samples_split`` has no Spark parameter
     and is ignored. Boosting: per-node column sampling stands in for per-tree.
