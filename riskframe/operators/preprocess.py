@@ -20,7 +20,7 @@ from ..spec import IQR_FACTOR, TableSpec
 from .profile import approx_quantiles, exact_quantiles, mode_values
 
 PARAM_SCHEMA = (
-    "column string, role string, remap boolean, fill double, cap_lo double, cap_hi double, "
+    "column string, role string, remap boolean, fill double, fill_text string, cap_lo double, cap_hi double, "
     "mean double, std double"
 )
 
@@ -35,6 +35,7 @@ class ColumnParams:
     cap_hi: float | None = None
     mean: float | None = None
     std: float | None = None
+    fill_text: str | None = None  # mode of a text category
 
 
 @dataclass
@@ -43,7 +44,7 @@ class PreprocessParams:
 
     def to_rows(self) -> list[tuple]:
         return [
-            (p.column, p.role, p.remap, p.fill, p.cap_lo, p.cap_hi, p.mean, p.std)
+            (p.column, p.role, p.remap, p.fill, p.fill_text, p.cap_lo, p.cap_hi, p.mean, p.std)
             for p in self.columns.values()
         ]
 
@@ -55,7 +56,8 @@ class PreprocessParams:
         out = cls()
         for r in df.collect():  # one row per column: bounded by the schema width
             out.columns[r["column"]] = ColumnParams(
-                r["column"], r["role"], bool(r["remap"]), r["fill"], r["cap_lo"], r["cap_hi"], r["mean"], r["std"]
+                r["column"], r["role"], bool(r["remap"]), r["fill"], r["cap_lo"], r["cap_hi"], r["mean"], r["std"],
+                r["fill_text"],
             )
         return out
 
@@ -156,11 +158,20 @@ class Preprocessor:
             extra = df.agg(*remap_aggs).collect()[0].asDict()
         remap = {c: extra[f"__x{i}"] == 0 for i, c in enumerate(binary)}
 
-        mode_cols = binary + categorical
-        if mode_cols:
-            for r in mode_values(df, mode_cols).collect():  # one row per column
+        if binary:
+            for r in mode_values(df, binary).collect():  # one row per column
                 v = r["value"]
                 fills[r["column"]] = (v - 1.0 if remap.get(r["column"]) else v)
+        text_fills: dict[str, str | None] = {}
+        if categorical:
+            text_cols = [c for c in categorical if isinstance(df.schema[c].dataType, T.StringType)]
+            num_cols = [c for c in categorical if c not in text_cols]
+            if num_cols:
+                for r in mode_values(df, num_cols).collect():
+                    fills[r["column"]] = r["value"]
+            if text_cols:
+                for r in mode_values(df, text_cols, value_type="string").collect():
+                    text_fills[r["column"]] = r["value"]
 
         # Quartiles after imputation -> caps.
         imputed = {c: _fill(F.col(c), fills.get(c)) for c in numeric}
@@ -189,7 +200,7 @@ class Preprocessor:
         for c in binary:
             params.columns[c] = ColumnParams(c, "binary", remap=remap[c], fill=fills.get(c))
         for c in categorical:
-            params.columns[c] = ColumnParams(c, "categorical", fill=fills.get(c))
+            params.columns[c] = ColumnParams(c, "categorical", fill=fills.get(c), fill_text=text_fills.get(c))
         for c in numeric:
             lo, hi = caps[c]
             m, s = stats[c]
@@ -239,7 +250,12 @@ def transform(raw: DataFrame, spec: TableSpec, params: PreprocessParams, scale:
         if p.role == "binary":
             exprs[name] = binary_expr(p) if impute else (F.col(name) - F.lit(1) if p.remap else F.col(name)).cast("int")
         elif p.role == "categorical":
-            exprs[name] = _fill(F.col(name), p.fill) if impute else F.col(name)
+            if not impute:
+                exprs[name] = F.col(name)
+            elif p.fill_text is not None:
+                exprs[name] = F.coalesce(F.col(name), F.lit(p.fill_text))
+            else:
+                exprs[name] = _fill(F.col(name), p.fill)
         elif p.role == "numeric":
             exprs[name] = numeric_expr(p, impute=impute, cap=cap, scale=scale)
     out = df.withColumns(exprs) if exprs else df

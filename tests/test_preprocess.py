@@ -115,3 +115,14 @@ def test_nan_becomes_null_and_clip_keeps_null(spark):
     assert (params.columns["x"].cap_lo, params.columns["x"].cap_hi) == (2.0, 2.0)
     out = pp.transform(df, spec, params, impute=False, scale=False)
     assert [r[0] for r in out.collect()] == [2.0, None, None, 2.0, 2.0]
+
+
+def test_text_category_filled_with_mode(spark, tmp_path):
+    spec = TableSpec(id_col=None, target=None, numeric=("x",), categorical=("city",))
+    df = spark.createDataFrame([(1.0, "b"), (2.0, "a"), (3.0, None), (4.0, "b"), (5.0, "a"), (6.0, "a")],
+                               "x double, city string")
+    params = pp.Preprocessor(spec).fit(df)
+    assert params.columns["city"].fill_text == "a"
+    params.save(spark, str(tmp_path / "p"))
+    out = pp.transform(df, spec, pp.PreprocessParams.load(spark, str(tmp_path / "p")))
+    assert [r["city"] for r in out.collect()] == ["b", "a", "a", "b", "a", "a"]
