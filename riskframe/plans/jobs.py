@@ -80,6 +80,7 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     Returns the bundle and the table of tuning results.
     """
     enc_label = pp.encode(raw, spec).select(spec.id_col, F.col(spec.target).alias("__y"))
+    n_unlabelled = enc_label.agg(F.count_if(F.col("__y").isNull())).first()[0]
     labelled = raw.join(enc_label.where(F.col("__y").isNotNull()).select(spec.id_col), spec.id_col, "left_semi")
     split = smp.stratified_split(pp.encode(labelled, spec), spec.target, spec.id_col)
     train_ids = split.where(F.col("split") == "train").select(spec.id_col)
@@ -111,7 +112,7 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     best = md.select_best(table).first()
     bundle.model = best_models[best["family"]]
     bundle.meta.update({"family": best["family"], "setting": best["setting"], "cv_recall": best["recall"],
-                        "n_rows": data.count()})
+                        "n_rows": data.count(), "n_unlabelled": n_unlabelled})
     raw_train.unpersist()
     if registry_root:
         version = reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"],

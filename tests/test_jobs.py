@@ -27,4 +27,4 @@ def test_retrain_unions_appended_records(spark, survey):
     new = survey.where(F.col("row_id") > 200).drop("radon_exposure")
     bundle, results = jobs.retrain(base, new.withColumn("radon_exposure", F.lit(0)), SURVEY_SPEC,
                                    families=("logistic_regression",), n_iter=1, parallelism=1)
-    assert results.count() == 1 and bundle.meta["n_rows"] == 240
+    assert results.count() == 1 and bundle.meta["n_rows"] == 240 and bundle.meta["n_unlabelled"] == 0
