@@ -7,6 +7,10 @@
   them are scored in one ``transform``, and feature contributions are the
   differences of consecutive coalitions, averaged per (row, feature).
   Per row, phi sums to f(x) minus the mean of f over the paired backgrounds.
+  The background (at most 100 rows) is broadcast and everything else is
+  narrow, so a row's coalitions never leave its partition: the differences
+  are taken there (``mapInPandas``) and the expansion is never shuffled.
+  Row ids must be unique.
 
 The result is always a long table ``(row id, feature, value, phi)``.
 """
@@ -89,13 +93,43 @@ def shap_sampled(df: DataFrame, model: PipelineModel, features: Sequence[str], i
     pos = {c: F.array_position(F.col("__order"), F.lit(j)) - 1 for j, c in enumerate(feats)}
     mixed = coal.select(id_col, "__m", "__t", "__order",
                         *[F.when(pos[c] < F.col("__t"), F.col(c)).otherwise(F.col(f"__b_{c}")).alias(c) for c in feats])
-    scored = model.transform(mixed).select(id_col, "__m", "__t", "__order", positive_probability().alias("__f"))
-    w = Window.partitionBy(id_col, "__m").orderBy("__t")  # d + 1 rows per partition
-    steps = scored.withColumn("__delta", F.col("__f") - F.lag("__f").over(w)).where(F.col("__t") > 0)
-    steps = steps.withColumn("__j", F.element_at(F.col("__order"), F.col("__t")))
-    names = F.array(*[F.lit(c) for c in feats])
-    contrib = steps.select(id_col, F.element_at(names, F.col("__j") + 1).alias("feature"), "__delta")
-    phi = contrib.groupBy(id_col, "feature").agg(F.avg("__delta").alias("phi"))
-    values = rows.select(id_col, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"))
-                                                    for c in feats])))
-    return phi.join(values, [id_col, "feature"]).select(id_col, "feature", "value", "phi")
+    scored = model.transform(mixed).select(id_col, "__m", "__t", "__order", positive_probability().alias("__f"),
+                                           *feats)
+    # All (d + 1) x permutations coalitions of a row were generated and scored in
+    # the same partition (explode, broadcast join and transform are narrow), so
+    # differences and averages are taken there: no shuffle of the expansion.
+    id_type = df.schema[id_col].dataType.simpleString()
+    per_row = permutations * (d + 1)
+
+    def contributions(batches):
+        import numpy as np
+        import pandas as pd
+
+        carry = None
+        for pdf in batches:
+            if carry is not None and len(carry):
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            sizes = pdf.groupby(id_col, sort=False)[id_col].transform("size")
+            done = pdf[sizes.to_numpy() >= per_row]
+            carry = pdf[sizes.to_numpy() < per_row]
+            if done.empty:
+                continue
+            done = done.sort_values([id_col, "__m", "__t"], kind="stable")
+            ids, inv = np.unique(done[id_col].to_numpy(), return_inverse=True)
+            t = done["__t"].to_numpy()
+            f = done["__f"].to_numpy()
+            order = np.stack(done["__order"].to_numpy()).astype(int)
+            step = np.flatnonzero(t > 0)  # each has its t - 1 coalition just before it
+            feat_idx = order[step, t[step] - 1]  # the feature added at position t
+            phi = np.zeros((len(ids), d))
+            np.add.at(phi, (inv[step], feat_idx), f[step] - f[step - 1])
+            full = done[t == d].drop_duplicates(id_col).set_index(id_col).loc[ids]
+            vals = full[feats].to_numpy(dtype=float)
+            yield pd.DataFrame({
+                id_col: np.repeat(ids, d), "feature": np.tile(np.asarray(feats, dtype=object), len(ids)),
+                "value": vals.reshape(-1), "phi": (phi / permutations).reshape(-1),
+            })
+        if carry is not None and len(carry):
+            raise RuntimeError("sampled Shapley: incomplete coalition groups in a partition")
+
+    return scored.mapInPandas(contributions, f"{id_col} {id_type}, feature string, value double, phi double")
