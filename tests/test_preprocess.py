@@ -126,3 +126,15 @@ def test_text_category_filled_with_mode(spark, tmp_path):
     params.save(spark, str(tmp_path / "p"))
     out = pp.transform(df, spec, pp.PreprocessParams.load(spark, str(tmp_path / "p")))
     assert [r["city"] for r in out.collect()] == ["b", "a", "a", "b", "a", "a"]
+
+
+def test_all_null_columns_pass_through(spark):
+    spec = TableSpec(id_col="id", target="y", binary=("f",), numeric=("x", "z"))
+    df = spark.createDataFrame([(i, None, None, float(i), i % 2) for i in range(10)],
+                               "id int, f int, x double, z double, y int")
+    params = pp.Preprocessor(spec).fit(df)
+    assert params.columns["x"].fill is None and params.columns["x"].mean is None
+    assert params.columns["f"].fill is None and params.columns["f"].remap is True
+    out = pp.transform(df, spec, params).collect()
+    assert all(r["x"] is None and r["f"] is None for r in out)
+    assert abs(sum(r["z"] for r in out)) < 1e-9

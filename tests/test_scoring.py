@@ -58,3 +58,19 @@ def test_linear_shap_identity(spark, survey):
     base = data.agg(F.avg(model.margin())).first()[0]
     got = phi.groupBy("row_id").agg(F.sum("phi").alias("s")).join(data.select("row_id", model.margin().alias("m")), "row_id")
     assert got.where(F.abs(F.col("s") - (F.col("m") - F.lit(base))) > 1e-9).count() == 0
+
+
+def test_stream_score_equals_batch(spark, survey, tmp_path):
+    from riskframe.operators import preprocess as pp
+    from riskframe.streaming.jobs import stream_score
+
+    raw = survey.withColumn("gender", F.when(F.col("gender") == 1, F.lit("M")).otherwise(F.lit("F")))
+    src = str(tmp_path / "src")
+    raw.write.parquet(src)
+    batch_raw = spark.read.parquet(src)
+    params = pp.Preprocessor(SURVEY_SPEC).fit(batch_raw)
+    bundle = jobs.Bundle(SURVEY_SPEC, params, [], ["pack_years", "copd"], md.LinearModel(-1.0, {"pack_years": 1.0, "copd": 0.5}))
+    out, quar = stream_score(spark, src, batch_raw.schema, bundle, str(tmp_path / "out"), str(tmp_path / "q"))
+    batch, _ = jobs.score(batch_raw, bundle)
+    assert sorted(spark.read.parquet(out).collect()) == sorted(batch.collect())
+    assert spark.read.parquet(quar).count() == 0
