@@ -125,3 +125,28 @@ def test_hash_rank_many_buckets_equals_window(spark):
     w = Window.partitionBy("y").orderBy(hash_key(42, "t", "k"), "k")
     ref = df.withColumn("r", F.row_number().over(w).cast("bigint"))
     assert sorted(ours.collect()) == sorted(ref.collect())
+
+
+def test_classification_report_multiclass(spark):
+    pairs = [(0, 0), (0, 1), (1, 1), (1, 1), (2, 0), (2, 2), (2, 2), (2, 2)]
+    df = spark.createDataFrame(pairs, "label int, prediction int")
+    rep = {r.label: r for r in mt.classification_report(df).collect()}
+    # class 2: tp 3, support 4, predicted 3
+    assert rep["2"].precision == 1.0 and rep["2"].recall == 0.75 and abs(rep["2"].f1 - 6 / 7) < 1e-12
+    assert rep["accuracy"].f1 == 6 / 8 and rep["accuracy"].support == 8
+    macro_p = (0.5 + 2 / 3 + 1.0) / 3
+    assert abs(rep["macro avg"].precision - macro_p) < 1e-12
+    weighted_r = (2 * 0.5 + 2 * 1.0 + 4 * 0.75) / 8
+    assert abs(rep["weighted avg"].recall - weighted_r) < 1e-12
+
+
+def test_domain_violation_sample_is_bounded(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(2, 100)], "x double")
+    r = val_domain(df)
+    assert r["n_bad"] == 98 and r["n_bad_distinct"] == 98 and len(r["bad_values"].split(",")) == 10
+
+
+def val_domain(df):
+    from riskframe.operators.validate import domain_violations
+
+    return domain_violations(df, ["x"]).first()
