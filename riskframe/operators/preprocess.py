@@ -145,43 +145,33 @@ class Preprocessor:
 
         # Which flags are coded 1/2 (no non-NULL value outside {1, 2}): counted in
         # the first quantile pass. Modes commute with the x - 1 map, so they are
-        # taken on the encoded values and shifted afterwards. The mode job does
-        # not depend on the medians: it is submitted from a second driver thread
-        # so both run on the cluster at once.
-        from concurrent.futures import ThreadPoolExecutor
-
-        def modes() -> tuple[dict, dict]:
-            num, text = {}, {}
-            if binary:
-                for r in mode_values(df, binary).collect():  # one row per column
-                    num[r["column"]] = r["value"]
-            if categorical:
-                text_cols = [c for c in categorical if isinstance(df.schema[c].dataType, T.StringType)]
-                num_cols = [c for c in categorical if c not in text_cols]
-                if num_cols:
-                    for r in mode_values(df, num_cols).collect():
-                        num[r["column"]] = r["value"]
-                if text_cols:
-                    for r in mode_values(df, text_cols, value_type="string").collect():
-                        text[r["column"]] = r["value"]
-            return num, text
-
+        # taken on the encoded values and shifted afterwards.
         remap_aggs = [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(1, 2)).alias(f"__x{i}")
                       for i, c in enumerate(binary)]
         extra: dict = {}
         fills: dict[str, float | None] = {}
-        with ThreadPoolExecutor(max_workers=1) as pool:
-            pending_modes = pool.submit(modes)
-            if numeric:
-                med = self._quantiles(df, {c: F.col(c) for c in numeric}, [0.5], remap_aggs, extra)
-                for c in numeric:
-                    fills[c] = med[c][0]
-            elif remap_aggs:
-                extra = df.agg(*remap_aggs).collect()[0].asDict()
-            mode_fills, text_fills = pending_modes.result()
+        if numeric:
+            med = self._quantiles(df, {c: F.col(c) for c in numeric}, [0.5], remap_aggs, extra)
+            for c in numeric:
+                fills[c] = med[c][0]
+        elif remap_aggs:
+            extra = df.agg(*remap_aggs).collect()[0].asDict()
         remap = {c: extra[f"__x{i}"] == 0 for i, c in enumerate(binary)}
-        for c, v in mode_fills.items():
-            fills[c] = v - 1.0 if remap.get(c) else v
+
+        if binary:
+            for r in mode_values(df, binary).collect():  # one row per column
+                v = r["value"]
+                fills[r["column"]] = (v - 1.0 if remap.get(r["column"]) else v)
+        text_fills: dict[str, str | None] = {}
+        if categorical:
+            text_cols = [c for c in categorical if isinstance(df.schema[c].dataType, T.StringType)]
+            num_cols = [c for c in categorical if c not in text_cols]
+            if num_cols:
+                for r in mode_values(df, num_cols).collect():
+                    fills[r["column"]] = r["value"]
+            if text_cols:
+                for r in mode_values(df, text_cols, value_type="string").collect():
+                    text_fills[r["column"]] = r["value"]
 
         # Quartiles after imputation -> caps.
         imputed = {c: _fill(F.col(c), fills.get(c)) for c in numeric}
