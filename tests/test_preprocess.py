@@ -138,3 +138,14 @@ def test_all_null_columns_pass_through(spark):
     out = pp.transform(df, spec, params).collect()
     assert all(r["x"] is None and r["f"] is None for r in out)
     assert abs(sum(r["z"] for r in out)) < 1e-9
+
+
+def test_exact_quantile_recovers_from_a_wrong_bracket(spark):
+    from riskframe.operators.profile import _rank_values
+
+    vals = [float(v) for v in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    # ranks 499 and 500 with a bracket that holds neither: restart, narrow, pick
+    target = [0, 0, 499, 500, 0.5, 900.0, 950.0]
+    out = _rank_values(df, {"x": F.col("x")}, ["x"], [target], accuracy=100, max_candidates=40)
+    assert out[(0, 0, 499)] == 499.0 and out[(0, 0, 500)] == 500.0
