@@ -150,3 +150,16 @@ def val_domain(df):
     from riskframe.operators.validate import domain_violations
 
     return domain_violations(df, ["x"]).first()
+
+
+def test_running_totals_many_buckets_equal_window(spark):
+    from pyspark.sql import Window
+
+    from riskframe.operators.rank import running_totals
+
+    df = spark.range(0, 4000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 4001).cast("double").alias("s"),
+                                     (F.col("id") % 5).alias("w"))
+    ours = running_totals(df, "s", ["w"], descending=True, partition_cols=["g"], buckets=50)
+    ref = df.withColumn("cum_w", F.sum("w").over(Window.partitionBy("g").orderBy(F.col("s").desc())
+                                                 .rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(ours.select("g", "s", "w", "cum_w").collect()) == sorted(ref.collect())
