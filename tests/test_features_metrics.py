@@ -163,3 +163,15 @@ def test_running_totals_many_buckets_equal_window(spark):
     ref = df.withColumn("cum_w", F.sum("w").over(Window.partitionBy("g").orderBy(F.col("s").desc())
                                                  .rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(ours.select("g", "s", "w", "cum_w").collect()) == sorted(ref.collect())
+
+
+def test_threshold_sweep_float_edges(spark):
+    scores = [0.1, 0.29, 0.3, 0.57, 0.58, 0.9, 0.0999999, 0.91, 0.5, 0.7]
+    rows = [(s, i % 2) for i, s in enumerate(scores)]
+    df = spark.createDataFrame(rows, "score double, label int")
+    got = {round(r.threshold, 2): r for r in mt.threshold_sweep(df).collect()}
+    P = sum(y for _, y in rows)
+    for i in range(10, 91):
+        t = i / 100.0
+        tp = sum(1 for s, y in rows if y == 1 and s >= t)
+        assert abs(got[round(t, 2)].recall - tp / P) < 1e-12, t
