@@ -175,3 +175,11 @@ def test_threshold_sweep_float_edges(spark):
         t = i / 100.0
         tp = sum(1 for s, y in rows if y == 1 and s >= t)
         assert abs(got[round(t, 2)].recall - tp / P) < 1e-12, t
+
+
+def test_optimal_threshold_fallback_and_lowest_tie(spark):
+    none_ok = spark.createDataFrame([(0.95, 1), (0.05, 1), (0.06, 1), (0.5, 0)], "score double, label int")
+    r = mt.optimal_threshold(none_ok).first()  # recall never reaches 0.8 in 0.10..0.89
+    assert r.threshold == 0.5
+    tie = spark.createDataFrame([(0.95, 1), (0.96, 1), (0.05, 0)], "score double, label int")
+    assert mt.optimal_threshold(tie).first().threshold == 0.1  # every threshold has f1 1.0: lowest wins
