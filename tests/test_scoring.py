@@ -74,3 +74,13 @@ def test_stream_score_equals_batch(spark, survey, tmp_path):
     batch, _ = jobs.score(batch_raw, bundle)
     assert sorted(spark.read.parquet(out).collect()) == sorted(batch.collect())
     assert spark.read.parquet(quar).count() == 0
+
+
+def test_rules_upper_case_set_and_text_range(spark):
+    from riskframe.spec import Rule
+
+    df = spark.createDataFrame([(1, "building", "5"), (2, "FARM", "x"), (3, None, "200")], "id int, seg string, age string")
+    rules = [Rule("seg", "in", allowed=("BUILDING", "MACHINERY"), upper=True, code="seg"),
+             Rule("age", "range", lo=0, hi=120, code="age")]
+    errs = {r.id: list(r.errors) for r in val.with_errors(df, rules).collect()}
+    assert errs == {1: [], 2: ["seg", "age"], 3: ["age"]}
