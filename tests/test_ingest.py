@@ -82,3 +82,17 @@ def test_uniform_profile(spark):
     assert df.count() == 100 and tuple(df.columns[1:]) == SURVEY_COLUMNS
     r = df.agg(F.min("age"), F.max("age"), F.max("bmi")).first()
     assert r[0] >= 20 and r[1] <= 84 and r[2] < 40
+
+
+def test_append_and_union_fill_missing_with_null(spark, tmp_path):
+    from riskframe.sources.files import append_records, read_appended, union_records
+
+    base = spark.createDataFrame([(1, "a", 2.0)], "k int, name string, v double")
+    new = spark.createDataFrame([(2, "b")], "k int, name string")
+    u = union_records(base, new).orderBy("k").collect()
+    assert u[1]["v"] is None and len(u) == 2
+    path = str(tmp_path / "t")
+    base.write.parquet(path)
+    append_records(path, new)
+    back = read_appended(spark, path).orderBy("k").collect()
+    assert [r["k"] for r in back] == [1, 2] and back[1]["v"] is None
