@@ -7,9 +7,10 @@ from riskframe.llm.bpe import op4_byte_bpe
 from riskframe.llm.decontam import op7_decontamination
 from riskframe.llm.licenses import op8_license_scan
 from riskframe.llm.lines import op9_line_dedup
+from riskframe.llm.ngram_join import op1_ngram_join
 from riskframe.llm.quality import op10_quality_rules
 from riskframe.llm.secrets import op5_secret_scan
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op5_secret_scan, op7_decontamination, op8_license_scan, op9_line_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op4_byte_bpe, op5_secret_scan, op7_decontamination, op8_license_scan, op9_line_dedup, op10_quality_rules)}
 
 ORACLES = {"op9_line_dedup": lines.ORACLE}
