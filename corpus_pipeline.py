@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import lines, quality
+from riskframe.llm import bpe, decontam, lines, ngram_join, quality
 from riskframe.session import checkpoint_root
 
 
@@ -24,7 +24,28 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.line_dedup(docs).select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_stage), ("line_dedup", line_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each class of near duplicates."""
+    return ngram_join.keep_first(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item stands."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of the documents' token ids and of what they decode to."""
+    return bpe.round_trip(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
+    ("ngram_join", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("byte_bpe", token_stage),
+]
 
 #: Merges of byte pairs can't be stated in SQL; tests hold the rows against a brute-force version.
 ORACLE_SQL = None

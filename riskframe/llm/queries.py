@@ -10,7 +10,8 @@ from riskframe.llm.lines import op9_line_dedup
 from riskframe.llm.ngram_join import op1_ngram_join
 from riskframe.llm.quality import op10_quality_rules
 from riskframe.llm.secrets import op5_secret_scan
+from riskframe.llm.substring_dedup import op2_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op4_byte_bpe, op5_secret_scan, op7_decontamination, op8_license_scan, op9_line_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_suffix_dedup, op4_byte_bpe, op5_secret_scan, op7_decontamination, op8_license_scan, op9_line_dedup, op10_quality_rules)}
 
 ORACLES = {"op9_line_dedup": lines.ORACLE}
