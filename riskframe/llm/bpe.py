@@ -68,32 +68,41 @@ def replay_merges(words: list[bytes], pairs: Pairs) -> list[bytes]:
     index = {r: x.tolist() for r, x in zip(found.tolist(), np.split(places, begin[1:]))} if len(found) else {}
     heap = list(index)
     token, right, left, word = start.tolist(), list(range(1, len(start) + 1)), list(range(-1, len(start) - 1)), [-1, *word_of.tolist()]
+    joins = [*made.tolist(), -1]  # what each place's pair joins to now
     while heap:
         r = heappop(heap)
+        places = index.pop(r)
+        if len(places) > 1:
+            places = sorted(set(places))
+        high = r << 25
         waiting: list[int] = []
         held: set[int] = set()  # words with a smaller pair to be merged first
-        for p in sorted(set(index.pop(r))):
-            a = token[p]
-            if a < 0:
-                continue
-            q = right[p]
-            if pairs[a << 25 | token[q]] != r:
+        for p in places:
+            if joins[p] != r:
                 continue
             if held and word[p] in held:
                 waiting.append(p)
                 continue
-            token[p], token[q] = r, TAKEN
-            after, before = right[q], left[p]
+            q, before = right[p], left[p]
+            after = right[q]
+            token[p], token[q], joins[q] = r, TAKEN, -1
             right[p], left[after] = after, p
-            for place, x in ((p, pairs[r << 25 | token[after]]), (before, pairs[token[before] << 25 | r])):
-                if x >= 0:
-                    if x < r:
-                        held.add(word[p])
-                    if x in index:
-                        index[x].append(place)
-                    else:
-                        index[x] = [place]
-                        heappush(heap, x)
+            joins[p] = x = pairs[high | token[after]]
+            joins[before] = y = pairs[token[before] << 25 | r]
+            if x >= 0:
+                if x in index:
+                    index[x].append(p)
+                else:
+                    index[x] = [p]
+                    heappush(heap, x)
+            if y >= 0:
+                if y in index:
+                    index[y].append(before)
+                else:
+                    index[y] = [before]
+                    heappush(heap, y)
+            if -1 < x < r or -1 < y < r:
+                held.add(word[p])
         if waiting:
             if r not in index:
                 index[r] = []
