@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import clip, encode_text
 from ..spec import IQR_FACTOR, TableSpec
-from .profile import approx_quantiles, exact_quantiles, mode_values
+from .profile import approx_quantiles, exact_quantiles, median_and_imputed_quantiles, mode_values
 
 PARAM_SCHEMA = (
     "column string, role string, remap boolean, fill double, fill_text string, cap_lo double, cap_hi double, "
@@ -128,12 +128,16 @@ class Preprocessor:
         self.accuracy = accuracy
         self.exact = exact
 
-    def _quantiles(self, df, exprs, probs, extra_aggs=(), extra_out=None):
+    def _medians_and_quartiles(self, df, numeric, extra_aggs, extra):
+        """``{column: (median, [q1, q3] of the imputed column)}`` and the extra aggregates."""
+        exprs = {c: F.col(c) for c in numeric}
         if self.exact:
-            return exact_quantiles(df, exprs, probs, self.accuracy, extra_aggs=extra_aggs, extra_out=extra_out)
+            return median_and_imputed_quantiles(df, exprs, [0.25, 0.75], self.accuracy, extra_aggs, extra)
         if extra_aggs:
-            extra_out.update(df.agg(*extra_aggs).collect()[0].asDict())
-        return approx_quantiles(df, exprs, probs, self.accuracy)
+            extra.update(df.agg(*extra_aggs).collect()[0].asDict())
+        med = approx_quantiles(df, exprs, [0.5], self.accuracy)
+        qs = approx_quantiles(df, {c: _fill(F.col(c), med[c][0]) for c in numeric}, [0.25, 0.75], self.accuracy)
+        return {c: (med[c][0], qs[c]) for c in numeric}
 
     def fit(self, raw: DataFrame) -> PreprocessParams:
         spec = self.spec
@@ -150,11 +154,9 @@ class Preprocessor:
                       for i, c in enumerate(binary)]
         extra: dict = {}
         fills: dict[str, float | None] = {}
-        if numeric:
-            med = self._quantiles(df, {c: F.col(c) for c in numeric}, [0.5], remap_aggs, extra)
-            for c in numeric:
-                fills[c] = med[c][0]
-        elif remap_aggs:
+        found = self._medians_and_quartiles(df, numeric, remap_aggs, extra) if numeric else {}
+        fills.update({c: m for c, (m, _) in found.items()})
+        if not numeric and remap_aggs:
             extra = df.agg(*remap_aggs).collect()[0].asDict()
         remap = {c: extra[f"__x{i}"] == 0 for i, c in enumerate(binary)}
 
@@ -177,9 +179,8 @@ class Preprocessor:
         imputed = {c: _fill(F.col(c), fills.get(c)) for c in numeric}
         caps: dict[str, tuple[float | None, float | None]] = {}
         if numeric:
-            qs = self._quantiles(df, imputed, [0.25, 0.75])
             for c in numeric:
-                q1, q3 = qs[c]
+                q1, q3 = found[c][1]
                 if q1 is None or q3 is None:
                     caps[c] = (None, None)
                 else:

@@ -60,7 +60,7 @@ def test_exact_quantiles_narrowing_matches_numpy(spark):
 
     vals = [float((i * 7919) % 1000) / 7.0 for i in range(5000)] + [3.0] * 2000
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    q = exact_quantiles(df, {"x": F.col("x")}, [0.1, 0.25, 0.5, 0.9], accuracy=100, max_candidates=50)
+    q = exact_quantiles(df, {"x": F.col("x")}, [0.1, 0.25, 0.5, 0.9], accuracy=100)
     assert np.allclose(q["x"], np.quantile(vals, [0.1, 0.25, 0.5, 0.9]), rtol=0, atol=1e-12)
 
 
@@ -140,12 +140,38 @@ def test_all_null_columns_pass_through(spark):
     assert abs(sum(r["z"] for r in out)) < 1e-9
 
 
-def test_exact_quantile_recovers_from_a_wrong_bracket(spark):
-    from riskframe.operators.profile import _rank_values
+def test_exact_quantile_recovers_from_a_wrong_bracket(spark, monkeypatch):
+    from riskframe.operators import profile
 
-    vals = [float(v) for v in range(1000)]
+    vals = [float(v % 97) for v in range(1000)] + [float("nan")]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    # ranks 499 and 500 with a bracket that holds neither: restart, narrow, pick
-    target = [0, 0, 499, 500, 0.5, 900.0, 950.0]
-    out = _rank_values(df, {"x": F.col("x")}, ["x"], [target], accuracy=100, max_candidates=40)
-    assert out[(0, 0, 499)] == 499.0 and out[(0, 0, 500)] == 500.0
+    real, calls = profile._bracket, []
+
+    def wrong_at_first(grid, p, accuracy):
+        calls.append(p)
+        return (90.0, 95.0) if len(calls) <= 2 else real(grid, p, accuracy)
+
+    monkeypatch.setattr(profile, "_bracket", wrong_at_first)
+    q = exact_quantiles(df, {"x": F.col("x")}, [0.02, 0.5], accuracy=100)
+    import numpy as np
+
+    assert np.allclose(q["x"], np.quantile(vals[:-1], [0.02, 0.5]))
+
+
+def test_exact_quantile_half_zeros_half_ones(spark):
+    """Ties far beyond any sketch: 500k rows on two values."""
+    df = spark.range(500_000).select((F.col("id") % 2).alias("x"))
+    assert exact_quantiles(df, {"x": F.col("x")}, [0.25, 0.5, 0.75]) == {"x": [0.0, 0.5, 1.0]}
+
+
+def test_imputed_quantiles_in_one_search(spark):
+    import pandas as pd
+
+    from riskframe.operators.profile import median_and_imputed_quantiles
+
+    for every in (2, 3, 50):
+        vals = [None if i % every == 0 else float((i * 37) % 11) for i in range(400)]
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        m, qs = median_and_imputed_quantiles(df, {"x": F.col("x")}, [0.1, 0.25, 0.75])["x"]
+        col = pd.Series(vals, dtype=float)
+        assert m == col.median() and qs == list(col.fillna(m).quantile([0.1, 0.25, 0.75]))
