@@ -13,8 +13,8 @@ one anchor place form a snippet. In turn:
    50-byte strings learns its smallest document;
 4. each block marks its covered bytes.
 
-An anchor in very many blocks is dealt out by whole windows in place of snippets, so no task gets
-all contexts of a passage that a large part of the documents shares. Occurrences never leave their
+An anchor in very many blocks (over 1 GB of texts) is dealt out by digests of its windows in place
+of snippets, so no task gets all contexts of a passage that a large part of the documents shares. Occurrences never leave their
 block: a task gets each distinct snippet at most once from a block.
 """
 
@@ -46,7 +46,7 @@ class SubstringConfig:
     length: int = 50
     gram: int = 28
     block: int = 8 << 20
-    heavy: int = 32
+    heavy: int = 128
     bucket: int = 64 << 20
 
     @property
@@ -132,8 +132,9 @@ class Block:
     def contents(self, masks: list[dict], buckets: int) -> tuple[dict[int, dict], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct contents of the anchors that other documents have too.
 
-        Returns per bucket {(key, bytes): (number, smallest place)} and the occurrences: bucket,
-        content number within it, document, first byte.
+        Returns per bucket {content: (number, smallest place, key)} and the occurrences: bucket,
+        content number within it, document, first byte. A content is a snippet, or a heavy anchor's
+        window as a 128-bit digest.
         """
         shared, heavy = np.zeros(len(self.key), bool), np.zeros(len(self.key), bool)
         at = dict(self.per_bucket())
@@ -141,32 +142,37 @@ class Block:
             s = at[m["bucket"]]
             bits = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=2 * (s.stop - s.start)).astype(bool)
             shared[s], heavy[s] = bits[::2], bits[1::2]
-        pick = np.flatnonzero(shared[self.number])
         found: dict[int, dict] = {}
-        where: list[tuple[int, int, int, int]] = []
         n, text, places = self.cfg.length, self.text, self.places
 
-        def note(bucket: int, key: int, doc: int, first: int, content: bytes) -> None:
-            own = found.setdefault(bucket, {})
-            got = own.get((key, content))
+        def number_of(bucket: int, key: int, place: int, content: bytes) -> int:
+            own = found.get(bucket)
+            if own is None:
+                own = found[bucket] = {}
+            got = own.get(content)
             if got is None:
-                got = own[key, content] = [len(own), places[doc]]
-            elif places[doc] < got[1]:
-                got[1] = places[doc]
-            where.append((bucket, got[0], doc, first))
-
-        number = self.number[pick]
-        for b, k, hot, doc, first, last in zip(self.bucket[number].tolist(), self.key[number].tolist(), heavy[number].tolist(),
-                                               self.doc[pick].tolist(), self.first[pick].tolist(), self.last[pick].tolist()):
-            if hot:
-                for p in range(first, last + 1):
-                    content = text[p : p + n]
-                    h = int.from_bytes(hashlib.blake2b(content, digest_size=8).digest(), "little")
-                    note(h % buckets, h // buckets & (1 << 48) - 1, doc, p, content)
-            else:
-                note(b, k, doc, first, text[first : last + n])
-        occurrences = np.array(where, np.int64).reshape(-1, 4).T
-        return found, *occurrences
+                own[content] = (len(own), place, key)
+                return len(own) - 1
+            if place < got[1]:
+                own[content] = (got[0], place, key)
+            return got[0]
+
+        pick = np.flatnonzero((shared & ~heavy)[self.number])
+        bucket, doc, first = self.bucket[self.number[pick]], self.doc[pick], self.first[pick]
+        numbers = [number_of(b, k, places[d], text[f:z]) for b, k, d, f, z in zip(
+            bucket.tolist(), self.key[self.number[pick]].tolist(), doc.tolist(), first.tolist(), (self.last[pick] + n).tolist())]
+        pick = np.flatnonzero((shared & heavy)[self.number])
+        many = self.last[pick] - self.first[pick] + 1
+        hot_doc = np.repeat(self.doc[pick], many)
+        hot_first = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[pick], many)
+        hot_bucket = []
+        for d, f in zip(hot_doc.tolist(), hot_first.tolist()):
+            digest = hashlib.blake2b(text[f : f + n], digest_size=16).digest()
+            h = int.from_bytes(digest[:8], "little")
+            hot_bucket.append(h % buckets)
+            numbers.append(number_of(h % buckets, h // buckets & (1 << 48) - 1, places[d], digest))
+        return (found, np.concatenate([bucket, np.array(hot_bucket, np.int64)]), np.array(numbers, np.int64),
+                np.concatenate([doc, hot_doc]), np.concatenate([first, hot_first]))
 
 
 def planes(x: np.ndarray, width: int) -> bytes:
@@ -266,33 +272,43 @@ def shared_anchors(blocks: DataFrame, buckets: int, cfg: SubstringConfig) -> Dat
     return met.groupBy("block").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks"))
 
 
-def smallest_of_windows(contents: list[tuple[int, bytes, int]], length: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each (key, content, smallest place) the smallest place of each of its windows, over all
-    contents, as (run lengths, places). Contents are distinct; only those of a key are compared by
-    more than themselves, through the suffix array of all such contents."""
-    keys: dict[int, int] = {}
-    for k, _, _ in contents:
-        keys[k] = keys.get(k, 0) + 1
-    out = [(np.array([len(c) - length + 1]), np.array([place])) for _, c, place in contents]
-    mixed = [i for i, (k, _, _) in enumerate(contents) if keys[k] > 1]
-    if not mixed:
-        return out
-    text = b"".join(contents[i][1] for i in mixed)
-    size = np.array([len(contents[i][1]) for i in mixed])
-    begin = np.cumsum(size) - size
-    n = size - length + 1
-    starts = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin, n)
-    place = np.zeros(len(text), np.int64)
-    place[starts] = np.repeat(np.array([contents[i][2] for i in mixed]), n)
+def smallest_of_windows(keys: np.ndarray, contents: list[bytes], places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each content (key, bytes, smallest place) the smallest place of each of its windows, over
+    all contents: (runs of each content, run lengths, places of runs).
+
+    Contents are distinct. Equal windows are in contents of one key, so contents alone with their
+    key, and digests of single windows, are one run; all others' windows are compared through their
+    suffix array.
+    """
+    size = np.fromiter(map(len, contents), np.int64, len(contents))
+    windows = np.maximum(size - length + 1, 1)
+    _, own, n = np.unique(keys, return_inverse=True, return_counts=True)
+    mixed = np.flatnonzero((n[own] > 1) & (size >= length))
+    n_runs = np.ones(len(contents), np.int64)
+    if not len(mixed):
+        return n_runs, windows, places
+    text = b"".join(contents[i] for i in mixed.tolist())
+    size, n = size[mixed], windows[mixed]
+    starts = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(np.cumsum(size) - size, n)
+    least = np.zeros(len(text), np.int64)
+    least[starts] = np.repeat(places[mixed], n)
     groups = suffix_groups(text, starts, length)
     order = np.fromiter((s for g in groups for s in g), np.int64, len(starts))
-    many = np.array([len(g) for g in groups])
-    place[order] = np.repeat(np.minimum.reduceat(place[order], np.cumsum(many) - many), many)
-    for i, a, m in zip(mixed, begin.tolist(), n.tolist()):
-        own = place[a : a + m]
-        heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        out[i] = np.diff(np.append(heads, m)), own[heads]
-    return out
+    many = np.fromiter(map(len, groups), np.int64, len(groups))
+    least[order] = np.repeat(np.minimum.reduceat(least[order], np.cumsum(many) - many), many)
+    # windows of the compared contents one after another, cut into runs
+    least = least[starts]
+    begins = np.zeros(len(least), bool)
+    begins[np.cumsum(n) - n] = True
+    begins[1:] |= least[1:] != least[:-1]
+    heads = np.flatnonzero(begins)
+    of = np.repeat(np.arange(len(mixed)), n)[heads]
+    n_runs[mixed] = np.bincount(of, minlength=len(mixed))
+    begin = np.cumsum(n_runs) - n_runs
+    lengths, out = np.repeat(windows, n_runs), np.repeat(places, n_runs)
+    into = np.repeat(begin[mixed], n_runs[mixed]) + np.arange(len(heads)) - np.repeat(np.cumsum(n_runs[mixed]) - n_runs[mixed], n_runs[mixed])
+    lengths[into], out[into] = np.diff(np.append(heads, len(least))), least[heads]
+    return n_runs, lengths, out
 
 
 def smallest_places(blocks: DataFrame, buckets: int, cfg: SubstringConfig) -> DataFrame:
@@ -307,28 +323,27 @@ def smallest_places(blocks: DataFrame, buckets: int, cfg: SubstringConfig) -> Da
                 found = Block(row, buckets, cfg).contents(row["masks"] or [], buckets)[0] if row["masks"] else {}
                 for bucket, own in found.items():
                     yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(
-                        (bucket, row["block"], np.array([k for k, _ in own], "<u8").tobytes(), np.array([len(c) for _, c in own], "<u4").tobytes(),
-                         np.array([p for _, p in own.values()], "<i8").tobytes(), b"".join(c for _, c in own)), sent.types)], schema=sent)
+                        (bucket, row["block"], np.array([k for _, _, k in own.values()], "<u8").tobytes(), np.array([len(c) for c in own], "<u4").tobytes(),
+                         np.array([p for _, p, _ in own.values()], "<i8").tobytes(), b"".join(own)), sent.types)], schema=sent)
 
     def meet(table: pa.Table) -> pa.Table:
-        numbers: dict[tuple[int, bytes], int] = {}
-        least: list[int] = []
-        of_row = []
+        numbers: dict[bytes, int] = {}
         rows = table.to_pylist()
+        of_row = []
         for r in rows:
-            ends = np.cumsum(np.frombuffer(r["sizes"], "<u4")).tolist()
-            own = []
-            for k, a, z, p in zip(np.frombuffer(r["keys"], "<u8").tolist(), [0, *ends], ends, np.frombuffer(r["places"], "<i8").tolist()):
-                i = numbers.setdefault((k, r["contents"][a:z]), len(least))
-                if i == len(least):
-                    least.append(p)
-                elif p < least[i]:
-                    least[i] = p
-                own.append(i)
-            of_row.append(own)
-        runs = smallest_of_windows([(k, c, p) for (k, c), p in zip(numbers, least)], cfg.length)
-        got = [(r["block"], r["bucket"], np.array([len(runs[i][0]) for i in own], "<u4").tobytes(), np.concatenate([runs[i][0] for i in own]).astype("<u4").tobytes(),
-                np.concatenate([runs[i][1] for i in own]).astype("<i8").tobytes()) for r, own in zip(rows, of_row)]
+            ends, raw = np.cumsum(np.frombuffer(r["sizes"], "<u4")).tolist(), r["contents"]
+            of_row.append(np.array([numbers.setdefault(raw[a:z], len(numbers)) for a, z in zip([0, *ends], ends)], np.int64))
+        every = np.concatenate(of_row)
+        keys, least = np.zeros(len(numbers), np.uint64), np.full(len(numbers), LAST)
+        keys[every] = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in rows])
+        np.minimum.at(least, every, np.concatenate([np.frombuffer(r["places"], "<i8") for r in rows]))
+        n_runs, runs, values = smallest_of_windows(keys, list(numbers), least, cfg.length)
+        begin = np.cumsum(n_runs) - n_runs
+        got = []
+        for r, own in zip(rows, of_row):
+            n = n_runs[own]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[own], n)
+            got.append((r["block"], r["bucket"], n.astype("<u4").tobytes(), runs[at].astype("<u4").tobytes(), values[at].astype("<i8").tobytes()))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), reply.types)], schema=reply)
 
     sends = blocks.select("block", "places", "lengths", "text", "copies", "masks")
