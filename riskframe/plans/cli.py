@@ -26,7 +26,10 @@ from . import jobs
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    if path.endswith(".csv"):
+    """CSV by extension or, for a folder, by what lies in it; else parquet."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if path.endswith(".csv") or fs.exists(fs_path) and any(f.getPath().getName().endswith(".csv") for f in fs.listStatus(fs_path)):
         return files.load_csv(spark, path)
     return spark.read.parquet(path)
 

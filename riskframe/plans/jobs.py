@@ -50,7 +50,8 @@ def score(raw: DataFrame, bundle: Bundle, id_col: str | None = None) -> tuple[Da
     spec = bundle.spec
     id_col = id_col or spec.id_col
     val.check_columns(raw, spec.features)
-    accepted, quarantined = val.quarantine_split(raw, scoring_rules(spec))
+    coding = {c: p.remap for c, p in bundle.params.columns.items() if p.role == "binary" and p.fill is not None}
+    accepted, quarantined = val.quarantine_split(raw, scoring_rules(spec, coding))
     prepared = prepare(accepted, bundle)
     if isinstance(bundle.model, md.LinearModel):
         p = bundle.model.probability()
@@ -67,7 +68,9 @@ def fit_bundle(raw_train: DataFrame, spec: TableSpec, model: Any = None) -> tupl
     processed = pp.transform(raw_train, spec, params)
     exclude = [c for c in (spec.id_col, spec.target) if c]
     built, dropped = feat.build_features(processed, exclude=exclude, null_free=True)
-    features = [c for c in feat.numeric_columns(built, exclude) if c not in exclude]
+    # a column without any value has nothing to fill it with and nothing to tell a model
+    empty = {c for c, p in params.columns.items() if p.role in ("numeric", "binary") and p.fill is None}
+    features = [c for c in feat.numeric_columns(built, exclude) if c not in exclude and c not in empty]
     return Bundle(spec, params, dropped, features, model), built
 
 
@@ -103,7 +106,7 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
             best_models[fam] = model
             results.append(res.withColumn("seconds", F.lit(round(time.time() - t0, 2))))
         except Exception as e:  # noqa: BLE001 - a failing family is recorded and skipped
-            bundle.meta.setdefault("failed", {})[fam] = str(e)[:500]
+            bundle.meta.setdefault("failed", {})[fam] = str(e)
     if not results:
         raise RuntimeError(f"every model family failed: {bundle.meta.get('failed')}")
     table = results[0]
@@ -145,13 +148,15 @@ def evaluate(scored: DataFrame, label: str = "label", score_col: str = "score",
              threshold: float = DEFAULT_THRESHOLD) -> dict[str, DataFrame]:
     """Every evaluation table for one scored table."""
     s = scored.select(F.col(label).alias("label"), F.col(score_col).alias("score"))
+    curve = mt.curve_table(s)
     return {
         "metrics": mt.binary_metrics(s, threshold=threshold),
-        "roc_auc": mt.roc_auc(s),
-        "average_precision": mt.average_precision(s),
-        "report": mt.classification_report(s.withColumn("prediction", mt.predict_at("score", threshold))),
-        "roc_curve": mt.roc_curve(s),
-        "pr_curve": mt.pr_curve(s),
+        "unscored": mt.unscored(s),
+        "roc_auc": mt.roc_auc(s, curve=curve),
+        "average_precision": mt.average_precision(s, curve=curve),
+        "report": mt.classification_report(mt.complete(s, "label", "score").withColumn("prediction", mt.predict_at("score", threshold))),
+        "roc_curve": mt.roc_curve(s, curve=curve),
+        "pr_curve": mt.pr_curve(s, curve=curve),
         "threshold_sweep": mt.threshold_sweep(s),
         "optimal_threshold": mt.optimal_threshold(s),
     }

@@ -6,80 +6,21 @@ probabilities) so that both sides state one configuration.
 
 from __future__ import annotations
 
-from ..functions.hashing import sql_uniform
-from ..sources import synth
-from ..spec import RANDOM_SEED, SURVEY_BINARY, SURVEY_COLUMNS, SURVEY_NUMERIC, SURVEY_TARGET
+from ..spec import SURVEY_BINARY, SURVEY_COLUMNS, SURVEY_NUMERIC, SURVEY_TARGET
 from . import inputs
 
 
-def U(stream: str, key: str = "row_id", seed: int = RANDOM_SEED) -> str:
-    return sql_uniform(seed, stream, key)
-
-
 def _f(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
 
-def survey_sql(seed: int = RANDOM_SEED) -> str:
-    cols = []
-    for c, (lo, hi) in synth.INT_RANGES.items():
-        cols.append(f"CAST({lo} + floor({U(c, seed=seed)} * {hi - lo}) AS INTEGER) AS {c}")
-    cols.append(f"CAST({U('smoker', seed=seed)} < {_f(synth.FLAG_P['smoker'])} AS INTEGER) AS smoker")
-    for c, (lo, hi) in synth.REAL_RANGES.items():
-        cols.append(f"({_f(lo)} + {U(c, seed=seed)} * {_f(hi - lo)}) AS {c}")
-    for c, p in synth.FLAG_P.items():
-        if c != "smoker":
-            cols.append(f"CAST({U(c, seed=seed)} < {_f(p)} AS INTEGER) AS {c}")
-    w = synth.RISK_WEIGHTS
-    score = (
-        f"({_f(w['pack_years_per_50'])} * (pack_years / 50.0) + {_f(w['family_history_cancer'])} * family_history_cancer"
-        f" + {_f(w['occupational_exposure'])} * occupational_exposure"
-        f" + {_f(w['air_pollution_per_100'])} * (air_pollution_index / 100.0)"
-        f" + {_f(w['xray_abnormal'])} * xray_abnormal + {_f(w['copd'])} * copd)"
-    )
-    prob = f"(1.0 / (1.0 + exp(-({score} - {_f(synth.RISK_CENTER)}) * {_f(synth.RISK_SLOPE)})))"
-    return f"""
-    (WITH s1 AS (SELECT o_orderkey AS row_id, {', '.join(cols)} FROM orders),
-    s2 AS (SELECT *,
-        CASE WHEN smoker = 1 THEN CAST(CAST(1 + floor({U('smoking_years', seed=seed)} * (greatest(1, age - 15) - 1)) AS INTEGER) AS DOUBLE) ELSE 0.0 END AS smoking_years,
-        CASE WHEN smoker = 1 THEN CAST(CAST(1 + floor({U('cigarettes_per_day', seed=seed)} * 39) AS INTEGER) AS DOUBLE) ELSE 0.0 END AS cigarettes_per_day
-      FROM s1),
-    s3 AS (SELECT *, cigarettes_per_day / 20.0 * smoking_years AS pack_years FROM s2),
-    s4 AS (SELECT *, CAST({U('copd', seed=seed)} < CASE WHEN pack_years < {_f(synth.COPD_PACK_YEARS)} THEN {_f(synth.COPD_P_LOW)} ELSE {_f(synth.COPD_P_HIGH)} END AS INTEGER) AS copd FROM s3),
-    s5 AS (SELECT *, {score} AS risk_score, {prob} AS risk_probability FROM s4),
-    s6 AS (SELECT *, CAST({U(SURVEY_TARGET, seed=seed)} < risk_probability AS INTEGER) AS {SURVEY_TARGET} FROM s5)
-    SELECT row_id, {', '.join(SURVEY_COLUMNS)}, risk_score, risk_probability FROM s6)"""
-
-
-def survey_uniform_sql(seed: int = RANDOM_SEED) -> str:
-    cols = {}
-    for c, (lo, hi) in synth.UNIFORM_INT_RANGES.items():
-        cols[c] = f"CAST({lo} + floor({U(c, seed=seed)} * {hi - lo}) AS INTEGER)"
-    for c, (lo, hi) in synth.UNIFORM_REAL_RANGES.items():
-        cols[c] = f"({_f(lo)} + {U(c, seed=seed)} * {_f(hi - lo)})"
-    for c in SURVEY_BINARY:
-        if c not in cols:
-            cols[c] = f"CAST({U(c, seed=seed)} < 0.5 AS INTEGER)"
-    cols[SURVEY_TARGET] = f"CAST({U(SURVEY_TARGET, seed=seed)} < {_f(synth.UNIFORM_TARGET_P)} AS INTEGER)"
-    sel = ", ".join(f"{cols.get(c, '0')} AS {c}" for c in SURVEY_COLUMNS)
-    return f"(SELECT o_orderkey AS row_id, {sel} FROM orders)"
-
-
-def raw_survey_sql(seed: int = RANDOM_SEED) -> str:
-    sel = []
-    for c in SURVEY_COLUMNS:
-        if c == "gender":
-            e = "CASE WHEN gender = 1 THEN 'M' ELSE 'F' END"
-        elif c == SURVEY_TARGET:
-            e = f"CASE WHEN {c} = 1 THEN 'YES' ELSE 'NO' END"
-        elif c in inputs.ONE_TWO_COLS:
-            e = f"{c} + 1"
-        else:
-            e = c
-        if c in inputs.MISSING_COLS:
-            e = f"CASE WHEN {U('missing:' + c, seed=seed)} < {_f(inputs.MISSING_RATE)} THEN NULL ELSE {e} END"
-        sel.append(f"{e} AS {c}")
-    return f"(SELECT row_id, {', '.join(sel)} FROM {survey_sql(seed)})"
+def raw_survey_sql() -> str:
+    return f"({inputs.survey_select(f'({inputs.ORDER_LINES})')})"
+
+
+def scored_survey_sql() -> str:
+    rows = inputs.survey_select(f"({inputs.ORDER_LINES})", f", {inputs.SCORE_FROM_ORDERS} AS score")
+    return f"(SELECT row_id, CAST({SURVEY_TARGET} = 'YES' AS INTEGER) AS label, score FROM ({rows}))"
 
 
 def encoded_survey_sql() -> str:
@@ -172,21 +113,6 @@ def _round_all(cols, decimals=6):
     return ", ".join(f"round({c}, {decimals}) + 0.0 AS {c}" for c in cols)
 
 
-def _survey_select(src: str, decimals: int = 6) -> str:
-    out = []
-    for c in SURVEY_COLUMNS:
-        if c in SURVEY_NUMERIC and c not in synth.INT_RANGES and c not in ("diet_quality", "healthcare_access"):
-            out.append(f"round({c}, {decimals}) + 0.0 AS {c}")
-        else:
-            out.append(c)
-    return f"SELECT row_id, {', '.join(out)} FROM {src}"
-
-
-ORACLES["synth_survey"] = _survey_select(survey_sql())
-ORACLES["synth_survey_uniform"] = "SELECT row_id, " + ", ".join(
-    f"round({c}, 6) + 0.0 AS {c}" if c in synth.UNIFORM_REAL_RANGES else c for c in SURVEY_COLUMNS
-) + f" FROM {survey_uniform_sql()}"
-
 ORACLES["quartiles"] = " UNION ALL ".join(
     f"SELECT '{c}' AS column, round(quantile_cont({c}, 0.25), 6) + 0.0 AS q1, "
     f"round(quantile_cont({c}, 0.5), 6) + 0.0 AS median, round(quantile_cont({c}, 0.75), 6) + 0.0 AS q3 FROM lineitem"
@@ -232,7 +158,7 @@ ORACLES["distinct_values"] = f"WITH r AS (SELECT * FROM {_raw}) " + " UNION ".jo
     f"SELECT DISTINCT '{c}' AS column, CAST({c} AS VARCHAR) AS value FROM r WHERE {c} IS NOT NULL" for c in FLAGS
 )
 ORACLES["class_distribution"] = (
-    f"SELECT {SURVEY_TARGET}, CAST(count(*) AS BIGINT) AS n FROM {survey_sql()} GROUP BY 1"
+    f"SELECT {SURVEY_TARGET}, CAST(count(*) AS BIGINT) AS n FROM {_raw} GROUP BY 1"
 )
 ORACLES["median_fill_values"] = f"WITH r AS (SELECT * FROM {_raw}) " + " UNION ALL ".join(
     f"SELECT '{c}' AS column, round(quantile_cont({c}, 0.5), 6) + 0.0 AS median FROM r" for c in SURVEY_NUMERIC
@@ -278,10 +204,8 @@ def _errors_sql(rules):
 
 
 ORACLES["domain_violations"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS column, CAST(sum(n) AS BIGINT) AS n_bad, CAST(count(*) AS BIGINT) AS n_bad_distinct, "
-    f"string_agg(CASE WHEN rn <= 10 THEN CAST(v AS VARCHAR) END, ',' ORDER BY v) AS bad_values FROM "
-    f"(SELECT v, n, row_number() OVER (ORDER BY v) AS rn FROM (SELECT CAST({c} AS DOUBLE) AS v, count(*) AS n "
-    f"FROM lineitem WHERE {c} IS NOT NULL AND CAST({c} AS DOUBLE) NOT IN (0.0, 1.0) GROUP BY 1)) HAVING count(*) > 0"
+    f"SELECT '{c}' AS column, CAST({c} AS DOUBLE) AS value, CAST(count(*) AS BIGINT) AS n FROM lineitem "
+    f"WHERE {c} IS NOT NULL AND CAST({c} AS DOUBLE) NOT IN (0.0, 1.0) GROUP BY 2"
     for c in ("l_linenumber", "l_quantity", "l_discount")
 )
 ORACLES["row_validate"] = (
@@ -396,7 +320,7 @@ ORACLES["background_sample"] = (
 
 _SCORED_LI = ("(SELECT l_orderkey, l_linenumber, CAST(l_returnflag = 'R' AS INTEGER) AS label, "
               "l_quantity / CAST(100.0 AS DOUBLE) + l_discount * CAST(5.0 AS DOUBLE) AS score FROM lineitem)")
-_SCORED_SURVEY = f"(SELECT row_id, {SURVEY_TARGET} AS label, risk_probability AS score FROM {survey_sql()})"
+_SCORED_SURVEY = scored_survey_sql()
 
 
 def _r(x: str) -> str:
@@ -518,8 +442,12 @@ ORACLES["first_row"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1"
 
 # --- scoring and linear Shapley ---------------------------------------------------------
 
-_W = {"pack_years": 1.2, "family_history_cancer": 0.9, "occupational_exposure": 0.7,
-      "air_pollution_index": 0.3, "xray_abnormal": 0.6, "copd": 0.5}
+_W = {
+    "pack_years": 1.2, "family_history_cancer": 0.9, "occupational_exposure": 0.7, "air_pollution_index": 0.3,
+    "xray_abnormal": 0.6, "copd": 0.5, "age": 0.4, "smoker": 0.8, "passive_smoking": 0.25, "radon_exposure": 0.35,
+    "asthma": 0.15, "previous_tb": 0.45, "chronic_cough": 0.55, "chest_pain": 0.65, "fatigue": 0.1, "bmi": -0.2,
+    "oxygen_saturation": -0.75, "crp_level": 0.05, "exercise_hours_per_week": -0.12, "diet_quality": -0.02,
+}
 _B0 = -1.0
 _MARGIN = f"({_f(_B0)}" + "".join(f" + {_f(w)} * CAST({c} AS DOUBLE)" for c, w in _W.items()) + ")"
 _PROB = f"(1.0 / (1.0 + exp(-({_MARGIN} - 0.0) * 1.0)))"
@@ -531,7 +459,9 @@ def _score_cols(p: str) -> str:
             f"CASE WHEN {p} >= 0.5 THEN 'Lung Cancer Detected' ELSE 'No Lung Cancer' END AS label")
 
 
-ORACLES["logistic_score"] = f"SELECT row_id, {_r('risk_probability')} AS risk_probability FROM {survey_sql()}"
+ORACLES["logistic_score"] = (
+    f"SELECT o_orderkey, {_r('1.0 / (1.0 + exp(-(o_totalprice / 100000.0 - 2.0) * 1.5))')} AS probability FROM orders"
+)
 ORACLES["risk_level"] = f"SELECT row_id, {_score_cols('score')} FROM {_SCORED_SURVEY}"
 ORACLES["score_batch"] = f"WITH {_PROC} SELECT row_id, {_score_cols(_PROB)} FROM p"
 ORACLES["stream_score"] = ORACLES["score_batch"]
@@ -540,7 +470,10 @@ _PHI = f"WITH {_PROC}, u AS (" + " UNION ALL ".join(
     f"{_f(w)} * (CAST({c} AS DOUBLE) - avg(CAST({c} AS DOUBLE)) OVER ()) AS phi FROM p" for c, w in _W.items()
 ) + ")"
 ORACLES["shap_linear"] = f"{_PHI} SELECT row_id, feature, {_r('value')} AS value, {_r('phi')} AS phi FROM u"
-ORACLES["shap_distribution"] = ORACLES["shap_linear"]
+ORACLES["shap_distribution"] = (
+    f"{_PHI}, t AS (SELECT feature FROM u GROUP BY feature ORDER BY avg(abs(phi)) DESC, feature LIMIT 15) "
+    f"SELECT row_id, feature, {_r('value')} AS value, {_r('phi')} AS phi FROM u WHERE feature IN (SELECT feature FROM t)"
+)
 ORACLES["shap_global_topk"] = (
     f"{_PHI} SELECT feature, {_r('avg(abs(phi))')} AS importance FROM u GROUP BY feature "
     f"ORDER BY avg(abs(phi)) DESC, feature LIMIT 15"

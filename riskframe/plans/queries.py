@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import preprocess as pp
+from ..functions.scalar import logistic
 from ..operators import profile
 from ..session import scratch_path
-from ..sources import synth
 from ..spec import SURVEY_BINARY, SURVEY_NUMERIC, SURVEY_SPEC, SURVEY_TARGET
 from . import inputs
 from .inputs import LINEITEM_NUMERIC, table
@@ -49,22 +49,6 @@ def rounded(df: DataFrame, decimals: int = DEC) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-# ---------------------------------------------------------------------------
-# Generators
-# ---------------------------------------------------------------------------
-
-@query("synth_survey")
-def q_synth_survey(spark, sf):
-    """Realistic survey rows, one per order key."""
-    return rounded(inputs.survey(spark, sf))
-
-
-@query("synth_survey_uniform")
-def q_synth_survey_uniform(spark, sf):
-    """S3: uniform survey rows, one per order key."""
-    return rounded(synth.generate_survey_uniform(table(spark, sf, "orders"), "o_orderkey"))
-
-
 # ---------------------------------------------------------------------------
 # Column statistics and single-column transforms on lineitem numerics
 # ---------------------------------------------------------------------------
@@ -128,7 +112,7 @@ def q_distinct_values(spark, sf):
 @query("class_distribution")
 def q_class_distribution(spark, sf):
     """Rows per target value of the survey."""
-    return profile.value_counts(inputs.survey(spark, sf), SURVEY_TARGET).withColumnRenamed("value", SURVEY_TARGET)
+    return profile.value_counts(inputs.raw_survey(spark, sf), SURVEY_TARGET).withColumnRenamed("value", SURVEY_TARGET)
 
 
 @query("median_fill_values")
@@ -235,8 +219,8 @@ DOMAIN_COLS = ("l_linenumber", "l_quantity", "l_discount")
 
 @query("domain_violations")
 def q_domain_violations(spark, sf):
-    """V3: values outside {0, 1} per column, NULL ignored."""
-    return val.domain_violations(table(spark, sf, "lineitem"), DOMAIN_COLS)
+    """V3: distinct values outside {0, 1} per column with their counts, NULL ignored."""
+    return rounded(val.domain_violations(table(spark, sf, "lineitem"), DOMAIN_COLS))
 
 
 @query("row_validate")
@@ -493,7 +477,7 @@ def q_project_reorder(spark, sf):
 def q_fill_missing_columns(spark, sf):
     """Absent required columns added with 0."""
     c = table(spark, sf, "customer")
-    return synth.fill_missing_columns(c, [*c.columns, "c_phone", "c_comment"])
+    return pp.fill_missing_columns(c, [*c.columns, "c_phone", "c_comment"])
 
 
 @query("first_row")
@@ -508,8 +492,10 @@ def q_first_row(spark, sf):
 
 # A serving bundle's linear model over processed survey features.
 FIXED_LINEAR = md.LinearModel(intercept=-1.0, weights={
-    "pack_years": 1.2, "family_history_cancer": 0.9, "occupational_exposure": 0.7,
-    "air_pollution_index": 0.3, "xray_abnormal": 0.6, "copd": 0.5,
+    "pack_years": 1.2, "family_history_cancer": 0.9, "occupational_exposure": 0.7, "air_pollution_index": 0.3,
+    "xray_abnormal": 0.6, "copd": 0.5, "age": 0.4, "smoker": 0.8, "passive_smoking": 0.25, "radon_exposure": 0.35,
+    "asthma": 0.15, "previous_tb": 0.45, "chronic_cough": 0.55, "chest_pain": 0.65, "fatigue": 0.1, "bmi": -0.2,
+    "oxygen_saturation": -0.75, "crp_level": 0.05, "exercise_hours_per_week": -0.12, "diet_quality": -0.02,
 })
 
 
@@ -520,9 +506,9 @@ def fixed_bundle(raw):
 
 @query("logistic_score")
 def q_logistic_score(spark, sf):
-    """The generator's logistic risk probability per survey row."""
-    s = synth.generate_survey(table(spark, sf, "orders"), "o_orderkey", keep_probability=True)
-    return rounded(s.select("row_id", "risk_probability"))
+    """Logistic function of an order's total price."""
+    o = table(spark, sf, "orders")
+    return rounded(o.select("o_orderkey", logistic(F.col("o_totalprice") / F.lit(100000.0), 2.0, 1.5).alias("probability")))
 
 
 @query("risk_level")
@@ -657,18 +643,21 @@ def q_stream_score(spark, sf):
     src = scratch_path(spark, "stream-src")
     raw.write.mode("overwrite").parquet(src)
     batch_raw = spark.read.parquet(src)
-    out, _ = sj.stream_score(spark, src, batch_raw.schema, fixed_bundle(batch_raw))
-    return rounded(spark.read.parquet(out))
+    out, _, _ = sj.stream_score(spark, src, batch_raw.schema, fixed_bundle(batch_raw))
+    return rounded(sj.read_landed(spark, out))
 
 
 @query("stream_append")
 def q_stream_append(spark, sf):
-    """ST2: event records appended by a stream; rule breakers quarantined."""
+    """ST2: event records landing in two parts, appended by two runs of a stream; rule breakers quarantined."""
     ev = table(spark, sf, "events")
     src = scratch_path(spark, "events-src")  # records land as files in a folder
-    ev.write.mode("overwrite").parquet(src)
-    out, _ = sj.stream_append(spark, src, ev.schema, EVENT_RULES)
-    return spark.read.parquet(out)
+    first = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    ev.where(first).write.parquet(src)
+    out, _, _ = sj.stream_append(spark, src, ev.schema, EVENT_RULES)
+    ev.where(~first).write.mode("append").parquet(src)
+    sj.stream_append(spark, src, ev.schema, EVENT_RULES, out_path=out)
+    return sj.read_landed(spark, out)
 
 
 # ---------------------------------------------------------------------------

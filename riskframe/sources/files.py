@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,18 +13,22 @@ class SourceError(ValueError):
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. A missing path or an empty file raises.
+    """CSV with a header. A missing path or an empty file raises; so does a
+    folder whose files have their columns in different orders or by other names
+    (each file's header is held against the first's).
 
     With a schema, columns are taken by header name (a reordered header reads
     right; a missing name raises) and cast to the declared types; with ANSI
     on, a malformed cell fails the read instead of becoming NULL.
     """
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
     if schema is None:
         reader = reader.option("inferSchema", True)
     try:
         df = reader.csv(path)
-    except Exception as e:  # noqa: BLE001 - path does not exist
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise SourceError(f"Data file not found: {path}") from e
     if not df.columns:
         raise SourceError(f"Empty data file: {path}")

@@ -29,11 +29,16 @@ def next_version(names: DataFrame, col: str, prefix: str, suffix: str = "") -> D
     return v.agg((F.coalesce(F.max("version"), F.lit(0)) + 1).alias("next_version"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def registry(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.parquet(f"{root}/_registry")
-    except Exception:  # noqa: BLE001 - no registry yet
+    """The registry's rows; none where no registry has been written. One that can't be read raises."""
+    if not _exists(spark, f"{root}/_registry"):
         return spark.createDataFrame([], REGISTRY_SCHEMA)
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/_registry")
 
 
 def save_model(spark: SparkSession, root: str, model, model_type: str, n_rows: int, metrics: dict,
@@ -44,7 +49,9 @@ def save_model(spark: SparkSession, root: str, model, model_type: str, n_rows: i
     if version is None:
         version = (reg.agg(F.max("version")).first()[0] or 0) + 1
     path = f"{root}/v={version}"
-    model.write().overwrite().save(path)
+    if _exists(spark, path):
+        raise FileExistsError(f"model version {version} is there already: {path}")
+    model.save(path)
     clean = {k: v for k, v in metrics.items() if not str(k).startswith("best_")}
     row = (int(version), _dt.datetime.now(_dt.timezone.utc).isoformat(), model_type, int(n_rows), json.dumps(clean), path)
     spark.createDataFrame([row], REGISTRY_SCHEMA).write.mode("append").parquet(f"{root}/_registry")

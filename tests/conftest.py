@@ -3,7 +3,7 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 SF = "/root/testdata/sf0.001"
 
@@ -23,6 +23,6 @@ def spark():
 
 @pytest.fixture(scope="session")
 def survey(spark):
-    from riskframe.sources.synth import generate_survey
+    from synth import generate_survey
 
     return generate_survey(spark.range(1, 301).withColumnRenamed("id", "k"), "k").persist()

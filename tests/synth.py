@@ -1,4 +1,4 @@
-"""Survey-table generators (realistic and uniform profiles).
+"""Survey rows for the tests (realistic and uniform profiles).
 
 Rows are keyed by an id column of an existing DataFrame, and every draw is
 ``uniform(seed, column, id)``, so the output depends only on the ids: the
@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import uniform
-from ..functions.scalar import logistic
-from ..spec import RANDOM_SEED, SURVEY_BINARY, SURVEY_COLUMNS, SURVEY_TARGET
+from riskframe.functions.hashing import uniform
+from riskframe.functions.scalar import logistic
+from riskframe.operators.preprocess import fill_missing_columns
+from riskframe.spec import RANDOM_SEED, SURVEY_BINARY, SURVEY_COLUMNS, SURVEY_TARGET
 
 # Bernoulli probabilities of the flags (realistic profile).
 FLAG_P = {
@@ -127,9 +128,3 @@ def generate_survey_uniform(keys: DataFrame, key_col: str, seed: int = RANDOM_SE
     cols[SURVEY_TARGET] = _flag(seed, SURVEY_TARGET, key, UNIFORM_TARGET_P)
     df = base.withColumns(cols)
     return fill_missing_columns(df, SURVEY_COLUMNS).select(id_name, *SURVEY_COLUMNS)
-
-
-def fill_missing_columns(df: DataFrame, required, default=0) -> DataFrame:
-    """Add every absent required column with a constant default."""
-    missing = {c: F.lit(default) for c in required if c not in df.columns}
-    return df.withColumns(missing) if missing else df
