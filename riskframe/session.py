@@ -36,8 +36,8 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "risk
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The setting is read from the session; a private folder is created only
-    when it is unset (local tests).
+    The setting is read from the session. Unset, a private folder serves a local master (tests); on
+    a cluster, whose machines don't share folders, that raises.
     """
     global _FALLBACK_DIR
     sc = spark.sparkContext
@@ -48,6 +48,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             root = None
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         if _FALLBACK_DIR is None:
             _FALLBACK_DIR = tempfile.mkdtemp(prefix="riskframe-ckpt-")
         root = _FALLBACK_DIR
@@ -59,10 +61,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     root = checkpoint_root(spark)
-    path = f"{root}/riskframe-scratch/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1).rsplit("/", 1)[0], exist_ok=True)
-    return path
+    return f"{root}/riskframe-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -148,10 +148,13 @@ class Rule:
         return self.code or f"{self.kind}:{self.column}"
 
 
-def scoring_rules(spec: TableSpec = SURVEY_SPEC) -> tuple[Rule, ...]:
+def scoring_rules(spec: TableSpec = SURVEY_SPEC, one_two: Mapping[str, bool] | None = None) -> tuple[Rule, ...]:
     """Row rules applied before scoring a survey record.
 
     Fixed values: gender in {M, F, 0, 1}; 0 <= age <= 120; binary in {0, 1, 2}.
+    ``one_two`` tells the learned coding of flags: one learned as 1/2 takes 1 or
+    2 only, one learned as 0/1 takes 0 or 1 only, so that a record coded
+    otherwise is quarantined instead of scored as another value.
     Presence of every feature column is a schema check; NULL cells are
     imputed with the learned fill values, so they break no rule here.
     """
@@ -163,5 +166,7 @@ def scoring_rules(spec: TableSpec = SURVEY_SPEC) -> tuple[Rule, ...]:
     for c in spec.binary:
         if c == spec.gender:
             continue
-        rules.append(Rule(c, "in", allowed=(0, 1, 2), code=f"invalid:{c}"))
+        known = (one_two or {}).get(c)
+        allowed = (0, 1, 2) if known is None else (1, 2) if known else (0, 1)
+        rules.append(Rule(c, "in", allowed=allowed, code=f"invalid:{c}"))
     return tuple(rules)

@@ -1,63 +1,75 @@
 """Structured Streaming forms of scoring and record appends.
 
-Both are stateless per record, so they run with ``trigger(availableNow=True)``
-(or any processing-time trigger) and exactly-once parquet file sinks whose
-checkpoints live in the shared checkpoint folder.
+Both are stateless per record. One query reads the source; each micro-batch is
+split into accepted and quarantined rows, written under the batch's number.
+The checkpoint lies beside the output, so a later run on the same output goes
+on where the last one stopped, and a batch that is run again after a failure
+overwrites its own files: every record lands once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import validate as val
 from ..plans.jobs import Bundle, score
 from ..session import scratch_path
 from ..spec import Rule
 
+#: Folder level that holds one micro-batch; reading the output shows it as a column.
+BATCH = "batch_id"
 
-def _run(query) -> None:
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
 
+def _run(spark: SparkSession, source_path: str, schema: T.StructType, split: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
+         out_path: str, quarantine_path: str, checkpoint: str | None, available_now: bool) -> StreamingQuery:
+    def land(batch: DataFrame, number: int) -> None:
+        for rows, path in zip(split(batch), (out_path, quarantine_path)):
+            rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
 
-def stream_score(spark: SparkSession, source_path: str, schema: T.StructType, bundle: Bundle,
-                 out_path: str | None = None, quarantine_path: str | None = None,
-                 available_now: bool = True) -> tuple[str, str]:
-    """ST1: score every arriving record; accepted and quarantined rows go to two sinks."""
-    out_path = out_path or scratch_path(spark, "scored")
-    quarantine_path = quarantine_path or scratch_path(spark, "quarantine")
-    stream = spark.readStream.schema(schema).parquet(source_path)
-    scored, quarantined = score(stream, bundle)
-    trig = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
-    q1 = (scored.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "ckpt-score"))
-          .outputMode("append").trigger(**trig).start(out_path))
-    q2 = (quarantined.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "ckpt-quar"))
-          .outputMode("append").trigger(**trig).start(quarantine_path))
+    trigger = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
+    query = (spark.readStream.schema(schema).parquet(source_path).writeStream.foreachBatch(land)
+             .option("checkpointLocation", checkpoint or f"{out_path.rstrip('/')}_checkpoint").trigger(**trigger).start())
     if available_now:
-        _run(q1)
-        _run(q2)
-    return out_path, quarantine_path
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return query
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """All batches landed under ``path`` so far."""
+    return spark.read.parquet(path).drop(BATCH)
 
 
-def stream_append(spark: SparkSession, source_path: str, schema: T.StructType, rules: Sequence[Rule],
-                  out_path: str | None = None, quarantine_path: str | None = None,
-                  available_now: bool = True) -> tuple[str, str]:
+def stream_score(spark: SparkSession, source_path: str, schema: T.StructType, bundle: Bundle, out_path: str | None = None,
+                 quarantine_path: str | None = None, checkpoint: str | None = None,
+                 available_now: bool = True) -> tuple[str, str, StreamingQuery]:
+    """ST1: score every arriving record; accepted and quarantined rows go to two folders.
+
+    Returns both paths and the query (ended, if ``available_now``). The checkpoint is
+    ``<out_path>_checkpoint`` unless given.
+    """
+    out_path = out_path or scratch_path(spark, "scored")
+    quarantine_path = quarantine_path or f"{out_path.rstrip('/')}_quarantine"
+    query = _run(spark, source_path, schema, lambda rows: score(rows, bundle), out_path, quarantine_path, checkpoint, available_now)
+    return out_path, quarantine_path, query
+
+
+def stream_append(spark: SparkSession, source_path: str, schema: T.StructType, rules: Sequence[Rule], out_path: str | None = None,
+                  quarantine_path: str | None = None, checkpoint: str | None = None,
+                  available_now: bool = True) -> tuple[str, str, StreamingQuery]:
     """ST2: append arriving records for retraining; rows breaking a rule are
-    quarantined with their error codes instead of being appended."""
+    quarantined with their error codes instead of being appended.
+
+    Returns both paths and the query; a second call with the same ``out_path``
+    lands the records that have arrived since.
+    """
     out_path = out_path or scratch_path(spark, "appended")
-    quarantine_path = quarantine_path or scratch_path(spark, "append-quarantine")
-    stream = spark.readStream.schema(schema).parquet(source_path)
-    accepted, quarantined = val.quarantine_split(stream, rules)
-    trig = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
-    q1 = (accepted.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "ckpt-append"))
-          .outputMode("append").trigger(**trig).start(out_path))
-    q2 = (quarantined.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "ckpt-aq"))
-          .outputMode("append").trigger(**trig).start(quarantine_path))
-    if available_now:
-        _run(q1)
-        _run(q2)
-    return out_path, quarantine_path
+    quarantine_path = quarantine_path or f"{out_path.rstrip('/')}_quarantine"
+    query = _run(spark, source_path, schema, lambda rows: val.quarantine_split(rows, rules), out_path, quarantine_path, checkpoint, available_now)
+    return out_path, quarantine_path, query

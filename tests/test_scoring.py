@@ -70,9 +70,11 @@ def test_stream_score_equals_batch(spark, survey, tmp_path):
     batch_raw = spark.read.parquet(src)
     params = pp.Preprocessor(SURVEY_SPEC).fit(batch_raw)
     bundle = jobs.Bundle(SURVEY_SPEC, params, [], ["pack_years", "copd"], md.LinearModel(-1.0, {"pack_years": 1.0, "copd": 0.5}))
-    out, quar = stream_score(spark, src, batch_raw.schema, bundle, str(tmp_path / "out"), str(tmp_path / "q"))
+    out, quar, _ = stream_score(spark, src, batch_raw.schema, bundle, str(tmp_path / "out"), str(tmp_path / "q"))
     batch, _ = jobs.score(batch_raw, bundle)
-    assert sorted(spark.read.parquet(out).collect()) == sorted(batch.collect())
+    from riskframe.streaming.jobs import read_landed
+
+    assert sorted(read_landed(spark, out).collect()) == sorted(batch.collect())
     assert spark.read.parquet(quar).count() == 0
 
 
@@ -84,3 +86,20 @@ def test_rules_upper_case_set_and_text_range(spark):
              Rule("age", "range", lo=0, hi=120, code="age")]
     errs = {r.id: list(r.errors) for r in val.with_errors(df, rules).collect()}
     assert errs == {1: [], 2: ["seg", "age"], 3: ["age"]}
+
+
+def test_flags_coded_otherwise_than_learned_are_quarantined(spark, survey):
+    from riskframe.operators import preprocess as pp
+    from riskframe.plans import jobs
+    from riskframe.plans.queries import FIXED_LINEAR
+    from riskframe.spec import SURVEY_SPEC
+
+    coded = survey.withColumn("asthma", F.col("asthma") + 1)
+    params = pp.Preprocessor(SURVEY_SPEC).fit(coded)
+    assert params.columns["asthma"].remap and not params.columns["smoker"].remap
+    bundle = jobs.Bundle(SURVEY_SPEC, params, [], list(FIXED_LINEAR.weights), FIXED_LINEAR)
+    odd = coded.withColumn("asthma", F.when(F.col("row_id") == 1, 0).otherwise(F.col("asthma"))) \
+        .withColumn("smoker", F.when(F.col("row_id") == 2, 2).otherwise(F.col("smoker")))
+    scored, bad = jobs.score(odd, bundle)
+    assert {r.row_id: r.errors for r in bad.collect()} == {1: ["invalid:asthma"], 2: ["invalid:smoker"]}
+    assert scored.count() == survey.count() - 2

@@ -46,7 +46,56 @@ def test_stream_append_equals_batch(spark, tmp_path):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     src = str(tmp_path / "src")
     ev.write.parquet(src)
-    out, quar = stream_append(spark, src, ev.schema, EVENT_RULES, str(tmp_path / "out"), str(tmp_path / "q"))
+    out, quar, _ = stream_append(spark, src, ev.schema, EVENT_RULES, str(tmp_path / "out"), str(tmp_path / "q"))
     ok, bad = val.quarantine_split(ev, EVENT_RULES)
-    assert sorted(spark.read.parquet(out).collect()) == sorted(ok.collect())
-    assert spark.read.parquet(quar).count() == bad.count()
+    from riskframe.streaming.jobs import read_landed
+
+    assert sorted(read_landed(spark, out).collect()) == sorted(ok.collect())
+    assert read_landed(spark, quar).count() == bad.count()
+
+
+def test_second_stream_run_lands_what_came_since(spark, tmp_path):
+    from riskframe.plans.queries import EVENT_RULES
+    from riskframe.streaming.jobs import read_landed, stream_append
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("event_type = 'view'").limit(20).persist()
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    rows = sorted(ev.collect())
+    spark.createDataFrame(rows[:10], ev.schema).write.parquet(src)
+    stream_append(spark, src, ev.schema, (), out)
+    spark.createDataFrame(rows[10:], ev.schema).write.mode("append").parquet(src)
+    _, _, query = stream_append(spark, src, ev.schema, (), out)
+    assert sorted(read_landed(spark, out).collect()) == rows and not query.isActive
+
+
+def test_unreadable_registry_is_not_taken_for_an_empty_one(spark, tmp_path):
+    import pytest
+
+    class Model:
+        saved = 0
+
+        def save(self, path):
+            Model.saved += 1
+            spark.range(1).write.parquet(path)
+
+    root = str(tmp_path / "models")
+    assert [reg.save_model(spark, root, Model(), "m", 1, {}) for _ in range(2)] == [1, 2]
+    for f in (tmp_path / "models" / "_registry").glob("part-*"):
+        f.write_bytes(b"not parquet")
+    for f in (tmp_path / "models" / "_registry").glob(".*.crc"):
+        f.write_bytes(b"")
+    with pytest.raises(Exception):
+        reg.save_model(spark, root, Model(), "m", 1, {})
+    with pytest.raises(FileExistsError):
+        reg.save_model(spark, root, Model(), "m", 1, {}, version=1)
+    assert Model.saved == 2
+
+
+def test_class_of_one_row(spark):
+    import pytest
+
+    df = spark.createDataFrame([(i, 0, [float(i), 1.0]) for i in range(6)] + [(9, 1, [5.0, 5.0])], "id long, y int, v array<double>")
+    with pytest.raises(ValueError, match="one row"):
+        sm.oversample(df, "id", "y", "v", k=2)
+    out = sm.oversample(df, "id", "y", "v", k=2, copy_single=True)
+    assert {tuple(r.v) for r in out.where("y = 1").collect()} == {(5.0, 5.0)} and out.where("y = 1").count() == 6
