@@ -28,7 +28,7 @@ def uniform(seed: int, stream: str, key: Column | str) -> Column:
 
 def hash_bucket(hex_col: Column, chars: int) -> Column:
     """Integer bucket from the first ``chars`` hex characters of an md5 column."""
-    return F.conv(F.substring(hex_col, 1, chars), 16, 10).cast("int")
+    return F.conv(F.substring(hex_col, 1, chars), 16, 10).cast("bigint")
 
 
 def sql_uniform(seed: int, stream: str, key_sql: str) -> str:

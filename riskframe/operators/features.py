@@ -92,13 +92,19 @@ def _corr_dense(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.stat import Correlation
 
-    vec = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="error").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+    # a column that is NULL throughout has no correlation with any other
+    some = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    known = [c for c in cols if some[c]]
+    at = {c: i for i, c in enumerate(known)}
+    m = []
+    if known:
+        vec = VectorAssembler(inputCols=known, outputCol="__v", handleInvalid="error").transform(
+            df.select(*[F.col(c).cast("double").alias(c) for c in known]))
+        m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
     rows = []
     for i in range(len(cols)):
         for j in range(i + 1, len(cols)):
-            v = float(m[i][j])
+            v = float(m[at[cols[i]]][at[cols[j]]]) if cols[i] in at and cols[j] in at else math.nan
             rows.append((cols[i], cols[j], None if math.isnan(v) else v))
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 

@@ -19,6 +19,20 @@ from ..spec import DEFAULT_THRESHOLD, MIN_RECALL
 from .rank import running_totals
 
 
+def complete(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows on which an evaluation can count: label and score (or prediction) known. Every operator
+    here leaves out the others; :func:`unscored` counts them."""
+    for c in cols:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
+def unscored(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """``(n_rows, n_no_label, n_no_score)``."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(label).isNull()).alias("n_no_label"),
+                  F.count_if(F.col(score).isNull()).alias("n_no_score"))
+
+
 def _pos(label: str) -> Column:
     return (F.col(label) == 1).cast("long")
 
@@ -30,6 +44,7 @@ def predict_at(score: str, threshold: float) -> Column:
 def confusion(df: DataFrame, label: str = "label", score: str = "score", threshold: float = DEFAULT_THRESHOLD,
               prediction: str | None = None, group_cols: Sequence[str] = ()) -> DataFrame:
     """``(tn, fp, fn, tp)``, always four counts (a missing class counts 0)."""
+    df = complete(df, label, prediction or score)
     pred = F.col(prediction) if prediction else predict_at(score, threshold)
     y = F.col(label) == 1
     p = pred == 1
@@ -60,55 +75,67 @@ def binary_metrics(df: DataFrame, label: str = "label", score: str = "score",
 
 def score_groups(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score (per group): ``(score, pos, neg)``."""
-    return df.groupBy(*group_cols, F.col(score).cast("double").alias("score")).agg(
+    return complete(df, label, score).groupBy(*group_cols, F.col(score).cast("double").alias("score")).agg(
         F.sum(_pos(label)).alias("pos"), F.sum(1 - _pos(label)).alias("neg"))
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
+def curve_table(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
+    """``(score, pos, neg, cum_pos, cum_neg)`` per distinct score from the highest down, per group.
+
+    The one table that AUC, average precision and both curves are read from;
+    the raw rows are scanned once.
+    """
+    return running_totals(score_groups(df, label, score, group_cols), "score", ["pos", "neg"], descending=True, partition_cols=group_cols)
+
+
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", group_cols: Sequence[str] = (),
+            curve: DataFrame | None = None) -> DataFrame:
     """Area under ROC, ties count one half (Mann-Whitney), per group."""
-    g = score_groups(df, label, score, group_cols)
-    cum = running_totals(g, "score", ["neg"], descending=False, partition_cols=group_cols)
+    cum = curve_table(df, label, score, group_cols) if curve is None else curve
     part = cum.groupBy(*group_cols).agg(
-        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") * 0.5)).alias("u"),
-        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return part.select(*group_cols, F.try_divide(F.col("u"), F.col("P") * F.col("N")).alias("roc_auc"))
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.sum(F.col("pos") * F.col("cum_neg")).alias("above"),
+        F.sum(F.col("pos") * F.col("neg")).alias("tied"))
+    u = F.col("P") * F.col("N") - F.col("above") + F.col("tied") * 0.5
+    return part.select(*group_cols, F.try_divide(u, F.col("P") * F.col("N")).alias("roc_auc"))
 
 
-def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def average_precision(df: DataFrame, label: str = "label", score: str = "score", curve: DataFrame | None = None) -> DataFrame:
     """Sum over thresholds (high to low) of (R_n - R_{n-1}) * P_n (step-wise)."""
-    g = score_groups(df, label, score)
-    cum = running_totals(g, "score", ["pos", "neg"], descending=True)
+    cum = curve_table(df, label, score) if curve is None else curve
     return cum.agg(
         F.try_divide(F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))),
                      F.sum("pos")).alias("average_precision"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def _totals(curve: DataFrame) -> tuple[Column, Column]:
+    """All positives and negatives: two numbers."""
+    t = curve.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    return F.lit(t["P"] or 0).cast("double"), F.lit(t["N"] or 0).cast("double")
+
+
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score", curve: DataFrame | None = None) -> DataFrame:
     """``(threshold, fpr, tpr)`` at each distinct score, high to low, plus
     the start point (NULL threshold, 0, 0). Every distinct score is kept."""
-    g = score_groups(df, label, score)
-    cum = running_totals(g, "score", ["pos", "neg"], descending=True)
-    tot = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two numbers
-    P, N = F.lit(tot["P"] or 0).cast("double"), F.lit(tot["N"] or 0).cast("double")
-    curve = cum.select(F.col("score").alias("threshold"),
-                       F.try_divide(F.col("cum_neg"), N).alias("fpr"),
-                       F.try_divide(F.col("cum_pos"), P).alias("tpr"))
+    cum = curve_table(df, label, score) if curve is None else curve
+    P, N = _totals(cum)
+    points = cum.select(F.col("score").alias("threshold"),
+                        F.try_divide(F.col("cum_neg"), N).alias("fpr"),
+                        F.try_divide(F.col("cum_pos"), P).alias("tpr"))
     start = df.sparkSession.createDataFrame([(None, 0.0, 0.0)], "threshold double, fpr double, tpr double")
-    return curve.unionByName(start)
+    return points.unionByName(start)
 
 
-def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def pr_curve(df: DataFrame, label: str = "label", score: str = "score", curve: DataFrame | None = None) -> DataFrame:
     """``(threshold, precision, recall)`` for distinct scores down to the first
     one reaching full recall, plus the end point (NULL, 1, 0)."""
-    g = score_groups(df, label, score)
-    cum = running_totals(g, "score", ["pos", "neg"], descending=True)
-    P = F.lit(g.agg(F.sum("pos").alias("P")).first()["P"] or 0).cast("double")  # one number
+    cum = curve_table(df, label, score) if curve is None else curve
+    P, _ = _totals(cum)
     pts = cum.where((F.col("cum_pos") - F.col("pos") < P))
-    curve = pts.select(F.col("score").alias("threshold"),
-                       (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-                       F.coalesce(F.try_divide(F.col("cum_pos"), P), F.lit(1.0)).alias("recall"))
+    points = pts.select(F.col("score").alias("threshold"),
+                        (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
+                        F.coalesce(F.try_divide(F.col("cum_pos"), P), F.lit(1.0)).alias("recall"))
     end = df.sparkSession.createDataFrame([(None, 1.0, 0.0)], "threshold double, precision double, recall double")
-    return curve.unionByName(end)
+    return points.unionByName(end)
 
 
 def _threshold_bucket(score: Column, lo: int, hi: int) -> Column:
@@ -127,7 +154,7 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", l
     counts at every threshold.
     """
     spark = df.sparkSession
-    counted = df.groupBy(_threshold_bucket(F.col(score).cast("double"), lo, hi).alias("i")).agg(
+    counted = complete(df, label, score).groupBy(_threshold_bucket(F.col(score).cast("double"), lo, hi).alias("i")).agg(
         F.sum(_pos(label)).alias("pos"), F.sum(1 - _pos(label)).alias("neg"))
     grid = spark.range(lo - 1, hi + 1).select(F.col("id").cast("int").alias("i"))
     full = grid.join(counted, "i", "left").fillna(0, ["pos", "neg"])
@@ -153,10 +180,10 @@ def optimal_threshold(df: DataFrame, label: str = "label", score: str = "score",
     """Best f1 among thresholds with recall >= min_recall (lowest threshold on a
     tie, f1 must beat 0); otherwise the default threshold. Metrics at the pick."""
     sw = threshold_sweep(df, label, score, lo, max(hi, int(round(default * 100))))
-    cand = sw.where((F.col("threshold") <= F.lit(hi / 100.0)) & (F.col("recall") >= F.lit(min_recall)) & (F.col("f1") > 0))
-    best = cand.orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1).collect()  # <= 1 row of 81
-    pick = best[0]["threshold"] if best else float(default)
-    return sw.where(F.col("threshold") == F.lit(pick)).select("threshold", "recall", "precision", "f1")
+    good = (F.col("threshold") <= F.lit(hi / 100.0)) & (F.col("recall") >= F.lit(min_recall)) & (F.col("f1") > 0)
+    best = F.max(F.when(good, F.struct("f1", (-F.col("threshold")).alias("neg")))).over(Window.partitionBy())  # over <= 81 rows
+    picked = sw.withColumn("__t", F.coalesce(-best["neg"], F.lit(float(default))))
+    return picked.where(F.col("threshold") == F.col("__t")).select("threshold", "recall", "precision", "f1")
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

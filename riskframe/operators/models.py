@@ -61,7 +61,7 @@ def estimator(family: str, setting: Mapping[str, Any], n_weight: float | None =
                             maxMemoryInMB=TREE_STATS_MB)
     else:
         raise ValueError(f"unknown model family {family}")
-    if weight:
+    if weight and family != "gradient_boosting":  # boosting is fitted without class weights
         est.setWeightCol(weight)
     return est
 
@@ -92,7 +92,7 @@ def tune(df: DataFrame, features: Sequence[str], family: str, n_iter: int, fold_
          label: str = "label", weight: str | None = "weight", parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
     """M4: random search over the family's grid, folds from ``fold_col``, scored by
     recall of the positive class. Returns the refitted best model and a
-    ``(family, setting, recall)`` table."""
+    ``(family, draw, setting, recall)`` table."""
     settings = draw_settings(GRIDS[family], n_iter)
     n_weight = df.agg(F.sum(weight)).first()[0] if (weight and family == "logistic_regression") else None
     base = estimator(family, settings[0], n_weight, label=label, weight=weight)
@@ -108,15 +108,16 @@ def tune(df: DataFrame, features: Sequence[str], family: str, n_iter: int, fold_
                         parallelism=parallelism, seed=RANDOM_SEED)
     cvm = cv.fit(df)
     spark = df.sparkSession
-    rows = [(family, repr(s), float(m)) for s, m in zip(settings, cvm.avgMetrics)]
-    results = spark.createDataFrame(rows, "family string, setting string, recall double")
+    rows = [(family, i, repr(s), float(m)) for i, (s, m) in enumerate(zip(settings, cvm.avgMetrics))]
+    results = spark.createDataFrame(rows, "family string, draw int, setting string, recall double")
     return cvm.bestModel, results
 
 
 def select_best(results: DataFrame) -> DataFrame:
-    """M5: highest recall; on a tie the earlier family in the fixed order wins."""
+    """M5: highest recall; on a tie the earlier family in the fixed order wins, inside a family the
+    earlier draw (the one that the search keeps)."""
     order = F.array_position(F.array(*[F.lit(m) for m in MODEL_ORDER]), F.col("family"))
-    return results.where(F.col("recall").isNotNull()).orderBy(F.col("recall").desc(), order.asc()).limit(1)
+    return results.where(F.col("recall").isNotNull()).orderBy(F.col("recall").desc(), order.asc(), F.col("draw").asc()).limit(1)
 
 
 # ---------------------------------------------------------------------------

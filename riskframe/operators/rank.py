@@ -2,7 +2,7 @@
 
 A window partitioned by a two-valued label, or not partitioned at all, runs
 in one task. Both helpers here split the order into buckets that follow it
-(a hex prefix of an md5 key, or value ranges of a sort key), count per
+(a hex prefix of an md5 key, or ranges of a sort key), count per
 bucket (a small table: partitions x buckets), turn those counts into
 offsets with a window over the small table, and finish with a window inside
 each bucket plus the offset.
@@ -13,21 +13,19 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket, hash_key
+from ..session import scratch_path
 
-# Offsets tables above this many rows are joined by shuffle, not broadcast.
-BROADCAST_ROWS = 2_000_000
 
+def null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL class is a class).
 
-def null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], broadcast: bool = True,
-                   how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (a NULL class is a class)."""
-    renamed = small.select(*[F.col(c).alias(f"__j_{c}") if c in keys else F.col(c) for c in small.columns])
-    right = F.broadcast(renamed) if broadcast else renamed
+    No broadcast is asked for: Spark broadcasts ``small`` if its measured bytes allow it.
+    """
+    right = small.select(*[F.col(c).alias(f"__j_{c}") if c in keys else F.col(c) for c in small.columns])
     cond = None
     for k in keys:
         c = big[k].eqNullSafe(right[f"__j_{k}"])
@@ -35,15 +33,11 @@ def null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str], broadc
     return big.join(right, cond, how).drop(*[f"__j_{k}" for k in keys])
 
 
-def _join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], small_rows: int) -> DataFrame:
-    return null_safe_join(big, small, keys, broadcast=small_rows <= BROADCAST_ROWS)
-
-
 def hex_chars_for(n_rows: int, rows_per_bucket: int = 200_000) -> int:
     """Hex prefix length so that a bucket holds about ``rows_per_bucket`` rows."""
     if n_rows <= rows_per_bucket * 16:
         return 1
-    return max(1, min(7, math.ceil(math.log(n_rows / rows_per_bucket, 16))))
+    return max(1, min(15, math.ceil(math.log(n_rows / rows_per_bucket, 16))))
 
 
 def hash_rank(
@@ -54,7 +48,6 @@ def hash_rank(
     stream: str,
     rank_col: str = "rank",
     n_rows: int | None = None,
-    n_groups: int = 64,
     rows_per_bucket: int = 200_000,
 ) -> DataFrame:
     """1-based rank inside ``partition_cols`` ordered by ``md5(seed:stream:key)``, then key.
@@ -70,8 +63,7 @@ def hash_rank(
     counts = keyed.groupBy(*partition_cols, b).agg(F.count(F.lit(1)).alias("__n"))
     wo = Window.partitionBy(*partition_cols).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))).drop("__n")
-    small_rows = 16 ** chars * max(1, n_groups)  # offsets rows: groups x buckets
-    joined = _join_small(keyed, offsets, [*partition_cols, b], small_rows)
+    joined = null_safe_join(keyed, offsets, [*partition_cols, b])
     wi = Window.partitionBy(*partition_cols, b).orderBy(h, key_col)
     return joined.withColumn(rank_col, (F.row_number().over(wi) + F.col("__off")).cast("bigint")).drop(h, b, "__off")
 
@@ -82,37 +74,28 @@ def running_totals(
     sum_cols: Sequence[str],
     descending: bool = False,
     partition_cols: Sequence[str] = (),
-    buckets: int | None = None,
     prefix: str = "cum_",
-    rows_per_bucket: int = 500_000,
 ) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order inside
     ``partition_cols`` (ties must be pre-aggregated: one row per distinct
     order value and partition).
 
-    Buckets are value ranges from approximate quantiles of the order column
-    (a list of ``buckets`` numbers on the driver), so each bucket holds about
-    1 / buckets of the rows whatever the distribution. By default the bucket
-    count grows with the rows (about ``rows_per_bucket`` each, at least 256).
+    Rows are dealt by ranges of (partition, order value) and written, so that a
+    row's range is fixed; the sums of the ranges (as many rows as ranges, and
+    partitions that meet them) give each range its offset, and a window runs
+    inside each range.
     """
-    if buckets is None:
-        n = df.count()
-        buckets = int(min(2_000_000, max(256, math.ceil(n / rows_per_bucket))))
-    key = "__k"
-    b = "__b"
+    key, b = "__k", "__b"
     parts = list(partition_cols)
     data = df.withColumn(key, (-F.col(order_col) if descending else F.col(order_col)).cast("double"))
-    probs = [i / buckets for i in range(1, buckets)]
-    splits = sorted(set(v for v in data.approxQuantile(key, probs, 1.0 / (4 * buckets)) if v is not None))
-    splits = [-math.inf, *splits, math.inf]
-    bucketed = Bucketizer(splits=splits, inputCol=key, outputCol=b, handleInvalid="keep").transform(data)
-    bucketed = bucketed.withColumn(b, F.col(b).cast("int"))
-    totals = bucketed.groupBy(*parts, b).agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(sum_cols)])
-    # over the small (partitions x buckets) table
+    path = scratch_path(df.sparkSession, "running-totals")
+    data.repartitionByRange(*parts, key).withColumn(b, F.spark_partition_id()).write.parquet(path)
+    ranged = df.sparkSession.read.parquet(path)
+    totals = ranged.groupBy(*parts, b).agg(*[F.sum(c).alias(f"__t{i}") for i, c in enumerate(sum_cols)])
     wo = Window.partitionBy(*parts).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*parts, b, *[F.coalesce(F.sum(f"__t{i}").over(wo), F.lit(0)).alias(f"__o{i}")
                                          for i in range(len(sum_cols))])
-    joined = null_safe_join(bucketed, offsets, [*parts, b], broadcast=not parts)
+    joined = null_safe_join(ranged, offsets, [*parts, b])
     wi = Window.partitionBy(*parts, b).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     out = joined.withColumns({
         f"{prefix}{c}": F.sum(c).over(wi) + F.col(f"__o{i}") for i, c in enumerate(sum_cols)

@@ -18,17 +18,21 @@ from ..spec import CV_FOLDS, RANDOM_SEED, TEST_SIZE
 from .rank import hash_rank, null_safe_join
 
 
-# Per-class tables are collected and broadcast; a label with more classes than
-# this is not a class label (checked, not assumed).
-MAX_CLASSES = 100_000
+def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
+    """Rows per class (one row per class reaches the driver)."""
+    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def class_counts(df: DataFrame, label: str) -> dict[Any, int]:
-    """Rows per class (one row per class reaches the driver; at most MAX_CLASSES)."""
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["n"] for r in rows}
+def class_test_counts(df: DataFrame, label: str, test_size: float = TEST_SIZE) -> DataFrame:
+    """``(label, n, __lim)``: :func:`allocate_test_counts` over the table of classes."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    every = Window.partitionBy()  # over the per-class table: one row per class
+    n_test = F.ceil(F.lit(test_size) * F.sum("n").over(every))
+    share = counts.withColumn("__c", n_test * F.col("n") / F.sum("n").over(every)).withColumn("__t", n_test)
+    share = share.withColumn("__f", F.floor("__c"))
+    left = F.col("__t") - F.sum("__f").over(every)
+    order = Window.orderBy((F.col("__c") - F.col("__f")).desc(), F.col(label).asc_nulls_last())
+    return share.select(label, "n", (F.col("__f") + (F.row_number().over(order) <= left).cast("int")).cast("bigint").alias("__lim"))
 
 
 def allocate_test_counts(counts: Mapping[Any, int], test_size: float = TEST_SIZE) -> dict[Any, int]:
@@ -53,12 +57,8 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = TES
     Rows are ranked inside their class by ``md5(seed:split:key)``; the first
     ``n_test_c`` rows of class c are ``test``.
     """
-    counts = class_counts(df, label)
-    alloc = allocate_test_counts(counts, test_size)
-    ranked = hash_rank(df, [label], key, seed, "split", rank_col="__r", n_rows=sum(counts.values()),
-                       n_groups=len(counts))
-    limits = df.sparkSession.createDataFrame(
-        [(k, int(v)) for k, v in alloc.items()], f"{label} {df.schema[label].dataType.simpleString()}, __lim long")
+    ranked = hash_rank(df, [label], key, seed, "split", rank_col="__r")
+    limits = class_test_counts(df, label, test_size).select(label, "__lim")
     out = null_safe_join(ranked, limits, [label], how="left")  # one row per class
     return out.withColumn(split_col, F.when(F.col("__r") <= F.col("__lim"), F.lit("test")).otherwise(F.lit("train"))) \
               .drop("__r", "__lim")

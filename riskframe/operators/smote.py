@@ -117,19 +117,19 @@ def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int =
     return (out, c2) if candidates else out
 
 
-# Minority rows joined by broadcast below this count, else by shuffle (AQE splits hot keys).
-BROADCAST_MINORITY_ROWS = 1_000_000
 SYNTHETIC_ROWS_PER_PARTITION = 1_000_000
 
 
-def oversample(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, seed: int = RANDOM_SEED) -> DataFrame:
+def oversample(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, seed: int = RANDOM_SEED,
+               copy_single: bool = False) -> DataFrame:
     """Synthetic rows ``(id, label, vec, synthetic=True)`` that bring every class
     below the largest one up to its count, unioned with the original rows.
 
     Synthetic row s (0 <= s < total need) is produced by an evenly partitioned
     ``range``, not by exploding its base row, so a tiny class that needs many
     rows does not load one task. Each minority row is packed with its k
-    neighbour vectors (bounded by k) and joined once on (class, rank).
+    neighbour vectors (bounded by k) and joined once on (class, rank). A class of
+    one row has no neighbour: that raises, or with ``copy_single`` gives copies.
     """
     counts = class_counts(df, label)  # one row per class, checked
     n_major = max(counts.values())
@@ -140,14 +140,17 @@ def oversample(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, see
                        F.lit(None).cast("double").alias("gap"), F.lit(False).alias("synthetic"))
     if not need:
         return orig
+    single = sorted((c for c in need if counts[c] == 1), key=str)
+    if single and not copy_single:
+        raise ValueError(f"classes of one row have no neighbour to interpolate with: {single}")
     spark = df.sparkSession
     ltype = df.schema[label].dataType.simpleString()
     minority = base.where(F.col(label).isin(*need.keys()))
     nn = knn_within_class(minority, id_col, label, vec, k, seed=seed)
     nbr_vecs = nn.join(base.select(F.col(id_col).alias("nn_id"), F.col(vec).alias("__nv")), "nn_id") \
         .groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("nn_rank", "nn_id", "__nv"))).alias("__nbrs"))  # <= k
-    ranked = hash_rank(minority, [label], id_col, seed, "smote-base", rank_col="__r", n_groups=len(need))
-    packed = ranked.join(nbr_vecs, id_col)
+    ranked = hash_rank(minority, [label], id_col, seed, "smote-base", rank_col="__r")
+    packed = ranked.join(nbr_vecs, id_col, "left")
 
     # synthetic index space: class c owns [off_c, off_c + need_c)
     classes = sorted(need, key=lambda c: (c is None, c))
@@ -165,9 +168,7 @@ def oversample(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, see
     idx = idx.join(F.broadcast(plan), label)  # one row per class
     idx = idx.select(label, (F.col("id") - F.col("__off")).alias("__s"), "__n_c")
     idx = idx.withColumn("__r", (F.col("__s") % F.col("__n_c")) + 1)
-    n_min = sum(counts[c] for c in need)
-    right = F.broadcast(packed) if n_min <= BROADCAST_MINORITY_ROWS else packed
-    joined = idx.join(right, [label, "__r"])
+    joined = idx.join(packed, [label, "__r"])
     skey = F.concat_ws(":", F.col(label).cast("string"), F.col("__s").cast("string"))
     pick = (F.conv(F.substring(hash_key(seed, "smote-nn", skey), 1, 8), 16, 10).cast("bigint") % F.size("__nbrs") + 1)
     joined = joined.withColumn("__nb", F.element_at("__nbrs", pick.cast("int"))) \
@@ -175,7 +176,7 @@ def oversample(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, see
     synth = joined.select(
         F.concat_ws("-", F.lit("s"), F.col(label).cast("string"), F.col("__s").cast("string")).alias(id_col),
         label,
-        F.zip_with(F.col(vec), F.col("__nb.__nv"), lambda x, y: x + F.col("__g") * (y - x)).alias(vec),
+        F.zip_with(F.col(vec), F.coalesce("__nb.__nv", vec), lambda x, y: x + F.col("__g") * (y - x)).alias(vec),
         F.col(id_col).cast("string").alias("base_id"), F.col("__nb.nn_id").cast("string").alias("nn_id"),
         F.col("__g").alias("gap"), F.lit(True).alias("synthetic"),
     )

@@ -140,16 +140,12 @@ def test_classification_report_multiclass(spark):
     assert abs(rep["weighted avg"].recall - weighted_r) < 1e-12
 
 
-def test_domain_violation_sample_is_bounded(spark):
-    df = spark.createDataFrame([(float(v),) for v in range(2, 100)], "x double")
-    r = val_domain(df)
-    assert r["n_bad"] == 98 and r["n_bad_distinct"] == 98 and len(r["bad_values"].split(",")) == 10
+def test_every_bad_value_is_reported(spark):
+    from riskframe.operators.validate import SHOWN, domain_messages, domain_violations
 
-
-def val_domain(df):
-    from riskframe.operators.validate import domain_violations
-
-    return domain_violations(df, ["x"]).first()
+    df = spark.createDataFrame([(float(v),) for v in range(2, 300)], "x double")
+    assert domain_violations(df, ["x"]).count() == 298
+    assert domain_messages(df, ["x"])[0].endswith(f"and {298 - SHOWN} more")
 
 
 def test_running_totals_many_buckets_equal_window(spark):
@@ -159,7 +155,7 @@ def test_running_totals_many_buckets_equal_window(spark):
 
     df = spark.range(0, 4000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 7919) % 4001).cast("double").alias("s"),
                                      (F.col("id") % 5).alias("w"))
-    ours = running_totals(df, "s", ["w"], descending=True, partition_cols=["g"], buckets=50)
+    ours = running_totals(df, "s", ["w"], descending=True, partition_cols=["g"])
     ref = df.withColumn("cum_w", F.sum("w").over(Window.partitionBy("g").orderBy(F.col("s").desc())
                                                  .rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(ours.select("g", "s", "w", "cum_w").collect()) == sorted(ref.collect())
@@ -183,3 +179,32 @@ def test_optimal_threshold_fallback_and_lowest_tie(spark):
     assert r.threshold == 0.5
     tie = spark.createDataFrame([(0.95, 1), (0.96, 1), (0.05, 0)], "score double, label int")
     assert mt.optimal_threshold(tie).first().threshold == 0.1  # every threshold has f1 1.0: lowest wins
+
+
+def test_null_scores_and_labels_are_left_out_everywhere(spark):
+    rows = [(1, 0.9), (0, 0.8), (1, 0.7), (0, 0.1)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    more = spark.createDataFrame([*rows, (0, None), (1, None), (None, 0.95)], "label int, score double")
+    for f in (mt.confusion, mt.binary_metrics, mt.roc_auc, mt.average_precision, mt.roc_curve, mt.pr_curve, mt.threshold_sweep, mt.optimal_threshold):
+        assert sorted(map(repr, f(df).collect())) == sorted(map(repr, f(more).collect())), f.__name__
+    assert tuple(mt.unscored(more).first()) == (7, 1, 2)
+
+
+def test_all_null_column_correlates_with_nothing(spark):
+    from riskframe.operators import features as feat
+
+    df = spark.createDataFrame([(float(i), float(2 * i), None) for i in range(9)], "a double, b double, c double")
+    assert feat.correlated_to_drop(df, ["a", "c", "b"], pairwise_complete=False) == ["b"]
+
+
+def test_confusion_by_prediction_column(spark):
+    df = spark.createDataFrame([(1, 1), (1, 0), (0, 1), (0, 0), (0, None)], "label int, prediction int")
+    assert tuple(mt.confusion(df, prediction="prediction").first()) == (1, 1, 1, 1)
+
+
+def test_split_counts_equal_the_driver_allocation(spark):
+    from riskframe.operators.sampling import allocate_test_counts, class_counts, class_test_counts
+
+    df = spark.createDataFrame([(c,) for c, n in (("a", 7), ("b", 13), ("c", 1), (None, 4)) for _ in range(n)], "y string")
+    want = allocate_test_counts(class_counts(df, "y"))
+    assert {r.y: r["__lim"] for r in class_test_counts(df, "y").collect()} == want
