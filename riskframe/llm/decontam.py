@@ -30,13 +30,28 @@ NEAR_TERMS, NEAR_SPAN = 4, 20
 
 @dataclass
 class TestWindows:
-    """Distinct windows of a block of items: ``terms[w, i]`` for i < ``size[w]``, and their items."""
+    """Distinct windows of a block of items: ``terms[w, i]`` for i < ``size[w]``, and their items.
+
+    ``order[w]`` lists a window's places from the rarest term in the corpus on, the earlier of
+    equals first, unused places last.
+    """
 
     terms: np.ndarray
     size: np.ndarray
     item_of: np.ndarray
     window_of: np.ndarray
     items: list[str] = field(default_factory=list)
+    order: np.ndarray | None = None
+
+    def ranked(self, terms: np.ndarray, counts: np.ndarray) -> TestWindows:
+        """Sets ``order`` by the corpus counts of ``terms`` (sorted; others count 0)."""
+        of = np.zeros(self.terms.shape, np.int64)
+        if len(terms):
+            at = np.minimum(np.searchsorted(terms, self.terms), len(terms) - 1)
+            of = np.where(terms[at] == self.terms, counts[at], 0)
+        used = np.arange(self.terms.shape[1]) < self.size[:, None]
+        self.order = np.argsort(np.where(used, of, np.iinfo(np.int64).max), axis=1, kind="stable")
+        return self
 
     @staticmethod
     def of(rows: list[tuple[str | None, str | None]], window: int = WINDOW) -> TestWindows:
@@ -137,41 +152,68 @@ class Postings:
         return there
 
 
+def term_counts(index: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of ``terms`` that the corpus has, sorted, and how often; at most a row per term comes back."""
+    sent = index.sparkSession.sparkContext.broadcast(np.unique(terms))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = sent.value
+        total = np.zeros(len(wanted), np.int64)
+        for b in batches:
+            for t, n in zip(b.column(0), b.column(1)):
+                own, counts = np.frombuffer(t.as_py(), "<u8"), np.frombuffer(n.as_py(), "<u4")
+                if len(own):
+                    at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+                    total += np.where(own[at] == wanted, counts[at], 0)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(wanted[there].view(np.int64)), pa.array(total[there])], names=["term", "n"])
+
+    got = index.select("terms", "counts").mapInArrow(rows, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    found = got.term.to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(found)
+    return found[order], got.n.to_numpy(np.int64)[order]
+
+
 def find(p: Postings, t: TestWindows, step: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(window, first position) of every exact occurrence; (window, document) of proximity matches."""
+    """(window, first position) of every exact occurrence; (window, document) of proximity matches.
+
+    A window's candidates are the postings of its rarest term. Those with the next rarest close by
+    are proximity matches; of these, those whose lists all agree after adjusting by the places in
+    the window are exact occurrences.
+    """
     empty = np.zeros(0, np.int64)
     if not len(p.terms) or not len(t.terms):
         return empty, empty, empty, empty
     number = np.minimum(np.searchsorted(p.terms, t.terms), len(p.terms) - 1)
-    used = np.arange(t.terms.shape[1]) < t.size[:, None]
     length = np.where(p.terms[number] == t.terms, p.counts[number], 0)
-    windows = np.flatnonzero((~used | (length > 0)).all(axis=1))  # all terms occur
-    order = np.argsort(np.where(used, length, np.iinfo(np.int64).max)[windows], axis=1, kind="stable")
-    rarest = order[:, 0]
+    first = np.take_along_axis(length, t.order[:, :NEAR_TERMS], axis=1)
+    used = np.arange(first.shape[1]) < t.size[:, None]
+    windows = np.flatnonzero((~used | (first > 0)).all(axis=1))  # the rarest terms are here
+    rarest = t.order[windows, 0]
     many = length[windows, rarest]
+    ends = np.cumsum(many)
     out: list[tuple] = []
     begin = 0
-    ends = np.cumsum(many)
     while begin < len(windows):  # parts of about ``step`` candidates
         end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + step, "right")))
-        n, part = many[begin:end], np.repeat(np.arange(begin, end), many[begin:end])
-        w, offset = windows[part], rarest[part]
-        at = p.first[number[w, offset]] + np.arange(len(part)) - np.repeat(np.cumsum(n) - n, n)
+        n = many[begin:end]
+        w, offset = np.repeat(windows[begin:end], n), np.repeat(rarest[begin:end], n)
+        at = p.first[number[w, offset]] + np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
         place = p.positions[at]
         doc = np.searchsorted(p.doc_start, place, "right") - 1
         low, high = np.maximum(place - NEAR_SPAN, p.doc_start[doc]), np.minimum(place + NEAR_SPAN, p.doc_start[doc + 1] - 1)
         for j in range(1, min(NEAR_TERMS, t.terms.shape[1])):
-            o = order[part, j]
+            o = t.order[w, j]
             ok = (j >= t.size[w]) | p.has(number[w, o], low, high)
-            part, w, place, doc, low, high = (x[ok] for x in (part, w, place, doc, low, high))
+            w, place, doc, low, high = (x[ok] for x in (w, place, doc, low, high))
         near = np.unique(np.column_stack([w, doc]), axis=0) if len(w) else np.zeros((0, 2), np.int64)
-        start = place - rarest[part]
+        start = place - t.order[w, 0]
         ok = (start >= p.doc_start[doc]) & (start + t.size[w] <= p.doc_start[doc + 1])
-        part, w, start = part[ok], w[ok], start[ok]
+        w, start = w[ok], start[ok]
         for j in range(1, t.terms.shape[1]):
-            o = order[part, j]
-            ok = (j >= t.size[w]) | p.has(number[w, o], start + o, start + o)
-            part, w, start = part[ok], w[ok], start[ok]
+            o = t.order[w, j]
+            ok = (j >= t.size[w]) | (length[w, o] > 0) & p.has(number[w, o], start + o, start + o)
+            w, start = w[ok], start[ok]
         out.append((w, start, near[:, 0], near[:, 1]))
         begin = end
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (empty,) * 4
@@ -232,8 +274,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Words are lower-cased as in ASCII; windows are ten consecutive words of an item, or all of a
     shorter one. ``hits`` are the words (start, stop) inside exact occurrences of windows, merged;
-    ``items`` the items they are of, ``near`` those of which four of a window's rarest words stand
-    within 20 words of an occurrence of the rarest. A null or empty text has no words; an empty
+    ``items`` the items they are of, ``near`` those of which a window's four rarest words in the
+    corpus (earlier in the window first, among equals) stand within 20 words of an occurrence of
+    the rarest. A null or empty text has no words; an empty
     benchmark hits nothing. Items of one id are one item. Repeated rows are judged each. Columns
     other than doc_id, text, item_id aren't read.
 
@@ -252,7 +295,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     first = rows(0)
     index = build_index(docs, {w for _, t in first for w in fold_words(data(t))} if n == 1 else None)
     bounded_batches(spark)
-    found = [search(index, TestWindows.of(first if k == 0 else rows(k))) for k in range(n)]
+    found = []
+    for k in range(n):
+        tests = TestWindows.of(first if k == 0 else rows(k))
+        found.append(search(index, tests.ranked(*term_counts(index, tests.terms))))
     out = reduce(DataFrame.unionByName, found)
     if n > 1:
         out = out.groupBy("segment", "at", "doc_id", "key", "n_words").agg(
@@ -275,3 +321,32 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated", F.size("near").cast("long").alias("n_near"))
+
+
+_FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_AT = "array_to_string(list_slice(w, p, p + n - 1), ' ')"
+
+ORACLE = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_FOLDED} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS n FROM (SELECT item_id, {_FOLDED} AS w FROM benchmark) WHERE len(w) > 0),
+bw AS MATERIALIZED (SELECT DISTINCT item, n, {_AT} AS g FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM b)),
+dg AS (SELECT doc_id, p, n, {_AT} AS g FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+h AS MATERIALIZED (SELECT DISTINCT doc_id, item, p, dg.n FROM dg JOIN bw ON dg.n = bw.n AND dg.g = bw.g),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM h) GROUP BY doc_id),
+tok AS MATERIALIZED (SELECT doc_id, unnest(range(1, len(w) + 1)) AS q, unnest(w) AS term FROM d),
+df AS (SELECT term, count(*) AS c FROM tok GROUP BY term),
+win AS (SELECT DISTINCT n, g FROM bw),
+pl AS (SELECT n, g, unnest(range(1, n + 1)) AS o, unnest(string_split(g, ' ')) AS term FROM win),
+rk AS MATERIALIZED (SELECT n, g, pl.term, row_number() OVER (PARTITION BY n, g ORDER BY coalesce(c, 0), o) AS k FROM pl LEFT JOIN df ON pl.term = df.term),
+an AS (SELECT rk.n, rk.g, tok.doc_id, tok.q FROM rk JOIN tok ON rk.term = tok.term WHERE k = 1),
+cl AS (SELECT an.n, an.g, an.doc_id, an.q FROM an JOIN rk ON an.n = rk.n AND an.g = rk.g AND k <= {NEAR_TERMS}
+       JOIN tok ON tok.doc_id = an.doc_id AND tok.term = rk.term AND tok.q BETWEEN an.q - {NEAR_SPAN} AND an.q + {NEAR_SPAN}
+       GROUP BY an.n, an.g, an.doc_id, an.q HAVING count(DISTINCT k) = least(an.n, {NEAR_TERMS})),
+nr AS (SELECT doc_id, count(DISTINCT item) AS n_near FROM cl JOIN bw ON cl.n = bw.n AND cl.g = bw.g GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id LEFT JOIN nr ON d.doc_id = nr.doc_id
+"""

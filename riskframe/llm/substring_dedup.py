@@ -236,7 +236,8 @@ def copies_in(blocks: DataFrame) -> DataFrame:
     return each.join(first, "digests").where("places > least").groupBy("block").agg(F.collect_list("at").alias("copies"))
 
 
-def _beside(blocks: DataFrame, *sides: DataFrame) -> DataFrame:
+def beside(blocks: DataFrame, *sides: DataFrame) -> DataFrame:
+    """Blocks with what tables by block say of them; only the latter are shuffled."""
     for s in sides:
         blocks = blocks.join(s.hint("shuffle_hash"), "block", "left")
     return blocks
@@ -391,10 +392,10 @@ def substring_dedup(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -
     table = write_blocks(docs, cfg)
     total = table.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // cfg.bucket))
-    blocks = _beside(table, copies_in(table))
+    blocks = beside(table, copies_in(table))
     masks = shared_anchors(blocks, buckets, cfg)
-    marked = _beside(blocks, masks)
-    every = _beside(marked, smallest_places(marked, buckets, cfg)).select("block", "places", "lengths", "text", "copies", "masks", "found")
+    marked = beside(blocks, masks)
+    every = beside(marked, smallest_places(marked, buckets, cfg)).select("block", "places", "lengths", "text", "copies", "masks", "found")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
