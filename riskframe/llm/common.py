@@ -105,30 +105,31 @@ def components(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
 
     Each round links every node to the smallest node it knows of (first from its larger
     neighbours, then from its smaller ones), so paths halve and a round moves as many edges as
-    there are nodes; rounds end when nothing changes. A star with very many leaves stays a list of
-    edges: no neighbour list is gathered anywhere. Every round is written to the shared folder.
-    Empty edges give an empty result.
+    there are nodes; rounds end when every node hangs on one root. A star with very many leaves
+    stays a list of edges: no neighbour list is gathered anywhere. Every round is written to the
+    shared folder. Empty edges give an empty result.
     """
-    def tally(e: DataFrame) -> tuple:
-        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def settled(e: DataFrame) -> bool:
+        """Every node hangs on one other, on which nothing else is to be done."""
+        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+            e.select(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+        each = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+        return each.where("hangs > 1 OR hangs > 0 AND holds > 0").isEmpty()
 
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = materialize(e, name)
-    seen = tally(e)
     for _ in range(rounds):
+        if settled(e):
+            break
         # every node's smallest neighbour or itself; its larger neighbours are linked to that
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
         # every node's smaller neighbours are linked to the smallest of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        e = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), name)
-        now = tally(e)
-        if now == seen:
-            break
-        seen = now
+        own, other = F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(least, "a").select(F.explode(F.array(own, other)).alias("e"))
+        e = materialize(small.select("e.a", "e.b").where("a <> b").distinct(), name)
     else:
         raise RuntimeError(f"components: not settled after {rounds} rounds")
     nodes = e.select(F.col("a").alias("node"), F.col("b").alias("label"))

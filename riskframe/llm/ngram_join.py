@@ -139,9 +139,9 @@ class Member:
     shingles: np.ndarray
 
 
-def compare(one: list[Member], other: list[Member] | None, cfg: JoinConfig, least: list[tuple[int, int]], minhash: MinHash) -> list[tuple[int, int, int, int]]:
-    """(node, linked sets, documents of linked sets, root) of all members: pairs within ``one``, or
-    between ``one`` and ``other``. Roots join what is linked, directly or over others."""
+def compare(one: list[Member], other: list[Member] | None, cfg: JoinConfig, least: list[tuple[int, int]], minhash: MinHash) -> list[tuple[int, int, int]]:
+    """(node, documents of linked sets, root) of all members: pairs within ``one``, or between
+    ``one`` and ``other``. Roots join what is linked, directly or over others."""
     members = one + (other or [])
     side = np.array([0] * len(one) + [1] * len(other or []))
     size = np.array([len(m.shingles) for m in members], np.int64)
@@ -152,7 +152,7 @@ def compare(one: list[Member], other: list[Member] | None, cfg: JoinConfig, leas
     first = np.concatenate([[0], np.cumsum(size)])
     mark = np.zeros(flat.max() + 1, bool)
     copies = np.array([m.copies for m in members], np.int64)
-    sets, docs, root = np.zeros(len(members), np.int64), np.zeros(len(members), np.int64), np.arange(len(members))
+    docs, root = np.zeros(len(members), np.int64), np.arange(len(members))
     for i in range(len(members)):
         # a larger set can reach the threshold up to size / t
         js = np.arange(i + 1, int(np.searchsorted(size, size[i] * cfg.under // cfg.over, "right")))
@@ -176,23 +176,21 @@ def compare(one: list[Member], other: list[Member] | None, cfg: JoinConfig, leas
         mark[own] = False
         js = js[cfg.under * common >= cfg.over * (size[i] + n - common)]
         if len(js):
-            sets[i] += len(js)
             docs[i] += copies[js].sum()
-            sets[js] += 1
             docs[js] += copies[i]
             roots = np.unique(root[np.append(js, i)])
             if len(roots) > 1:
                 root[np.isin(root, roots)] = roots[0]
-    return [(m.node, int(s), int(d), members[r].node) for m, s, d, r in zip(members, sets, docs, root)]
+    return [(m.node, int(d), members[r].node) for m, d, r in zip(members, docs, root)]
 
 
 def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """(node, n_sets, n_docs, root) per candidate set and pair of blocks it took part in."""
+    """(node, n_docs, root, whole) per candidate set and pair of blocks it took part in; ``whole`` if
+    its group is one block."""
     cand = sets.join(groups, "node").select("place", "key", "digest", "node", "copies", "label", (F.col("n") + (cfg.hashes + 1) // 2).alias("weight"))
     cand = materialize(cand, "candidate-sets")
     blocks = cand.groupBy("label").agg(F.ceil(F.sum("weight") / cfg.block).cast("int").alias("n_blocks"))
     cand = cand.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("n_blocks")).cast("int")).drop("weight")
-    total = cand.agg(F.count("*")).first()[0]
     texts = _placed(docs).select("place", "key", "text").join(cand.hint("shuffle_hash"), ["place", "key"])
     schema = pa.schema([("node", pa.int64()), ("copies", pa.int64()), ("label", pa.int64()), ("n_blocks", pa.int32()), ("block", pa.int32()), ("shingles", pa.binary())])
 
@@ -203,31 +201,30 @@ def verified_links(docs: DataFrame, sets: DataFrame, groups: DataFrame, cfg: Joi
 
     spread = texts.select("node", "copies", "label", "n_blocks", "block", "text").mapInArrow(shingles, "node long, copies long, label long, n_blocks int, block int, shingles binary")
     pair = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("with")
-    spread = spread.select("*", pair).select("label", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "copies", "shingles")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // 2_000)
-    spread = spread.repartition(parts, "label", "low", "high").sortWithinPartitions("label", "low", "high", "block", "node")
-    out = pa.schema([("node", pa.int64()), ("n_sets", pa.int64()), ("n_docs", pa.int64()), ("root", pa.int64())])
+    spread = spread.select("*", pair).select("label", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "n_blocks", "block", "node", "copies", "shingles")
+    spread = spread.repartition("label", "low", "high").sortWithinPartitions("label", "low", "high", "block", "node")
+    out = pa.schema([("node", pa.int64()), ("n_docs", pa.int64()), ("root", pa.int64()), ("whole", pa.bool_())])
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least, minhash = cfg.least_matches(), MinHash(cfg)
 
         def result(key: tuple, rows: dict[int, tuple[int, Member]]) -> pa.RecordBatch:
             of = lambda k: [m for b, m in rows.values() if b == k]
-            got = compare(of(key[1]), of(key[2]) if key[1] != key[2] else None, cfg, least, minhash)
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*got)], schema=out)
+            got = [(*r, key[3] == 1) for r in compare(of(key[1]), of(key[2]) if key[1] != key[2] else None, cfg, least, minhash)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), out.types)], schema=out)
 
         key, rows = None, {}
         for b in batches:
-            for label, low, high, block, node, copies, raw in zip(*(c.to_pylist() for c in b.columns)):
-                if (label, low, high) != key:
+            for *of, block, node, copies, raw in zip(*(c.to_pylist() for c in b.columns)):
+                if tuple(of) != key:
                     if rows:
                         yield result(key, rows)
-                    key, rows = (label, low, high), {}
+                    key, rows = tuple(of), {}
                 rows[node] = block, Member(node, copies, np.frombuffer(raw, "<u8"))  # rows repeated in full come twice
         if rows:
             yield result(key, rows)
 
-    return materialize(spread.mapInArrow(links, "node long, n_sets long, n_docs long, root long"), "links")
+    return materialize(spread.mapInArrow(links, "node long, n_docs long, root long, whole boolean"), "links")
 
 
 def near_duplicates(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
@@ -247,12 +244,17 @@ def near_duplicates(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFram
         F.min(F.struct("place", "key")).alias("head"), F.count("*").alias("copies"), F.first("node").alias("node"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     sets = materialize(sets.select("digest", "head.place", "head.key", "copies", "node", "n", "bands"), "sets")
     links = verified_links(docs, sets, candidate_groups(sets), cfg)
-    classes = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), "classes")
-    counts = links.groupBy("node").agg(F.sum("n_docs").alias("linked"))
-    named = sets.select("digest", "place", "key", "copies", "node").join(counts, "node", "left").join(classes, "node", "left")
-    named = materialize(named.withColumn("label", F.coalesce("label", "node")).na.fill(0, ["linked"]), "classes-of-sets")
-    heads = named.groupBy("label").agg(F.min(F.struct("place", "key")).alias("head"), F.sum("copies").alias("class_size"))
-    named = named.select("digest", "label", "linked", "copies").join(heads, "label")
+    # what one task has compared is labelled; groups of several blocks are joined over their edges
+    named = links.groupBy("node").agg(F.sum("n_docs").alias("linked"), F.min("root").alias("label"))
+    parts = links.where("NOT whole").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    if not parts.isEmpty():
+        joined = components(parts, "classes").withColumnRenamed("label", "over")
+        named = named.join(joined, "node", "left").select("node", "linked", F.coalesce("over", "label").alias("label"))
+    named = sets.select("digest", "place", "key", "copies", "node").join(named, "node", "left")
+    named = materialize(named.where("copies > 1 OR label IS NOT NULL"), "classes-of-sets")
+    heads = named.where("label IS NOT NULL").groupBy("label").agg(F.min(F.struct("place", "key")).alias("head"), F.sum("copies").alias("class_size"))
+    named = named.join(heads, "label", "left").select("digest", F.coalesce("linked", F.lit(0)).alias("linked"), "copies",
+                                                      F.coalesce("head", F.struct("place", "key")).alias("head"), F.coalesce("class_size", "copies").alias("class_size"))
     own = F.struct("place", "key")
     out = t.select("place", "key", "digest").join(named, "digest", "left")
     head = F.coalesce("head", own)
@@ -283,3 +285,23 @@ def keep_first(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes and links of all documents at five-word Jaccard similarity 0.8."""
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links", "n_copies", "class_size")
+
+
+_FOLDED = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Exact links of all documents over shared shingles, and their classes.
+ORACLE = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {_FOLDED} AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS g FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT x, y, k = na.n AND k = nb.n AS same FROM c JOIN n na ON na.doc_id = x JOIN n nb ON nb.doc_id = y
+      WHERE 5 * k >= 4 * (na.n + nb.n - k)),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.y FROM r JOIN l ON r.other = l.x),
+cl AS MATERIALIZED (SELECT doc_id, min(other) AS class_id FROM r GROUP BY doc_id)
+SELECT cl.doc_id, cl.class_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, CAST(1 + coalesce(n_same, 0) AS BIGINT) AS n_copies,
+       CAST(class_size AS BIGINT) AS class_size
+FROM cl LEFT JOIN (SELECT x, count(*) AS n_links, count(*) FILTER (WHERE same) AS n_same FROM l GROUP BY x) ON cl.doc_id = x
+JOIN (SELECT class_id, count(*) AS class_size FROM cl GROUP BY class_id) z ON cl.class_id = z.class_id
+"""
