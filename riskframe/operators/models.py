@@ -113,6 +113,17 @@ def tune(df: DataFrame, features: Sequence[str], family: str, n_iter: int, fold_
     return cvm.bestModel, results
 
 
+def cross_validate(df: DataFrame, features: Sequence[str], family: str, setting: Mapping[str, Any], fold_col: str = "fold",
+                   label: str = "label", weight: str | None = "weight", keep: Sequence[str] = ()) -> DataFrame:
+    """``(*keep, fold, label, score)``: each fold scored by a model refitted on the other folds."""
+    out = None
+    for fold in range(int(df.agg(F.max(fold_col)).first()[0]) + 1):
+        model = fit(df.where(F.col(fold_col) != fold), features, family, setting, label, weight)
+        scored = model.transform(df.where(F.col(fold_col) == fold)).select(*keep, fold_col, label, positive_probability().alias("score"))
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
 def select_best(results: DataFrame) -> DataFrame:
     """M5: highest recall; on a tie the earlier family in the fixed order wins, inside a family the
     earlier draw (the one that the search keeps)."""

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key, uniform
+from ..session import cut_lineage
 from ..spec import RANDOM_SEED
 from .rank import hash_rank
 from .sampling import class_counts
@@ -73,7 +74,8 @@ def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int =
     # split by id hash into several packs)
     sizes = pts.groupBy(label, "cell").agg(F.count(F.lit(1)).alias("__cn"))  # one row per cell
     pts = pts.join(sizes, [label, "cell"]).withColumn(
-        "__sub", F.pmod(F.xxhash64(F.col(id_col)), F.ceil(F.col("__cn") / F.lit(cell_rows)))).persist()
+        "__sub", F.pmod(F.xxhash64(F.col(id_col)), F.ceil(F.col("__cn") / F.lit(cell_rows))))
+    pts = cut_lineage(pts)
     packs = pts.groupBy(label, "cell", "__sub").agg(F.collect_list(
         F.struct(F.col(id_col).alias("j"), F.col("p").alias("pj"), F.col("v").alias("vj"))).alias("__m"))
     me = F.col(id_col)

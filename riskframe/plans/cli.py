@@ -3,7 +3,8 @@
     spark-submit -m riskframe.plans.cli validate  --input raw.csv
     spark-submit -m riskframe.plans.cli preprocess --input raw.csv --params out/params --output out/processed
     spark-submit -m riskframe.plans.cli train     --input raw.csv --registry out/models
-    spark-submit -m riskframe.plans.cli evaluate  --scored out/scored --output out/report
+    spark-submit -m riskframe.plans.cli evaluate  --input raw.csv --registry out/models --output out/report
+    spark-submit -m riskframe.plans.cli retrain   --input raw.csv --appended new.csv --registry out/models
     spark-submit -m riskframe.plans.cli score     --input new.csv --registry out/models [--version 1] --output out/scored
 
 Inputs are CSV (header) or parquet by extension; outputs are parquet. The
@@ -36,12 +37,13 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="riskframe")
-    ap.add_argument("command", choices=["validate", "preprocess", "train", "evaluate", "score"])
+    ap.add_argument("command", choices=["validate", "preprocess", "train", "retrain", "evaluate", "score"])
     ap.add_argument("--input")
     ap.add_argument("--params")
     ap.add_argument("--model")
     ap.add_argument("--registry")
-    ap.add_argument("--scored")
+    ap.add_argument("--scored", help="a table (label, score) to evaluate in place of a model")
+    ap.add_argument("--appended")
     ap.add_argument("--output")
     ap.add_argument("--families", default="logistic_regression,random_forest,gradient_boosting")
     ap.add_argument("--n-iter", type=int, default=20)
@@ -60,21 +62,26 @@ def main(argv: list[str] | None = None) -> None:
         if a.params:
             params.save(spark, a.params)
         out.write.mode("overwrite").parquet(a.output)
-    elif a.command == "train":
+    elif a.command in ("train", "retrain"):
         df = _read(spark, a.input)
-        bundle, results = jobs.train(df, spec, families=tuple(a.families.split(",")), n_iter=a.n_iter,
-                                     registry_root=a.registry)
+        more = {"families": tuple(a.families.split(",")), "n_iter": a.n_iter, "registry_root": a.registry}
+        if a.command == "train":
+            bundle, results = jobs.train(df, spec, **more)
+        else:
+            bundle, results = jobs.retrain(df, _read(spark, a.appended) if a.appended else None, spec, **more)
         if a.params:
             bundle.params.save(spark, a.params)
         results.show(truncate=False)
         print(json.dumps({k: v for k, v in bundle.meta.items() if k != "failed"}, default=str))
     elif a.command == "evaluate":
-        scored = spark.read.parquet(a.scored)
-        tables = jobs.evaluate(scored)
+        if a.scored:
+            tables = jobs.evaluate(spark.read.parquet(a.scored))
+        else:
+            tables = jobs.evaluate_model(_read(spark, a.input), jobs.load_bundle(spark, a.registry, spec, a.version))
         jobs.report_json(tables).write.mode("overwrite").json(a.output)
     elif a.command == "score":
         bundle = jobs.load_bundle(spark, a.registry, spec, a.version)
-        scored, quarantined = jobs.score(_read(spark, a.input), bundle)
+        scored, quarantined = jobs.score(jobs.with_row_id(_read(spark, a.input), spec), bundle)
         scored.write.mode("overwrite").parquet(a.output)
         quarantined.write.mode("overwrite").parquet(a.output.rstrip("/") + "_quarantine")
 

@@ -7,6 +7,7 @@ it and never re-learns anything from the rows it scores.
 
 from __future__ import annotations
 
+import ast
 import json
 import time
 from dataclasses import dataclass, field
@@ -62,6 +63,30 @@ def score(raw: DataFrame, bundle: Bundle, id_col: str | None = None) -> tuple[Da
     return scored, quarantined
 
 
+def with_row_id(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``df`` with the id column that the jobs need, where it has none.
+
+    The id is a hash of the row's content and its number among equal rows, so
+    it doesn't depend on the partitioning: equal rows are counted first and
+    numbered out again, never gathered.
+    """
+    if not spec.id_col or spec.id_col in df.columns:
+        return df
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+    content = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    return rows.select(F.concat_ws("-", content, F.col("__k").cast("string")).alias(spec.id_col), *df.columns)
+
+
+def split_labelled(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(training rows, held-out rows) of the rows with a known label; the same for every job."""
+    known = raw.where(pp.encode_target_expr(raw, spec).isNotNull())
+    split = smp.stratified_split(known.select(spec.id_col, pp.encode_target_expr(known, spec).alias("__y")), "__y", spec.id_col)
+    parts = split.select(spec.id_col, "split")
+    joined = known.join(parts, spec.id_col)
+    return tuple(joined.where(F.col("split") == part).select(*raw.columns) for part in ("train", "test"))
+
+
 def fit_bundle(raw_train: DataFrame, spec: TableSpec, model: Any = None) -> tuple[Bundle, DataFrame]:
     """Fit preprocessing and the correlation drop on training rows."""
     params = pp.Preprocessor(spec).fit(raw_train)
@@ -82,12 +107,10 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     Rows whose label is NULL after encoding are left out (counted in meta).
     Returns the bundle and the table of tuning results.
     """
-    enc_label = pp.encode(raw, spec).select(spec.id_col, F.col(spec.target).alias("__y"))
-    n_unlabelled = enc_label.agg(F.count_if(F.col("__y").isNull())).first()[0]
-    labelled = raw.join(enc_label.where(F.col("__y").isNotNull()).select(spec.id_col), spec.id_col, "left_semi")
-    split = smp.stratified_split(pp.encode(labelled, spec), spec.target, spec.id_col)
-    train_ids = split.where(F.col("split") == "train").select(spec.id_col)
-    raw_train = labelled.join(train_ids, spec.id_col, "left_semi").persist()  # scanned once per fit pass
+    raw = with_row_id(raw, spec)
+    n_unlabelled = raw.agg(F.count_if(pp.encode_target_expr(raw, spec).isNull())).first()[0]
+    raw_train, raw_test = split_labelled(raw, spec)
+    raw_train = cut_lineage(raw_train)  # scanned once per fit pass
     bundle, built = fit_bundle(raw_train, spec)
     data = built.withColumn("label", F.col(spec.target).cast("double"))
     data = smp.stratified_folds(data, "label", spec.id_col)
@@ -116,10 +139,16 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     bundle.model = best_models[best["family"]]
     bundle.meta.update({"family": best["family"], "setting": best["setting"], "cv_recall": best["recall"],
                         "n_rows": data.count(), "n_unlabelled": n_unlabelled})
-    raw_train.unpersist()
+    folds = md.cross_validate(data, bundle.features, best["family"], ast.literal_eval(best["setting"]),
+                              weight="weight" if use_weights else None, keep=(spec.id_col,))
+    summary = {r["metric"]: (r["mean"], r["std"]) for r in mt.cv_summary(mt.cv_metrics(folds)).collect()}
+    metrics = {"cv_recall": best["recall"]}
+    for name, (mean, std) in summary.items():
+        metrics |= {f"cv_{name}_mean": mean, f"cv_{name}_std": std}
+    metrics |= headline(evaluate(score_labelled(raw_test, bundle), threshold=bundle.threshold))
+    bundle.meta["metrics"] = metrics
     if registry_root:
-        version = reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"],
-                                 bundle.meta["n_rows"], {"cv_recall": best["recall"]})
+        version = reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"], bundle.meta["n_rows"], metrics)
         save_bundle_state(raw.sparkSession, registry_root, version, bundle)
         bundle.meta["version"] = version
     return bundle, table
@@ -162,6 +191,31 @@ def evaluate(scored: DataFrame, label: str = "label", score_col: str = "score",
     }
 
 
+def score_labelled(raw: DataFrame, bundle: Bundle) -> DataFrame:
+    """``(id, label, score)`` of labelled rows under a fitted bundle."""
+    spec = bundle.spec
+    prepared = prepare(raw, bundle)
+    if isinstance(bundle.model, md.LinearModel):
+        out, p = prepared, bundle.model.probability()
+    else:
+        out, p = bundle.model.transform(prepared), md.positive_probability()
+    return out.select(spec.id_col, F.col(spec.target).cast("int").alias("label"), p.alias("score"))
+
+
+def evaluate_model(raw: DataFrame, bundle: Bundle) -> dict[str, DataFrame]:
+    """The evaluation tables of a fitted bundle on the held-out part of ``raw``
+    (the rows that :func:`train` on the same table didn't see)."""
+    _, raw_test = split_labelled(with_row_id(raw, bundle.spec), bundle.spec)
+    return evaluate(cut_lineage(score_labelled(raw_test, bundle)), threshold=bundle.threshold)
+
+
+def headline(tables: dict[str, DataFrame]) -> dict[str, float]:
+    """The single numbers of an evaluation."""
+    m = tables["metrics"].first().asDict()
+    return {f"test_{k}": m[k] for k in ("accuracy", "recall", "precision", "f1")} | {
+        "test_roc_auc": tables["roc_auc"].first()[0], "test_average_precision": tables["average_precision"].first()[0]}
+
+
 REPORT_TABLES = ("metrics", "roc_auc", "average_precision", "report", "optimal_threshold", "threshold_sweep")
 
 
@@ -191,7 +245,14 @@ def explain(df: DataFrame, bundle: Bundle, id_col: str, permutations: int = 8,
 
 
 def retrain(base: DataFrame, appended: DataFrame | None, spec: TableSpec, **kw) -> tuple[Bundle, DataFrame]:
-    """The base table plus appended records (schema-union) -> train."""
+    """The base table plus appended records (schema-union) -> check -> train and evaluate on the
+    held-out part -> register with all metrics -> load the version again."""
     data = base if appended is None else base.unionByName(appended, allowMissingColumns=True)
     val.check_columns(data, spec.required)
-    return train(data, spec, **kw)
+    bundle, table = train(data, spec, **kw)
+    if kw.get("registry_root"):  # the version just written must load and carry its metrics
+        root, version = kw["registry_root"], bundle.meta["version"]
+        load_bundle(data.sparkSession, root, spec, version)
+        if reg.latest_version(data.sparkSession, root) != version:
+            raise RuntimeError(f"version {version} is not the latest under {root}")
+    return bundle, table

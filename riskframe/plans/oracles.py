@@ -513,3 +513,12 @@ SELECT {_r(_ratio('tp + tn', 'tp + tn + fp + fn'))} AS accuracy, {_r(_ratio('tp'
        (SELECT roc_auc FROM auc) AS roc_auc, (SELECT average_precision FROM ap) AS average_precision,
        {_r("coalesce((SELECT threshold FROM best), 0.5)")} AS optimal_threshold
 FROM c"""
+
+# Parts of the stratified split: ceil(0.2 n) rows held out, shares of the two classes by largest remainder.
+ORACLES["train_job"] = f"""
+WITH c AS (SELECT CAST({SURVEY_TARGET} = 'YES' AS INTEGER) AS y, count(*) AS n FROM {_raw} GROUP BY 1),
+t AS (SELECT sum(n) AS n, ceil(0.2 * sum(n)) AS m FROM c),
+s AS (SELECT y, c.n, m, m * c.n / t.n AS share FROM c, t),
+a AS (SELECT y, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, y) <= m - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS k FROM s)
+SELECT CAST((SELECT n - m FROM t) AS BIGINT) AS n_train, CAST((SELECT m FROM t) AS BIGINT) AS n_test, CAST((SELECT k FROM a WHERE y = 1) AS BIGINT) AS n_positive,
+       CAST(1 AS BIGINT) AS version, true AS probabilities_fit, true AS metrics_fit"""
