@@ -124,7 +124,7 @@ def decode_ids(ids: bytes, tokens: dict[int, bytes]) -> bytes:
 class Codec:
     """Encodes and decodes texts; ids of words met before are kept, up to ``bound`` words."""
 
-    bound = 500_000
+    bound = 250_000
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pairs, self.find = Pairs(ranks), regex.compile(pattern).findall

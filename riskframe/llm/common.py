@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskframe.session import checkpoint_root
 
 #: Rows and bytes that Spark hands to a Python worker at once.
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 #: Bytes of words: digits, letters and everything beyond ASCII; A-Z become a-z, other bytes a space.
 WORD_TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -64,7 +64,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """Word -> 64-bit hash, filled on demand; emptied when it holds ``bound`` words."""
 
-    bound = 500_000
+    bound = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.bound:

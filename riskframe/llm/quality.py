@@ -39,10 +39,10 @@ class QualityConfig:
 
 
 class _Hashes(dict):
-    """Word -> crc32, emptied when it holds half a million words."""
+    """Word -> crc32, emptied when it holds a quarter of a million words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 250_000:
             self.clear()
         h = self[word] = crc32(word)
         return h
