@@ -29,8 +29,8 @@ LAST = 2**63 - 1
 class JoinConfig:
     """Five-word shingles, similarity 4/5 (as a fraction, so that ties are exact).
 
-    bands x rows MinHash values: a pair at the threshold shares a band with probability
-    1 - (1 - 0.8^7)^24 = 0.9965, one at 0.85 with 0.9999.
+    bands x rows MinHash values: a pair at the threshold shares no band with probability
+    (1 - 0.8^6)^70 = 5.8e-10, which is below the tolerance of the pruning.
     step: values compared between two looks at the posterior; tolerance: least posterior.
     block: 8-byte units of shingles and values in a block of a group.
     """
@@ -38,10 +38,10 @@ class JoinConfig:
     words: int = 5
     over: int = 4
     under: int = 5
-    bands: int = 24
-    rows: int = 7
+    bands: int = 70
+    rows: int = 6
     step: int = 21
-    tolerance: float = 1e-6
+    tolerance: float = 1e-9
     block: int = 2_000_000
     seed: int = 11
 

@@ -75,6 +75,23 @@ def test_production_recall(docs, rng):
     assert got == {i: i - i % 2 for i, _ in rows}
 
 
+def test_production_recall_near_the_threshold(docs, rng):
+    """Isolated pairs of J from 0.80 to 0.85, by the production parameters: links as by brute force."""
+    cfg = ngram_join.JoinConfig()
+    assert (1 - (cfg.over / cfg.under) ** cfg.rows) ** cfg.bands < cfg.tolerance
+    rows = []
+    for g in range(3000):
+        base = [f"{g}w{k}" for k in range(rng.choice([48, 49, 49, 49, 54, 58, 64]))]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(base[:-5] + [f"{g}v{k}" for k in range(5)]))]
+    near = {}
+    for (i, a), (j, b) in zip(rows[::2], rows[1::2]):
+        a, b = shingles(a), shingles(b)
+        near[i] = near[j] = int(5 * len(a & b) >= 4 * len(a | b))
+        assert 0.79 < len(a & b) / len(a | b) < 0.86
+    got = {r.doc_id: r.n_links for r in ngram_join.near_duplicates(docs(rows), cfg).collect()}
+    assert 4000 < sum(near.values()) < len(rows) and got == near
+
+
 def test_keep_first(docs, copies):
     left = ngram_join.keep_first(docs(copies), ngram_join.JoinConfig(bands=60, rows=3)).collect()
     _, root = brute_join(copies)
