@@ -24,13 +24,13 @@ from riskframe.llm.substring_dedup import LAST, SubstringConfig, beside, copies_
 @dataclass(frozen=True)
 class ChunkConfig:
     """least, most: bytes of a chunk (a text's last may be shorter); bits: a place is a cut with
-    probability 1/2^bits; run: least bytes of consecutive repeated chunks that are removed, so that
-    short phrases met by chance stay; block, bucket: bytes of texts in a block and per task."""
+    probability 1/2^bits; run: least bytes of consecutive repeated chunks that are removed (about a
+    chunk's size), so that short phrases met by chance stay; block, bucket: bytes of texts in a block and per task."""
 
     least: int = 16
     most: int = 256
     bits: int = 4
-    run: int = 100
+    run: int = 32
     block: int = 8 << 20
     bucket: int = 64 << 20
 
@@ -164,8 +164,8 @@ def chunk_dedup(docs: DataFrame, cfg: ChunkConfig = ChunkConfig()) -> DataFrame:
     long; judged on the input. Chunks repeated within a document only, and the first document of
     each, stay. A null or empty text has no chunks and gives an empty text. A null id counts as the
     largest; rows with equal ids aren't smaller than each other, so rows repeated in full stay or go
-    alike. A whole copy of a smaller document is not cut into chunks (n_chunks 0): it goes whole, or
-    stays if shorter than ``cfg.run``. Columns other than doc_id and text aren't read.
+    alike. A whole copy of a smaller document is not cut into chunks (n_chunks 0): it goes whole,
+    however short. Columns other than doc_id and text aren't read.
     """
     spark = docs.sparkSession
     table = write_blocks(docs, SubstringConfig(block=cfg.block))
@@ -186,7 +186,7 @@ def chunk_dedup(docs: DataFrame, cfg: ChunkConfig = ChunkConfig()) -> DataFrame:
                     step = np.diff(again[chunks].astype(np.int8), prepend=0, append=0)
                     runs = zip(own.start[chunks][np.flatnonzero(step[:-1] > 0)].tolist(), own.end[chunks][np.flatnonzero(step < 0) - 1].tolist())
                     spans = [(s, e) for s, e in runs if e - s >= cfg.run]
-                    if d in own.copies and len(raw) >= cfg.run:
+                    if d in own.copies and raw:
                         spans = [(0, len(raw))]
                     kept = b"".join(raw[s:e] for s, e in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(raw)]))
                     place = int(own.places[d])

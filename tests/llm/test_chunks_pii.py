@@ -103,6 +103,21 @@ def test_passages_are_caught_and_clean_texts_left(docs, rng):
         assert gone == 0 if i % 2 == 0 or i == 1 else 0.5 * len(passage) < gone <= len(passage) + 16
 
 
+def test_short_copies_and_repeats_between_edits_go(docs, rng):
+    """Whole copies of any length, and what is repeated between edits about 60 bytes apart."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9)))
+    rows = []
+    for i in range(10):
+        base = [word() for _ in range(300)]
+        rows += [(i, " ".join(base)), (100 + i, " ".join(word() if k % 10 == 9 else w for k, w in enumerate(base)))]
+    got = chunk_dedup(docs(rows)).collect()
+    assert sorted(((r.doc_id, r.text, r.n_bytes, [tuple(s) for s in r.spans]) for r in got), key=repr) == brute_chunks(rows, ChunkConfig(run=32))
+    assert sum(len(r.spans) for r in got) > 20
+    short = ["é", "short", "less than a hundred bytes, as a whole text"]
+    got = {r.doc_id: (r.text, [tuple(s) for s in r.spans]) for r in chunk_dedup(docs([(i, t) for i, t in enumerate(short * 2)] + [(8, ""), (9, None)])).collect()}
+    assert got == {i: (t, []) if i < 3 else ("", [(0, len(t.encode()))]) for i, t in enumerate(short * 2)} | {8: ("", []), 9: ("", [])}
+
+
 def test_chunk_dedup_empty_table(docs):
     assert chunk_dedup(docs([])).count() == 0
 
