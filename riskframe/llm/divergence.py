@@ -73,8 +73,8 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return out.select("lang", "source", F.col("term").cast("string").alias("term"), "n", "docs")
 
 
-def tables(docs: DataFrame, min_docs: int = 3) -> tuple[DataFrame, DataFrame]:
-    """``entries`` (lang, source, term, n, total) of the kept terms and ``groups`` (lang, source, size, v, total_size).
+def tables(docs: DataFrame, min_docs: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``kept`` terms (lang, term, total), ``entries`` (lang, source, term, n, total) of them and ``groups`` (lang, source, size, v, total_size).
 
     A term is kept where at least ``min_docs`` documents of the lang have it; total is its count in the
     lang, size the group's occurrences of kept terms, v the lang's number of them.
@@ -89,7 +89,7 @@ def tables(docs: DataFrame, min_docs: int = 3) -> tuple[DataFrame, DataFrame]:
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("total_size"))
     every = summed.where("term IS NULL").select("lang", "source").distinct()
     groups = every.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0, ["size", "v", "total_size"])
-    return entries, materialize(groups, "groups")
+    return kept, entries, materialize(groups, "groups")
 
 
 def share(n: Column, size: Column, v: Column) -> Column:
@@ -144,10 +144,11 @@ def priced(p: np.ndarray, q: np.ndarray, links: list[tuple[np.ndarray, np.ndarra
     return int(cost[0])
 
 
-def pair_sums(entries: DataFrame, groups: DataFrame, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
+def pair_sums(kept: DataFrame, entries: DataFrame, groups: DataFrame, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """``lang, source, item, value``: the divergence of each group from each other source of its lang.
 
     A task gets about ``block`` terms of two chunks of about ``chunk`` sources; sums of blocks are added.
+    Terms of a block that neither chunk has count as well (0 occurrences): the block's size is given.
     """
     def dealt(name: str, k: Column) -> Column:
         return F.pmod(F.xxhash64(name), k).cast("int")
@@ -160,7 +161,8 @@ def pair_sums(entries: DataFrame, groups: DataFrame, block: int = BLOCK, chunk:
 
     met = F.expr("transform(sequence(0, int(chunks) - 1), x -> struct(least(x, chunk) AS i, greatest(x, chunk) AS j))")
     right = g.withColumn("met", F.explode(met)).withColumn("block", F.explode(F.expr("sequence(0, int(blocks) - 1)")))
-    right = right.select("lang", "met.i", "met.j", "block", "source", "size", "v", "chunk")
+    terms = kept.join(g.select("lang", "blocks").distinct(), "lang").groupBy("lang", dealt("term", F.col("blocks")).alias("block")).agg(F.count(F.lit(1)).alias("terms"))
+    right = right.join(terms, ["lang", "block"], "left").select("lang", "met.i", "met.j", "block", "source", "size", "v", "chunk", F.coalesce("terms", F.lit(0)).alias("terms"))
     left = entries.join(g.select("lang", "source", "chunk", "chunks", "blocks"), ["lang", "source"])
     left = left.withColumn("block", dealt("term", F.col("blocks"))).withColumn("met", F.explode(met))
     left = left.select("lang", "met.i", "met.j", "block", "source", "term", "n", "total")
@@ -174,12 +176,12 @@ def pair_sums(entries: DataFrame, groups: DataFrame, block: int = BLOCK, chunk:
         total = np.asarray(counts.column("total").combine_chunks())
         distinct = counts.column("term").combine_chunks().dictionary_encode()
         term = np.asarray(distinct.indices)
-        k = len(distinct.dictionary)
-        # term ids: by the lang's count, frequent first
-        of = np.zeros(k, np.int64)
+        # term ids: by the lang's count, frequent first; then those that no group here has
+        of = np.zeros(len(distinct.dictionary), np.int64)
         of[term] = total
-        place = np.empty(k, np.int64)
-        place[np.argsort(-of, kind="stable")] = np.arange(k)
+        place = np.empty(len(of), np.int64)
+        place[np.argsort(-of, kind="stable")] = np.arange(len(of))
+        k = groups.column("terms")[0].as_py() if len(names) else 0
         matrix = np.zeros((len(names), 1 << max(0, k - 1).bit_length()), np.int64)
         at = np.array([row[s] for s in counts.column("source").to_pylist()], np.int64)
         matrix[at, place[term]] = np.asarray(counts.column("n").combine_chunks())
@@ -188,7 +190,7 @@ def pair_sums(entries: DataFrame, groups: DataFrame, block: int = BLOCK, chunk:
         beyond = leaf < 0
         p = [np.where(beyond, 1, shares(leaf, size[x], v[x])) if v[x] else np.ones(len(leaf), np.int64) for x in range(len(names))]
         out = []
-        two = len(set(chunks)) > 1
+        two = len(names) > 0 and groups.column("i")[0] != groups.column("j")[0]
         for x in range(len(names)):
             for y in range(x):
                 if two and chunks[x] == chunks[y]:
@@ -222,9 +224,9 @@ def divergence(docs: DataFrame, min_docs: int = 3, top: int = 200) -> DataFrame:
     without terms has pairs only; a lang without kept terms has pairs of value 0; an empty table gives
     none. A value beyond 64 bits is an error. Other columns aren't read.
     """
-    entries, groups = tables(docs, min_docs)
+    kept, entries, groups = tables(docs, min_docs)
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
-    pairs = pair_sums(entries, groups).select("lang", "source", F.lit("pair").alias("part"), "item", "value").withColumn("rank", F.row_number().over(order))
+    pairs = pair_sums(kept, entries, groups).select("lang", "source", F.lit("pair").alias("part"), "item", "value").withColumn("rank", F.row_number().over(order))
     terms = term_values(entries, groups).select("lang", "source", F.lit("term").alias("part"), "item", "value").withColumn("rank", F.row_number().over(order))
     return pairs.unionByName(terms.where(F.col("rank") <= top))
 

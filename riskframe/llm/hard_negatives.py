@@ -143,6 +143,8 @@ def walk(a: Vectors, b: Vectors, needs_of: np.ndarray, best: Best, fits: Callabl
     ``needs_of``: the anchor row of each need, ascending. ``fits(needs, rows of b, scores)``: whether a
     candidate may serve a need (a matrix). ``best`` takes what is found.
     """
+    if not len(a) or not len(b):
+        return
     first = np.searchsorted(needs_of, np.arange(len(a) + 1))
     for members in clusters(a):
         members = members[first[members + 1] > first[members]]
