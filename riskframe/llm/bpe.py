@@ -27,7 +27,7 @@ BETWEEN, TAKEN = 1 << 24, -1
 class Pairs(dict):
     """(left token << 25 | right token) -> the token that they join to, or -1; filled on demand."""
 
-    bound = 1_000_000
+    bound = 200_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
@@ -122,37 +122,60 @@ def decode_ids(ids: bytes, tokens: dict[int, bytes]) -> bytes:
 
 
 class Codec:
-    """Encodes and decodes texts; ids of words met before are kept, up to ``bound`` words."""
+    """Encodes and decodes texts; ids of words and of chunks between spaces are kept, up to ``bound`` characters of each.
 
-    bound = 250_000
+    ``spaced``: the pattern has no match that reaches over a space between two other signs, but begins
+    the next one there, so that a text can be cut at such spaces before the pattern is applied, and a
+    chunk that came up before needs neither the pattern nor its words.
+    """
+
+    bound = 3 << 20
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pairs, self.find = Pairs(ranks), regex.compile(pattern).findall
+    def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool = False):
+        self.pairs, self.find, self.spaced = Pairs(ranks), regex.compile(pattern).findall, spaced
         self.known: dict[str, bytes] = {}
+        self.after: dict[str, bytes] = {}  # ids of a space and the chunk
+        self.odd: set[str] = set()  # empty chunks and those with white space at an end
+        self.sizes = [0, 0]
+
+    def learn(self, words: set[str]) -> None:
+        fresh = list(words.difference(self.known))
+        self.known.update(zip(fresh, replay_merges([w.encode() for w in fresh], self.pairs)))
+        self.sizes[0] += sum(map(len, fresh))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = [self.find(t) for t in texts]
-        fresh = list(dict.fromkeys(w for words in pieces for w in words if w not in self.known))
-        if len(self.known) + len(fresh) > self.bound:
-            self.known = {}
-            fresh = list(dict.fromkeys(w for words in pieces for w in words))
-        self.known.update(zip(fresh, replay_merges([w.encode() for w in fresh], self.pairs)))
-        return [b"".join(map(self.known.__getitem__, words)) for words in pieces]
+        if max(self.sizes) > self.bound:
+            self.known, self.after, self.odd, self.sizes = {}, {}, set(), [0, 0]
+        texts = list(texts)
+        chunks = [t.split(" ") if self.spaced else [t] for t in texts]
+        heads = [c[0] for c in chunks]
+        chunks = [c[1:] for c in chunks]
+        new = list(set().union(*chunks).difference(self.after))
+        self.odd.update(c for c in new if not c or c[0].isspace() or c[-1].isspace())
+        for k, (head, some) in enumerate(zip(heads, chunks)):
+            if some and (head[-1:].isspace() or not self.odd.isdisjoint(some)):
+                heads[k], chunks[k] = texts[k], []
+        first, found = list(map(self.find, heads)), [self.find(" " + c) for c in new]
+        self.learn(set().union(*first, *found))
+        join, of = b"".join, self.known.__getitem__
+        self.after.update(zip(new, [join(map(of, words)) for words in found]))
+        self.sizes[1] += sum(map(len, new))
+        return [join(map(of, words)) + join(map(self.after.__getitem__, some)) for words, some in zip(first, chunks)]
 
     def decode(self, ids: bytes) -> bytes:
         return decode_ids(ids, self.pairs.tokens)
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
+_CODECS: dict[tuple[int, str, bool], Codec] = {}
 
 
-def codec_of(raw: Broadcast, pattern: str) -> Codec:
+def codec_of(raw: Broadcast, pattern: str, spaced: bool = False) -> Codec:
     """The worker's codec for a vocabulary, so that its next task needn't begin anew."""
-    key = (hash(raw.value), pattern)
+    key = (hash(raw.value), pattern, spaced)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(read_ranks(raw.value), pattern)
+        _CODECS[key] = Codec(read_ranks(raw.value), pattern, spaced)
     return _CODECS[key]
 
 
@@ -211,17 +234,29 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(rows, "doc_id long, ids binary, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of encoded and decoded documents."""
-    return decoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def digests(docs: DataFrame, path: str, pattern: str, spaced: bool = False, size: int = 1 << 20) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: every text encoded, its ids decoded, both hashed.
+
+    The same as :func:`encode` followed by :func:`decode`, in one Python worker, so that a task holds
+    the vocabulary once and no ids travel.
+    """
+    raw = vocabulary(docs.sparkSession, path)
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(raw, pattern, spaced)
+        for ids, texts in _parts(batches, size):
+            yield from arrow_rows(schema, ((i, len(x) // 4, sha256_hex(x), sha256_hex(codec.decode(x))) for i, x in zip(ids, codec.encode(texts))))
+
+    bounded_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """Digests of the ids by the public multilingual vocabulary and of what they decode to."""
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return digests(decode(encode(docs, path, public_tokenizers.PATTERN), path))
+    return digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, spaced=True)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
