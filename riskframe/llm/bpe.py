@@ -25,12 +25,27 @@ BETWEEN, TAKEN = 1 << 24, -1
 
 
 class Pairs(dict):
-    """(left token << 25 | right token) -> the token that they join to, or -1; filled on demand."""
+    """(left token << 25 | right token) -> the token that they join to, or -1.
+
+    All pairs that join are in two sorted arrays, made once from the ways to cut a token in two; the
+    dictionary keeps what was asked for one by one, up to ``bound`` pairs.
+    """
 
     bound = 200_000
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
+        cuts = [(a << 25 | b, r) for t, r in ranks.items() for k in range(1, len(t))
+                if (a := ranks.get(t[:k])) is not None and (b := ranks.get(t[k:])) is not None]
+        both = np.array(cuts or [(-1, -1)], np.int64)
+        both = both[np.argsort(both[:, 0], kind="stable")]
+        self.keys, self.made = both[:, 0].copy(), both[:, 1].copy()
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What many pairs join to."""
+        pair = left << 25 | right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.made[at], -1)
 
     def __missing__(self, pair: int) -> int:
         a, b = self.tokens.get(pair >> 25), self.tokens.get(pair & (1 << 25) - 1)
@@ -41,11 +56,93 @@ class Pairs(dict):
         return r
 
 
+class Places:
+    """Words' bytes one after another, a place between two words: tokens, neighbours, what each pair joins to, and the
+    inverted index from that token to the pairs' places."""
+
+    #: Fewer places of a rank than this, on the average of ``TRIED`` ranks, are quicker one by one.
+    MANY, TRIED = 24, 64
+
+    def __init__(self, words: list[bytes], pairs: Pairs):
+        self.pairs, self.n = pairs, len(words)
+        self.lengths = np.array([len(w) + 1 for w in words], np.int64)
+        text = np.frombuffer(b"".join(w + b"\0" for w in words), np.uint8)
+        single = np.array([pairs.ranks[bytes([c])] for c in range(256)], np.int64)
+        self.token = np.concatenate([[BETWEEN], single[text]])
+        self.token[np.cumsum(self.lengths)] = BETWEEN
+        size = len(self.token)
+        self.word = np.concatenate([[-1], np.repeat(np.arange(self.n), self.lengths)])
+        self.right, self.left = np.arange(1, size + 1), np.arange(-1, size - 1)
+        self.joins = np.concatenate([pairs.of(self.token[:-1], self.token[1:]), [-1]])
+        self.index: dict[int, list[np.ndarray]] = {}
+        self.heap: list[int] = []
+        self.enter(np.flatnonzero(self.joins >= 0))
+
+    def enter(self, places: np.ndarray) -> None:
+        """The places' pairs into the index."""
+        made = self.joins[places]
+        order = np.argsort(made, kind="stable")
+        made, places = made[order], places[order]
+        ends = np.flatnonzero(np.diff(made, append=-2)) + 1
+        begin = 0
+        for r, end in zip(made[ends - 1].tolist(), ends.tolist()):
+            if r in self.index:
+                self.index[r].append(places[begin:end])
+            else:
+                self.index[r] = [places[begin:end]]
+                heappush(self.heap, r)
+            begin = end
+
+    def merge_many(self) -> set[int]:
+        """Merges of all places of a rank at once, smallest ranks first, as long as ranks have many places.
+
+        Returns words to be merged by themselves: where a merge makes a pair of a smaller rank, that
+        pair goes before the word's further places of the rank at work.
+        """
+        token, right, left, joins, of = self.token, self.right, self.left, self.joins, self.pairs.of
+        alone: set[int] = set()
+        seen = count = 0
+        while self.heap:
+            if count == self.TRIED:
+                if seen < self.MANY * self.TRIED:
+                    break
+                seen = count = 0
+            r = heappop(self.heap)
+            places = self.index.pop(r)
+            p = np.unique(np.concatenate(places)) if len(places) > 1 else places[0]
+            count, seen = count + 1, seen + len(p)
+            p = p[joins[p] == r]
+            if not len(p):
+                continue
+            begins = np.ones(len(p), bool)
+            begins[1:] = right[p[:-1]] != p[1:]
+            if not begins.all():  # places that overlap: of a run every second one goes
+                number = np.arange(len(p))
+                p = p[(number - np.maximum.accumulate(np.where(begins, number, 0))) % 2 == 0]
+            q, before = right[p], left[p]
+            after = right[q]
+            high = np.full(len(p), r, np.int64)
+            first = of(high, token[after])  # before what follows is merged as well
+            token[p], token[q], joins[q], joins[p] = r, TAKEN, -1, -1
+            right[p], left[after] = after, p
+            y = of(token[before], high)
+            early = ((first >= 0) & (first < r)) | ((y >= 0) & (y < r))
+            if early.any():
+                alone.update(self.word[p[early]].tolist())
+            joins[before] = y
+            joins[p] = of(high, token[after])
+            new = np.concatenate([p, before])
+            new = np.unique(new[joins[new] >= 0])
+            self.enter(new)
+        return alone
+
+
 def replay_merges(words: list[bytes], pairs: Pairs) -> list[bytes]:
     """Token ids (little-endian unsigned 32-bit) of many words at once.
 
-    The words' bytes lie one after another, a place between two words, as lists of tokens with left
-    and right neighbours. An inverted index leads from each joined token to the places of its pair.
+    The words' bytes lie one after another, a place between two words, as tokens with left and right
+    neighbours (:class:`Places`). Ranks with many places are merged at all of them at once, then the rest
+    one by one. An inverted index leads from each joined token to the places of its pair.
     Ranks are taken smallest first, their places from left to right; a merge touches its two
     neighbours only, whose new pairs enter the index. A pair that a merge makes may have a smaller
     rank than the one at work (vocabularies allow it): then the word's further places of the rank at
@@ -53,22 +150,11 @@ def replay_merges(words: list[bytes], pairs: Pairs) -> list[bytes]:
     """
     ranks = pairs.ranks
     todo = [w for w in words if w not in ranks]  # a whole word of the vocabulary is one token
-    lengths = np.array([len(w) + 1 for w in todo], np.int64)
-    text = np.frombuffer(b"".join(w + b"\0" for w in todo), np.uint8)
-    single = np.array([ranks[bytes([c])] for c in range(256)], np.int64)
-    start = np.concatenate([[BETWEEN], single[text]])
-    between = np.cumsum(lengths)
-    start[between] = BETWEEN
-    word_of = np.repeat(np.arange(len(todo)), lengths)  # of place p + 1
-    first, at = np.unique(start[:-1] << 25 | start[1:], return_inverse=True)
-    made = np.array([pairs[x] for x in first.tolist()], np.int64)[at] if len(text) else np.zeros(0, np.int64)
-    places = np.flatnonzero(made >= 0)
-    places = places[np.argsort(made[places], kind="stable")]
-    found, begin = np.unique(made[places], return_index=True)
-    index = {r: x.tolist() for r, x in zip(found.tolist(), np.split(places, begin[1:]))} if len(found) else {}
-    heap = list(index)
-    token, right, left, word = start.tolist(), list(range(1, len(start) + 1)), list(range(-1, len(start) - 1)), [-1, *word_of.tolist()]
-    joins = [*made.tolist(), -1]  # what each place's pair joins to now
+    all_places = Places(todo, pairs)
+    alone = all_places.merge_many()
+    heap = all_places.heap
+    index = {r: np.concatenate(x).tolist() for r, x in all_places.index.items()}
+    token, right, left, word, joins = (x.tolist() for x in (all_places.token, all_places.right, all_places.left, all_places.word, all_places.joins))
     while heap:
         r = heappop(heap)
         places = index.pop(r)
@@ -111,9 +197,32 @@ def replay_merges(words: list[bytes], pairs: Pairs) -> list[bytes]:
     left_over = np.array(token[1:], np.int64)
     alive = (left_over >= 0) & (left_over != BETWEEN)
     ids = left_over[alive].astype("<u4").tobytes()
+    word_of = np.repeat(np.arange(len(todo)), all_places.lengths)
     ends = (4 * np.cumsum(np.bincount(word_of[alive], minlength=len(todo)))).tolist()
-    merged = iter([ids[i:j] for i, j in zip([0, *ends], ends)])
-    return [ranks[w].to_bytes(4, "little") if w in ranks else next(merged) for w in words]
+    merged = [ids[i:j] for i, j in zip([0, *ends], ends)]
+    for w in alone:
+        merged[w] = merge_one(todo[w], pairs)
+    rest = iter(merged)
+    return [ranks[w].to_bytes(4, "little") if w in ranks else next(rest) for w in words]
+
+
+def merge_one(word: bytes, pairs: Pairs) -> bytes:
+    """The ids of one word: its pair of the smallest rank, the leftmost first, again and again."""
+    place = Places([word], pairs)
+    token, right, left = place.token.tolist(), place.right.tolist(), place.left.tolist()
+    heap = [(int(place.joins[p]), p, token[p], token[p + 1]) for p in np.flatnonzero(place.joins >= 0).tolist()]
+    heap.sort()
+    while heap:
+        r, p, a, b = heappop(heap)
+        q = right[p]
+        if token[p] != a or q >= len(token) or token[q] != b:
+            continue  # one of the two has been merged meanwhile
+        token[p], token[q], after, before = r, TAKEN, right[q], left[p]
+        right[p], left[after] = after, p
+        for x, y in ((before, p), (p, after)):
+            if (made := pairs[token[x] << 25 | token[y]]) >= 0:
+                heappush(heap, (made, x, token[x], token[y]))
+    return np.array([t for t in token if t >= 0 and t != BETWEEN], "<u4").tobytes()
 
 
 def decode_ids(ids: bytes, tokens: dict[int, bytes]) -> bytes:
@@ -234,7 +343,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(rows, "doc_id long, ids binary, decoded binary")
 
 
-def digests(docs: DataFrame, path: str, pattern: str, spaced: bool = False, size: int = 1 << 20) -> DataFrame:
+def digests(docs: DataFrame, path: str, pattern: str, spaced: bool = False, size: int = 4 << 20) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: every text encoded, its ids decoded, both hashed.
 
     The same as :func:`encode` followed by :func:`decode`, in one Python worker, so that a task holds
