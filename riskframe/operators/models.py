@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import label_text, logistic, risk_level
@@ -89,16 +89,24 @@ def predict(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ("row_id"
 
 
 def tune(df: DataFrame, features: Sequence[str], family: str, n_iter: int, fold_col: str = "fold",
-         label: str = "label", weight: str | None = "weight", parallelism: int = 4) -> tuple[PipelineModel, DataFrame]:
+         label: str = "label", weight: str | None = "weight", parallelism: int = 4) -> tuple[PipelineModel | LinearModel, DataFrame]:
     """M4: random search over the family's grid, folds from ``fold_col``, scored by
     recall of the positive class. Returns the refitted best model and a
-    ``(family, draw, setting, recall)`` table."""
+    ``(family, draw, setting, recall)`` table. All logistic settings and folds are fitted in shared
+    passes (the model is a :class:`LinearModel`); class weights are those of each training part."""
     settings = draw_settings(GRIDS[family], n_iter)
-    n_weight = df.agg(F.sum(weight)).first()[0] if (weight and family == "logistic_regression") else None
-    base = estimator(family, settings[0], n_weight, label=label, weight=weight)
+    if family == "logistic_regression":
+        from . import logistic
+
+        found = logistic.search(df, features, settings, label, fold_col, balanced=weight is not None)
+        means = {r["draw"]: r["recall"] for r in found.recalls.groupBy("draw").agg(F.avg("recall").alias("recall")).collect()}  # a row per setting
+        results = df.sparkSession.createDataFrame([(family, i, repr(s), float(means[i])) for i, s in enumerate(settings)],
+                                                  "family string, draw int, setting string, recall double")
+        return found.models[select_best(results).first()["draw"], None], results
+    base = estimator(family, settings[0], label=label, weight=weight)
     maps = []
     for s in settings:
-        e = estimator(family, s, n_weight, label=label, weight=weight)
+        e = estimator(family, s, label=label, weight=weight)
         maps.append({base.getParam(p.name): e.getOrDefault(p) for p in e.params if e.isSet(p) or e.hasDefault(p)})
     evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="recallByLabel", metricLabel=1.0)
     n_folds = df.agg(F.max(fold_col)).first()[0] + 1
@@ -116,6 +124,12 @@ def tune(df: DataFrame, features: Sequence[str], family: str, n_iter: int, fold_
 def cross_validate(df: DataFrame, features: Sequence[str], family: str, setting: Mapping[str, Any], fold_col: str = "fold",
                    label: str = "label", weight: str | None = "weight", keep: Sequence[str] = ()) -> DataFrame:
     """``(*keep, fold, label, score)``: each fold scored by a model refitted on the other folds."""
+    if family == "logistic_regression":
+        from . import logistic
+
+        models = logistic.search(df, features, [setting], label, fold_col, balanced=weight is not None).models
+        p = logistic.out_of_fold(df, {f: m for (_, f), m in models.items() if f is not None}, fold_col)
+        return df.where(F.col(fold_col).isNotNull()).select(*keep, fold_col, label, p.alias("score"))
     out = None
     for fold in range(int(df.agg(F.max(fold_col)).first()[0]) + 1):
         model = fit(df.where(F.col(fold_col) != fold), features, family, setting, label, weight)
@@ -149,6 +163,17 @@ class LinearModel:
     def probability(self) -> Column:
         return logistic(self.margin(), 0.0, 1.0)
 
+    def save(self, path: str) -> None:
+        """A row per weight, the intercept without a name."""
+        rows = [(None, float(self.intercept)), *((c, float(w)) for c, w in self.weights.items())]
+        SparkSession.getActiveSession().createDataFrame([(i, c, w) for i, (c, w) in enumerate(rows)], "place int, name string, weight double") \
+            .coalesce(1).write.parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "LinearModel":
+        rows = spark.read.schema("place int, name string, weight double").parquet(path).orderBy("place").collect()  # a row per feature
+        return LinearModel(rows[0]["weight"], {r["name"]: r["weight"] for r in rows[1:]})
+
 
 def score_columns(p: Column, threshold: float = 0.5) -> dict[str, Column]:
     """M7 output columns from an unrounded probability."""

@@ -49,8 +49,9 @@ def hash_rank(
     rank_col: str = "rank",
     n_rows: int | None = None,
     rows_per_bucket: int = 200_000,
+    tie: str | None = None,
 ) -> DataFrame:
-    """1-based rank inside ``partition_cols`` ordered by ``md5(seed:stream:key)``, then key.
+    """1-based rank inside ``partition_cols`` ordered by ``md5(seed:stream:key)``, then key, then ``tie``.
 
     Equal to ``row_number() OVER (PARTITION BY p ORDER BY md5(..), key)``.
     """
@@ -64,7 +65,7 @@ def hash_rank(
     wo = Window.partitionBy(*partition_cols).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(wo), F.lit(0))).drop("__n")
     joined = null_safe_join(keyed, offsets, [*partition_cols, b])
-    wi = Window.partitionBy(*partition_cols, b).orderBy(h, key_col)
+    wi = Window.partitionBy(*partition_cols, b).orderBy(h, key_col, *([tie] if tie else []))
     return joined.withColumn(rank_col, (F.row_number().over(wi) + F.col("__off")).cast("bigint")).drop(h, b, "__off")
 
 

@@ -51,13 +51,13 @@ def allocate_test_counts(counts: Mapping[Any, int], test_size: float = TEST_SIZE
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = TEST_SIZE,
-                     seed: int = RANDOM_SEED, split_col: str = "split") -> DataFrame:
+                     seed: int = RANDOM_SEED, split_col: str = "split", tie: str | None = None) -> DataFrame:
     """Exact stratified split: each class keeps its share in the test part.
 
     Rows are ranked inside their class by ``md5(seed:split:key)``; the first
-    ``n_test_c`` rows of class c are ``test``.
+    ``n_test_c`` rows of class c are ``test``. Rows of one key follow ``tie``.
     """
-    ranked = hash_rank(df, [label], key, seed, "split", rank_col="__r")
+    ranked = hash_rank(df, [label], key, seed, "split", rank_col="__r", tie=tie)
     limits = class_test_counts(df, label, test_size).select(label, "__lim")
     out = null_safe_join(ranked, limits, [label], how="left")  # one row per class
     return out.withColumn(split_col, F.when(F.col("__r") <= F.col("__lim"), F.lit("test")).otherwise(F.lit("train"))) \
@@ -65,9 +65,9 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = TES
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = CV_FOLDS, seed: int = RANDOM_SEED,
-                     fold_col: str = "fold") -> DataFrame:
+                     fold_col: str = "fold", tie: str | None = None) -> DataFrame:
     """Fold = (rank inside class - 1) mod k: class shares differ by at most one row per fold."""
-    ranked = hash_rank(df, [label], key, seed, "fold", rank_col="__r")
+    ranked = hash_rank(df, [label], key, seed, "fold", rank_col="__r", tie=tie)
     return ranked.withColumn(fold_col, ((F.col("__r") - 1) % F.lit(k)).cast("int")).drop("__r")
 
 

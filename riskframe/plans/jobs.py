@@ -63,28 +63,37 @@ def score(raw: DataFrame, bundle: Bundle, id_col: str | None = None) -> tuple[Da
     return scored, quarantined
 
 
-def with_row_id(df: DataFrame, spec: TableSpec) -> DataFrame:
+def content_hash(df: DataFrame):
+    """A hash of a row's whole content (a ``Column``)."""
+    return F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+
+
+def with_row_id(df: DataFrame, spec: TableSpec, block: int = 1 << 16) -> DataFrame:
     """``df`` with the id column that the jobs need, where it has none.
 
-    The id is a hash of the row's content and its number among equal rows, so
-    it doesn't depend on the partitioning: equal rows are counted first and
-    numbered out again, never gathered.
+    The id is a hash of the row's content and its number among equal rows, so it doesn't depend on the
+    partitioning. Equal rows are counted and numbered out again in blocks of ``block`` that are dealt
+    over tasks: a row repeated any number of times fills no array and no single task.
     """
     if not spec.id_col or spec.id_col in df.columns:
         return df
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
-    rows = rows.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-    content = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-    return rows.select(F.concat_ws("-", content, F.col("__k").cast("string")).alias(spec.id_col), *df.columns)
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("__id", content_hash(df))
+    blocks = rows.withColumn("__b", F.explode(F.expr(f"sequence(0L, (__n - 1) div {block})"))).repartition("__id", "__b")
+    numbered = blocks.withColumn("__k", F.explode(F.expr(f"sequence(__b * {block} + 1, least(__n, (__b + 1) * {block}))")))
+    return numbered.select(F.concat_ws("-", "__id", F.col("__k").cast("string")).alias(spec.id_col), *df.columns)
 
 
 def split_labelled(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """(training rows, held-out rows) of the rows with a known label; the same for every job."""
+    """(training rows, held-out rows) of the rows with a known label; the same for every job.
+
+    Rows are ranked themselves, so repeated ids keep their number of rows; equal ids follow their
+    content's hash, rows without an id are ranked by it.
+    """
     known = raw.where(pp.encode_target_expr(raw, spec).isNotNull())
-    split = smp.stratified_split(known.select(spec.id_col, pp.encode_target_expr(known, spec).alias("__y")), "__y", spec.id_col)
-    parts = split.select(spec.id_col, "split")
-    joined = known.join(parts, spec.id_col)
-    return tuple(joined.where(F.col("split") == part).select(*raw.columns) for part in ("train", "test"))
+    content = content_hash(known)
+    keyed = known.select("*", pp.encode_target_expr(known, spec).alias("__y"), F.coalesce(F.col(spec.id_col).cast("string"), content).alias("__key"), content.alias("__tie"))
+    split = smp.stratified_split(keyed, "__y", "__key", tie="__tie")
+    return tuple(split.where(F.col("split") == part).select(*raw.columns) for part in ("train", "test"))
 
 
 def fit_bundle(raw_train: DataFrame, spec: TableSpec, model: Any = None) -> tuple[Bundle, DataFrame]:
@@ -113,7 +122,9 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     raw_train = cut_lineage(raw_train)  # scanned once per fit pass
     bundle, built = fit_bundle(raw_train, spec)
     data = built.withColumn("label", F.col(spec.target).cast("double"))
-    data = smp.stratified_folds(data, "label", spec.id_col)
+    data = data.withColumn("__tie", content_hash(data))
+    data = data.withColumn("__key", F.coalesce(F.col(spec.id_col).cast("string"), F.col("__tie")))
+    data = smp.stratified_folds(data, "label", "__key", tie="__tie").drop("__key", "__tie")
     if use_weights:
         data = smp.with_class_weights(data, "label")
     # every fold of every setting re-reads this table: write it once to the shared
@@ -157,7 +168,8 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
 def save_bundle_state(spark, root: str, version: int, bundle: Bundle) -> None:
     """Parameter table and bundle metadata next to the model of one version."""
     bundle.params.save(spark, f"{root}/params/v={version}")
-    state = {"dropped": bundle.dropped, "features": bundle.features, "threshold": bundle.threshold}
+    state = {"dropped": bundle.dropped, "features": bundle.features, "threshold": bundle.threshold,
+             "linear": isinstance(bundle.model, md.LinearModel)}
     spark.createDataFrame([(json.dumps(state),)], "json string").coalesce(1) \
         .write.mode("overwrite").text(f"{root}/bundle/v={version}")
 
@@ -167,9 +179,12 @@ def load_bundle(spark, root: str, spec: TableSpec, version: int | None = None) -
     from pyspark.ml import PipelineModel
 
     version = version or reg.latest_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no model registered under {root}")
     state = json.loads(spark.read.text(f"{root}/bundle/v={version}").first()[0])
     params = pp.PreprocessParams.load(spark, f"{root}/params/v={version}")
-    model = PipelineModel.load(f"{root}/v={version}")
+    path = f"{root}/v={version}"
+    model = md.LinearModel.load(spark, path) if state.get("linear") else PipelineModel.load(path)
     return Bundle(spec, params, state["dropped"], state["features"], model, state["threshold"], {"version": version})
 
 

@@ -522,3 +522,16 @@ s AS (SELECT y, c.n, m, m * c.n / t.n AS share FROM c, t),
 a AS (SELECT y, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, y) <= m - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS k FROM s)
 SELECT CAST((SELECT n - m FROM t) AS BIGINT) AS n_train, CAST((SELECT m FROM t) AS BIGINT) AS n_test, CAST((SELECT k FROM a WHERE y = 1) AS BIGINT) AS n_positive,
        CAST(1 AS BIGINT) AS version, true AS probabilities_fit, true AS metrics_fit"""
+
+# Every setting of the logistic grid on every fold of the training part.
+ORACLES["tune_logistic"] = f"""
+WITH r AS (SELECT row_id, CAST({SURVEY_TARGET} = 'YES' AS INTEGER) AS y FROM {_raw} WHERE {SURVEY_TARGET} IS NOT NULL),
+c AS (SELECT y, count(*) AS n FROM r GROUP BY 1), t AS (SELECT sum(n) AS n, ceil(0.2 * sum(n)) AS m FROM c),
+s AS (SELECT y, c.n, m, m * c.n / t.n AS share FROM c, t),
+a AS (SELECT y, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, y) <= m - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS k FROM s),
+tr AS (SELECT r.row_id, r.y FROM r JOIN a USING (y) QUALIFY row_number() OVER (PARTITION BY r.y ORDER BY md5('42:split:' || CAST(r.row_id AS VARCHAR)), r.row_id) > a.k),
+f AS (SELECT y, (row_number() OVER (PARTITION BY y ORDER BY md5('42:fold:' || CAST(row_id AS VARCHAR)), row_id) - 1) % 5 AS fold FROM tr),
+per AS (SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_held_out, CAST(sum(y) AS BIGINT) AS n_positive FROM f GROUP BY fold),
+w AS (SELECT *, sum(n_held_out) OVER () - n_held_out AS n, sum(n_positive) OVER () - n_positive AS pos FROM per)
+SELECT CAST(d.draw AS INTEGER) AS draw, d.c, fold, n_held_out, n_positive, {_r("n / (2.0 * pos)")} AS positive_weight, true AS optimal, true AS recall_fits
+FROM w, (VALUES (0, 0.01::DOUBLE), (1, 0.1), (2, 1.0), (3, 10.0), (4, 100.0)) AS d(draw, c)"""
