@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.llm.common import arrow_rows, bounded_batches, data, documents, fold_words
-from riskframe.llm.license_rules import parse
+from riskframe.llm.license_rules import keywords, parse
 
 #: Fixed phrases and labels of the base scan.
 BASE = [(b"mit license", "mit"), (b"apache license", "apache"), (b"general public license", "gpl")]
@@ -31,20 +31,31 @@ class Detection:
 
 
 class Scanner:
-    """Compiled rules with an index from each rule's rarest-looking keyword to the rule."""
+    """Compiled rules with an index from the rarest-looking keyword of each rule's alternative to the rule.
 
-    def __init__(self, rules: list | None = None):
+    ``gated`` False runs every rule on every text.
+    """
+
+    def __init__(self, rules: list | None = None, gated: bool = True):
         self.by_word: dict[bytes, list[tuple]] = {}
-        for k, (level, label, sure, words, regex) in enumerate(parse() if rules is None else rules):
-            gate = max(words, key=lambda w: (len(w), w))
-            self.by_word.setdefault(gate, []).append((k, level, label, sure, words, re.compile(rb"(?<= )(?:%b)(?= )" % regex)))
+        self.always: list[tuple] = []
+        for k, (level, label, sure, regex) in enumerate(parse() if rules is None else rules):
+            rule = (k, level, label, sure, re.compile(rb"(?<= )(?:%b)(?= )" % regex))
+            for words in keywords(regex) if gated else ():
+                if words:
+                    self.by_word.setdefault(max(words, key=lambda w: (len(w), w)), []).append((words, rule))
+                else:
+                    self.always.append(rule)
+            if not gated:
+                self.always.append(rule)
         self.gates = self.by_word.keys()
         self.base_gates = {p.split()[0] for p, _ in BASE}
 
     def matches(self, text: bytes, have: set[bytes]) -> Iterator[Detection]:
-        """All matches of all rules whose keywords the text has; ``text`` is `` word word `` folded."""
-        rules = (r for w in self.gates & have for r in self.by_word[w] if r[4] <= have)
-        for _, level, label, sure, _, regex in sorted(rules, key=lambda r: r[0]):
+        """All matches of all rules of which the text has an alternative's keywords; ``text`` is `` word word `` folded."""
+        rules = {rule[0]: rule for w in self.gates & have for words, rule in self.by_word[w] if words <= have}
+        rules |= {rule[0]: rule for rule in self.always}
+        for _, (_, level, label, sure, regex) in sorted(rules.items()):
             at, words = 0, 0  # words before byte ``at``
             for m in regex.finditer(text):
                 words += text.count(b" ", at, m.start())
@@ -76,7 +87,7 @@ class Scanner:
         """Number of words, base places (first word, label), resolved detections."""
         words = fold_words(data(text))
         have = set(words)
-        if not (have & self.gates or have & self.base_gates):
+        if not (self.always or have & self.gates or have & self.base_gates):
             return len(words), [], []
         folded = b" %b " % b" ".join(words)
         places = []

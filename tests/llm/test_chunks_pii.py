@@ -174,3 +174,34 @@ def test_pseudonymise_odd_rows(docs):
     got = pii.pseudonymise(docs(ODD), b"key").collect()
     assert sorted(((r.doc_id, r.text, r.n_found, r.spans) for r in got), key=repr) == sorted(((i, t, 0, "") for i, t in ODD), key=repr)
     assert pii.pseudonymise(docs([]), b"key").count() == 0
+
+
+PLANTED = {
+    "email": ["jo.doe@example.org", "A_B-c@mail.co.uk", "x1@y-z.net"], "date": ["2001-03-12", "3.4.1999", "12/31/2020"], "address": ["10.0.0.7", "192.168.254.1"],
+    "ssn": ["123-45-6789"], "phone": ["212-555-0142", "+44 20 7946 0958", "(212) 555-0142"], "card": ["4111 1111 1111 1111", "5500005555555559"],
+    "iban": ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"],
+}
+
+
+def test_planted_values_are_found_where_they_stand(docs, rng):
+    """An independent finder: what was planted, at the places where it was planted, and nothing else."""
+    rows, want = [], {}
+    for i in range(120):
+        text, spans = "", []
+        for _ in range(rng.randrange(8)):
+            text += " ".join(rng.choice(["alpha", "Beta", "é漢", "No", "12", "a@b", "1999", "7.5", "x-y"]) for _ in range(rng.randrange(1, 6))) + rng.choice([": ", " (", "; "])
+            kind = rng.choice(list(PLANTED))
+            value = rng.choice(PLANTED[kind])
+            spans.append(f"{kind}:{len(text)}:{len(text) + len(value)}")
+            text += value + rng.choice([", and ", "; then ", ") so "])
+        rows.append((i, text))
+        want[i] = ",".join(spans)
+    assert {r.doc_id: r.spans for r in pii.pseudonymise(docs(rows), b"k").collect()} == want
+
+
+def test_very_long_values_do_not_crash(docs):
+    rows = [(1, "a" * 4000 + "@example.org"), (2, "5" * 5000 + "@example.org"), (3, "x@" + "b" * 9000 + ".org"), (4, "+1 " * 20_000), (5, "4" * 60_000), (6, "a" * 64 + "@example.org"),
+            (7, "1." * 30_000), (8, "a@" * 20_000)]
+    got = {r.doc_id: r for r in pii.pseudonymise(docs(rows), b"k").collect()}
+    assert got[6].spans == "email:0:76" and len(got[6].text) == 76
+    assert all(got[i].text == t for i, t in rows if i in (1, 2, 3, 5, 7, 8))

@@ -3,13 +3,14 @@
 import hashlib
 import re
 from collections import Counter
+from re import _parser
 
 import pytest
 from conftest_llm import ODD
 
 from riskframe.llm import licenses, quality, secrets
 from riskframe.llm.automaton import compile_rules
-from riskframe.llm.license_rules import parse
+from riskframe.llm.license_rules import keywords, parse
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -93,6 +94,8 @@ def test_license_base(docs, rng):
     ("GNU General Public License v3 or later", "gpl-3.0-or-later"),
     ("See http://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa-4.0"),
     ("under the GNU Lesser General Public License version 2.1", "lgpl-2.1"),
+    ("This product includes software developed by the Apache Software Foundation.", "apache-1.1"),
+    ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", "zlib"),
 ])
 def test_license_rules(text, label):
     found = licenses.Scanner().scan(text)[2]
@@ -111,8 +114,53 @@ def test_license_containment_brute_force(rng):
 def test_license_table_is_sound():
     rules = parse()
     assert len(rules) >= 250
-    for level, label, sure, words, regex in rules:
-        assert level and label and 0 < sure <= 1 and words and re.compile(regex)
+    for level, label, sure, regex in rules:
+        assert level and label and 0 < sure <= 1 and re.compile(regex) and all(keywords(regex))
+
+
+def sample(tree, rng, some):
+    """A text that a parsed regex matches; ``some`` picks alternatives."""
+    out = ""
+    for kind, arg in tree:
+        name = str(kind)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "SUBPATTERN":
+            out += sample(arg[-1], rng, some)
+        elif name == "BRANCH":
+            out += sample(some(arg[1]), rng, some)
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high = arg[0], min(int(arg[1]), arg[0] + 2)
+            out += "".join(sample(arg[2], rng, some) for _ in range(some([low, high])))
+        elif name == "IN":
+            ranges = [x for k, x in arg if str(k) == "RANGE"]
+            letters = [chr(x) for k, x in arg if str(k) == "LITERAL"] + [chr(c) for lo, hi in ranges for c in range(lo, hi + 1)]
+            out += rng.choice([c for c in letters if c.isalnum()] or ["q"])
+        else:
+            raise AssertionError(name)
+    return out
+
+
+def test_every_rule_and_alternative_is_found_with_and_without_gate(rng):
+    gated, plain = licenses.Scanner(), licenses.Scanner(gated=False)
+    for level, label, sure, regex in parse():
+        for pick in (lambda x: x[0], lambda x: x[-1], *[rng.choice] * 12):
+            text = " ".join(sample(_parser.parse(regex.decode()), rng, pick).split())
+            words = text.encode().split()
+            if re.fullmatch(regex, text.encode()) is None:
+                continue  # joined to single spaces, an empty part may have moved a space
+            folded = b" x " + b" ".join(words) + b" y "
+            found = list(gated.matches(folded, set(folded.split())))
+            assert any((d.level, d.label) == (level, label) for d in found), (label, text)
+            assert found == list(plain.matches(folded, set(folded.split())))
+
+
+def test_gate_loses_nothing_on_documents(spark):
+    gated, plain = licenses.Scanner(), licenses.Scanner(gated=False)
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    found = [gated.scan(t) for t in texts]
+    assert found == [plain.scan(t) for t in texts] and any(f[2] for f in found)
+
 
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
