@@ -2,6 +2,7 @@
 
 * Linear models: exact Shapley values on the margin, ``w_j * (x_j - E[x_j])``,
   as column expressions (E over a background table, one aggregate).
+* Histogram trees: path-dependent Shapley values of every leaf's path, rows in place.
 * Any fitted model: permutation-sampling Shapley. Every (row, permutation)
   pair is expanded into the d+1 coalitions along the permutation, all of
   them are scored in one ``transform``, and feature contributions are the
@@ -17,8 +18,11 @@ The result is always a long table ``(row id, feature, value, phi)``.
 
 from __future__ import annotations
 
-from typing import Sequence
+import math
+from typing import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +31,7 @@ from ..functions.hashing import hash_key
 from ..spec import RANDOM_SEED, TOP_FEATURES
 from .models import LinearModel, positive_probability
 from .sampling import background_sample
+from .trees import Tree, TreeModel, binned
 
 
 def shap_linear(df: DataFrame, model: LinearModel, id_col: str, background: DataFrame | None = None) -> DataFrame:
@@ -42,6 +47,73 @@ def shap_linear(df: DataFrame, model: LinearModel, id_col: str, background: Data
     return df.select(id_col, F.inline(F.array(*exprs)))
 
 
+def leaf_paths(tree: Tree) -> list[tuple[float, dict[int, tuple[int, int, float]]]]:
+    """(value, column -> (lowest bin, highest bin, share)) of every leaf.
+
+    The bins of a column that lead to the leaf, and the share of the weight that goes its way at the
+    path's splits of that column: what the leaf gets where the column isn't known.
+    """
+    out, stack = [], [(0, {})]
+    while stack:
+        node, path = stack.pop()
+        column = tree.column[node]
+        if column < 0:
+            out.append((tree.value[node], path))
+            continue
+        lo, hi, share = path.get(column, (0, 255, 1.0))
+        whole = tree.weight[tree.left[node]] + tree.weight[tree.right[node]]
+        for child, low, high in ((tree.left[node], lo, min(hi, tree.bin[node])), (tree.right[node], max(lo, tree.bin[node] + 1), hi)):
+            stack.append((child, path | {column: (low, high, share * (tree.weight[child] / whole if whole else 0.5))}))
+    return out
+
+
+def path_shapley(paths: Sequence[tuple[float, dict[int, tuple[int, int, float]]]], bins: np.ndarray) -> tuple[float, np.ndarray]:
+    """(expected value, Shapley value of each column for each row) of a sum of leaves, path-dependent.
+
+    A leaf counts for a set of known columns with the product of 0 or 1 for known and shares for unknown
+    columns of its path. Over the sets of a size that product sums to a coefficient of the polynomial
+    ``prod(share + inside * t)`` of the path's other columns; sizes weigh ``k! (m-k-1)! / m!``.
+    """
+    phi, base = np.zeros(bins.shape), 0.0
+    for value, path in paths:
+        columns, m = list(path), len(path)
+        base += value * math.prod(p[2] for p in path.values())
+        inside = [((bins[:, c] >= lo) & (bins[:, c] <= hi)).astype(float) for c, (lo, hi, _) in path.items()]
+        shares = [p[2] for p in path.values()]
+        for j, c in enumerate(columns):
+            poly = np.zeros((m, len(bins)))
+            poly[0] = 1.0
+            for i in range(m):
+                if i != j:
+                    poly[1:] = poly[1:] * shares[i] + poly[:-1] * inside[i]
+                    poly[0] *= shares[i]
+            weights = [math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m) for k in range(m)]
+            phi[:, c] += value * (inside[j] - shares[j]) * (weights @ poly)
+    return base, phi
+
+
+def shap_trees(df: DataFrame, model: TreeModel, id_col: str) -> DataFrame:
+    """X1 for fitted trees: ``(id, feature, value, phi, base)``, on the log-odds for boosting and the mean
+    label for a forest; a row's phi sum to its margin less base. Rows stay in their partition, repeated
+    and null ids give their rows each."""
+    edges, trees, scale = model.edges, model.trees, 1 / max(1, len(model.trees)) if model.setting.kind == "forest" else 1.0
+    names = model.features
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths = [p for t in trees for p in leaf_paths(t)]
+        for whole in batches:
+            for k in range(0, whole.num_rows, 4096):
+                b = whole.slice(k, 4096)
+                x = np.column_stack([np.asarray(b.column(i)) for i in range(1, b.num_columns)])
+                base, phi = path_shapley(paths, binned(x, edges))
+                ids = b.column(0).take(pa.array(np.repeat(np.arange(len(x)), len(names))))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(names * len(x)), pa.array(x.ravel()), pa.array(phi.ravel() * scale),
+                                                  pa.array(np.full(x.size, base * scale + model.base))], names=[id_col, "feature", "value", "phi", "base"])
+
+    data = df.select(id_col, *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    return data.mapInArrow(rows, f"`{id_col}` {data.dtypes[0][1]}, feature string, value double, phi double, base double")
+
+
 def global_importance(phi: DataFrame, top: int = TOP_FEATURES) -> DataFrame:
     """Mean |phi| per feature, the ``top`` largest (ties by name)."""
     imp = phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("importance"))

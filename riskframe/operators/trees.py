@@ -26,6 +26,8 @@ from ..session import cut_lineage
 from ..spec import RANDOM_SEED
 
 BLOCK = 8192
+#: Bytes of histograms that a task holds; more open nodes than fit are summed in further passes.
+HELD = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -119,6 +121,30 @@ class TreeModel:
         return data.mapInArrow(rows, ", ".join(f"`{c}` {t}" for c, t in data.select(*keep).dtypes) + ", probability double")
 
 
+def search(df: DataFrame, features: Sequence[str], family: str, settings: Sequence[Mapping[str, Any]], label: str = "label", fold_col: str = "fold",
+           weight: str | None = "weight", bins: int = 64, key: str | None = None) -> tuple[dict[tuple[int, int | None], TreeModel], DataFrame]:
+    """M4 for a tree family: models by (draw, fold left out or None), all grown in shared passes, and
+    ``(draw, fold, n_positive, n_found, recall)`` of the held-out rows at 0.5 (0 without positives)."""
+    folds = sorted(r[0] for r in df.where(F.col(fold_col).isNotNull()).select(fold_col).distinct().collect())  # a row per fold
+    jobs = [(i, f) for i in range(len(settings)) for f in [*folds, None]]
+    models = dict(zip(jobs, fit(df, features, [Setting.of(family, settings[i], f) for i, f in jobs], label, fold_col, weight, bins, key)))
+    held = [(i, f) for i, f in jobs if f is not None]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros((len(held), 2), np.int64)
+        for b in batches:
+            y, fold = np.asarray(b.column(0)), np.asarray(b.column(1))
+            x = binned(np.column_stack([np.asarray(b.column(i)) for i in range(2, b.num_columns)]), models[jobs[0]].edges)
+            for k, (i, f) in enumerate(held):
+                mine = (fold == f) & (y > 0)
+                n[k] += mine.sum(), (models[i, f].probabilities(x[mine]) >= 0.5).sum()
+        yield pa.RecordBatch.from_pydict({"draw": pa.array([i for i, _ in held], pa.int32()), "fold": pa.array([f for _, f in held], pa.int32()), "p": n[:, 0], "q": n[:, 1]})
+
+    rows = df.where(F.col(label).isNotNull() & F.col(fold_col).isNotNull()).select(F.col(label).cast("double"), F.col(fold_col).cast("int"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)])
+    total = rows.mapInArrow(count, "draw int, fold int, p long, q long").groupBy("draw", "fold").agg(F.sum("p").alias("n_positive"), F.sum("q").alias("n_found"))
+    return models, total.withColumn("recall", F.coalesce(F.try_divide("n_found", "n_positive"), F.lit(0.0)))
+
+
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int = 64, accuracy: int = 10_000) -> list[list[float]]:
     """At most ``bins - 1`` cuts per column, at sketched quantiles, in one pass; the largest value cuts nothing."""
     at = F.array(*[F.lit(i / bins) for i in range(1, bins + 1)])
@@ -216,7 +242,9 @@ def fit(df: DataFrame, features: Sequence[str], settings: Sequence[Setting], lab
                 todo[m, turn] = [0]
         level = 0
         while todo:
-            found = _level(table, models, todo, d, bins)
+            found = {}
+            for some in _portions(todo, max(1, HELD // (d * bins * 24))):
+                found |= _level(table, models, some, d, bins)
             after: dict[tuple[int, int], list[int]] = {}
             for (m, t), nodes in todo.items():
                 s, tree = models[m].setting, models[m].trees[t]
@@ -237,6 +265,16 @@ def fit(df: DataFrame, features: Sequence[str], settings: Sequence[Setting], lab
     return models
 
 
+def _portions(todo: Mapping[tuple[int, int], Sequence[int]], size: int) -> Iterator[dict[tuple[int, int], list[int]]]:
+    """Open nodes, ``size`` at a time."""
+    every = [(tree, node) for tree, nodes in todo.items() for node in nodes]
+    for k in range(0, len(every), size):
+        part: dict[tuple[int, int], list[int]] = {}
+        for tree, node in every[k : k + size]:
+            part.setdefault(tree, []).append(node)
+        yield part
+
+
 def _leaf(g: float, h: float, s: Setting) -> float:
     return -g / (h + s.penalty) if h + s.penalty > 0 else 0.0
 

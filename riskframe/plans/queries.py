@@ -23,7 +23,7 @@ from .inputs import LINEITEM_NUMERIC, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DEC = 6
 # Learned-model queries run last (heaviest; Spark ML iterations).
-LAST = ("lr_fit_score", "rf_fit_score", "gbt_fit_score", "tune_recall", "tune_logistic", "shap_sampled", "explain_job",
+LAST = ("lr_fit_score", "rf_fit_score", "gbt_fit_score", "tune_recall", "tune_logistic", "forest_search", "boosting_scores", "shap_trees", "shap_sampled", "explain_job",
         "registry_history", "train_job")
 
 
@@ -426,6 +426,7 @@ def q_cv_summary(spark, sf):
 
 from ..operators import explain as xp  # noqa: E402
 from ..operators import logistic as lg  # noqa: E402
+from ..operators import trees as tr  # noqa: E402
 from ..operators import models as md  # noqa: E402
 from ..sources import files  # noqa: E402
 from ..sources import registry as reg  # noqa: E402
@@ -630,6 +631,35 @@ def q_tune_logistic(spark, sf):
     return rounded(out.select("draw", "c", "fold", "n_held_out", "n_positive", "positive_weight", "optimal", "recall_fits"))
 
 
+@query("forest_search")
+def q_forest_search(spark, sf):
+    """M2 + M4: forests that differ in the smallest split, on all folds, grown in shared passes; recall per setting and fold."""
+    bundle, train, _ = _model_data(spark, sf)
+    settings = [{"n_estimators": 10, "max_depth": 5, "min_samples_split": k} for k in md.GRIDS["random_forest"]["min_samples_split"]]
+    _, recalls = tr.search(train, bundle.features, "random_forest", settings, key="row_id")
+    return rounded(recalls)
+
+
+@query("boosting_scores")
+def q_boosting_scores(spark, sf):
+    """M3: second-order boosting with rows and columns drawn per tree, fitted on the training part, test rows scored."""
+    model, test = _boosted(spark, sf)
+    return rounded(model.score(test, ["row_id", "label"]))
+
+
+@query("shap_trees")
+def q_shap_trees(spark, sf):
+    """X1 + X2: exact path-dependent Shapley values of the boosted trees on the test rows, importance of the first 15 features."""
+    model, test = _boosted(spark, sf)
+    return rounded(xp.global_importance(xp.shap_trees(test, model, "row_id")))
+
+
+def _boosted(spark, sf):
+    bundle, train, test = _model_data(spark, sf)
+    setting = tr.Setting.of("gradient_boosting", {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.3, "subsample": 0.8, "colsample_bytree": 0.7})
+    return tr.fit(train, bundle.features, [setting], key="row_id")[0], test
+
+
 @query("shap_sampled")
 def q_shap_sampled(spark, sf):
     """X1(b): permutation-sampling Shapley values of a fitted logistic model on the test rows."""

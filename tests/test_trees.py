@@ -100,3 +100,57 @@ def test_constant_columns_and_missing_values(spark):
     assert model.trees[0].column == [-1] and 0 <= model.trees[0].value[0] <= 1
     with pytest.raises(Exception, match="impute"):
         tr.fit(df.selectExpr("CASE WHEN label = 1 THEN a END AS a", "b", "c", "label"), ["a", "b", "c"], [tr.Setting("forest", 1, 1)], fold_col=None)
+
+
+def test_shapley_values_equal_all_coalitions(spark):
+    """f(S): known columns decide, unknown ones share by weight; every order of columns."""
+    from itertools import combinations
+    from math import factorial
+
+    from riskframe.operators import explain as xp
+
+    df = table(spark, 150)
+    for setting in (tr.Setting("boosting", 2, 4, 0.3), tr.Setting("forest", 2, 4, penalty=0.0)):
+        model = tr.fit(df, FEATURES, [setting], fold_col=None, bins=16, key="id")[0]
+
+        def value(t, x, known, node=0):
+            c = t.column[node]
+            if c < 0:
+                return t.value[node]
+            if c in known:
+                return value(t, x, known, t.left[node] if x[c] <= t.bin[node] else t.right[node])
+            l, r = t.left[node], t.right[node]
+            return (t.weight[l] * value(t, x, known, l) + t.weight[r] * value(t, x, known, r)) / (t.weight[l] + t.weight[r])
+
+        got = {}
+        for r in xp.shap_trees(df, model, "id").collect():
+            got.setdefault(r["id"], {})[r["feature"]] = (r["phi"], r["base"])
+        data = np.array(df.select("id", *FEATURES).collect())
+        bins = tr.binned(data[:, 1:], model.edges)
+        scale = 0.5 if setting.kind == "forest" else 1.0
+        margins = model.margins(bins)
+        assert len(got) == 150
+        for k in range(0, 150, 7):
+            f = {s: scale * sum(value(t, bins[k], s) for t in model.trees) for n in range(5) for s in combinations(range(4), n)}
+            for j, name in enumerate(FEATURES):
+                want = sum(factorial(len(s)) * factorial(3 - len(s)) / 24 * (f[tuple(sorted((*s, j)))] - f[s]) for s in f if j not in s)
+                assert got[int(data[k, 0])][name][0] == pytest.approx(want, abs=1e-9)
+            mine = got[int(data[k, 0])]
+            assert sum(p for p, _ in mine.values()) + mine["a"][1] == pytest.approx(margins[k], abs=1e-9)
+            assert mine["a"][1] == pytest.approx(f[()], abs=1e-9)
+
+
+def test_search_and_few_nodes_at_once(spark, monkeypatch):
+    df = table(spark)
+    settings = [{"n_estimators": 2, "max_depth": 3, "min_samples_split": k} for k in (2, 100)]
+    models, recalls = tr.search(df, FEATURES, "random_forest", settings, key="id", bins=16)
+    assert len(models) == 2 * 4 and recalls.count() == 2 * 3
+    assert sum(len(t.column) for t in models[0, None].trees) > sum(len(t.column) for t in models[1, None].trees)
+    y = {r["id"]: (r["label"], r["fold"]) for r in df.collect()}
+    for r in recalls.collect():
+        p = {x["id"]: x["probability"] for x in models[r["draw"], r["fold"]].score(df, ["id"]).collect()}
+        mine = [i for i, (l, f) in y.items() if l > 0 and f == r["fold"]]
+        assert (r["n_positive"], r["n_found"]) == (len(mine), sum(p[i] >= 0.5 for i in mine))
+    monkeypatch.setattr(tr, "HELD", 3 * 4 * 16 * 24)
+    again = tr.fit(df, FEATURES, [tr.Setting.of("random_forest", settings[0])], weight="weight", bins=16, key="id")[0]
+    assert [t.column for t in again.trees] == [t.column for t in models[0, None].trees]
