@@ -58,9 +58,9 @@ def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int =
                      seed: int = RANDOM_SEED, candidates: bool = False):
     """Exact ``(id, label, nn_id, nn_rank, distance)``: the k nearest other rows
     of the same class (Euclidean; ties by neighbour id). With ``candidates``
-    the stage-2 pair table is returned too (to measure the pruning)."""
-    dim = df.select(F.size(vec)).first()[0]
-    r = _direction(dim, seed)
+    the stage-2 pair table is returned too (to measure the pruning). An empty table has no neighbours."""
+    first = df.select(F.size(vec)).first()
+    r = _direction(first[0] if first else 1, seed)
     rv = F.array(*[F.lit(x) for x in r])
     pts = df.select(id_col, label, F.col(vec).cast("array<double>").alias("v"))
     pts = pts.withColumn("p", F.aggregate(F.zip_with("v", rv, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x))
@@ -68,7 +68,7 @@ def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int =
     ext = pts.groupBy(label).agg(F.min("p").alias("pmin"), F.max("p").alias("pmax"), F.count(F.lit(1)).alias("n"))
     ext = ext.withColumn("w", F.greatest((F.col("pmax") - F.col("pmin")) / F.greatest(F.ceil(F.col("n") / cell_rows), F.lit(1)),
                                          F.lit(1e-12)))
-    pts = pts.join(F.broadcast(ext.select(label, "pmin", "w", "pmax")), label)  # one row per class
+    pts = pts.join(ext.select(label, "pmin", "w", "pmax"), label)  # one row per class; Spark broadcasts it by its size
     pts = pts.withColumn("cell", F.floor((F.col("p") - F.col("pmin")) / F.col("w")).cast("long"))
     # packs: the points of a cell as arrays of about cell_rows (a dense cell is
     # split by id hash into several packs)

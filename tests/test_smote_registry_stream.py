@@ -99,3 +99,8 @@ def test_class_of_one_row(spark):
         sm.oversample(df, "id", "y", "v", k=2)
     out = sm.oversample(df, "id", "y", "v", k=2, copy_single=True)
     assert {tuple(r.v) for r in out.where("y = 1").collect()} == {(5.0, 5.0)} and out.where("y = 1").count() == 6
+
+
+def test_neighbours_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id long, label int, v array<double>")
+    assert sm.knn_within_class(df, "id", "label", "v").collect() == []
