@@ -132,7 +132,7 @@ class Preprocessor:
         """``{column: (median, [q1, q3] of the imputed column)}`` and the extra aggregates."""
         exprs = {c: F.col(c) for c in numeric}
         if self.exact:
-            return median_and_imputed_quantiles(df, exprs, [0.25, 0.75], self.accuracy, extra_aggs, extra)
+            return median_and_imputed_quantiles(df, exprs, [0.25, 0.75], extra_aggs, extra)
         if extra_aggs:
             extra.update(df.agg(*extra_aggs).collect()[0].asDict())
         med = approx_quantiles(df, exprs, [0.5], self.accuracy)
@@ -148,7 +148,7 @@ class Preprocessor:
         params = PreprocessParams()
 
         # Which flags are coded 1/2 (no non-NULL value outside {1, 2}): counted in
-        # the first quantile pass. Modes commute with the x - 1 map, so they are
+        # the first pass of the rank search. Modes commute with the x - 1 map, so they are
         # taken on the encoded values and shifted afterwards.
         remap_aggs = [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(1, 2)).alias(f"__x{i}")
                       for i, c in enumerate(binary)]
@@ -278,9 +278,9 @@ def preprocess(raw: DataFrame, spec: TableSpec, params: PreprocessParams | None
 # Single-purpose operators (the reference's helpers, generic)
 # ---------------------------------------------------------------------------
 
-def iqr_caps(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR, accuracy: int = 10_000) -> dict:
+def iqr_caps(df: DataFrame, cols: Sequence[str], factor: float = IQR_FACTOR) -> dict:
     """``{col: (q1, q3, lo, hi)}`` of the IQR rule."""
-    qs = exact_quantiles(df, {c: F.col(c) for c in cols}, [0.25, 0.75], accuracy)
+    qs = exact_quantiles(df, {c: F.col(c) for c in cols}, [0.25, 0.75])
     out = {}
     for c in cols:
         q1, q3 = qs[c]
@@ -342,11 +342,11 @@ def remap_binary(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[st
     return df.withColumns({c: (F.col(c) - F.lit(1)).cast("int") for c in cols if flags[c]}), flags
 
 
-def impute(df: DataFrame, numeric: Sequence[str], modal: Sequence[str], accuracy: int = 10_000) -> tuple[DataFrame, dict]:
+def impute(df: DataFrame, numeric: Sequence[str], modal: Sequence[str]) -> tuple[DataFrame, dict]:
     """Numeric NULL <- median, flag/category NULL <- mode (lowest on a tie)."""
     fills: dict[str, float | None] = {}
     if numeric:
-        med = exact_quantiles(df, {c: F.col(c) for c in numeric}, [0.5], accuracy)
+        med = exact_quantiles(df, {c: F.col(c) for c in numeric}, [0.5])
         fills.update({c: med[c][0] for c in numeric})
     if modal:
         for r in mode_values(df, modal).collect():

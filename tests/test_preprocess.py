@@ -60,7 +60,7 @@ def test_exact_quantiles_narrowing_matches_numpy(spark):
 
     vals = [float((i * 7919) % 1000) / 7.0 for i in range(5000)] + [3.0] * 2000
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    q = exact_quantiles(df, {"x": F.col("x")}, [0.1, 0.25, 0.5, 0.9], accuracy=100)
+    q = exact_quantiles(df, {"x": F.col("x")}, [0.1, 0.25, 0.5, 0.9])
     assert np.allclose(q["x"], np.quantile(vals, [0.1, 0.25, 0.5, 0.9]), rtol=0, atol=1e-12)
 
 
@@ -140,22 +140,41 @@ def test_all_null_columns_pass_through(spark):
     assert abs(sum(r["z"] for r in out)) < 1e-9
 
 
-def test_exact_quantile_recovers_from_a_wrong_bracket(spark, monkeypatch):
-    from riskframe.operators import profile
+def test_order_key_orders_all_doubles(spark):
+    """Zeros, subnormals, powers of two and their neighbours, infinities: the key is the value's bits."""
+    import math
+    import struct
 
-    vals = [float(v % 97) for v in range(1000)] + [float("nan")]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
-    real, calls = profile._bracket, []
+    from riskframe.operators.profile import with_order_key
+
+    sizes = [0.0, 5e-324, 1e-310, 2.2250738585072014e-308, 1.0, 0.1, 1e300, 1.7976931348623157e308, math.inf]
+    sizes += [f(2.0**e, x) for e in range(-1073, 1024, 13) for f, x in ((math.nextafter, 0.0), (math.nextafter, math.inf), (max, 0.0))]
+    vals = sizes + [-v for v in sizes]
+    got = with_order_key(spark.createDataFrame([(v,) for v in vals], "x double"), "x", "k").collect()
+    for r in got:
+        bits = struct.unpack("<q", struct.pack("<d", abs(r.x)))[0]
+        assert r.k == (-bits if r.x < 0 else bits)
 
-    def wrong_at_first(grid, p, accuracy):
-        calls.append(p)
-        return (90.0, 95.0) if len(calls) <= 2 else real(grid, p, accuracy)
 
-    monkeypatch.setattr(profile, "_bracket", wrong_at_first)
-    q = exact_quantiles(df, {"x": F.col("x")}, [0.02, 0.5], accuracy=100)
+def test_exact_quantiles_of_many_rows_and_hard_values(spark):
+    """Several passes: more rows than a digit has, values that differ in the last bits only, infinities, NaN and NULL."""
     import numpy as np
 
-    assert np.allclose(q["x"], np.quantile(vals[:-1], [0.02, 0.5]))
+    df = spark.range(300_000).select(
+        (F.lit(1.0) + F.pmod(F.xxhash64("id"), F.lit(1 << 20)) * 2.0**-52).alias("close"),
+        F.when(F.col("id") % 10 == 0, None).when(F.col("id") % 10 == 1, float("nan")).otherwise(F.sin("id") * F.exp(F.col("id") % 700)).alias("wide"),
+        F.when(F.col("id") % 3 == 0, float("-inf")).when(F.col("id") % 3 == 1, float("inf")).otherwise(F.col("id").cast("double")).alias("ends"),
+        F.lit(None).cast("double").alias("none"), (-(F.col("id") % 97)).alias("whole"))
+    probs = [0.0, 0.02, 0.25, 0.5, 0.75, 1.0]
+    q = exact_quantiles(df, {c: F.col(c) for c in df.columns}, probs)
+    rows = df.toPandas()
+    assert q["none"] == [None] * len(probs)
+    for c in ("close", "wide", "ends", "whole"):
+        v = np.sort(rows[c].dropna().to_numpy(dtype=float))
+        for p, x in zip(probs, q[c]):
+            at = p * (len(v) - 1)
+            lo, hi = v[int(np.floor(at))], v[int(np.ceil(at))]
+            assert x == lo if lo == hi else abs(x - (lo + (hi - lo) * (at - np.floor(at)))) <= 1e-12 * abs(x)
 
 
 def test_exact_quantile_half_zeros_half_ones(spark):
