@@ -159,32 +159,28 @@ def train(raw: DataFrame, spec: TableSpec, families: Sequence[str] = MODEL_ORDER
     metrics |= headline(evaluate(score_labelled(raw_test, bundle), threshold=bundle.threshold))
     bundle.meta["metrics"] = metrics
     if registry_root:
-        version = reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"], bundle.meta["n_rows"], metrics)
-        save_bundle_state(raw.sparkSession, registry_root, version, bundle)
+        version = reg.save_model(raw.sparkSession, registry_root, bundle.model, bundle.meta["family"], bundle.meta["n_rows"], metrics,
+                                 save_state=lambda path: save_bundle_state(raw.sparkSession, path, bundle))
         bundle.meta["version"] = version
     return bundle, table
 
 
-def save_bundle_state(spark, root: str, version: int, bundle: Bundle) -> None:
-    """Parameter table and bundle metadata next to the model of one version."""
-    bundle.params.save(spark, f"{root}/params/v={version}")
+def save_bundle_state(spark, path: str, bundle: Bundle) -> None:
+    """Parameter table and bundle metadata in the folder of one version."""
+    bundle.params.save(spark, f"{path}/params")
     state = {"dropped": bundle.dropped, "features": bundle.features, "threshold": bundle.threshold,
              "linear": isinstance(bundle.model, md.LinearModel)}
-    spark.createDataFrame([(json.dumps(state),)], "json string").coalesce(1) \
-        .write.mode("overwrite").text(f"{root}/bundle/v={version}")
+    spark.createDataFrame([(json.dumps(state),)], "json string").coalesce(1).write.text(f"{path}/bundle")
 
 
 def load_bundle(spark, root: str, spec: TableSpec, version: int | None = None) -> Bundle:
-    """Bundle of a registered version (the latest when not given)."""
+    """Bundle of a registered version (the latest when not given); raises if there is none."""
     from pyspark.ml import PipelineModel
 
-    version = version or reg.latest_version(spark, root)
-    if version is None:
-        raise FileNotFoundError(f"no model registered under {root}")
-    state = json.loads(spark.read.text(f"{root}/bundle/v={version}").first()[0])
-    params = pp.PreprocessParams.load(spark, f"{root}/params/v={version}")
-    path = f"{root}/v={version}"
-    model = md.LinearModel.load(spark, path) if state.get("linear") else PipelineModel.load(path)
+    version, path = reg.version_path(spark, root, version)
+    state = json.loads(spark.read.text(f"{path}/bundle").first()[0])
+    params = pp.PreprocessParams.load(spark, f"{path}/params")
+    model = md.LinearModel.load(spark, f"{path}/model") if state.get("linear") else PipelineModel.load(f"{path}/model")
     return Bundle(spec, params, state["dropped"], state["features"], model, state["threshold"], {"version": version})
 
 

@@ -535,3 +535,7 @@ per AS (SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_held_out, CAST(sum(y
 w AS (SELECT *, sum(n_held_out) OVER () - n_held_out AS n, sum(n_positive) OVER () - n_positive AS pos FROM per)
 SELECT CAST(d.draw AS INTEGER) AS draw, d.c, fold, n_held_out, n_positive, {_r("n / (2.0 * pos)")} AS positive_weight, true AS optimal, true AS recall_fits
 FROM w, (VALUES (0, 0.01::DOUBLE), (1, 0.1), (2, 1.0), (3, 10.0), (4, 100.0)) AS d(draw, c)"""
+
+ORACLES["registry_list"] = " UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS version, '{t}' AS model_type, count(*) AS n_rows, '{{}}' AS metrics, true AS loads FROM {t}"
+    for i, t in enumerate(("customer", "orders", "lineitem"), 1))

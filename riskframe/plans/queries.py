@@ -753,6 +753,17 @@ def q_registry_history(spark, sf):
     return reg.list_versions(spark, root).select("version", "model_type", "n_rows", "metrics")
 
 
+@query("registry_list")
+def q_registry_list(spark, sf):
+    """K6 + K10 + L2 + S7: the serving model committed with the rows that three tables have, listed in
+    numeric order; whether the latest loads as it was saved."""
+    root = scratch_path(spark, "models")
+    for name in ("customer", "orders", "lineitem"):
+        reg.save_model(spark, root, FIXED_LINEAR, name, spark.read.parquet(f"{sf}/{name}.parquet").count(), {"best_model": name})
+    loads = md.LinearModel.load(spark, f"{reg.version_path(spark, root)[1]}/model") == FIXED_LINEAR
+    return reg.list_versions(spark, root).select("version", "model_type", "n_rows", "metrics", F.lit(loads).alias("loads"))
+
+
 @query("evaluate_job")
 def q_evaluate_job(spark, sf):
     """The evaluation job's headline row (metrics at 0.5, AUC, AP, chosen threshold)."""

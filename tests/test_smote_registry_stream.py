@@ -80,15 +80,65 @@ def test_unreadable_registry_is_not_taken_for_an_empty_one(spark, tmp_path):
 
     root = str(tmp_path / "models")
     assert [reg.save_model(spark, root, Model(), "m", 1, {}) for _ in range(2)] == [1, 2]
-    for f in (tmp_path / "models" / "_registry").glob("part-*"):
-        f.write_bytes(b"not parquet")
-    for f in (tmp_path / "models" / "_registry").glob(".*.crc"):
-        f.write_bytes(b"")
+    for f in (tmp_path / "models" / "_registry").glob("*.json"):
+        f.write_bytes(b"no commit")
     with pytest.raises(Exception):
-        reg.save_model(spark, root, Model(), "m", 1, {})
+        reg.registry(spark, root).collect()
     with pytest.raises(FileExistsError):
         reg.save_model(spark, root, Model(), "m", 1, {}, version=1)
-    assert Model.saved == 2
+    assert Model.saved == 2 and reg.save_model(spark, root, Model(), "m", 1, {}) == 3
+
+
+class _Saved:
+    def save(self, path):
+        from pyspark.sql import SparkSession
+
+        SparkSession.getActiveSession().range(1).write.parquet(path)
+
+
+def test_two_writers_get_two_versions(spark, tmp_path, monkeypatch):
+    """The second writer commits between the first one's look at the numbers and its claim."""
+    root, real, rivals = str(tmp_path / "models"), reg._claim, []
+
+    def beaten(spark_, root_, version, line):
+        if not rivals:
+            rivals.append(version)
+            assert real(spark_, root_, version, line.replace('"first"', '"rival"'))
+        return real(spark_, root_, version, line)
+
+    monkeypatch.setattr(reg, "_claim", beaten)
+    assert reg.save_model(spark, root, _Saved(), "first", 1, {}) == 2
+    assert [(r.version, r.model_type) for r in reg.list_versions(spark, root).collect()] == [(1, "rival"), (2, "first")]
+
+
+def test_a_save_that_dies_blocks_nothing(spark, tmp_path, monkeypatch):
+    """Death while the model, the state or the claim is written: no version, and the next save works."""
+    import pytest
+
+    root = str(tmp_path / "models")
+
+    class Dies:
+        def save(self, path):
+            _Saved().save(path)
+            raise OSError("died")
+
+    def dies(*_):
+        raise OSError("died")
+
+    with pytest.raises(OSError):
+        reg.save_model(spark, root, Dies(), "m", 1, {})
+    with pytest.raises(OSError):
+        reg.save_model(spark, root, _Saved(), "m", 1, {}, save_state=dies)
+    with monkeypatch.context() as m:
+        m.setattr(reg.os, "link", dies)
+        with pytest.raises(OSError):
+            reg.save_model(spark, root, _Saved(), "m", 1, {})
+    assert reg.latest_version(spark, root) is None and reg.registry(spark, root).count() == 0
+    with pytest.raises(FileNotFoundError):
+        reg.version_path(spark, root)
+    assert [reg.save_model(spark, root, _Saved(), "m", n, {"best_x": n}) for n in (1, 2)] == [1, 2]
+    assert [r.n_rows for r in reg.list_versions(spark, root).collect()] == [1, 2]
+    assert reg.metrics_json(spark, root) == {"best_x": 2} and reg.metrics_json(spark, root, 1) == {"best_x": 1}
 
 
 def test_class_of_one_row(spark):
