@@ -38,6 +38,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(row, __id, __row): the whole row, whatever its columns are called, its id, and the hash of id and text
+    by which results name it."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("__id"), F.xxhash64("doc_id", "text").alias("__row"))
+
+
 def data(value: str | None) -> bytes:
     """A text's UTF-8 bytes; null is empty, a lone surrogate becomes '?'."""
     return b"" if value is None else value.encode("utf-8", "replace")

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm.common import WordHashes, arrow_rows, bounded_batches, data, documents, fold_words, materialize
+from riskframe.llm.common import WordHashes, arrow_rows, bounded_batches, data, documents, fold_words, materialize, packed
 
 #: Words of a window.
 WINDOW = 10
@@ -311,9 +311,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows (pipeline stage)."""
-    bad = decontaminate(docs, benchmark).where("contaminated").select(F.col("key").alias("__key"), F.col("doc_id").alias("__id")).distinct()
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    return keyed.join(bad.hint("shuffle_hash"), (F.col("__row") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(*docs.columns)
+    bad = decontaminate(docs.select("doc_id", "text"), benchmark).where("contaminated").select("key", "doc_id").distinct()
+    on = (F.col("__row") == F.col("key")) & F.col("__id").eqNullSafe(F.col("doc_id"))
+    return packed(docs).join(bad.hint("shuffle_hash"), on, "left_anti").select("row.*")
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

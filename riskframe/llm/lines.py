@@ -13,8 +13,9 @@ LAST = 2**63 - 1
 
 
 def _place(docs: DataFrame) -> DataFrame:
-    """Adds the place of a row: its id (null: last), then a hash of its text."""
-    return docs.withColumns({"__place": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "__text": F.coalesce(F.xxhash64("text"), F.lit(0))})
+    """The whole row as ``row``, whatever its columns are called, and its place: its id (null: last), then a hash of its text."""
+    return docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("__place"),
+                       F.coalesce(F.xxhash64("text"), F.lit(0)).alias("__text"))
 
 
 def _windows(docs: DataFrame) -> DataFrame:
@@ -27,7 +28,7 @@ def _windows(docs: DataFrame) -> DataFrame:
         return F.when(~blank, F.struct(i.alias("pos"), F.xxhash64(*own).alias("h1"), F.xxhash64(F.lit("second"), *own[::-1]).alias("h2")))
 
     at = F.when(F.size("lines") >= WINDOW, F.sequence(F.lit(0), F.size("lines") - WINDOW))
-    rows = _place(docs).select("__place", "__text", F.split("text", "\n", -1).alias("lines"))
+    rows = _place(docs.select("doc_id", "text")).select("__place", "__text", F.split("row.text", "\n", -1).alias("lines"))
     rows = rows.select("__place", "__text", F.explode(F.transform(at, window)).alias("w")).where("w IS NOT NULL")
     return rows.select("w.h1", "w.h2", "__place", "__text", "w.pos")
 
@@ -49,9 +50,11 @@ def covered_lines(docs: DataFrame) -> DataFrame:
     return starts.select("__place", "__text", covered.alias("covered"))
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
+def line_dedup(docs: DataFrame, counts: bool = True) -> DataFrame:
     """``docs`` with ``text`` cut to the lines kept, and n_lines, n_removed, n_spans (long) added.
 
+    Own columns of these three names are replaced; without ``counts`` none is added or replaced.
+
     Lines are what ``\\n`` separates. Windows of three consecutive lines are compared over all
     documents, blank ones left out; each line that a later occurrence covers is removed, windows
     being judged on the input. Windows may overlap their own first occurrence: of four equal
@@ -61,19 +64,22 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     by a hash of the text. Other columns, whatever their names, are carried along; n_chars, if
     there, is set to the new length.
     """
-    lines, kept = F.split("text", "\n", -1), F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.coalesce("covered", F.array().cast("array<int>")))
+    text = F.col("row.text")
+    lines, kept = F.split(text, "\n", -1), F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.coalesce("covered", F.array().cast("array<int>")))
     placed, gone = _place(docs), covered_lines(docs).hint("shuffle_hash")
     out = placed.join(gone, ["__place", "__text"], "left").withColumn("__lines", lines)
     joined = F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")
-    out = out.withColumn("__kept", F.when(F.col("covered").isNull(), F.col("text")).otherwise(joined))
-    columns = {c: F.col(f"`{c}`") for c in docs.columns}
+    out = out.withColumn("__kept", F.when(F.col("covered").isNull(), text).otherwise(joined))
+    columns = {c: F.col("row").getField(c) for c in docs.columns}
     columns["text"] = F.col("__kept")
     if "n_chars" in columns:
         columns["n_chars"] = F.char_length("__kept").cast(docs.schema["n_chars"].dataType)
     n_spans = F.size(F.array_except("covered", F.transform("covered", lambda c: c + 1)))
-    counts = {"n_lines": F.coalesce(F.size("__lines"), F.lit(0)), "n_removed": F.coalesce(F.size("covered"), F.lit(0)), "n_spans": F.coalesce(n_spans, F.lit(0))}
-    return out.select(*(v.alias(k) for k, v in columns.items() if k not in counts),
-                      *(F.when(F.col("__lines").isNull(), 0).when(F.col("covered").isNull() & F.lit(k != "n_lines"), 0).otherwise(v).cast("long").alias(k) for k, v in counts.items()))
+    added = {"n_lines": F.coalesce(F.size("__lines"), F.lit(0)), "n_removed": F.coalesce(F.size("covered"), F.lit(0)), "n_spans": F.coalesce(n_spans, F.lit(0))}
+    if not counts:
+        return out.select(*(v.alias(k) for k, v in columns.items()))
+    return out.select(*(v.alias(k) for k, v in columns.items() if k not in added),
+                      *(F.when(F.col("__lines").isNull(), 0).when(F.col("covered").isNull() & F.lit(k != "n_lines"), 0).otherwise(v).cast("long").alias(k) for k, v in added.items()))
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm.common import WordHashes, bounded_batches, components, data, documents, fold_words, materialize, mix64, shingle_hashes
+from riskframe.llm.common import WordHashes, bounded_batches, components, data, documents, fold_words, materialize, mix64, packed, shingle_hashes
 
 #: Place of a document without an id: after all others.
 LAST = 2**63 - 1
@@ -269,17 +269,16 @@ def keep_first(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
 
     Of rows repeated in full one stays, unless the text has no words.
     """
-    got = near_duplicates(docs, cfg).select("doc_id", "key", "first", "n_copies").where("NOT first OR n_copies > 1")
+    got = near_duplicates(docs.select("doc_id", "text"), cfg).select("doc_id", "key", "first", "n_copies").where("NOT first OR n_copies > 1")
     got = got.groupBy("doc_id", "key").agg(F.bool_and("first").alias("first"), F.count("*").alias("n"))
     got = materialize(got.where("NOT first OR n > 1"), "not-first")
-    gone = got.where("NOT first").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
-    keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    left = keyed.join(gone.hint("shuffle_hash"), (F.col("__row") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    if not got.where("first").isEmpty():
-        again = got.where("first").select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"))
-        on = (F.col("__row") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-        left = left.join(again.hint("shuffle_hash"), on, "left_anti").unionByName(left.join(again.hint("shuffle_hash"), on, "left_semi").dropDuplicates(["doc_id", "__row"]))
-    return left.select(*docs.columns)
+    on = (F.col("__row") == F.col("key")) & F.col("__id").eqNullSafe(F.col("doc_id"))
+    left = packed(docs).join(got.where("NOT first").hint("shuffle_hash"), on, "left_anti")
+    again = got.where("first")
+    if not again.isEmpty():
+        once = left.join(again.hint("shuffle_hash"), on, "left_semi").dropDuplicates(["__id", "__row"])
+        left = left.join(again.hint("shuffle_hash"), on, "left_anti").unionByName(once)
+    return left.select("row.*")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -171,7 +171,8 @@ def keep_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, cfg:
             yield b.filter(pa.array(good, pa.bool_()))
 
     bounded_batches(spark)
-    return docs.mapInArrow(keep, schema)
+    # numbered, since names with dots don't reach a Python worker
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))).mapInArrow(keep, schema)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

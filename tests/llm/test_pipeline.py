@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from test_bpe_decontam import brute as brute_hits
 from test_dedup import brute_join, brute_lines
 from test_scans import base_quality
@@ -113,6 +114,26 @@ def test_stages_keep_the_columns(spark, tables):
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), d).count() == 0
 
 
+def test_stages_carry_columns_of_any_name(spark, tables):
+    """Names that the stages use themselves, also as results, pass through with their values."""
+    words = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    passage = "\n".join(words[0].split()[:3])
+    rows = [(1, words[0]), (2, words[0]), (3, words[1] + "\n" + passage), (4, words[2] + "\n" + passage), (4, words[2] + "\n" + passage), (None, words[3])]
+    d = tables(rows, [], [(1, " ".join(words[3].split()[:20]))])
+    names = ["row", "covered", "__place", "__text", "__lines", "__kept", "__id", "__row", "__key", "key", "first", "n", "n_lines", "n_spans",
+             "n_removed", "place", "lines", "w", "h1", "kept", "score", "good", "label", "digest", "hits", "a.b", "Key word"]
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", *(F.concat_ws("-", F.lit(n), F.col("doc_id")).alias(n) for n in names))
+    left = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, d)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        for r in got:
+            assert list(r)[2:] == [n if r.doc_id is None else f"{n}-{r.doc_id}" for n in names], name
+        left[name] = sorted((r.doc_id or 0) for r in got)
+    assert left == {"quality_rules": [0, 1, 2, 3, 4, 4], "line_dedup": [0, 1, 2, 3, 4, 4], "ngram_join": [0, 1, 3, 4], "decontamination": [1, 2, 3, 4, 4]}
+
+
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
