@@ -21,7 +21,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of repeated three-line windows."""
-    return lines.line_dedup(docs).select(*docs.columns)
+    return lines.line_dedup(docs, counts=False)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
