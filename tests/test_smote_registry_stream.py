@@ -68,6 +68,30 @@ def test_second_stream_run_lands_what_came_since(spark, tmp_path):
     assert sorted(read_landed(spark, out).collect()) == rows and not query.isActive
 
 
+def test_batch_run_again_after_a_death_lands_once(spark, tmp_path, monkeypatch):
+    """A death between the write and the listing shows no rows; the batch run again lands them once."""
+    import pytest
+
+    from riskframe.streaming import jobs as sj
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(20).persist()
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    ev.write.parquet(src)
+
+    def dies(*_):
+        raise OSError("died")
+
+    with monkeypatch.context() as m:
+        m.setattr(sj, "_enlist", dies)
+        with pytest.raises(Exception):
+            sj.stream_append(spark, src, ev.schema, (), out)
+    with pytest.raises(FileNotFoundError):
+        sj.read_landed(spark, out)
+    sj.stream_append(spark, src, ev.schema, (), out)
+    assert sorted(sj.read_landed(spark, out).collect()) == sorted(ev.collect())
+    assert len(list((tmp_path / "out" / "batch_id=0").iterdir())) == 2  # one run's folder isn't listed
+
+
 def test_unreadable_registry_is_not_taken_for_an_empty_one(spark, tmp_path):
     import pytest
 
