@@ -106,3 +106,14 @@ def test_row_ids_of_many_equal_rows(spark):
     got = jobs.with_row_id(df, spec, block=16)
     assert got.count() == 1000 and got.select("row_id").distinct().count() == 1000
     assert sorted(r[0] for r in got.select("x").collect()) == sorted(r[0] for r in df.collect())
+
+
+def test_folds_go_on_with_the_hessians_of_their_setting(spark, monkeypatch):
+    """Models of folds add no Hessian of their own to a pass; a stale one is summed again."""
+    df, jobs, summed = table(spark, 20000), [lg.Job(0, 1.0, f) for f in (0, 1, 2, 3, None)], []
+    plain_sums = lg.sums
+    monkeypatch.setattr(lg, "sums", lambda rows, jobs, weights, coef, curved=None: summed.append((len(jobs), len(curved))) or plain_sums(rows, jobs, weights, coef, curved))
+    usual = lg.newton(df, FEATURES, jobs)
+    assert all(n_curved == 0 for n_jobs, n_curved in summed if n_jobs > 1) and any(n_jobs == 4 for n_jobs, _ in summed)
+    monkeypatch.setattr(lg, "SHRINKS", 0.0)
+    assert np.allclose(lg.newton(df, FEATURES, jobs), usual, atol=1e-7)
