@@ -5,15 +5,16 @@ every other row of the class:
 
 1. every vector is projected on one fixed unit direction ``r``; for any two
    points ``|proj_a - proj_b| <= ||a - b||``;
-2. the projection is cut into cells, and each cell's points are packed into
-   arrays of about ``cell_rows`` (dense cells are split by id hash). A
-   point's own pack and one pack of each adjacent cell give up to ``k``
-   candidates, hence an upper bound ``rho`` on its k-th neighbour distance;
-3. only cells within ``proj +- rho`` can hold a true neighbour. Those cells,
-   packed as arrays of about ``cell_rows`` points, are joined on (class,
-   cell); each (point, pack) row computes its distances with higher-order
-   functions and keeps its own k best, and a window limit keeps the top k
-   per point. No row per point pair is ever produced.
+2. the projection is cut into cells of about ``cell_rows`` points, dense cells
+   into several blocks. A point's k nearest in its own block give an upper
+   bound ``rho`` on its k-th neighbour distance;
+3. only rows within ``proj +- rho`` can be true neighbours. Two blocks of which
+   one reaches the other meet in one group, which takes the distances of both
+   ways from matrix products, keeps k per point and checks those exactly; a
+   window limit keeps the top k per point. No row per point pair is ever
+   produced, and a group holds two blocks. Vectors of many columns reach
+   almost every block, so that a class is then searched whole: rows travel
+   ``n_c / cell_rows`` times.
 
 Synthetic rows: class c needs ``n_major - n_c`` rows; row ``s`` of the class
 takes base row ``s mod n_c`` (hash order), neighbour ``hash mod k`` and gap
@@ -26,11 +27,14 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_key, uniform
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from ..spec import RANDOM_SEED
 from .rank import hash_rank
 from .sampling import class_counts
@@ -49,74 +53,116 @@ def _direction(dim: int, seed: int) -> list[float]:
     return [x / n for x in v]
 
 
-def _dist(a: Column, b: Column) -> Column:
-    sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x))
+#: Distances that a task holds at once.
+HELD = 1 << 22
 
 
-def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, cell_rows: int = 64,
+def _best(a: np.ndarray, a_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, distance) of the k rows of b nearest to each row of a, of another id (ties by id).
+
+    A matrix product gives squared distances up to a bound on its rounding; those that the bound leaves
+    in reach of the k-th are taken again, a component after the other.
+    """
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    with np.errstate(all="ignore"):  # what isn't finite stays a candidate
+        a_sq, b_sq = (a * a).sum(1), (b * b).sum(1)
+        for at in range(0, len(a), step := max(1, HELD // max(1, len(b)))):
+            some, sq = a[at : at + step], a_sq[at : at + step]
+            near = sq[:, None] + b_sq - 2 * (some @ b.T)
+            other = a_ids[at : at + step, None] != b_ids
+            near[~other] = np.inf
+            kth = np.partition(near, min(k, len(b)) - 1, axis=1)[:, min(k, len(b)) - 1]
+            slack = 16 * (a.shape[1] + 8) * np.finfo(float).eps * (sq + b_sq.max())
+            i, j = np.nonzero(~(near > (kth + slack)[:, None]) & other)
+            total = np.zeros(len(i))
+            for c in range(a.shape[1]):
+                gap = some[i, c] - b[j, c]
+                total += gap * gap
+            distance = np.sqrt(total)
+            order = np.lexsort((b_ids[j], distance, i))
+            i, j, distance = i[order], j[order], distance[order]
+            first = np.arange(len(i)) - np.searchsorted(i, i) < k
+            out.append((i[first] + at, j[first], distance[first]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _vectors(part: pa.Table) -> np.ndarray:
+    return np.asarray(part.column("v").combine_chunks().flatten()).reshape(part.num_rows, -1)
+
+
+def knn_within_class(df: DataFrame, id_col: str, label: str, vec: str, k: int = 5, cell_rows: int = 4096,
                      seed: int = RANDOM_SEED, candidates: bool = False):
     """Exact ``(id, label, nn_id, nn_rank, distance)``: the k nearest other rows
     of the same class (Euclidean; ties by neighbour id). With ``candidates``
-    the stage-2 pair table is returned too (to measure the pruning). An empty table has no neighbours."""
-    first = df.select(F.size(vec)).first()
+    the table of each block's best is returned too (to measure the pruning). An empty table has no neighbours."""
+    first = df.where(F.col(vec).isNotNull()).select(F.size(vec)).first()
     r = _direction(first[0] if first else 1, seed)
     rv = F.array(*[F.lit(x) for x in r])
-    pts = df.select(id_col, label, F.col(vec).cast("array<double>").alias("v"))
+    pts = df.where(F.col(id_col).isNotNull()).select(id_col, label, F.col(vec).cast("array<double>").alias("v"))
     pts = pts.withColumn("p", F.aggregate(F.zip_with("v", rv, lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x))
+    pts = pts.where(F.col("p").isNotNull()).withColumn("__row", F.monotonically_increasing_id())  # it only deals rows to blocks
     # cell width per class: the class's projection range over (n_c / cell_rows) cells
     ext = pts.groupBy(label).agg(F.min("p").alias("pmin"), F.max("p").alias("pmax"), F.count(F.lit(1)).alias("n"))
     ext = ext.withColumn("w", F.greatest((F.col("pmax") - F.col("pmin")) / F.greatest(F.ceil(F.col("n") / cell_rows), F.lit(1)),
                                          F.lit(1e-12)))
-    pts = pts.join(ext.select(label, "pmin", "w", "pmax"), label)  # one row per class; Spark broadcasts it by its size
-    pts = pts.withColumn("cell", F.floor((F.col("p") - F.col("pmin")) / F.col("w")).cast("long"))
-    # packs: the points of a cell as arrays of about cell_rows (a dense cell is
-    # split by id hash into several packs)
+    pts = pts.join(ext.select(label, "pmin", "w"), label)  # one row per class; Spark broadcasts it by its size
+    pts = pts.withColumn("cell", F.floor((F.col("p") - F.col("pmin")) / F.col("w")).cast("long")).drop("pmin", "w")
+    # blocks: the points of a cell, a dense cell split by hash into several
     sizes = pts.groupBy(label, "cell").agg(F.count(F.lit(1)).alias("__cn"))  # one row per cell
     pts = pts.join(sizes, [label, "cell"]).withColumn(
-        "__sub", F.pmod(F.xxhash64(F.col(id_col)), F.ceil(F.col("__cn") / F.lit(cell_rows))))
+        "__sub", F.pmod(F.xxhash64("__row"), F.ceil(F.col("__cn") / F.lit(cell_rows)))).drop("__cn", "__row")
     pts = cut_lineage(pts)
-    packs = pts.groupBy(label, "cell", "__sub").agg(F.collect_list(
-        F.struct(F.col(id_col).alias("j"), F.col("p").alias("pj"), F.col("v").alias("vj"))).alias("__m"))
-    me = F.col(id_col)
-
-    def best_in_pack(within: Column | None) -> Column:
-        scored = F.transform("__m", lambda m: F.struct(_dist(F.col("v"), m["vj"]).alias("distance"),
-                                                      m["j"].alias("nn_id"), m["pj"].alias("pj")))
-        keep = F.filter(scored, lambda x: (x["nn_id"] != me) & (within(x) if within is not None else F.lit(True)))
-        return F.slice(F.array_sort(keep), 1, k)  # sorted by (distance, nn_id)
-
-    # stage 1: own pack and the first pack of each adjacent cell -> any k
-    # candidates bound the k-th neighbour distance (infinite when fewer)
-    probe = pts.select(id_col, label, "v", F.explode(F.array(
-        F.struct(F.col("cell").alias("cell"), F.col("__sub").alias("__sub")),
-        F.struct((F.col("cell") - 1).alias("cell"), F.lit(0).cast("long").alias("__sub")),
-        F.struct((F.col("cell") + 1).alias("cell"), F.lit(0).cast("long").alias("__sub")),
-    )).alias("__c")).select(id_col, label, "v", "__c.cell", "__c.__sub")
-    c1 = probe.join(packs, [label, "cell", "__sub"]).select(id_col, F.explode(best_in_pack(None)).alias("x")) \
-        .select(id_col, F.col("x.distance").alias("d"))
-    w1 = Window.partitionBy(id_col).orderBy("d")
-    bound = c1.withColumn("rn", F.row_number().over(w1)).where(F.col("rn") <= k) \
-        .groupBy(id_col).agg(F.max("d").alias("rho"), F.count(F.lit(1)).alias("m"))
-    pts2 = pts.join(bound, id_col, "left").withColumn(
-        "rho", F.when(F.col("m") >= k, F.col("rho")).otherwise(F.lit(float("inf"))))
-
-    # stage 2: every pack of every cell within the projection band; a point
-    # meets a pack in one row and keeps only that pack's k best, so rows are
-    # points x packs-in-band x k, never point pairs
-    lo = F.when(F.col("rho") == float("inf"), F.lit(0)).otherwise(
-        F.greatest(F.lit(0), F.floor((F.col("p") - F.col("rho") - F.col("pmin")) / F.col("w")).cast("long")))
-    hi = F.when(F.col("rho") == float("inf"), F.floor((F.col("pmax") - F.col("pmin")) / F.col("w")).cast("long")).otherwise(
-        F.floor((F.col("p") + F.col("rho") - F.col("pmin")) / F.col("w")).cast("long"))
-    band = pts2.select(id_col, label, "v", "p", "rho", F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias("cell"))
-    met = band.join(packs, [label, "cell"])
-    p_i, rho = F.col("p"), F.col("rho")
-    c2 = met.select(id_col, label, F.explode(best_in_pack(lambda x: F.abs(x["pj"] - p_i) <= rho)).alias("x")).select(
-        id_col, label, F.col("x.nn_id").alias("nn_id"), F.col("x.distance").alias("distance"))
-    w2 = Window.partitionBy(id_col).orderBy("distance", "nn_id")
-    out = c2.withColumn("nn_rank", F.row_number().over(w2)).where(F.col("nn_rank") <= k) \
+    types = dict(pts.dtypes)
+    found = f"`{id_col}` {types[id_col]}, `{label}` {types[label]}, nn_id {types[id_col]}, distance double"
+    block = [label, "cell", "__sub"]
+
+    def pairs_of(a: pa.Table, b: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        ids = [x.column(id_col).combine_chunks() for x in (a, b)]
+        codes = np.asarray(pc.rank(pa.concat_arrays(ids), tiebreaker="dense")).astype(np.int64)
+        i, j, distance = _best(_vectors(a), codes[: a.num_rows], _vectors(b), codes[a.num_rows :], k)
+        at = pa.array(i)
+        return pa.table({id_col: ids[0].take(at), label: a.column(label).take(at), "nn_id": ids[1].take(pa.array(j)), "distance": distance}), i, distance
+
+    # stage 1: neighbours inside the own block; the k-th bounds how far on the projection a nearer row can be
+    def inside(part: pa.Table) -> pa.Table:
+        out, i, distance = pairs_of(part, part)
+        rho = np.full(part.num_rows, np.inf)
+        ends = np.flatnonzero(np.bincount(i, minlength=part.num_rows) >= k)
+        rho[ends] = distance[np.searchsorted(i, ends, "right") - 1]
+        p = np.asarray(part.column("p").combine_chunks())
+        rho = rho * (1 + 1e-9) + 1e-9 * np.abs(p)  # more than the projection's rounding
+        low, high = (float((p - rho).min()), float((p + rho).max())) if np.isfinite(p).all() and np.isfinite(rho).all() else (-math.inf, math.inf)
+        n = out.num_rows
+        same = {c: part.column(c).take(pa.array(np.zeros(n, np.int64))) for c in ("cell", "__sub")}
+        return pa.table({**{c: out.column(c) for c in out.column_names}, **same, "low": np.full(n, low), "high": np.full(n, high)})
+
+    own = written(pts.groupBy(*block).applyInArrow(inside, f"{found}, cell long, __sub long, low double, high double"), "knn-own")
+
+    # stage 2: two blocks of a class meet if either reaches the other; both ways in one matrix
+    reach = own.groupBy(*block).agg(F.first("low").alias("low"), F.first("high").alias("high"))
+    far, whole = F.lit(float("inf")), ~F.isnan(F.max("p")) & (F.max(F.abs("p")) < F.lit(float("inf")))
+    spans = pts.groupBy(*block).agg(F.when(whole, F.min("p")).otherwise(-far).alias("from"), F.when(whole, F.max("p")).otherwise(far).alias("to"))
+    spans = written(spans.join(reach, block, "left").withColumns({"low": F.coalesce("low", -far), "high": F.coalesce("high", far)}), "knn-blocks")
+    a, b = spans.alias("a"), spans.alias("b")
+    reaches = lambda x, y: (F.col(f"{y}.from") <= F.col(f"{x}.high")) & (F.col(f"{y}.to") >= F.col(f"{x}.low"))
+    later = F.struct("a.cell", "a.__sub") < F.struct("b.cell", "b.__sub")
+    meetings = a.join(b, (F.col(f"a.{label}") == F.col(f"b.{label}")) & later & (reaches("a", "b") | reaches("b", "a")))
+    here, there = F.struct("a.cell", "a.__sub"), F.struct("b.cell", "b.__sub")
+    sides = meetings.select(F.col(f"a.{label}").alias(label), here.alias("__a"), there.alias("__b"), F.explode(
+        F.array(F.struct(F.lit(0).alias("side"), here.alias("at")), F.struct(F.lit(1).alias("side"), there.alias("at")))).alias("__s"))
+    sides = written(sides.select(label, F.col("__s.at.cell").alias("cell"), F.col("__s.at.__sub").alias("__sub"), F.col("__s.side").alias("side"),
+                                 F.col("__a.cell").alias("__ac"), F.col("__a.__sub").alias("__as"), F.col("__b.cell").alias("__bc"), F.col("__b.__sub").alias("__bs")), "knn-meetings")
+
+    def meet(part: pa.Table) -> pa.Table:
+        a, b = (part.filter(pc.equal(part.column("side"), s)) for s in (0, 1))
+        return pa.concat_tables([pairs_of(a, b)[0], pairs_of(b, a)[0]])
+
+    met = pts.drop("p").join(sides, block).groupBy(label, "__ac", "__as", "__bc", "__bs").applyInArrow(meet, found)
+    every = own.select(id_col, label, "nn_id", "distance").unionByName(met)
+    best = Window.partitionBy(id_col).orderBy("distance", "nn_id")
+    out = every.withColumn("nn_rank", F.row_number().over(best)).where(F.col("nn_rank") <= k) \
         .select(id_col, label, "nn_id", F.col("nn_rank").cast("int").alias("nn_rank"), "distance")
-    return (out, c2) if candidates else out
+    return (out, every) if candidates else out
 
 
 SYNTHETIC_ROWS_PER_PARTITION = 1_000_000

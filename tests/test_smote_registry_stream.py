@@ -178,3 +178,21 @@ def test_class_of_one_row(spark):
 def test_neighbours_of_an_empty_table(spark):
     df = spark.createDataFrame([], "id long, label int, v array<double>")
     assert sm.knn_within_class(df, "id", "label", "v").collect() == []
+
+
+def test_knn_of_wide_vectors_ties_and_repeated_ids(spark):
+    """Blocks of any size give what brute force over all rows gives, whatever repeats or is missing."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, i % 2, [rng.gauss(0, 1) for _ in range(9)]) for i in range(150)]
+    rows += [(200 + i, 0, [5.0] * 9) for i in range(12)] + rows[:10] + [(None, 0, [5.0] * 9), (300, None, [5.0] * 9), (301, 0, None), (302, 1, [None] + [5.0] * 8)]
+    df = spark.createDataFrame(rows, "id long, y int, v array<double>").repartition(5)
+    good = [r for r in rows if r[0] is not None and r[1] is not None and r[2] is not None and None not in r[2]]
+    want = {}
+    for i, y, v in good:
+        want.setdefault(i, []).extend((sum((a - b) ** 2 for a, b in zip(v, w)) ** 0.5, j) for j, yy, w in good if yy == y and j != i)
+    want = sorted((i, rank, j, round(d, 9)) for i, near in want.items() for rank, (d, j) in enumerate(sorted(near)[:4], 1))
+    for cell_rows in (7, 40, 4096):
+        got = sm.knn_within_class(df, "id", "y", "v", k=4, cell_rows=cell_rows).collect()
+        assert sorted((r.id, r.nn_rank, r.nn_id, round(r.distance, 9)) for r in got) == want
