@@ -6,7 +6,9 @@
 * Any fitted model: permutation-sampling Shapley. Every (row, permutation)
   pair is expanded into the d+1 coalitions along the permutation, all of
   them are scored in one ``transform``, and feature contributions are the
-  differences of consecutive coalitions, averaged per (row, feature).
+  differences of consecutive coalitions, averaged per (row, feature). A fitted binary logistic
+  regression is scored in place instead: its margin moves by one term a step, so that all the
+  coalitions of a permutation come from one running sum and none is made a row.
   Per row, phi sums to f(x) minus the mean of f over the paired backgrounds.
   The background (at most 100 rows) is broadcast and everything else is
   narrow, so a row's coalitions never leave its partition: the differences
@@ -24,6 +26,8 @@ from typing import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,6 +142,57 @@ def waterfall(phi: DataFrame, id_col: str, row_id, base_value: float | None = No
                       .alias("order"))
 
 
+def _logistic_terms(model: PipelineModel, features: Sequence[str]) -> tuple[np.ndarray, float] | None:
+    """(coefficient of each feature, intercept) of an assembler and a binary logistic regression, else None."""
+    stages = getattr(model, "stages", [])
+    if len(stages) != 2 or not isinstance(stages[0], VectorAssembler) or not isinstance(stages[1], LogisticRegressionModel):
+        return None
+    names = stages[0].getInputCols()
+    if stages[1].numClasses != 2 or stages[1].getFeaturesCol() != stages[0].getOutputCol() or stages[1].getProbabilityCol() != "probability":
+        return None
+    if len(set(names)) != len(names) or set(names) - set(features) or stages[0].getHandleInvalid() != "error":
+        return None
+    weights = dict(zip(names, stages[1].coefficients.toArray()))
+    return np.array([weights.get(c, 0.0) for c in features]), float(stages[1].intercept)
+
+
+def _logistic_steps(perms: DataFrame, terms: tuple[np.ndarray, float], features: Sequence[str], id_col: str, background: np.ndarray, permutations: int) -> DataFrame:
+    """Shapley values from ``(id, order, background row, x)``, the permutations of a row behind each other."""
+    (weights, intercept), d = terms, len(features)
+    names = list(features)
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            table = pa.Table.from_batches([*held, batch]).combine_chunks()
+            whole = table.num_rows - table.num_rows % permutations
+            held = table.slice(whole).to_batches()
+            table = table.slice(0, whole)
+            # rows of an id count together, rows without one don't count
+            table = table.filter(pa.array(np.repeat(np.asarray(table.column(0).is_valid())[::permutations], permutations)))
+            if not table.num_rows:
+                continue
+            order, x = (np.asarray(table.column(i).combine_chunks().flatten()).reshape(-1, d) for i in (1, 3))
+            b = background[np.asarray(table.column(2))]
+            if np.isnan(x).any() or np.isnan(b).any():
+                raise ValueError("a feature is missing: impute before explaining")
+            moves = np.take_along_axis(weights * (x - b), order.astype(np.int64), axis=1)
+            margin = np.cumsum(np.column_stack([b @ weights + intercept, moves]), axis=1)
+            f = 1 / (1 + np.exp(-margin))
+            gained = np.empty_like(x)
+            np.put_along_axis(gained, order.astype(np.int64), np.diff(f, axis=1), axis=1)
+            ids = table.column(0).combine_chunks().dictionary_encode()
+            codes = np.asarray(ids.indices)
+            phi = np.zeros((len(ids.dictionary), d))
+            np.add.at(phi, codes, gained)
+            first = np.unique(codes, return_index=True)[1]
+            yield pa.RecordBatch.from_arrays([ids.dictionary.take(pa.array(np.repeat(np.arange(len(phi)), d))), pa.array(names * len(phi)), pa.array(x[first].ravel()),
+                                              pa.array((phi / permutations).ravel())], names=[id_col, "feature", "value", "phi"])
+
+    data = perms.select(id_col, "__order", "__bi", F.array(*[F.col(c) for c in names]).alias("__x"))
+    return data.mapInArrow(steps, f"`{id_col}` {data.dtypes[0][1]}, feature string, value double, phi double")
+
+
 def shap_sampled(df: DataFrame, model: PipelineModel, features: Sequence[str], id_col: str,
                  background: DataFrame | None = None, n_background: int = 100, permutations: int = 8,
                  seed: int = RANDOM_SEED) -> DataFrame:
@@ -147,8 +202,10 @@ def shap_sampled(df: DataFrame, model: PipelineModel, features: Sequence[str], i
     bg_src = background if background is not None else df
     bg = background_sample(bg_src.select(id_col, *feats), id_col, n_background, seed)
     bg = bg.withColumn("__bi", (F.row_number().over(Window.orderBy(id_col)) - 1).cast("int"))  # <= n_background rows
-    k = max(1, bg.count())
     bg = bg.select("__bi", *[F.col(c).cast("double").alias(f"__b_{c}") for c in feats])
+    found = bg.orderBy("__bi").collect()  # <= n_background rows, drawn once
+    k = max(1, len(found))
+    bg = df.sparkSession.createDataFrame(found, bg.schema)
 
     rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in feats])
     perms = rows.withColumn("__m", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
@@ -159,10 +216,14 @@ def shap_sampled(df: DataFrame, model: PipelineModel, features: Sequence[str], i
     order = F.transform(F.array_sort(keyed), lambda s: s["j"])  # feature index at each position
     perms = perms.withColumn("__order", order) \
         .withColumn("__bi", (F.conv(F.substring(hash_key(seed, "bg", pm_key), 1, 8), 16, 10).cast("bigint") % k).cast("int"))
+    if found and (terms := _logistic_terms(model, feats)) is not None:
+        return _logistic_steps(perms, terms, feats, id_col, np.array([r[1:] for r in found], dtype=float), permutations)
+    # position of each feature, once per permutation
+    perms = perms.withColumn("__pos", F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda j: F.array_position("__order", j) - 1))
     paired = perms.join(F.broadcast(bg), "__bi")
     coal = paired.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(d))))
     # feature j comes from the row when its position in the permutation is < t
-    pos = {c: F.array_position(F.col("__order"), F.lit(j)) - 1 for j, c in enumerate(feats)}
+    pos = {c: F.element_at("__pos", j + 1) for j, c in enumerate(feats)}
     mixed = coal.select(id_col, "__m", "__t", "__order",
                         *[F.when(pos[c] < F.col("__t"), F.col(c)).otherwise(F.col(f"__b_{c}")).alias(c) for c in feats])
     scored = model.transform(mixed).select(id_col, "__m", "__t", "__order", positive_probability().alias("__f"),

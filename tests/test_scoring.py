@@ -48,6 +48,31 @@ def test_sampled_shapley_sums_to_difference(spark, survey):
         assert abs(s - (fx[k] - fb)) < 1e-9
 
 
+def test_sampled_shapley_of_a_logistic_model_makes_no_coalition_rows(spark, survey, monkeypatch):
+    """The running sums give what scoring every coalition gives, for rows over many batches; no coalition is scored."""
+    from pyspark.ml import PipelineModel
+
+    from riskframe.operators import preprocess as pp
+
+    params = pp.Preprocessor(SURVEY_SPEC).fit(survey)
+    data = pp.transform(survey, SURVEY_SPEC, params).withColumn("label", F.col("lung_cancer_risk").cast("double"))
+    feats = ["pack_years", "copd", "age", "bmi"]
+    model = md.fit(data, feats, "logistic_regression", {"C": 1.0}, weight=None)
+    terms = xp._logistic_terms(model, feats)
+    with monkeypatch.context() as m:
+        m.setattr(xp, "_logistic_terms", lambda *_: None)
+        want = {(r.row_id, r.feature): (r.value, r.phi) for r in xp.shap_sampled(data, model, feats, "row_id", permutations=3).collect()}
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")  # no multiple of 3
+    monkeypatch.setattr(PipelineModel, "transform", None)
+    try:
+        got = {(r.row_id, r.feature): (r.value, r.phi) for r in xp.shap_sampled(data, model, feats, "row_id", permutations=3).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert terms is not None and len(got) == 300 * 4 and got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in got)
+
+
 def test_linear_shap_identity(spark, survey):
     from riskframe.operators import preprocess as pp
 
