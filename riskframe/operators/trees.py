@@ -188,6 +188,11 @@ def allowed(s: Setting, model: int, tree: int, node: int, d: int) -> list[int]:
     return sorted(sorted(range(d), key=lambda c: hashlib.md5(f"{name}:{c}".encode()).hexdigest())[:k])
 
 
+def counted(s: Setting, model: int, tree: int, node: int, d: int) -> np.ndarray:
+    """Columns whose histogram a node needs: those that may split it, and the first for the sums."""
+    return np.array(sorted({0, *allowed(s, model, tree, node, d)}))
+
+
 def best_split(hist: np.ndarray, columns: Sequence[int], s: Setting) -> tuple[int, int, float] | None:
     """(column, bin, gain) of a histogram (column, bin, (g, h, n)): the largest gain, then the first column and bin."""
     g, h, n = hist[0].sum(0)
@@ -287,12 +292,14 @@ def _level(table: DataFrame, models: Sequence[TreeModel], todo: Mapping[tuple[in
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hists = {(m, t, n): np.zeros((d, bins, 3)) for (m, t), nodes in todo.items() for n in nodes}
+        columns = {(m, t, n): counted(models[m].setting, m, t, n, d) for m, t, n in hists}
         for b in batches:
             for k in range(0, b.num_rows, BLOCK):
                 part = b.slice(k, BLOCK)
                 y, w, fold = (np.asarray(part.column(i)) for i in range(3))
                 keys = np.asarray(part.column(3)).view(np.uint64)
                 x = np.frombuffer(b"".join(v.as_py() for v in part.column(4)), np.uint8).reshape(-1, d)
+                drawn: dict[int, np.ndarray] = {}  # by tree, the same for all forests
                 for m, trees in by_model.items():
                     s = models[m].setting
                     use = fold != s.fold if s.fold is not None else np.ones(len(y), bool)
@@ -304,7 +311,9 @@ def _level(table: DataFrame, models: Sequence[TreeModel], todo: Mapping[tuple[in
                             mine = use & (uniforms(keys, t) < s.rows)
                             g, h, n = p - y, p * (1 - p), np.ones(len(y))
                         else:
-                            n = draws(keys, t)
+                            if t not in drawn:
+                                drawn[t] = draws(keys, t)
+                            n = drawn[t]
                             mine = use & (n > 0)
                             g, h = -w * n * y, w * n
                         at = models[m].trees[t].node_of(x)
@@ -313,9 +322,10 @@ def _level(table: DataFrame, models: Sequence[TreeModel], todo: Mapping[tuple[in
                             if not len(rows):
                                 continue
                             hist = hists[m, t, node]
-                            cell = (x[rows].astype(np.int64) + np.arange(d) * bins).ravel()
+                            cols = columns[m, t, node]
+                            cell = (x[rows[:, None], cols].astype(np.int64) + np.arange(len(cols)) * bins).ravel()
                             for c, v in enumerate((g, h, n)):
-                                hist[:, :, c] += np.bincount(cell, np.repeat(v[rows], d), d * bins).reshape(d, bins)
+                                hist[cols, :, c] += np.bincount(cell, np.repeat(v[rows], len(cols)), len(cols) * bins).reshape(-1, bins)
         for (m, t, node), hist in hists.items():
             if hist[0, :, 2].any():
                 yield pa.RecordBatch.from_pydict({"m": pa.array([m], pa.int32()), "t": pa.array([t], pa.int32()), "node": pa.array([node], pa.int32()), "hist": [hist.tobytes()]})

@@ -154,3 +154,10 @@ def test_search_and_few_nodes_at_once(spark, monkeypatch):
     monkeypatch.setattr(tr, "HELD", 3 * 4 * 16 * 24)
     again = tr.fit(df, FEATURES, [tr.Setting.of("random_forest", settings[0])], weight="weight", bins=16, key="id")[0]
     assert [t.column for t in again.trees] == [t.column for t in models[0, None].trees]
+
+
+def test_a_node_counts_only_columns_that_may_split_it():
+    forest = tr.Setting.of("random_forest", {"n_estimators": 2, "max_depth": 3})
+    for node in range(5):
+        got = tr.counted(forest, 0, 1, node, 36).tolist()
+        assert set(got) == {0, *tr.allowed(forest, 0, 1, node, 36)} and len(got) <= 7
