@@ -161,3 +161,16 @@ def test_a_node_counts_only_columns_that_may_split_it():
     for node in range(5):
         got = tr.counted(forest, 0, 1, node, 36).tolist()
         assert set(got) == {0, *tr.allowed(forest, 0, 1, node, 36)} and len(got) <= 7
+
+
+def test_forest_keeps_the_node_of_each_row(spark):
+    """The forest of Spark ML moves rows by a level a pass, and is the one that walks from the roots would give."""
+    from pyspark.ml import Pipeline
+
+    from riskframe.operators import models as md
+
+    df = table(spark, 150)
+    forest = md.estimator("random_forest", {"n_estimators": 4, "max_depth": 4})
+    assert forest.getCacheNodeIds()
+    grown = [Pipeline(stages=[md.assembler(FEATURES), e]).fit(df).stages[-1].toDebugString.split("\n", 1)[1] for e in (forest, forest.copy().setCacheNodeIds(False))]
+    assert grown[0] == grown[1]
