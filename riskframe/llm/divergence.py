@@ -10,18 +10,17 @@ their lang's count, so that the long stretches without occurrences fall into few
 from __future__ import annotations
 
 import decimal
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from riskframe.llm.common import arrow_rows, bounded_batches, data, documents, materialize
+from riskframe.llm.common import bounded_batches, data, documents, materialize
 
 #: Terms of a block and sources of a chunk, about: a task prices the pairs of two chunks over one block.
 BLOCK, CHUNK = 8192, 64
-#: (term, group) entries that a task gathers before it hands them on, and characters of terms in them.
-GATHERED, GATHERED_CHARS = 200_000, 16 << 20
+#: (term, group) entries that a task gathers before it hands them on, and bytes of terms in them.
+GATHERED, GATHERED_BYTES = 1_500_000, 48 << 20
 UNIT = 1_000_000_000
 
 #: Bytes of terms: letters, A-Z as a-z, and everything beyond ASCII; other bytes a space.
@@ -37,36 +36,44 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.binary()), ("n", pa.int64()), ("docs", pa.int64())])
 
+    def counted(b: pa.RecordBatch, groups: dict[tuple[str, str], int]) -> pa.Table:
+        """(group, term, n, docs) of a batch; new groups get the next number."""
+        words, length, group = [], [], []
+        for text, lang, source in zip(*(b.column(i) for i in range(3))):
+            found = data(text.as_py()).translate(TERM_TABLE).split()
+            words += found
+            length.append(len(found))
+            group.append(groups.setdefault((lang.as_py() or "", source.as_py() or ""), len(groups)))
+        terms = pa.array(words, pa.binary()).dictionary_encode()
+        v = max(1, len(terms.dictionary))
+        each, n = np.unique(np.repeat(np.arange(len(length)), length) * v + np.asarray(terms.indices), return_counts=True)  # (document, term)
+        both, at, docs = np.unique(np.array(group, np.int64)[each // v] * v + each % v, return_inverse=True, return_counts=True)  # (group, term)
+        return pa.table({"group": both // v, "term": terms.dictionary.take(pa.array(both % v)), "n": np.bincount(at, n, len(both)).astype(np.int64), "docs": docs.astype(np.int64)})
+
     def rows(batches):
-        groups: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-        held = chars = 0
+        groups: dict[tuple[str, str], int] = {}
+        parts: list[pa.Table] = []
+
+        def added() -> pa.Table:
+            t = pa.concat_tables(parts).group_by(["group", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+            return t.select(["group", "term", "n_sum", "docs_sum"]).rename_columns(["group", "term", "n", "docs"])
 
-        def flushed():
-            for (lang, source), terms in groups.items():
-                yield lang, source, None, 0, 0
-                for t, (n, d) in terms.items():
-                    yield lang, source, t, n, d
+        def handed(t: pa.Table) -> list[pa.RecordBatch]:
+            k = len(groups)
+            t = pa.concat_tables([t, pa.table({"group": np.arange(k), "term": pa.nulls(k, pa.binary()), "n": np.zeros(k, np.int64), "docs": np.zeros(k, np.int64)})])
+            lang, source = (pa.array([g[i] for g in groups], pa.string()).take(pa.array(np.asarray(t["group"]))) for i in (0, 1))
+            return pa.table([lang, source, t["term"], t["n"], t["docs"]], schema=schema).combine_chunks().to_batches(20_000)
 
         for b in batches:
-            for text, lang, source in zip(*(b.column(i) for i in range(3))):
-                terms = groups.setdefault((lang.as_py() or "", source.as_py() or ""), {})
-                words = data(text.as_py()).translate(TERM_TABLE).split()
-                counts: dict[bytes, int] = defaultdict(int)
-                for w in words:
-                    counts[w] += 1
-                for w, n in counts.items():
-                    entry = terms.get(w)
-                    if entry is None:
-                        terms[w] = [n, 1]
-                        held += 1
-                        chars += len(w)
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
-                if held > GATHERED or chars > GATHERED_CHARS:
-                    yield from arrow_rows(schema, flushed(), 20_000)
-                    groups, held, chars = {}, 0, 0
-        yield from arrow_rows(schema, flushed(), 20_000)
+            if b.num_rows:
+                parts.append(counted(b, groups))
+            if sum(p.num_rows for p in parts) > GATHERED or sum(p["term"].nbytes for p in parts) > GATHERED_BYTES:
+                parts = [added()]
+                if parts[0].num_rows > GATHERED // 2 or parts[0]["term"].nbytes > GATHERED_BYTES // 2:
+                    yield from handed(parts[0])
+                    groups, parts = {}, []
+        if parts:
+            yield from handed(added())
 
     bounded_batches(docs.sparkSession)
     out = docs.select("text", "lang", "source").mapInArrow(rows, "lang string, source string, term binary, n long, docs long")
@@ -79,15 +86,15 @@ def tables(docs: DataFrame, min_docs: int = 3) -> tuple[DataFrame, DataFrame, Da
     A term is kept where at least ``min_docs`` documents of the lang have it; total is its count in the
     lang, size the group's occurrences of kept terms, v the lang's number of them.
     """
-    summed = term_counts(docs).groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    summed = materialize(summed, "terms")
-    kept = summed.where("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs)
-    kept = materialize(kept.select("lang", "term", "total"), "kept")
-    entries = summed.where("term IS NOT NULL").select("lang", "term", "source", "n").join(kept, ["lang", "term"])
-    entries = materialize(entries.select("lang", "source", "term", "n", "total"), "entries")
+    one = Window.partitionBy("lang", "term")  # a row per source; all of them are dealt to one task by the first shuffle
+    summed = term_counts(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    summed = summed.select("lang", "source", "term", "n", F.sum("n").over(one).alias("total"), F.sum("docs").over(one).alias("docs"), (F.min("source").over(one) == F.col("source")).alias("first"))
+    summed = materialize(summed.where((F.col("docs") >= min_docs) | F.col("term").isNull()).drop("docs"), "terms")
+    entries = summed.where("term IS NOT NULL").drop("first")
+    kept = summed.where("term IS NOT NULL AND first").select("lang", "term", "total")
     sizes = entries.groupBy("lang", "source").agg(F.sum("n").alias("size"))
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("total_size"))
-    every = summed.where("term IS NULL").select("lang", "source").distinct()
+    every = summed.where("term IS NULL").select("lang", "source")
     groups = every.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0, ["size", "v", "total_size"])
     return kept, entries, materialize(groups, "groups")
 

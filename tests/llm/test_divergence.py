@@ -102,3 +102,33 @@ def test_large_sums_stay_exact():
     cost = np.array([10**9 + 1, 1]), np.array([1, 10**9 + 1])
     links = [(np.array([0, 1]), np.array([0, 1]))] + [(np.array([0, 1]), np.array([0, 1]))] * 10
     assert dv.priced(*cost, links) == 2**11 * 10**18
+
+
+def test_terms_are_counted_by_few_shuffles(spark, rng):
+    """Totals and documents of a term come from the shuffle that adds up its sources, however often tasks hand counts on."""
+    rows = texts(rng, 150, "alpha beta gamma delta epsilon zeta eta theta".split())
+    kept, entries, groups = dv.tables(frame(spark, rows).repartition(5))
+    n, docs = Counter(), Counter()
+    for text, lang, source in rows:
+        words = [t.translate(LOWER) for t in TERM.findall(text)]
+        n.update((lang or "", source or "", w) for w in words)
+        docs.update((lang or "", w) for w in set(words))
+    assert {tuple(r) for r in groups.select("lang", "source").collect()} == {(l or "", s or "") for _, l, s in rows} and groups.count() == len({(l or "", s or "") for _, l, s in rows})
+    want = {(l, w): sum(c for (l2, _, w2), c in n.items() if (l2, w2) == (l, w)) for l, w in docs if docs[l, w] >= 3}
+    assert sorted(map(tuple, kept.collect())) == sorted((*k, v) for k, v in want.items())
+    assert sorted(map(tuple, entries.select("lang", "source", "term", "n", "total").collect())) == sorted((l, s, w, c, want[l, w]) for (l, s, w), c in n.items() if (l, w) in want)
+
+
+@pytest.mark.parametrize("gathered", [1, 7])
+def test_counts_handed_on_often_are_whole(spark, rng, monkeypatch, gathered):
+    monkeypatch.setattr(dv, "GATHERED", gathered)
+    rows = texts(rng, 60, "alpha beta gamma delta".split()) + [(None, "de", "a")]
+    assert {tuple(r) for r in dv.divergence(frame(spark, rows)).collect()} == plain(rows)
+
+
+def test_terms_are_written_once(spark, rng, monkeypatch):
+    made = []
+    monkeypatch.setattr(dv, "materialize", lambda df, name: made.append((name, df._jdf.queryExecution().executedPlan().toString())) or df.cache())
+    dv.tables(frame(spark, texts(rng, 30, "alpha beta".split())))
+    assert [name for name, _ in made] == ["terms", "groups"]
+    assert dict(made)["terms"].count("Exchange hashpartitioning") == 1
