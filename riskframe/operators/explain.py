@@ -3,16 +3,14 @@
 * Linear models: exact Shapley values on the margin, ``w_j * (x_j - E[x_j])``,
   as column expressions (E over a background table, one aggregate).
 * Histogram trees: path-dependent Shapley values of every leaf's path, rows in place.
-* Any fitted model: permutation-sampling Shapley. Every (row, permutation)
-  pair is expanded into the d+1 coalitions along the permutation, all of
-  them are scored in one ``transform``, and feature contributions are the
-  differences of consecutive coalitions, averaged per (row, feature). A fitted binary logistic
-  regression is scored in place instead: its margin moves by one term a step, so that all the
-  coalitions of a permutation come from one running sum and none is made a row.
-  Per row, phi sums to f(x) minus the mean of f over the paired backgrounds.
-  The background (at most 100 rows) is broadcast and everything else is
-  narrow, so a row's coalitions never leave its partition: the differences
-  are taken there (``mapInPandas``) and the expansion is never shuffled.
+* Any fitted model: permutation-sampling Shapley over the whole background. Along each of a few orders of the
+  features, the same for all rows, a feature's contribution is the change of the mean score over all rows of
+  the background when the feature goes over to the explained row's value; orders come in pairs of opposites.
+  Per row, phi sums to f(x) less the mean of f over the background. Every (row, background row, coalition) is
+  scored, so the work grows with rows times background.
+  A fitted binary logistic regression needs no such rows: a coalition's margin is a sum of the row's part and the
+  background's, so the mean score is a smooth function of the row's part. One pass gathers, per coalition, the
+  moments of the background's parts in cells of a sixteenth, and rows look the mean up (to about 1e-12).
   Row ids must be unique.
 
 The result is always a long table ``(row id, feature, value, phi)``.
@@ -20,8 +18,9 @@ The result is always a long table ``(row id, feature, value, phi)``.
 
 from __future__ import annotations
 
+import hashlib
 import math
-from typing import Iterator, Sequence
+from typing import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_key
+from ..session import written
 from ..spec import RANDOM_SEED, TOP_FEATURES
 from .models import LinearModel, positive_probability
 from .sampling import background_sample
@@ -156,113 +155,203 @@ def _logistic_terms(model: PipelineModel, features: Sequence[str]) -> tuple[np.n
     return np.array([weights.get(c, 0.0) for c in features]), float(stages[1].intercept)
 
 
-def _logistic_steps(perms: DataFrame, terms: tuple[np.ndarray, float], features: Sequence[str], id_col: str, background: np.ndarray, permutations: int) -> DataFrame:
-    """Shapley values from ``(id, order, background row, x)``, the permutations of a row behind each other."""
-    (weights, intercept), d = terms, len(features)
-    names = list(features)
+def feature_orders(features: Sequence[str], permutations: int, seed: int = RANDOM_SEED) -> list[list[int]]:
+    """Orders of the features, by hash; every second is the reverse of the one before."""
+    out: list[list[int]] = []
+    for m in range(permutations):
+        out.append(out[-1][::-1] if m % 2 else sorted(range(len(features)), key=lambda j: hashlib.md5(f"{seed}:perm:{m}:{features[j]}".encode()).hexdigest()))
+    return out
+
+
+def coalitions(orders: Sequence[Sequence[int]]) -> dict[frozenset[int], np.ndarray]:
+    """The distinct sets of features that come from the row along the orders, and what a set's mean score counts in each feature's value."""
+    d = len(orders[0])
+    out: dict[frozenset[int], np.ndarray] = {}
+    for order in orders:
+        for t in range(d + 1):
+            share = out.setdefault(frozenset(order[:t]), np.zeros(d))
+            if t:
+                share[order[t - 1]] += 1 / len(orders)
+            if t < d:
+                share[order[t]] -= 1 / len(orders)
+    return out
+
+
+#: Width of a cell of margins, and how many moments of a cell are kept: the rest of the series is below 1e-12.
+CELL, MOMENTS = 1 / 16, 6
+#: Beyond this the logistic function is 0 or 1.
+FLAT = 40
+#: A mean score is interpolated between this many neighbours, from NEAR[0] to NEAR[-1] cells away.
+NEAR = np.arange(-3, 5)
+#: From values there to the polynomial through them.
+_THROUGH = np.linalg.inv(np.vander(NEAR.astype(float), increasing=True))
+
+
+def _series() -> np.ndarray:
+    """(moment, cell): the logistic function's derivatives at the cells, over their factorials."""
+    s = 1 / (1 + np.exp(-np.arange(-int(FLAT / CELL), int(FLAT / CELL) + 1) * CELL))
+    p, out = np.polynomial.Polynomial([0, 1]), []
+    for r in range(MOMENTS):
+        out.append(p(s) / math.factorial(r))
+        p = p.deriv() * np.polynomial.Polynomial([0, 1, -1])
+    return np.array(out)
+
+
+def _ranked(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct cells in order, number of each cell's)."""
+    low, high = int(cells.min()), int(cells.max())
+    if high - low > 4 * len(cells) + 1024:
+        return np.unique(cells, return_inverse=True)
+    at = cells - low
+    some = np.zeros(high - low + 1, bool)
+    some[at] = True
+    number = np.cumsum(some) - 1
+    return np.flatnonzero(some) + low, number[at]
 
-    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+
+def _added(cells: np.ndarray, moments: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The moments of equal cells summed."""
+    found, at = _ranked(cells)
+    return found, np.array([np.bincount(at, m, len(found)) for m in moments])
+
+
+def _powers(x: np.ndarray) -> Iterator[np.ndarray]:
+    out = np.ones(len(x))
+    for _ in range(MOMENTS):
+        yield out
+        out = out * x
+
+
+def _background_moments(bg: DataFrame, terms: tuple[np.ndarray, float], orders: Sequence[Sequence[int]]) -> dict[frozenset[int], tuple[np.ndarray, np.ndarray]]:
+    """Per coalition but the whole one, the cells and moments of the background's part of the margin, over all rows."""
+    weights, intercept = terms
+    sets = {s: k for k, s in enumerate(coalitions(orders)) if len(s) < len(weights)}
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for batch in batches:
+            parts = weights * _values(batch.columns)
+            done = set()
+            for order in orders:
+                rest = np.cumsum(parts[:, order[::-1]], axis=1)[:, ::-1] + intercept
+                for t in range(len(order)):
+                    if (k := sets[frozenset(order[:t])]) in done or not len(parts):
+                        continue
+                    done.add(k)
+                    cells = np.rint(rest[:, t] / CELL).astype(np.int64)
+                    off = rest[:, t] - cells * CELL
+                    own = held.setdefault(k, [])
+                    own.append(_added(cells, _powers(off)))
+                    if len(own) > 16:
+                        held[k] = [_added(*(np.concatenate(x, axis=-1) for x in zip(*own)))]
+        for k, own in held.items():
+            cells, moments = _added(*(np.concatenate(x, axis=-1) for x in zip(*own)))
+            yield pa.RecordBatch.from_pydict({"k": pa.array([k], pa.int32()), "cells": [cells.tobytes()], "moments": [moments.tobytes()]})
+
+    def add(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: (r["cells"], r["moments"]))  # one order, whatever arrives first
+        cells, moments = _added(np.concatenate([np.frombuffer(r["cells"], np.int64) for r in rows]),
+                                np.concatenate([np.frombuffer(r["moments"]).reshape(MOMENTS, -1) for r in rows], axis=1))
+        return pa.table({"k": pa.array([rows[0]["k"]], pa.int32()), "cells": [cells.tobytes()], "moments": [moments.tobytes()]})
+
+    schema = "k int, cells binary, moments binary"
+    found = {r["k"]: r for r in bg.mapInArrow(gather, schema).groupBy("k").applyInArrow(add, schema).collect()}  # a row per coalition: its occupied cells
+    return {s: (np.frombuffer(found[k]["cells"], np.int64), np.frombuffer(found[k]["moments"]).reshape(MOMENTS, -1)) for s, k in sets.items() if k in found}
+
+
+def _values(columns: Sequence[pa.Array]) -> np.ndarray:
+    x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in columns])
+    if np.isnan(x).any():
+        raise ValueError("a feature is missing: impute before explaining")
+    return x
+
+
+class _MeanScore:
+    """Mean score of a coalition over the background, as a function of the explained row's part of the margin."""
+
+    def __init__(self, cells: np.ndarray, moments: np.ndarray, series: np.ndarray):
+        self.cells, self.moments, self.series = cells, moments / moments[0].sum(), series
+        self.at, self.mean = np.zeros(0, np.int64), np.zeros(0)
+
+    def _means(self, at: np.ndarray) -> np.ndarray:
+        out, step, edge = np.empty(len(at)), max(1, (1 << 20) // len(self.cells)), self.series.shape[1] // 2
+        for k in range(0, len(at), step):
+            z = np.clip(at[k : k + step, None] + self.cells, -edge, edge) + edge
+            out[k : k + step] = sum(s[z] @ m for s, m in zip(self.series, self.moments))
+        return out
+
+    def __call__(self, a: np.ndarray) -> np.ndarray:
+        cell = np.floor(a / CELL)
+        part = a / CELL - cell
+        cells, of = _ranked(cell.astype(np.int64))
+        at = np.unique(cells[:, None] + NEAR)
+        new = np.setdiff1d(at, self.at, assume_unique=True)
+        if len(new):
+            every, means = np.concatenate([self.at, new]), np.concatenate([self.mean, self._means(new)])
+            order = np.argsort(every)
+            self.at, self.mean = every[order], means[order]
+        near = self.mean[np.searchsorted(self.at, cells[:, None] + NEAR)]
+        terms = _THROUGH @ near.T
+        out = terms[-1][of]
+        for q in range(len(NEAR) - 2, -1, -1):
+            out *= part
+            out += terms[q][of]
+        if len(self.at) > 1 << 16:
+            self.at, self.mean = self.at[:0], self.mean[:0]
+        return out
+
+
+def _logistic_values(rows: DataFrame, terms: tuple[np.ndarray, float], features: Sequence[str], id_col: str, found: Mapping[frozenset[int], tuple[np.ndarray, np.ndarray]],
+                     orders: Sequence[Sequence[int]]) -> DataFrame:
+    """Shapley values of ``(id, x...)``, rows in place."""
+    (weights, intercept), d, names, series = terms, len(features), list(features), _series()
+
+    def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        means = {s: _MeanScore(*c, series) for s, c in found.items()}
         for batch in batches:
-            table = pa.Table.from_batches([*held, batch]).combine_chunks()
-            whole = table.num_rows - table.num_rows % permutations
-            held = table.slice(whole).to_batches()
-            table = table.slice(0, whole)
-            # rows of an id count together, rows without one don't count
-            table = table.filter(pa.array(np.repeat(np.asarray(table.column(0).is_valid())[::permutations], permutations)))
-            if not table.num_rows:
+            batch = batch.filter(batch.column(0).is_valid())  # rows of an id count together, rows without one don't count
+            if not batch.num_rows:
                 continue
-            order, x = (np.asarray(table.column(i).combine_chunks().flatten()).reshape(-1, d) for i in (1, 3))
-            b = background[np.asarray(table.column(2))]
-            if np.isnan(x).any() or np.isnan(b).any():
-                raise ValueError("a feature is missing: impute before explaining")
-            moves = np.take_along_axis(weights * (x - b), order.astype(np.int64), axis=1)
-            margin = np.cumsum(np.column_stack([b @ weights + intercept, moves]), axis=1)
-            f = 1 / (1 + np.exp(-margin))
-            gained = np.empty_like(x)
-            np.put_along_axis(gained, order.astype(np.int64), np.diff(f, axis=1), axis=1)
-            ids = table.column(0).combine_chunks().dictionary_encode()
+            x = _values(batch.columns[1:])
+            gained = np.zeros_like(x)
+            for order in orders:
+                known = np.cumsum((weights * x)[:, order], axis=1)
+                f = np.empty((len(x), d + 1))
+                f[:, 0] = means[frozenset()](np.zeros(1))
+                for t in range(1, d):
+                    f[:, t] = means[frozenset(order[:t])](known[:, t - 1])
+                f[:, d] = 1 / (1 + np.exp(-(known[:, -1] + intercept)))
+                gained[:, order] += np.diff(f, axis=1) / len(orders)
+            ids = batch.column(0).dictionary_encode()
             codes = np.asarray(ids.indices)
             phi = np.zeros((len(ids.dictionary), d))
             np.add.at(phi, codes, gained)
             first = np.unique(codes, return_index=True)[1]
             yield pa.RecordBatch.from_arrays([ids.dictionary.take(pa.array(np.repeat(np.arange(len(phi)), d))), pa.array(names * len(phi)), pa.array(x[first].ravel()),
-                                              pa.array((phi / permutations).ravel())], names=[id_col, "feature", "value", "phi"])
+                                              pa.array(phi.ravel())], names=[id_col, "feature", "value", "phi"])
 
-    data = perms.select(id_col, "__order", "__bi", F.array(*[F.col(c) for c in names]).alias("__x"))
-    return data.mapInArrow(steps, f"`{id_col}` {data.dtypes[0][1]}, feature string, value double, phi double")
+    return rows.mapInArrow(explain, f"`{id_col}` {rows.dtypes[0][1]}, feature string, value double, phi double")
 
 
 def shap_sampled(df: DataFrame, model: PipelineModel, features: Sequence[str], id_col: str,
-                 background: DataFrame | None = None, n_background: int = 100, permutations: int = 8,
+                 background: DataFrame | None = None, n_background: int | None = None, permutations: int = 8,
                  seed: int = RANDOM_SEED) -> DataFrame:
-    """X1(b): permutation-sampling Shapley values of the positive-class probability."""
+    """X1(b): permutation-sampling Shapley values of the positive-class probability, against every row of the background
+    (``df`` itself if none is given). ``n_background`` draws so many rows of it instead (R5, the reference's 100)."""
     feats = list(features)
     d = len(feats)
-    bg_src = background if background is not None else df
-    bg = background_sample(bg_src.select(id_col, *feats), id_col, n_background, seed)
-    bg = bg.withColumn("__bi", (F.row_number().over(Window.orderBy(id_col)) - 1).cast("int"))  # <= n_background rows
-    bg = bg.select("__bi", *[F.col(c).cast("double").alias(f"__b_{c}") for c in feats])
-    found = bg.orderBy("__bi").collect()  # <= n_background rows, drawn once
-    k = max(1, len(found))
-    bg = df.sparkSession.createDataFrame(found, bg.schema)
-
+    bg = background if background is not None else df
+    if n_background is not None:
+        bg = written(background_sample(bg.select(id_col, *feats), id_col, n_background, seed), "background")
+    bg = bg.select(*[F.col(c).cast("double").alias(f"__b_{c}") for c in feats])
     rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in feats])
-    perms = rows.withColumn("__m", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
-    pm_key = F.concat_ws(":", F.col(id_col).cast("string"), F.col("__m").cast("string"))
-    # position of each feature in this permutation: rank of a per-feature hash
-    keyed = F.array(*[F.struct(hash_key(seed, f"perm:{c}", pm_key).alias("h"), F.lit(j).alias("j"))
-                      for j, c in enumerate(feats)])
-    order = F.transform(F.array_sort(keyed), lambda s: s["j"])  # feature index at each position
-    perms = perms.withColumn("__order", order) \
-        .withColumn("__bi", (F.conv(F.substring(hash_key(seed, "bg", pm_key), 1, 8), 16, 10).cast("bigint") % k).cast("int"))
-    if found and (terms := _logistic_terms(model, feats)) is not None:
-        return _logistic_steps(perms, terms, feats, id_col, np.array([r[1:] for r in found], dtype=float), permutations)
-    # position of each feature, once per permutation
-    perms = perms.withColumn("__pos", F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda j: F.array_position("__order", j) - 1))
-    paired = perms.join(F.broadcast(bg), "__bi")
-    coal = paired.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(d))))
-    # feature j comes from the row when its position in the permutation is < t
-    pos = {c: F.element_at("__pos", j + 1) for j, c in enumerate(feats)}
-    mixed = coal.select(id_col, "__m", "__t", "__order",
-                        *[F.when(pos[c] < F.col("__t"), F.col(c)).otherwise(F.col(f"__b_{c}")).alias(c) for c in feats])
-    scored = model.transform(mixed).select(id_col, "__m", "__t", "__order", positive_probability().alias("__f"),
-                                           *feats)
-    # All (d + 1) x permutations coalitions of a row were generated and scored in
-    # the same partition (explode, broadcast join and transform are narrow), so
-    # differences and averages are taken there: no shuffle of the expansion.
-    id_type = df.schema[id_col].dataType.simpleString()
-    per_row = permutations * (d + 1)
-
-    def contributions(batches):
-        import numpy as np
-        import pandas as pd
-
-        carry = None
-        for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            sizes = pdf.groupby(id_col, sort=False)[id_col].transform("size")
-            done = pdf[sizes.to_numpy() >= per_row]
-            carry = pdf[sizes.to_numpy() < per_row]
-            if done.empty:
-                continue
-            done = done.sort_values([id_col, "__m", "__t"], kind="stable")
-            ids, inv = np.unique(done[id_col].to_numpy(), return_inverse=True)
-            t = done["__t"].to_numpy()
-            f = done["__f"].to_numpy()
-            order = np.stack(done["__order"].to_numpy()).astype(int)
-            step = np.flatnonzero(t > 0)  # each has its t - 1 coalition just before it
-            feat_idx = order[step, t[step] - 1]  # the feature added at position t
-            phi = np.zeros((len(ids), d))
-            np.add.at(phi, (inv[step], feat_idx), f[step] - f[step - 1])
-            full = done[t == d].drop_duplicates(id_col).set_index(id_col).loc[ids]
-            vals = full[feats].to_numpy(dtype=float)
-            yield pd.DataFrame({
-                id_col: np.repeat(ids, d), "feature": np.tile(np.asarray(feats, dtype=object), len(ids)),
-                "value": vals.reshape(-1), "phi": (phi / permutations).reshape(-1),
-            })
-        if carry is not None and len(carry):
-            raise RuntimeError("sampled Shapley: incomplete coalition groups in a partition")
-
-    return scored.mapInPandas(contributions, f"{id_col} {id_type}, feature string, value double, phi double")
+    orders = feature_orders(feats, permutations, seed)
+    if (terms := _logistic_terms(model, feats)) is not None and (found := _background_moments(bg, terms, orders)):
+        return _logistic_values(rows, terms, feats, id_col, found, orders)
+    n = bg.count()
+    each = df.sparkSession.createDataFrame([([j in s for j in range(d)], share.tolist()) for s, share in coalitions(orders).items()], "__known array<boolean>, __share array<double>")
+    mixed = rows.where(F.col(id_col).isNotNull()).crossJoin(bg).crossJoin(F.broadcast(each)).select(  # at most permutations x (d + 1) coalitions
+        id_col, "__share", *[F.col(c).alias(f"__x_{c}") for c in feats], *[F.when(F.col("__known")[j], F.col(c)).otherwise(F.col(f"__b_{c}")).alias(c) for j, c in enumerate(feats)])
+    scored = model.transform(mixed).withColumn("__f", positive_probability())
+    sums = scored.groupBy(id_col).agg(*[F.first(f"__x_{c}").alias(f"__x_{j}") for j, c in enumerate(feats)], *[(F.sum(F.col("__f") * F.col("__share")[j]) / n).alias(f"__phi_{j}") for j in range(d)])
+    return sums.select(id_col, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"__x_{j}").alias("value"), F.col(f"__phi_{j}").alias("phi")) for j, c in enumerate(feats)])))

@@ -73,6 +73,42 @@ def test_sampled_shapley_of_a_logistic_model_makes_no_coalition_rows(spark, surv
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in got)
 
 
+def test_sampled_shapley_counts_every_background_row(spark, survey):
+    """phi sums to f(x) less the mean of f over all 300 background rows, for a logistic model and for a forest."""
+    from riskframe.operators import preprocess as pp
+
+    params = pp.Preprocessor(SURVEY_SPEC).fit(survey)
+    data = pp.transform(survey, SURVEY_SPEC, params).withColumn("label", F.col("lung_cancer_risk").cast("double")).cache()
+    feats = ["pack_years", "copd", "age", "bmi"]
+    rows = data.where(F.col("row_id") <= 5)
+    for family, setting in (("logistic_regression", {"C": 1.0}), ("random_forest", {"n_estimators": 5, "max_depth": 3})):
+        model = md.fit(data, feats, family, setting, weight=None)
+        phi = xp.shap_sampled(rows, model, feats, "row_id", background=data, permutations=2)
+        sums = {r.row_id: r.s for r in phi.groupBy("row_id").agg(F.sum("phi").alias("s")).collect()}
+        mean = md.predict(model, data).agg(F.avg("probability")).first()[0]
+        fx = {r.row_id: r.probability for r in md.predict(model, rows).collect()}
+        assert len(sums) == 5 and all(abs(sums[k] - (fx[k] - mean)) < 1e-9 for k in sums)
+
+
+def test_sampled_shapley_of_wide_margins(spark):
+    """Margins far apart and repeated cells: the looked-up means are those of scoring every pair."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x, b, w = rng.normal(size=(40, 3)) * [1, 30, 4000], rng.normal(size=(500, 3)) * [1, 30, 4000], np.array([2.0, -1.0, 0.5])
+    frame = lambda m: spark.createDataFrame([(i, *r) for i, r in enumerate(m.tolist())], "row_id long, a double, b double, c double").repartition(3, "row_id")
+    orders = xp.feature_orders(["a", "b", "c"], 2)
+    assert orders[1] == orders[0][::-1]
+    found = xp._background_moments(frame(b).drop("row_id"), (w, 0.3), orders)
+    got = {(r.row_id, r.feature): r.phi for r in xp._logistic_values(frame(x), (w, 0.3), ["a", "b", "c"], "row_id", found, orders).collect()}
+    for i, row in enumerate(x):
+        want = np.zeros(3)
+        for s, share in xp.coalitions(orders).items():
+            z = np.where([j in s for j in range(3)], row, b) @ w + 0.3
+            want += share * (1 / (1 + np.exp(-np.clip(z, -700, 700)))).mean()
+        assert np.allclose([got[i, c] for c in "abc"], want, atol=1e-10)
+
+
 def test_linear_shap_identity(spark, survey):
     from riskframe.operators import preprocess as pp
 
