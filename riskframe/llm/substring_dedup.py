@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.llm.common import bounded_batches, data, documents, mix64
-from riskframe.llm.suffixes import suffix_groups
+from riskframe.llm.suffixes import suffix_order
 from riskframe.session import checkpoint_root
 
 #: Place of a document without an id: after all others.
@@ -41,13 +41,17 @@ LAST = 2**63 - 1
 class SubstringConfig:
     """length: bytes of a repeated string; gram: bytes of an anchor (24 to 32); block: bytes of
     texts in a block (a longer text is one of its own); heavy: blocks from which on an anchor is
-    dealt out by windows; bucket: bytes of text per task that compares hashes."""
+    dealt out by windows; bucket: bytes of text per task that compares hashes; part: occurrences of
+    shared contents that are numbered together; compared: bytes of contents in a suffix array, unless
+    one anchor has more."""
 
     length: int = 50
     gram: int = 28
     block: int = 8 << 20
     heavy: int = 128
-    bucket: int = 64 << 20
+    bucket: int = 16 << 20
+    part: int = 1 << 19
+    compared: int = 2 << 20
 
     @property
     def span(self) -> int:
@@ -129,50 +133,99 @@ class Block:
         for b, a, z in zip(used.tolist(), begin.tolist(), [*begin[1:].tolist(), len(self.bucket)]):
             yield b, slice(a, z)
 
-    def contents(self, masks: list[dict], buckets: int) -> tuple[dict[int, dict], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct contents of the anchors that other documents have too.
-
-        Returns per bucket {content: (number, smallest place, key)} and the occurrences: bucket,
-        content number within it, document, first byte. A content is a snippet, or a heavy anchor's
-        window as a 128-bit digest.
-        """
+    def contents(self, masks: list[dict], buckets: int) -> Iterator[Contents]:
+        """Contents of the anchors that other documents have too, in parts of about ``cfg.part`` occurrences."""
         shared, heavy = np.zeros(len(self.key), bool), np.zeros(len(self.key), bool)
         at = dict(self.per_bucket())
         for m in masks:
             s = at[m["bucket"]]
             bits = np.unpackbits(np.frombuffer(m["mask"], np.uint8), count=2 * (s.stop - s.start)).astype(bool)
             shared[s], heavy[s] = bits[::2], bits[1::2]
-        found: dict[int, dict] = {}
-        n, text, places = self.cfg.length, self.text, self.places
-
-        def number_of(bucket: int, key: int, place: int, content: bytes) -> int:
-            own = found.get(bucket)
-            if own is None:
-                own = found[bucket] = {}
-            got = own.get(content)
-            if got is None:
-                own[content] = (len(own), place, key)
-                return len(own) - 1
-            if place < got[1]:
-                own[content] = (got[0], place, key)
-            return got[0]
-
-        pick = np.flatnonzero((shared & ~heavy)[self.number])
-        bucket, doc, first = self.bucket[self.number[pick]], self.doc[pick], self.first[pick]
-        numbers = [number_of(b, k, places[d], text[f:z]) for b, k, d, f, z in zip(
-            bucket.tolist(), self.key[self.number[pick]].tolist(), doc.tolist(), first.tolist(), (self.last[pick] + n).tolist())]
-        pick = np.flatnonzero((shared & heavy)[self.number])
-        many = self.last[pick] - self.first[pick] + 1
-        hot_doc = np.repeat(self.doc[pick], many)
-        hot_first = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[pick], many)
-        hot_bucket = []
-        for d, f in zip(hot_doc.tolist(), hot_first.tolist()):
-            digest = hashlib.blake2b(text[f : f + n], digest_size=16).digest()
-            h = int.from_bytes(digest[:8], "little")
-            hot_bucket.append(h % buckets)
-            numbers.append(number_of(h % buckets, h // buckets & (1 << 48) - 1, places[d], digest))
-        return (found, np.concatenate([bucket, np.array(hot_bucket, np.int64)]), np.array(numbers, np.int64),
-                np.concatenate([doc, hot_doc]), np.concatenate([first, hot_first]))
+        pick = np.flatnonzero(shared[self.number])
+        hot = heavy[self.number[pick]]
+        # equal windows have equal anchors, so parts of whole anchors have no content in common
+        many = np.bincount(self.number[pick], np.where(hot, self.last[pick] - self.first[pick] + 1, 1), len(self.key))
+        part = ((np.cumsum(many) - many) // self.cfg.part).astype(np.int64)[self.number[pick]]
+        order = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.diff(part[order], prepend=-1))
+        for k, (a, z) in enumerate(zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)])):
+            own = order[a:z]
+            yield self._part(k, pick[own[~hot[own]]], pick[own[hot[own]]], buckets)
+
+    def _part(self, k: int, plain: np.ndarray, hot: np.ndarray, buckets: int) -> Contents:
+        n, text, places = self.cfg.length, self.text, np.array(self.places, np.int64)
+        # snippets: equal ones have one anchor, so one bucket and key
+        ids: dict[bytes, int] = {}
+        of = np.empty(len(plain), np.int64)
+        for a in range(0, len(plain), SLICE):
+            some = plain[a : a + SLICE]
+            of[a : a + SLICE] = [ids.setdefault(text[f:z], len(ids)) for f, z in zip(self.first[some].tolist(), (self.last[some] + n).tolist())]
+        least = np.full(len(ids), LAST)
+        np.minimum.at(least, of, places[self.doc[plain]])
+        anchor = np.empty(len(ids), np.int64)
+        anchor[of] = self.number[plain]
+        # windows of heavy anchors: distinct digests, in order
+        many = self.last[hot] - self.first[hot] + 1
+        doc = np.repeat(self.doc[hot], many)
+        first = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.first[hot], many)
+        raw = b"".join(b"".join(hashlib.blake2b(text[f : f + n], digest_size=16).digest() for f in first[a : a + SLICE].tolist()) for a in range(0, len(first), SLICE))
+        digests, window_of = distinct_digests(np.frombuffer(raw, "<u8").reshape(-1, 2))
+        window_least = np.full(len(digests), LAST)
+        np.minimum.at(window_least, window_of, places[doc])
+        # all contents by bucket, snippets before digests
+        bucket = np.concatenate([self.bucket[anchor], (digests[:, 0] % np.uint64(buckets)).astype(np.int64)])
+        key = np.concatenate([self.key[anchor], digests[:, 0] // np.uint64(buckets) & np.uint64((1 << 48) - 1)])
+        sizes = np.concatenate([np.fromiter(map(len, ids), np.int64, len(ids)), np.full(len(digests), DIGEST)])
+        order = np.argsort(bucket, kind="stable")
+        number = np.empty(len(order), np.int64)
+        used, begin, count = np.unique(bucket[order], return_index=True, return_counts=True)
+        number[order] = np.arange(len(order)) - np.repeat(begin, count)
+        of = np.concatenate([of, window_of + len(ids)])
+        return Contents(k, list(ids), digests, used, begin, order, key, sizes, np.concatenate([least, window_least]),
+                        bucket[of], number[of], np.concatenate([self.doc[plain], doc]), np.concatenate([self.first[plain], first]))
+
+
+#: Bytes of a window's digest, and how many places are read from an array at once.
+DIGEST, SLICE = 16, 1 << 16
+
+
+def distinct_digests(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows of two numbers, number of each row's)."""
+    order = np.lexsort((digests[:, 1], digests[:, 0]))
+    change = np.ones(len(order), bool)
+    change[1:] = (np.diff(digests[order], axis=0) != 0).any(axis=1)
+    of = np.empty(len(order), np.int64)
+    of[order] = np.cumsum(change) - 1
+    return digests[order[change]], of
+
+
+@dataclass(frozen=True)
+class Contents:
+    """Distinct contents of a block's part, and where they occur (bucket, number of the content in
+    it, document, first byte). A content is a snippet, or a heavy anchor's window as a 128-bit
+    digest; in a bucket snippets come first. ``order`` has the contents by bucket."""
+
+    part: int
+    snippets: list[bytes]
+    digests: np.ndarray
+    used: np.ndarray
+    begin: np.ndarray
+    order: np.ndarray
+    key: np.ndarray
+    sizes: np.ndarray
+    least: np.ndarray
+    bucket: np.ndarray
+    number: np.ndarray
+    doc: np.ndarray
+    first: np.ndarray
+
+    def per_bucket(self) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+        """(bucket, keys, sizes, smallest places, contents)."""
+        for bucket, a, z in zip(self.used.tolist(), self.begin.tolist(), [*self.begin[1:].tolist(), len(self.order)]):
+            own = self.order[a:z]
+            plain = own[own < len(self.snippets)]
+            raw = b"".join([self.snippets[i] for i in plain.tolist()]) + self.digests[own[len(plain) :] - len(self.snippets)].astype("<u8").tobytes()
+            yield bucket, self.key[own].astype("<u8").tobytes(), self.sizes[own].astype("<u4").tobytes(), self.least[own].astype("<i8").tobytes(), raw
 
 
 def planes(x: np.ndarray, width: int) -> bytes:
@@ -273,105 +326,123 @@ def shared_anchors(blocks: DataFrame, buckets: int, cfg: SubstringConfig) -> Dat
     return met.groupBy("block").agg(F.collect_list(F.struct("bucket", "mask")).alias("masks"))
 
 
-def smallest_of_windows(keys: np.ndarray, contents: list[bytes], places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def smallest_of_windows(keys: np.ndarray, contents: list[bytes], places: np.ndarray, length: int, compared: int = 2 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each content (key, bytes, smallest place) the smallest place of each of its windows, over
     all contents: (runs of each content, run lengths, places of runs).
 
     Contents are distinct. Equal windows are in contents of one key, so contents alone with their
-    key, and digests of single windows, are one run; all others' windows are compared through their
-    suffix array.
+    key are one run; the others' windows are compared through suffix arrays of whole keys, of about
+    ``compared`` bytes.
     """
     size = np.fromiter(map(len, contents), np.int64, len(contents))
-    windows = np.maximum(size - length + 1, 1)
+    windows = size - length + 1
     _, own, n = np.unique(keys, return_inverse=True, return_counts=True)
-    mixed = np.flatnonzero((n[own] > 1) & (size >= length))
+    mixed = np.flatnonzero(n[own] > 1)
     n_runs = np.ones(len(contents), np.int64)
     if not len(mixed):
         return n_runs, windows, places
-    text = b"".join(contents[i] for i in mixed.tolist())
-    size, n = size[mixed], windows[mixed]
+    mixed = mixed[np.argsort(own[mixed], kind="stable")]
+    heads = np.flatnonzero(np.diff(own[mixed], prepend=-1))
+    before = (np.cumsum(size[mixed]) - size[mixed])[heads] // compared  # of a key's first content
+    parts = np.append(heads[np.diff(before, prepend=-1) != 0], len(mixed)).tolist()
+    found = [_runs([contents[i] for i in mixed[a:z].tolist()], windows[mixed[a:z]], places[mixed[a:z]], length) for a, z in zip(parts, parts[1:])]
+    n_runs[mixed] = np.concatenate([f[0] for f in found])
+    begin = np.cumsum(n_runs) - n_runs
+    lengths, out = np.repeat(windows, n_runs), np.repeat(places, n_runs)
+    n = n_runs[mixed]
+    into = np.repeat(begin[mixed], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    lengths[into], out[into] = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
+    return n_runs, lengths, out
+
+
+def _runs(contents: list[bytes], windows: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of contents whose windows are all compared."""
+    text = b"".join(contents)
+    size, n = windows + length - 1, windows
     starts = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(np.cumsum(size) - size, n)
     least = np.zeros(len(text), np.int64)
-    least[starts] = np.repeat(places[mixed], n)
-    groups = suffix_groups(text, starts, length)
-    order = np.fromiter((s for g in groups for s in g), np.int64, len(starts))
-    many = np.fromiter(map(len, groups), np.int64, len(groups))
+    least[starts] = np.repeat(places, n)
+    order, many = suffix_order(text, starts, length)
     least[order] = np.repeat(np.minimum.reduceat(least[order], np.cumsum(many) - many), many)
-    # windows of the compared contents one after another, cut into runs
+    # windows of the contents one after another, cut into runs
     least = least[starts]
     begins = np.zeros(len(least), bool)
     begins[np.cumsum(n) - n] = True
     begins[1:] |= least[1:] != least[:-1]
     heads = np.flatnonzero(begins)
-    of = np.repeat(np.arange(len(mixed)), n)[heads]
-    n_runs[mixed] = np.bincount(of, minlength=len(mixed))
-    begin = np.cumsum(n_runs) - n_runs
-    lengths, out = np.repeat(windows, n_runs), np.repeat(places, n_runs)
-    into = np.repeat(begin[mixed], n_runs[mixed]) + np.arange(len(heads)) - np.repeat(np.cumsum(n_runs[mixed]) - n_runs[mixed], n_runs[mixed])
-    lengths[into], out[into] = np.diff(np.append(heads, len(least))), least[heads]
-    return n_runs, lengths, out
+    of = np.repeat(np.arange(len(contents)), n)[heads]
+    return np.bincount(of, minlength=len(contents)), np.diff(np.append(heads, len(least))), least[heads]
 
 
 def smallest_places(blocks: DataFrame, buckets: int, cfg: SubstringConfig) -> DataFrame:
-    """(block, found): per bucket, for the block's contents in their order, runs of windows with the
-    smallest place that has them."""
-    sent = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("places", pa.binary()), ("contents", pa.binary())])
-    reply = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("n_runs", pa.binary()), ("runs", pa.binary()), ("least", pa.binary())])
+    """(block, found): per bucket and part, for the block's contents in their order, runs of windows
+    with the smallest place that has them."""
+    sent = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("part", pa.int64()), ("keys", pa.binary()), ("sizes", pa.binary()), ("places", pa.binary()), ("contents", pa.binary())])
+    reply = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("part", pa.int64()), ("n_runs", pa.binary()), ("runs", pa.binary()), ("least", pa.binary())])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                found = Block(row, buckets, cfg).contents(row["masks"] or [], buckets)[0] if row["masks"] else {}
-                for bucket, own in found.items():
-                    yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(
-                        (bucket, row["block"], np.array([k for _, _, k in own.values()], "<u8").tobytes(), np.array([len(c) for c in own], "<u4").tobytes(),
-                         np.array([p for _, p, _ in own.values()], "<i8").tobytes(), b"".join(own)), sent.types)], schema=sent)
+                for part in Block(row, buckets, cfg).contents(row["masks"], buckets) if row["masks"] else ():
+                    for bucket, *found in part.per_bucket():
+                        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip((bucket, row["block"], part.part, *found), sent.types)], schema=sent)
 
     def meet(table: pa.Table) -> pa.Table:
         numbers: dict[bytes, int] = {}
-        rows = table.to_pylist()
-        of_row = []
-        for r in rows:
-            ends, raw = np.cumsum(np.frombuffer(r["sizes"], "<u4")).tolist(), r["contents"]
+        of_row, digests = [], []
+        for i in range(table.num_rows):
+            sizes, raw = np.frombuffer(table.column("sizes")[i].as_py(), "<u4"), table.column("contents")[i].as_py()
+            ends = np.cumsum(sizes[sizes > DIGEST]).tolist()
             of_row.append(np.array([numbers.setdefault(raw[a:z], len(numbers)) for a, z in zip([0, *ends], ends)], np.int64))
+            digests.append(np.frombuffer(raw, "<u8", 2 * (len(sizes) - len(ends)), ends[-1] if ends else 0).reshape(-1, 2))
+        of_digest = distinct_digests(np.concatenate(digests))[1]
+        ahead = np.cumsum([0, *map(len, digests)])
+        of_row = [np.concatenate([own, len(numbers) + of_digest[a:z]]) for own, a, z in zip(of_row, ahead, ahead[1:])]
         every = np.concatenate(of_row)
-        keys, least = np.zeros(len(numbers), np.uint64), np.full(len(numbers), LAST)
-        keys[every] = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in rows])
-        np.minimum.at(least, every, np.concatenate([np.frombuffer(r["places"], "<i8") for r in rows]))
-        n_runs, runs, values = smallest_of_windows(keys, list(numbers), least, cfg.length)
+        keys, least = np.zeros(every.max() + 1, np.uint64), np.full(every.max() + 1, LAST)
+        keys[every] = np.concatenate([np.frombuffer(k.as_py(), "<u8") for k in table.column("keys")])
+        np.minimum.at(least, every, np.concatenate([np.frombuffer(p.as_py(), "<i8") for p in table.column("places")]))
+        n = len(numbers)
+        n_runs, runs, values = smallest_of_windows(keys[:n], list(numbers), least[:n], cfg.length, cfg.compared)
+        alone = np.ones(len(keys) - n, np.int64)  # a digest is one window
+        n_runs, runs, values = np.concatenate([n_runs, alone]), np.concatenate([runs, alone]), np.concatenate([values, least[n:]])
         begin = np.cumsum(n_runs) - n_runs
         got = []
-        for r, own in zip(rows, of_row):
+        for i, own in enumerate(of_row):
             n = n_runs[own]
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[own], n)
-            got.append((r["block"], r["bucket"], n.astype("<u4").tobytes(), runs[at].astype("<u4").tobytes(), values[at].astype("<i8").tobytes()))
+            got.append((*(table.column(c)[i].as_py() for c in ("block", "bucket", "part")), n.astype("<u4").tobytes(), runs[at].astype("<u4").tobytes(), values[at].astype("<i8").tobytes()))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), reply.types)], schema=reply)
 
     sends = blocks.select("block", "places", "lengths", "text", "copies", "masks")
-    met = sends.mapInArrow(send, "bucket long, block long, keys binary, sizes binary, places binary, contents binary")
-    met = met.groupBy("bucket").applyInArrow(meet, "block long, bucket long, n_runs binary, runs binary, least binary")
-    return met.groupBy("block").agg(F.collect_list(F.struct("bucket", "n_runs", "runs", "least")).alias("found"))
+    met = sends.mapInArrow(send, "bucket long, block long, part long, keys binary, sizes binary, places binary, contents binary")
+    met = met.groupBy("bucket").applyInArrow(meet, "block long, bucket long, part long, n_runs binary, runs binary, least binary")
+    return met.groupBy("block").agg(F.collect_list(F.struct("bucket", "part", "n_runs", "runs", "least")).alias("found"))
 
 
 def covered_bytes(block: Block, masks: list[dict], found: list[dict], buckets: int) -> np.ndarray:
     """Which bytes of the block go (copies aside)."""
-    edge = np.zeros(len(block.text) + 1, np.int64)
+    edge = np.zeros(len(block.text) + 1, np.int32)
     if masks and found:
-        _, bucket, content, doc, first = block.contents(masks, buckets)
+        replies = {(f["part"], f["bucket"]): f for f in found}
         places = np.array(block.places)
-        for f in found:
-            at = np.flatnonzero(bucket == f["bucket"])
-            n_runs = np.frombuffer(f["n_runs"], "<u4").astype(np.int64)
-            runs, least = np.frombuffer(f["runs"], "<u4").astype(np.int64), np.frombuffer(f["least"], "<i8")
-            head = np.cumsum(n_runs) - n_runs
-            ahead = np.cumsum(runs) - runs  # windows before a run, over all contents
-            n = n_runs[content[at]]
-            own = np.repeat(at, n)
-            run = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(head[content[at]], n)
-            begin = first[own] + ahead[run] - ahead[head[content[own]]]
-            gone = least[run] < places[doc[own]]
-            np.add.at(edge, begin[gone], 1)
-            np.add.at(edge, begin[gone] + runs[run[gone]] + block.cfg.length - 1, -1)
+        for part in block.contents(masks, buckets):
+            by_bucket = np.argsort(part.bucket, kind="stable")
+            begins = np.searchsorted(part.bucket[by_bucket], part.used).tolist()
+            for used, a, z in zip(part.used.tolist(), begins, [*begins[1:], len(by_bucket)]):
+                f, at = replies[part.part, used], by_bucket[a:z]
+                n_runs = np.frombuffer(f["n_runs"], "<u4").astype(np.int64)
+                runs, least = np.frombuffer(f["runs"], "<u4").astype(np.int64), np.frombuffer(f["least"], "<i8")
+                head = np.cumsum(n_runs) - n_runs
+                ahead = np.cumsum(runs) - runs  # windows before a run, over all contents
+                content = part.number[at]
+                n = n_runs[content]
+                own = np.repeat(at, n)
+                run = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(head[content], n)
+                begin = part.first[own] + ahead[run] - ahead[np.repeat(head[content], n)]
+                gone = least[run] < places[part.doc[own]]
+                np.add.at(edge, begin[gone], 1)
+                np.add.at(edge, begin[gone] + runs[run[gone]] + block.cfg.length - 1, -1)
     return np.cumsum(edge[:-1]) > 0
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 #: Bytes that the quicksort looks at (whole 8-byte symbols); groups equal so far go to blind tries.
@@ -61,22 +63,32 @@ class BlindTrie:
 
 
 def suffix_groups(text: bytes, starts: np.ndarray, length: int) -> list[list[int]]:
+    """The groups of :func:`suffix_order`, one list each."""
+    order, sizes = suffix_order(text, starts, length)
+    ends = np.cumsum(sizes)
+    return [order[a:z].tolist() for a, z in zip((ends - sizes).tolist(), ends.tolist())]
+
+
+def suffix_order(text: bytes, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of ``text`` at ``starts``, compared to ``length`` bytes (at least ``SHALLOW``):
-    groups of starts with equal strings, in order of the strings. All strings lie within the text."""
+    (starts in order of the strings, sizes of the groups of equal strings). All strings lie within the text."""
+    order, sizes = array("q"), array("q")
     if not len(starts):
-        return []
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     symbols = np.ndarray(len(text) - 7, ">u8", text, strides=(1,))
-    out: list[list[int]] = []
     todo = [(np.asarray(starts, np.int64), 0)]
 
     def deep(group: list[int]) -> None:
         if len(group) == 1:
-            out.append(group)
+            order.append(group[0])
+            sizes.append(1)
             return
         trie = BlindTrie(text, SHALLOW, length)
         for s in group:
             trie.add(s)
-        out.extend(trie.leaves())
+        for leaf in trie.leaves():
+            order.extend(leaf)
+            sizes.append(len(leaf))
 
     while todo:
         part, depth = todo.pop()
@@ -92,4 +104,4 @@ def suffix_groups(text: bytes, starts: np.ndarray, length: int) -> list[list[int
             symbol = symbols[part + depth].astype(np.uint64)
             pivot = np.sort(symbol[[0, len(part) // 2, -1]])[1]
             todo += [(x, d) for x, d in ((part[symbol > pivot], depth), (part[symbol == pivot], depth + 8), (part[symbol < pivot], depth)) if len(x)]
-    return out
+    return np.array(order, np.int64), np.array(sizes, np.int64)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from conftest_llm import ODD
 
-from riskframe.llm.substring_dedup import SubstringConfig, _anchors, substring_dedup
+from riskframe.llm.substring_dedup import Block, SubstringConfig, _anchors, substring_dedup
 from riskframe.llm.suffixes import BlindTrie, suffix_groups
 
 
@@ -84,3 +84,31 @@ def test_substring_dedup(docs, rng, cfg):
 
 def test_substring_dedup_empty_table(docs):
     assert substring_dedup(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("heavy", [0, 1, 100])
+def test_contents_in_many_parts_and_suffix_arrays(docs, rng, heavy):
+    """Few occurrences a part and few bytes a suffix array give what brute force gives."""
+    shared = ["".join(rng.choice("ab ") for _ in range(200)) for _ in range(3)]
+    rows = [(i, shared[i % 3][rng.randint(0, 60) : rng.randint(120, 200)] + "".join(rng.choice("abc") for _ in range(rng.randint(0, 80))) + shared[i * 7 % 3]) for i in range(40)]
+    cfg = SubstringConfig(block=1_500, heavy=heavy, bucket=2_000, part=7, compared=90)
+    got = [(r.doc_id, r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in substring_dedup(docs(rows), cfg).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+
+
+def test_windows_of_heavy_anchors_are_held_as_numbers():
+    """A block whose windows are all of heavy anchors takes some 100 bytes a window of one part, and no objects."""
+    import tracemalloc
+
+    cfg = SubstringConfig(part=20_000)
+    text = os.urandom(100_000)
+    block = Block({"text": text * 2, "places": [1, 2], "lengths": [len(text)] * 2, "copies": []}, 4, cfg)
+    masks = [{"bucket": b, "mask": b"\xff" * len(block.key[s])} for b, s in block.per_bucket()]
+    tracemalloc.start()
+    windows = contents = 0
+    for part in block.contents(masks, 4):
+        windows += len(part.number)
+        contents += sum(len(raw) // 16 for *_, raw in part.per_bucket())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (windows, contents) == (2 * (100_000 - 49), 100_000 - 49) and peak < 16 << 20
